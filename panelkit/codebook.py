@@ -188,3 +188,25 @@ class Codebook:
 
 
 DEFAULT_CODEBOOK = Codebook()
+
+
+# Satisfaction labels of one report; unlabelled variables pool into a NULL label.
+SATISFACTION_LABELS = {
+    "satis_immm_plus_overall": "Satisfied",
+    "satis_immm_plus_utility": "Found IMMM+ useful",
+    "satis_immm_plus_recommend": "Would recommend IMMM+",
+}
+
+EHS_DOMAIN_LABELS = {
+    "ehs_empowerment": "Psychological Empowerment",
+    "ehs_motivation": "Forward-looking Self-motivation",
+    "ehs_utilization": "Utilization of Skills and Resources",
+    "ehs_goal_orientation": "Goal-orientation",
+}
+
+# Report populations: the province reports exclude the comparison arm.
+REPORT_EXCLUDED_ARM = "Comparison"
+# Quarterly report window and fiscal starts.
+REPORT_WINDOW = ("2024-03-01", "2024-06-30")
+FISCAL_START_QUARTERLY = 3
+FISCAL_START_DEMOGRAPHICS = 4

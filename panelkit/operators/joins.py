@@ -87,10 +87,16 @@ def union_by_name(parts: Sequence[DataFrame]) -> DataFrame:
 
 
 def full_join_on(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Full outer join on one key, the key coalesced from both sides."""
-    out = left.join(right, left[key] == right[key], "full")
-    rest = [left[c] for c in left.columns if c != key] + [right[c] for c in right.columns if c != key]
-    return out.select(F.coalesce(left[key], right[key]).alias(key), *rest)
+    """Full outer join on one key, the key coalesced from both sides.
+
+    Both sides are aliased, so frames derived from the same source (a
+    self-join) resolve unambiguously.
+    """
+    lf, rt = left.alias("__l"), right.alias("__r")
+    out = lf.join(rt, F.col(f"__l.`{key}`") == F.col(f"__r.`{key}`"), "full")
+    rest = ([F.col(f"__l.`{c}`") for c in left.columns if c != key]
+            + [F.col(f"__r.`{c}`") for c in right.columns if c != key])
+    return out.select(F.coalesce(F.col(f"__l.`{key}`"), F.col(f"__r.`{key}`")).alias(key), *rest)
 
 
 def semi_join(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:

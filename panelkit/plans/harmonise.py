@@ -178,3 +178,83 @@ BASELINE_LGL = ["educ_domestic_lgl", "educ_hs_lgl", "educ_pse_lgl", "demo_transg
                 "demo_indigenous_lgl", "demo_racialized_lgl", "demo_parent_lgl",
                 "demo_single_parent_lgl", "demo_bipoc_lgl"]
 BASELINE_COLUMNS = BASELINE_KEYS + BASELINE_FCT + BASELINE_LGL
+
+
+# ---------------------------------------------------------------------------
+# Employment outcomes (H14b, H15-H20)
+# ---------------------------------------------------------------------------
+
+
+def annualized_salary(version: Column) -> Column:
+    """Annual pay: v1 reads a number from free text, else hourly x hours x 52;
+    v2 hourly first, then the salary scaled by its reporting period."""
+    hourly = logic.in_set("job_has_hourly_wage", ["Yes"])
+    by_hour = F.col("job_hourly_wage") * F.col("job_hours") * cb.HOURS_WEEKS_PER_YEAR
+    v1 = logic.case_when([
+        (text.nchar("job_salary_text") > 0, text.parse_number("job_salary_text")),
+        (hourly, by_hour),
+    ])
+    v2 = logic.case_when(
+        [(hourly, by_hour)]
+        + [(logic.in_set("job_report_salary", [period]), F.col("job_salary_num") * mult)
+           for period, mult in cb.PAY_PERIOD_MULTIPLIER.items()]
+    )
+    return F.when(version == 1, v1).otherwise(v2).cast("double")
+
+
+def benefit_flags(raw: list[str], employed: Column) -> list[Column]:
+    """Select-all benefits -> presence flags (positional names), count, any.
+
+    The count is over the counted options and only for the employed (NULL
+    otherwise, also when employment is unknown).
+    """
+    names = cb.DEFAULT_CODEBOOK.check_arity(cb.BENEFIT_NAMES, raw, "benefits")
+    flags = {n: F.col(r).isNotNull() for r, n in zip(raw, names)}
+    counted = [flags[n] for n in cb.BENEFIT_COUNTED if n in flags]
+    total = logic.flag_sum(counted)
+    n = F.when(employed, total)
+    return [v.alias(k) for k, v in flags.items()] + [n.alias("job_benefits_n"), (n > 0).alias("job_benefits_any")]
+
+
+OUTCOME_COLUMNS = ["job_employed", "job_start_date", "job_tenure_months", "job_tenure_days",
+                   "job_tenure_wks", "job_seasonal", "job_temporary", "job_satis_overall_pos",
+                   "job_satis_advance_pos", "job_satis_precarity_pos", *cb.BENEFIT_NAMES,
+                   "job_benefits_n", "job_benefits_any", "job_annualized_salary",
+                   "educ_enrolled", "neet"]
+
+
+def harmonise_outcomes(df: DataFrame, book: Codebook = DEFAULT_CODEBOOK,
+                       keep: tuple[str, ...] = ("wave", "version", "response_id"),
+                       benefit_cols: tuple[str, ...] = tuple(f"job_benefits_{i}" for i in range(1, 7)),
+                       ) -> DataFrame:
+    """Employment outcomes of every response, one projection over all surveys.
+
+    Enrolment in education and NEET exist only on later waves or version 2.
+    """
+    w, v = F.col(book.wave_col), F.col(book.version_col)
+    rows = df.filter(F.col(book.response_col).isNotNull())
+    employed = text.str_detect("job_employed", "Yes")
+    start = dates.date_from_parts("job_start_year", "job_start_month")
+    end = F.col("response_date")
+    has_educ = (w > 1) | (v == 2)
+    enrolled = F.when(has_educ, F.col("educ_enrolled") == "Yes")
+    satis = [("job_satis_overall_pos", "job_satisfaction_overall"),
+             ("job_satis_advance_pos", "job_satisfaction_advancement"),
+             ("job_satis_precarity_pos", "job_satisfaction_precarity")]
+    return rows.select(
+        *[F.col(k) for k in keep],
+        F.col(book.id_col),
+        employed.alias("job_employed"),
+        start.alias("job_start_date"),
+        dates.completed_months(start, end).alias("job_tenure_months"),
+        dates.period_days(start, end).alias("job_tenure_days"),
+        dates.period_weeks(start, end).alias("job_tenure_wks"),
+        (F.col("job_seasonal") == "Yes").alias("job_seasonal"),
+        F.when(v == 1, F.col("job_permanent") == "No").otherwise(F.col("job_temporary") == "Yes")
+        .alias("job_temporary"),
+        *[text.str_detect(src, cb.SATISFACTION_POSITIVE_PATTERN).alias(dst) for dst, src in satis],
+        *benefit_flags(list(benefit_cols), employed),
+        annualized_salary(v).alias("job_annualized_salary"),
+        enrolled.alias("educ_enrolled"),
+        F.when(has_educ, logic.none_of([employed, F.col("educ_enrolled") == "Yes"])).alias("neet"),
+    )

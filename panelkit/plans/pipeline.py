@@ -60,3 +60,83 @@ def dispatch(df: DataFrame, keys: Sequence[str],
             cond = c if cond is None else cond & c
         parts.append(fn(df.filter(cond)))
     return union_by_name(parts)
+
+
+# --- survey tag from the catalogue name -----------------------------------------
+
+
+def with_survey_fields(df: DataFrame, name_col: str = "survey_name") -> DataFrame:
+    """Add ``survey_time``/``survey_version``/``survey_tag`` parsed from the name."""
+    from ..sources.catalog import survey_fields
+
+    return df.withColumns(survey_fields(F.col(name_col)))
+
+
+# --- H14: employment-hope history ----------------------------------------------
+
+
+def construct_hope(responses: DataFrame, repair: DataFrame | None,
+                   book: Codebook = DEFAULT_CODEBOOK) -> DataFrame:
+    """Scores of waves <= 3 consolidated per (participant, wave, tag), then one
+    nested history per participant (bounded: one entry per wave)."""
+    from ..operators.reshape import nest
+    from .scales import DOMAINS, score_scale
+
+    early = with_survey_fields(responses.filter(F.col(book.wave_col) <= 3))
+    scored = score_scale(early, repair, book)
+    per_wave = consolidate(scored, [book.id_col, "wave", "survey_tag"], ["version", "response_id"], DOMAINS)
+    return nest(per_wave, [book.id_col], ["wave", "survey_tag"], "ehs")
+
+
+# --- H21: outcomes history --------------------------------------------------------
+
+
+def construct_outcomes(joined: DataFrame, book: Codebook = DEFAULT_CODEBOOK, dedup: bool = False) -> DataFrame:
+    """Outcomes of all waves; within (participant, wave) every column takes the
+    group's first non-missing value.  Rows keep their multiplicity unless
+    ``dedup`` (then one row per participant x wave)."""
+    from ..operators.aggregate import fill_within
+    from .harmonise import OUTCOME_COLUMNS, harmonise_outcomes
+
+    h = with_survey_fields(harmonise_outcomes(joined, book, keep=("wave", "version", "response_id",
+                                                                  "survey_name")))
+    h = h.drop("survey_name", "survey_time", "survey_version")
+    return fill_within(h, [book.id_col, "wave"], ["version", "response_id"],
+                       OUTCOME_COLUMNS + ["survey_tag"], dedup=dedup)
+
+
+def nest_outcomes(outcomes_per_wave: DataFrame, book: Codebook = DEFAULT_CODEBOOK) -> DataFrame:
+    from ..operators.reshape import nest
+
+    return nest(outcomes_per_wave, [book.id_col], ["wave"], "outcomes")
+
+
+# --- H23: programme satisfaction, wave 2 x wave 3 ------------------------------
+
+
+SATIS_RAW = {2: [f"satis_{j}" for j in range(1, 7)], 3: [f"satis_{j}" for j in range(1, 6)]}
+
+
+def construct_satis(responses: DataFrame, book: Codebook = DEFAULT_CODEBOOK) -> DataFrame:
+    """Top-box flags of wave 2 and wave 3 (each stacked over versions), one row
+    per participant and wave (first non-missing), then a full outer join on the
+    participant: the join is 1:1, never all pairs of a participant's rows."""
+    from ..operators.joins import full_join_on
+    from .scales import satisfaction_top_box
+
+    per_wave = []
+    for wave, raw in SATIS_RAW.items():
+        tb = satisfaction_top_box(responses, wave, raw, book)
+        names = [c for c in tb.columns if c.startswith("satis_")]
+        per_wave.append(consolidate(tb, [book.id_col], ["version", "response_id"], names))
+    return full_join_on(per_wave[0], per_wave[1], book.id_col)
+
+
+# --- H24: participant assembly ------------------------------------------------------
+
+
+def assemble(root: DataFrame, hope: DataFrame, outcomes: DataFrame, satis: DataFrame,
+             key: str = "enrollment_id") -> DataFrame:
+    """root <- hope <- outcomes <- satisfaction: left joins on the participant key.
+    Every right side is one row per key, so the chain never fans out."""
+    return root.join(hope, key, "left").join(outcomes, key, "left").join(satis, key, "left")

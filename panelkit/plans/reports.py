@@ -75,3 +75,60 @@ def quarterly_table(root: DataFrame, levels: Sequence[str] = tuple(cb.ARM_LEVELS
     for lvl in [*levels, cb.TOTAL_LABEL]:
         cols.append(pct_cell(F.col(f"yes_{lvl}"), F.col(f"all_{lvl}")).alias(lvl))
     return cells.filter(F.col(f"all_{cb.TOTAL_LABEL}") > 0).select(*cols)
+
+
+# --- T0: report population ----------------------------------------------------
+
+
+def report_population(root: DataFrame, province: str = cb.HOME_PROVINCE,
+                      excluded_arm: str = cb.REPORT_EXCLUDED_ARM) -> DataFrame:
+    """Participants of one province report (comparison arm excluded)."""
+    return root.filter((F.col("demo_province_fct") == province)
+                       & (F.col("assignment_label_fct") != excluded_arm))
+
+
+def sample_size(pop: DataFrame) -> DataFrame:
+    return pop.agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- T4: flag summary (var, N, n, p) -----------------------------------------------
+
+
+def flag_summary(pop: DataFrame, labels: Sequence[tuple[str, str]] = tuple(cb.QUARTERLY_LABELS)) -> DataFrame:
+    """cat, var, n_total (non-missing), n (TRUE), p -- one global aggregate."""
+    flags = [f for f, _ in labels]
+    cells = flag_cells(report_flags(pop), flags, None, [], total_label=cb.TOTAL_LABEL)
+    cat, var = F.split(logic.lookup("var", dict(labels)), "--", 2), None
+    return cells.filter(F.col(f"all_{cb.TOTAL_LABEL}") > 0).select(
+        F.element_at(cat, 1).alias("cat"), F.element_at(cat, 2).alias("var"),
+        F.col(f"all_{cb.TOTAL_LABEL}").alias("n_total"), F.col(f"yes_{cb.TOTAL_LABEL}").alias("n"),
+        (F.col(f"yes_{cb.TOTAL_LABEL}") / F.col(f"all_{cb.TOTAL_LABEL}")).alias("p"))
+
+
+# --- T5: distribution with share of total -------------------------------------------
+
+
+def distribution(pop: DataFrame, col: str, label: str | None = None) -> DataFrame:
+    """Counts of the non-missing levels of ``col`` with N = overall total and p."""
+    from ..operators.aggregate import share_of_total
+
+    counts = pop.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    out = share_of_total(counts, "n", "N")
+    return out.withColumnRenamed(col, label) if label else out
+
+
+# --- T3: sample table -----------------------------------------------------------------
+
+
+def sample_table(pop: DataFrame, row: str = "cohort_name", col: str = "assignment_label_fct",
+                 levels: Sequence[str] = ("Program", "Non-RCT")) -> DataFrame:
+    """Counts row x level pivoted on explicit levels, a per-row Total and a
+    grand-total row.  Both totals come from the small aggregated table (its
+    shuffle is reused), never from a second pass over the participants."""
+    cells = pop.groupBy(row, col).agg(F.count(F.lit(1)).alias("n"))
+    wide = cells.groupBy(row).agg(
+        *[F.max(F.when(F.col(col) == lv, F.col("n"))).alias(lv) for lv in levels],
+        F.sum("n").alias(cb.TOTAL_LABEL))
+    grand = wide.agg(*[F.sum(lv).alias(lv) for lv in [*levels, cb.TOTAL_LABEL]]).select(
+        F.lit(cb.TOTAL_LABEL).alias(row), *levels, cb.TOTAL_LABEL)
+    return wide.unionByName(grand)

@@ -1,34 +1,594 @@
 """Registered queries: (spark, sf_dir) -> DataFrame, one per operator family.
 
 Each query reads the driver's tables through the synthetic panel
-(``sources.panel``) so its work grows with the tables.
+(``sources.panel``) so its work grows with the tables.  Doubles that are sums
+or means are rounded to 6 decimals (the oracle does the same) so that
+summation order cannot change the compared value.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import codebook as cb
+from .functions import dates, logic, text
+from .operators import joins, reshape, schema
+from .operators.aggregate import consolidate, share_of_total
+from .plans import harmonise, pipeline, reports, scales
+from .sources import catalog, files, panel, records, snapshots
+
+ROUND = 6
+
+
+def _r(c, n: int = ROUND):
+    return F.round(F.col(c) if isinstance(c, str) else c, n)
+
+
+# --- panel building blocks ----------------------------------------------------
+
+
+def _roster(spark, d):
+    return panel.roster(spark, d)
+
 
-from .plans import pipeline, reports
-from .sources import panel
+def _responses(spark, d):
+    return panel.responses(spark, d)
 
 
 def _joined(spark: SparkSession, d: str) -> DataFrame:
-    return pipeline.join_panel(panel.roster(spark, d), panel.responses(spark, d))
+    return pipeline.join_panel(_roster(spark, d), _responses(spark, d),
+                               roster_cols=("cohort_name", "date_of_enrollment", "assignment_label_fct"))
 
 
 def _root(spark: SparkSession, d: str) -> DataFrame:
     return pipeline.construct_root(_joined(spark, d))
 
 
-def quarterly_table(spark: SparkSession, d: str) -> DataFrame:
+def _population(spark, d):
+    return reports.report_population(_root(spark, d))
+
+
+def _hope_per_wave(spark, d):
+    nested = pipeline.construct_hope(_responses(spark, d), panel.repair(spark, d))
+    return reshape.unnest(nested, "ehs")
+
+
+# --- T1 flagship & report tables --------------------------------------------------
+
+
+def quarterly_table(spark, d):
     return reports.quarterly_table(_root(spark, d))
 
 
-def consolidate_baseline(spark: SparkSession, d: str) -> DataFrame:
+def consolidate_baseline(spark, d):
     return _root(spark, d)
 
 
-QUERIES = {
-    "quarterly_table": quarterly_table,
-    "consolidate_baseline": consolidate_baseline,
-}
+def flag_summary(spark, d):
+    return reports.flag_summary(_population(spark, d))
+
+
+def sample_size(spark, d):
+    return reports.sample_size(_population(spark, d))
+
+
+def sample_table(spark, d):
+    return reports.sample_table(_population(spark, d))
+
+
+def education_distribution(spark, d):
+    out = reports.distribution(_population(spark, d), "educ_max_fct")
+    return out.select(F.col("educ_max_fct").alias("baseline_highest_education"),
+                      harmonise.education_rank(F.col("educ_max_fct")).alias("level_order"),
+                      F.col("N").alias("n_total"), "n", "p")
+
+
+def _with_quarter(root, fiscal_start):
+    return root.withColumns({
+        "enrollment_fy": dates.fiscal_year("date_of_enrollment", fiscal_start),
+        "enrollment_fq": dates.fiscal_quarter("date_of_enrollment", fiscal_start),
+    })
+
+
+def flag_by_arm(spark, d):
+    """Quarter demographics: per fiscal quarter and flag, p% (n/N) by arm."""
+    root = _with_quarter(reports.report_flags(_root(spark, d)), cb.FISCAL_START_DEMOGRAPHICS)
+    root = root.withColumns({
+        "demo_born_in_canada": ~F.col("demo_immigrant_lgl"),
+        "demo_old_lgl": F.col("demo_age") >= 65,
+    })
+    flags = [f for f, _ in cb.QUARTER_DEMO_LABELS]
+    long = reshape.unpivot(root, ["enrollment_fy", "enrollment_fq", "assignment_label_fct"], flags, "var", "val")
+    g = long.filter(F.col("val").isNotNull()).groupBy(
+        "enrollment_fy", "enrollment_fq", "assignment_label_fct", "var").agg(
+        F.count(F.lit(1)).alias("N_all"), F.count_if("val").alias("n_yes"))
+    g = g.withColumn("pct_n", reports.pct_cell(F.col("n_yes"), F.col("N_all")))
+    g = g.withColumn("lab", logic.lookup("var", dict(cb.QUARTER_DEMO_LABELS)))
+    return reshape.pivot_cells(g, ["enrollment_fy", "enrollment_fq", "lab"], "assignment_label_fct",
+                               cb.ARM_LEVELS, "pct_n")
+
+
+def category_crosstab(spark, d):
+    """Province x arm per fiscal quarter: p% (n/N) within arm, '' where absent."""
+    from .operators.aggregate import group_share
+
+    root = _with_quarter(_root(spark, d), cb.FISCAL_START_DEMOGRAPHICS).filter(
+        F.col("demo_province_fct").isNotNull())
+    keys = ["enrollment_fy", "enrollment_fq"]
+    g = root.groupBy(*keys, F.col("demo_province_fct").alias("lab"), "assignment_label_fct").agg(
+        F.count(F.lit(1)).alias("n"))
+    g = group_share(g, [*keys, "assignment_label_fct"], "n", "N")
+    g = g.withColumn("pct_n", reports.pct_cell(F.col("n"), F.col("N")))
+    return reshape.pivot_cells(g, [*keys, "lab"], "assignment_label_fct", cb.ARM_LEVELS, "pct_n", fill="")
+
+
+def label_lookup(spark, d):
+    """Satisfaction summary with labels; unlabelled variables pool into one NULL-label row."""
+    satis = pipeline.construct_satis(_responses(spark, d))
+    names = [c for c in satis.columns if c.startswith("satis_")]
+    long = reshape.unpivot(satis, ["enrollment_id"], names, "var", "val")
+    long = long.withColumn("lab", logic.lookup("var", cb.SATISFACTION_LABELS))
+    return long.filter(F.col("val").isNotNull()).groupBy("lab").agg(
+        F.count(F.lit(1)).alias("n_total"), F.count_if("val").alias("n")).withColumn(
+        "p", F.col("n") / F.col("n_total"))
+
+
+def scale_by_wave(spark, d):
+    """Scale domain x wave tag: N, mean, sd of the non-missing scores."""
+    h = _hope_per_wave(spark, d)
+    long = reshape.unpivot(h, ["enrollment_id", "wave", "survey_tag"], scales.DOMAINS, "var", "val")
+    g = long.filter(F.col("val").isNotNull()).groupBy("var", "survey_tag").agg(
+        F.count(F.lit(1)).alias("N"), F.avg("val").alias("mean"), F.stddev_samp("val").alias("sd"),
+        F.min("wave").alias("tag_order"))
+    return g.select(logic.lookup("var", cb.EHS_DOMAIN_LABELS).alias("lab"), "survey_tag", "tag_order", "N",
+                    _r("mean").alias("mean"), _r("sd").alias("sd"))
+
+
+def scale_trend(spark, d):
+    """Mean score per wave and domain (the data of a trend line)."""
+    h = _hope_per_wave(spark, d)
+    g = h.groupBy("wave", "survey_tag").agg(*[F.avg(c).alias(c) for c in scales.DOMAINS])
+    long = reshape.unpivot(g, ["wave", "survey_tag"], scales.DOMAINS, "ehs_domain", "avg_score")
+    return long.withColumn("avg_score", _r("avg_score"))
+
+
+def effect_size(spark, d):
+    h = _hope_per_wave(spark, d)
+    long = reshape.unpivot(h, ["enrollment_id", "wave"], scales.DOMAINS, "ehs_domain", "score")
+    es = scales.effect_size(long, "ehs_domain", "wave", "score")
+    return es.select("ehs_domain", "wave", "n", *[_r(c).alias(c) for c in
+                     ("score_mean", "score_sd_t", "score_sd_p", "score_delta", "score_delta_cohen")])
+
+
+def _outcomes(spark, d, dedup=False):
+    return pipeline.construct_outcomes(_joined(spark, d), dedup=dedup)
+
+
+def employment_status(spark, d):
+    """Per wave tag: N answering employment, Employed, Enrolled (NA skipped), NEET = 1 - E - En."""
+    o = _outcomes(spark, d).filter(F.col("job_employed").isNotNull())
+    g = o.groupBy("survey_tag").agg(
+        F.count(F.lit(1)).alias("N"),
+        F.avg(F.col("job_employed").cast("int")).alias("Employed"),
+        F.avg(F.col("educ_enrolled").cast("int")).alias("Enrolled"))
+    g = g.withColumn("NEET", 1 - F.col("Employed") - F.col("Enrolled"))
+    return g.select("survey_tag", "N", *[_r(c).alias(c) for c in ("Employed", "Enrolled", "NEET")])
+
+
+def compensation(spark, d):
+    """Among the employed, per wave tag: N, mean pay, benefit rates, mean benefit count."""
+    o = _outcomes(spark, d).filter(logic.in_set("job_employed", [True]))
+    cols = schema.matching(o, "^job_benefits|^job_annualized_salary")
+    g = o.groupBy("survey_tag").agg(
+        F.count(F.lit(1)).alias("N"),
+        *[F.avg(F.col(c).cast("double")).alias(c) for c in cols])
+    g = schema.rename_matching(g, "job_benefits|job_", "")
+    g = g.withColumnRenamed("_n", "_total").drop("_none")
+    keep = ["survey_tag", "N", "annualized_salary", "_health", "_dental", "_disability", "_pension",
+            "_vacation", "_any", "_total"]
+    return g.select(*[(_r(c).alias(c) if c not in ("survey_tag", "N") else F.col(c)) for c in keep])
+
+
+def missing_rate(spark, d):
+    r = harmonise.clean_roster(_roster(spark, d))
+    return r.groupBy("cohort_name").agg(
+        _r(F.avg(F.col("cohort_start_date").isNull().cast("int"))).alias("start_missing")).orderBy(
+        F.desc("start_missing"))
+
+
+def id_length_audit(spark, d):
+    r = _roster(spark, d).filter(F.col("pas_id").isNotNull() & (text.nchar("pas_id") > 0))
+    return r.groupBy(F.col("province")).agg(
+        F.count(F.lit(1)).alias("n"),
+        _r(F.avg(text.nchar("pas_id"))).alias("mean_len"),
+        F.max(text.nchar("pas_id")).alias("max_len"),
+        F.max(text.nchar(text.str_sub("pas_id", 1, 15))).alias("max_len_kept"))
+
+
+# --- recoding / scalar functions --------------------------------------------------------
+
+
+def assignment_label(spark, d):
+    r = harmonise.clean_roster(_roster(spark, d))
+    return r.select("enrollment_id", "pas_id", "cohort_name", "assignment_label_fct", "program_eligible")
+
+
+def recode_levels(spark, d):
+    p = _responses(spark, d)
+    code = text.parse_integer("education_highest")
+    educ = F.when(F.col("wave") == 1, harmonise.education_level(code))
+    return p.select(
+        "response_id", "wave", educ.alias("educ_max_fct"),
+        harmonise.education_rank(educ).alias("educ_rank"),
+        (educ == cb.EDUCATION_LEVELS[1]).alias("educ_hs_lgl"),
+        logic.case_when([(educ.isNull(), None), (educ.isin(cb.EDUCATION_PSE_LEVELS), True)], False)
+        .alias("educ_pse_lgl"))
+
+
+def classify_text(spark, d):
+    p = _responses(spark, d)
+    return p.select(
+        "response_id",
+        harmonise.gender(F.col("demo_sex"), F.col("demo_transgender"), F.col("demo_gender")).alias("demo_gender_fct"),
+        harmonise.transgender_flag(F.col("demo_transgender")).alias("demo_transgender_lgl"),
+        text.str_detect("job_satisfaction_overall", cb.SATISFACTION_POSITIVE_PATTERN).alias("job_satis_overall_pos"),
+        text.str_detect("demo_marital", cb.MARRIED_PATTERN, negate=True).alias("not_married"))
+
+
+def age_bands(spark, d):
+    r = _roster(spark, d)
+    dob = dates.date_from_parts("birth_year", "birth_month")
+    age = dates.completed_years(dob, F.col("date_of_enrollment"))
+    return r.select("enrollment_id", dob.alias("demo_date_of_birth"), age.alias("demo_age"),
+                    logic.right_closed_bands(age, cb.AGE_BREAKS, cb.AGE_LABELS).alias("demo_age_fct"))
+
+
+def date_parts(spark, d):
+    r = _roster(spark, d)
+    return r.select("enrollment_id", "birth_year", "birth_month",
+                    dates.date_from_parts("birth_year", "birth_month").alias("birth_date"),
+                    dates.date_from_parts("birth_year", "birth_month", 15).alias("birth_mid_month"))
+
+
+def recency_flag(spark, d):
+    j = _joined(spark, d)
+    imm = F.col("demo_born_in_canada") == "No"
+    return j.select("response_id", imm.alias("demo_immigrant_lgl"),
+                    (dates.year_of("date_of_enrollment") - F.col("demo_year_of_arrival")).alias("years_since_arrival"),
+                    harmonise.newcomer_flag(imm, F.col("demo_year_of_arrival"), F.col("date_of_enrollment"))
+                    .alias("demo_newcomer_lgl"))
+
+
+def flag_algebra(spark, d):
+    h = harmonise.harmonise_baseline(_joined(spark, d))
+    return h.select("response_id", "demo_income_source_fct", "demo_receiving_ei_lgl", "demo_receiving_ia_lgl",
+                    logic.none_of(["demo_receiving_ei_lgl", "demo_receiving_ia_lgl"]).alias("demo_receiving_none_lgl"),
+                    "demo_parent_lgl", "demo_single_parent_lgl", "demo_bipoc_lgl",
+                    "demo_indigenous_lgl", "demo_racialized_lgl")
+
+
+def outcome_flags(spark, d):
+    o = harmonise.harmonise_outcomes(_responses(spark, d))
+    return o.select("response_id", "job_employed", "job_seasonal", "job_temporary", "job_satis_overall_pos",
+                    "job_satis_advance_pos", "job_satis_precarity_pos", "educ_enrolled", "neet")
+
+
+def annualize_pay(spark, d):
+    o = harmonise.harmonise_outcomes(_responses(spark, d))
+    return o.select("response_id", "version", "job_annualized_salary")
+
+
+def benefit_count(spark, d):
+    """Select-all benefits from lineitem (option k = line k), counted for the employed."""
+    sel = panel.selections(spark, d, prefix="benefit_")
+    p = _responses(spark, d).select("response_id", text.str_detect("job_employed", "Yes").alias("job_employed"))
+    j = p.join(sel, "response_id", "left")
+    raw = [f"benefit_{k}" for k in range(1, 7)]
+    return j.select("response_id", "job_employed", *harmonise.benefit_flags(raw, F.col("job_employed")))
+
+
+def multi_select_any(spark, d):
+    """Select-all from lineitem: number chosen, 'none' when nothing, flags by exclusion rules."""
+    sel = panel.selections(spark, d)
+    opts = schema.columns_between(sel, "opt_1", "opt_7")
+    return sel.select(
+        "response_id",
+        logic.count_present(opts).alias("n_selected"),
+        harmonise.select_all_flag(opts, "opt_2", only=False).alias("flag_excluding_2"),
+        harmonise.select_all_flag(opts, "opt_7", only=True).alias("flag_unless_only_7"),
+        (logic.count_present(opts) > 0).alias("any_selected"))
+
+
+def parse_numbers(spark, d):
+    r = _roster(spark, d)
+    return r.select("enrollment_id", "acct_text",
+                    text.parse_number("acct_text").alias("acct_value"),
+                    text.parse_integer(F.regexp_replace("acct_text", "[$ A-Z]", "")).alias("acct_int"),
+                    text.parse_integer("acct_text").alias("acct_junk_int"))
+
+
+def tenure_weeks(spark, d):
+    o = harmonise.harmonise_outcomes(_responses(spark, d))
+    return o.select("response_id", "job_start_date", "job_tenure_months", "job_tenure_days",
+                    _r("job_tenure_wks").alias("job_tenure_wks"))
+
+
+def fiscal_quarter(spark, d):
+    p = _responses(spark, d)
+    return p.select("response_id", "response_date",
+                    dates.fiscal_year("response_date", 3).alias("fy_mar"),
+                    dates.fiscal_quarter("response_date", 3).alias("fq_mar"),
+                    dates.fiscal_year("response_date", 4).alias("fy_apr"),
+                    dates.fiscal_quarter("response_date", 4).alias("fq_apr"))
+
+
+def report_window(spark, d):
+    r = _roster(spark, d)
+    lo, hi = cb.REPORT_WINDOW
+    return r.select("enrollment_id", "date_of_enrollment",
+                    dates.fiscal_year("date_of_enrollment", cb.FISCAL_START_QUARTERLY).alias("enrollment_fy"),
+                    dates.fiscal_quarter("date_of_enrollment", cb.FISCAL_START_QUARTERLY).alias("enrollment_fq"),
+                    dates.date_between("date_of_enrollment", lo, hi).alias("in_window"))
+
+
+def fill_default(spark, d):
+    p = _responses(spark, d)
+    return p.select("response_id", logic.fill_default("amount", 0.0).alias("amount"),
+                    logic.fill_default("status_answer", "unknown").alias("status_answer"),
+                    logic.fill_default("rating", 0).alias("rating"))
+
+
+def survey_catalog(spark, d):
+    p = _responses(spark, d)
+    counts = p.groupBy("survey_name").agg(F.count(F.lit(1)).alias("n_responses"))
+    return counts.join(catalog.survey_catalog(p), "survey_name", "left")
+
+
+def label_order(spark, d):
+    """Wave-tag orders: by median response day, by first appearance (wave),
+    plus codebook levels that never occur (n = 0)."""
+    p = pipeline.with_survey_fields(_responses(spark, d))
+    g = p.groupBy("survey_tag").agg(
+        F.median(F.unix_date("response_date")).alias("median_day"),
+        F.min("wave").alias("first_wave"), F.count(F.lit(1)).alias("n"))
+    levels = ["URGENT", "HIGH", "MEDIUM", "NOT SPECIFIED", "LOW", "12-month-follow-up"]
+    lv = spark.createDataFrame([(x,) for x in levels], "survey_tag string")
+    out = lv.join(g, "survey_tag", "full")
+    return out.select("survey_tag", "median_day", "first_wave", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+# --- schema operators --------------------------------------------------------------------
+
+
+def regex_select(spark, d):
+    p = _responses(spark, d)
+    out = schema.select_matching(p, r"^demo_(race|indigenous)_\d$", keep=["response_id"])
+    return schema.drop_matching(out, "race_7$")
+
+
+def clean_names(spark, d):
+    c = panel.table(spark, d, "customer").toDF("CustKey", "Customer Name", "nationKey", "acct.Bal", "MKT-Segment")
+    return schema.clean_names(c)
+
+
+def drop_all_null(spark, d):
+    p = _responses(spark, d).filter(F.col("version") == 1)
+    return schema.drop_all_null(p)
+
+
+def primary_record(spark, d):
+    """Wide multi-job record (a1_ .. a7_ = line 1..7) -> primary job only."""
+    li = panel.table(spark, d, "lineitem")
+    wide = li.groupBy(F.col("l_orderkey").alias("response_id")).agg(*[
+        agg for k in range(1, 8) for agg in (
+            F.max(F.when(F.col("l_linenumber") == k, F.col("l_quantity"))).alias(f"a{k}_job_qty"),
+            F.max(F.when(F.col("l_linenumber") == k, F.col("l_returnflag"))).alias(f"a{k}_job_flag"))])
+    return schema.rename_matching(schema.drop_matching(wide, "^a[2-9]_"), "^a1_", "")
+
+
+# --- sources ------------------------------------------------------------------------------
+
+
+def flatten_records(spark, d):
+    return records.order_records_roundtrip(spark, d)
+
+
+def json_access(spark, d):
+    e = panel.table(spark, d, "events")
+    return e.select("event_id", records.json_int("props", "$.k").alias("k"))
+
+
+def relationship_extract(spark, d):
+    return records.relationship_extract(spark, d, segments=["BUILDING", "MACHINERY", "HOUSEHOLD"])
+
+
+def latest_snapshot(spark, d):
+    p = _responses(spark, d).withColumn("snapshot", F.year("response_date"))
+    return snapshots.latest_per_object(p, "survey_name", "snapshot").select("response_id", "survey_name", "snapshot")
+
+
+def drop_last_rows(spark, d):
+    p = _responses(spark, d).select("response_id", "enrollment_id", "wave")
+    return files.drop_last(p, "response_id", 2)
+
+
+def snapshot_roundtrip(spark, d):
+    return snapshots.roundtrip(spark, harmonise.clean_roster(_roster(spark, d)))
+
+
+def csv_roundtrip(spark, d):
+    return files.csv_roundtrip(spark, reports.quarterly_table(_root(spark, d)))
+
+
+# --- joins and stacking ------------------------------------------------------------------------
+
+
+def left_join_suffix(spark, d):
+    r = _roster(spark, d).select("enrollment_id", "province", "cohort_name")
+    p = _responses(spark, d).select("enrollment_id", "response_id", F.col("demo_province").alias("province"))
+    return joins.left_join_suffix(r, p, ["enrollment_id"], ("_sf", "_qx"))
+
+
+def semi_join(spark, d):
+    p = _responses(spark, d)
+    p = p.select("response_id", "enrollment_id",
+                 dates.fiscal_year("response_date", 4).alias("fy"), dates.fiscal_quarter("response_date", 4).alias("fq"))
+    r = harmonise.clean_roster(_roster(spark, d)).filter(F.col("assignment_label_fct") != cb.ARM_DEFAULT)
+    return joins.semi_join(p, r, ["enrollment_id"])
+
+
+def rows_update(spark, d):
+    p = _responses(spark, d).select("response_id", *[F.col(c).cast("double").alias(c) for c in scales.ITEMS])
+    upd = joins.rows_update(p, scales.repair_items(panel.repair(spark, d)), ["response_id"])
+    return upd.select("response_id", *[_r(c).alias(c) for c in scales.ITEMS])
+
+
+def full_join_waves(spark, d):
+    return pipeline.construct_satis(_responses(spark, d))
+
+
+def union_by_name(spark, d):
+    p = _responses(spark, d)
+    v1 = p.filter(F.col("version") == 1).select("response_id", "wave", "demo_parent", "job_salary_text",
+                                                  F.col("rating").alias("code"))
+    v2 = p.filter(F.col("version") == 2).select("response_id", "wave", "demo_caregiver", "job_salary_num",
+                                                  F.col("status_answer").alias("code"))
+    return joins.union_by_name([v1, v2])
+
+
+def split_dispatch(spark, d):
+    """Per-version branch of the pay rules (each branch sees its own columns), stacked."""
+    p = _responses(spark, d)
+
+    def v1(df):
+        return df.select("response_id", "version", "job_salary_text",
+                         harmonise.annualized_salary(F.lit(1)).alias("job_annualized_salary"))
+
+    def v2(df):
+        return df.select("response_id", "version", "job_report_salary",
+                         harmonise.annualized_salary(F.lit(2)).alias("job_annualized_salary"))
+
+    return pipeline.dispatch(p, ["version"], {(1,): v1, (2,): v2})
+
+
+def fill_within_group(spark, d):
+    o = _outcomes(spark, d)
+    return o.withColumn("job_tenure_wks", _r("job_tenure_wks")).withColumn(
+        "job_annualized_salary", _r("job_annualized_salary"))
+
+
+def nest_history(spark, d):
+    nested = pipeline.construct_hope(_responses(spark, d), panel.repair(spark, d))
+    return nested.select(
+        "enrollment_id", F.size("ehs").alias("n_waves"),
+        F.array_join(F.transform("ehs", lambda x: x["wave"].cast("string")), ",").alias("waves"),
+        _r(F.col("ehs")[0]["ehs_empowerment"]).alias("first_empowerment"))
+
+
+def unnest_history(spark, d):
+    h = _hope_per_wave(spark, d)
+    return h.select("enrollment_id", "wave", "survey_tag", *[_r(c).alias(c) for c in scales.DOMAINS])
+
+
+def assemble_participant(spark, d):
+    j = _joined(spark, d)
+    root = pipeline.construct_root(j)
+    hope = pipeline.construct_hope(_responses(spark, d), panel.repair(spark, d))
+    outcomes = pipeline.nest_outcomes(pipeline.construct_outcomes(j, dedup=True))
+    satis = pipeline.construct_satis(_responses(spark, d))
+    a = pipeline.assemble(root, hope, outcomes, satis)
+    return a.select("enrollment_id", "assignment_label_fct", "demo_age",
+                    F.size("ehs").alias("n_ehs"), F.size("outcomes").alias("n_outcomes"),
+                    "satis_inmotion_overall", "satis_m_plus_overall")
+
+
+# --- scales ----------------------------------------------------------------------------------------
+
+
+def unpivot_items(spark, d):
+    long = scales.repair_long(panel.repair(spark, d))
+    return long.select("response_id", "ehs_item", F.col("option").cast("int").alias("option"),
+                       "ehs_item_response")
+
+
+def pivot_items(spark, d):
+    w = scales.repair_items(panel.repair(spark, d))
+    return w.select("response_id", *[_r(c).alias(c) for c in scales.ITEMS])
+
+
+def score_scale(spark, d):
+    s = scales.score_scale(_responses(spark, d), panel.repair(spark, d))
+    return s.select("enrollment_id", "response_id", "wave", "version", *[_r(c).alias(c) for c in scales.DOMAINS])
+
+
+def top_box(spark, d):
+    p = _responses(spark, d)
+    parts = [scales.satisfaction_top_box(p, w, raw).withColumn("wave", F.lit(w))
+             for w, raw in pipeline.SATIS_RAW.items()]
+    return joins.union_by_name(parts)
+
+
+QUERIES = {name: fn for name, fn in [
+    ("quarterly_table", quarterly_table),
+    ("flag_summary", flag_summary),
+    ("flag_by_arm", flag_by_arm),
+    ("category_crosstab", category_crosstab),
+    ("sample_table", sample_table),
+    ("sample_size", sample_size),
+    ("education_distribution", education_distribution),
+    ("recode_levels", recode_levels),
+    ("assignment_label", assignment_label),
+    ("classify_text", classify_text),
+    ("age_bands", age_bands),
+    ("recency_flag", recency_flag),
+    ("multi_select_any", multi_select_any),
+    ("benefit_count", benefit_count),
+    ("flag_algebra", flag_algebra),
+    ("outcome_flags", outcome_flags),
+    ("annualize_pay", annualize_pay),
+    ("parse_numbers", parse_numbers),
+    ("date_parts", date_parts),
+    ("tenure_weeks", tenure_weeks),
+    ("fiscal_quarter", fiscal_quarter),
+    ("report_window", report_window),
+    ("survey_catalog", survey_catalog),
+    ("label_lookup", label_lookup),
+    ("label_order", label_order),
+    ("fill_default", fill_default),
+    ("id_length_audit", id_length_audit),
+    ("regex_select", regex_select),
+    ("clean_names", clean_names),
+    ("drop_all_null", drop_all_null),
+    ("primary_record", primary_record),
+    ("flatten_records", flatten_records),
+    ("json_access", json_access),
+    ("relationship_extract", relationship_extract),
+    ("left_join_suffix", left_join_suffix),
+    ("semi_join", semi_join),
+    ("rows_update", rows_update),
+    ("full_join_waves", full_join_waves),
+    ("assemble_participant", assemble_participant),
+    ("union_by_name", union_by_name),
+    ("split_dispatch", split_dispatch),
+    ("consolidate_baseline", consolidate_baseline),
+    ("fill_within_group", fill_within_group),
+    ("nest_history", nest_history),
+    ("unnest_history", unnest_history),
+    ("unpivot_items", unpivot_items),
+    ("pivot_items", pivot_items),
+    ("score_scale", score_scale),
+    ("top_box", top_box),
+    ("scale_by_wave", scale_by_wave),
+    ("scale_trend", scale_trend),
+    ("effect_size", effect_size),
+    ("employment_status", employment_status),
+    ("compensation", compensation),
+    ("missing_rate", missing_rate),
+    ("latest_snapshot", latest_snapshot),
+    ("drop_last_rows", drop_last_rows),
+    ("snapshot_roundtrip", snapshot_roundtrip),
+    ("csv_roundtrip", csv_roundtrip),
+]}

@@ -151,12 +151,13 @@ RESPONSE_COLUMNS: list[tuple[str, str]] = [
         (f"satis_{j}",
          "case when substr(o_orderpriority, 1, 1) in ('2', '3') "
          + ("and substr(o_orderpriority, 1, 1) = '2' " if j == 6 else "")
-         + f"and o_orderkey % {j + 6} <> 0 then cast(1 + (o_orderkey + {j}) % 5 as int) end")
+         + (f"and o_orderkey % {j + 6} <> 0 " if j > 2 else "")
+         + f"then cast(1 + (o_orderkey + {j}) % 5 as int) end")
         for j in range(1, 7)
     ],
     # -- employment-hope scale (waves 1-3, 14 items, codes 1..11) ----------------
     *[
-        (f"emp_hope_{i}",
+        (f"emp_hope_1_{i}",
          "case when substr(o_orderpriority, 1, 1) in ('1', '2', '3') "
          f"and o_orderkey % 29 <> {i} then cast(1 + (o_orderkey * {i + 2} + {i}) % 11 as int) end")
         for i in range(1, 15)
