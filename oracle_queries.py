@@ -69,7 +69,7 @@ BOOK = cb.DEFAULT_CODEBOOK
 _IND_N = count_present(BOOK.indigenous_options)
 _RACE_N = count_present(BOOK.race_options)
 
-BASELINE = f"""baseline AS (
+BASELINE_TEMPLATE = f"""baseline AS (
   select r.wave, r.version, r.response_id, r.enrollment_id, c.cohort_name, c.date_of_enrollment,
     {years_between(date_from_parts('r.demo_dob_year', 'r.demo_dob_month'), 'c.date_of_enrollment')} as demo_age,
     {date_from_parts('r.demo_dob_year', 'r.demo_dob_month')} as demo_date_of_birth,
@@ -100,7 +100,7 @@ BASELINE = f"""baseline AS (
   from responses r join roster_clean c on r.enrollment_id = c.enrollment_id
   where r.response_id is not null
     and (r.wave = 1 or r.demos = 'FALSE')
-    and (r.wave = 1 or (r.wave <= 3 and r.version = 2))
+    @@WAVE_FILTER@@
 ),
 baseline_h AS (
   select wave, version, response_id, enrollment_id, cohort_name, date_of_enrollment, demo_age,
@@ -134,6 +134,9 @@ baseline_h AS (
   from baseline
 )"""
 
+BASELINE = BASELINE_TEMPLATE.replace("@@WAVE_FILTER@@", "and (r.wave = 1 or (r.wave <= 3 and r.version = 2))")
+BASELINE_ALL = BASELINE_TEMPLATE.replace("@@WAVE_FILTER@@", "")
+
 ROOT_COLUMNS = ["cohort_name", "date_of_enrollment", "demo_age", "demo_date_of_birth",
                 "assignment_label_fct", "educ_max_fct", "demo_gender_fct", "demo_age_fct",
                 "demo_province_fct", "income_source_fct", "demo_income_source_fct",
@@ -202,11 +205,839 @@ from labelled group by lab
     return with_root(body, REPORT_FLAGS)
 
 
-def consolidate_baseline_sql() -> str:
+
+
+# ---------------------------------------------------------------------------
+# More shared fragments
+# ---------------------------------------------------------------------------
+
+POP = f"""pop AS (
+  select * from flags where demo_province_fct = {q(cb.HOME_PROVINCE)}
+    and assignment_label_fct <> {q(cb.REPORT_EXCLUDED_ARM)}
+)"""
+
+
+def with_pop(body: str) -> str:
+    return with_root(body, REPORT_FLAGS + ",\n" + POP)
+
+
+def fy_sql(d: str, k: int) -> str:
+    return f"cast(year({d}) + case when month({d}) >= {k} then 1 else 0 end as integer)"
+
+
+def fq_sql(d: str, k: int) -> str:
+    return f"cast(((month({d}) - {k} + 12) % 12) // 3 + 1 as integer)"
+
+
+def parse_number_sql(c: str) -> str:
+    from panelkit.functions.text import NUMBER_PATTERN
+    return f"try_cast(replace(nullif(regexp_extract({c}, {q(NUMBER_PATTERN)}, 0), ''), ',', '') as double)"
+
+
+def rnd(x: str, n: int = 6) -> str:
+    return f"round({x}, {n})"
+
+
+def union_long(src: str, ids: list[str], cols: list[str], name: str = "var", value: str = "val") -> str:
+    idl = ", ".join(ids)
+    return "\n  union all\n  ".join(f"select {idl}, {q(c)} as {name}, {c} as {value} from {src}" for c in cols)
+
+
+def tag_sql(name: str) -> str:
+    return f"nullif(regexp_extract({name}, 's\\d{{2}}_(.*)$', 1), '')"
+
+
+BENEFIT_RAW = [f"job_benefits_{i}" for i in range(1, 7)]
+_EMPLOYED = "regexp_matches(job_employed, 'Yes')"
+_HOURLY = "coalesce(job_has_hourly_wage = 'Yes', false)"
+_BY_HOUR = f"job_hourly_wage * job_hours * {cb.HOURS_WEEKS_PER_YEAR}"
+
+
+def salary_v1() -> str:
+    return (f"case when length(job_salary_text) > 0 then {parse_number_sql('job_salary_text')} "
+            f"when {_HOURLY} then {_BY_HOUR} end")
+
+
+def salary_v2() -> str:
+    per = " ".join(f"when coalesce(job_report_salary = {q(k)}, false) then job_salary_num * {m}"
+                   for k, m in cb.PAY_PERIOD_MULTIPLIER.items())
+    return f"case when {_HOURLY} then {_BY_HOUR} {per} end"
+
+
+def benefits_sql(raw: list[str], employed: str) -> str:
+    names = cb.BENEFIT_NAMES[:len(raw)]
+    flags = [f"{r} is not null as {n}" for r, n in zip(raw, names)]
+    counted = " + ".join(f"cast({r} is not null as int)" for r, n in zip(raw, names) if n in cb.BENEFIT_COUNTED)
+    n = f"case when {employed} then {counted} end"
+    return ",\n    ".join(flags + [f"{n} as job_benefits_n", f"({n}) > 0 as job_benefits_any"])
+
+
+_START = date_from_parts("job_start_year", "job_start_month")
+_MONTHS = f"cast(datesub('month', {_START}, response_date) as integer)"
+_DAYS = f"cast(date_diff('day', cast({_START} + to_months({_MONTHS}) as date), response_date) as integer)"
+
+OUTCOMES_H = f"""outcomes_h AS (
+  select wave, version, response_id, enrollment_id, {tag_sql('survey_name')} as survey_tag,
+    {_EMPLOYED} as job_employed,
+    {_START} as job_start_date,
+    {_MONTHS} as job_tenure_months,
+    {_DAYS} as job_tenure_days,
+    ({_MONTHS} * 30.4375 + {_DAYS}) / 7.0 as job_tenure_wks,
+    job_seasonal = 'Yes' as job_seasonal,
+    case when version = 1 then job_permanent = 'No' else job_temporary = 'Yes' end as job_temporary,
+    {regex_hit('job_satisfaction_overall', cb.SATISFACTION_POSITIVE_PATTERN)} as job_satis_overall_pos,
+    {regex_hit('job_satisfaction_advancement', cb.SATISFACTION_POSITIVE_PATTERN)} as job_satis_advance_pos,
+    {regex_hit('job_satisfaction_precarity', cb.SATISFACTION_POSITIVE_PATTERN)} as job_satis_precarity_pos,
+    {benefits_sql(BENEFIT_RAW, _EMPLOYED)},
+    cast(case when version = 1 then {salary_v1()} else {salary_v2()} end as double) as job_annualized_salary,
+    case when wave > 1 or version = 2 then educ_enrolled = 'Yes' end as educ_enrolled,
+    case when wave > 1 or version = 2 then cast({_EMPLOYED} as int) + cast(educ_enrolled = 'Yes' as int) = 0 end as neet
+  from responses where response_id is not null
+)"""
+
+OUTCOME_COLS = ["job_employed", "job_start_date", "job_tenure_months", "job_tenure_days", "job_tenure_wks",
+                "job_seasonal", "job_temporary", "job_satis_overall_pos", "job_satis_advance_pos",
+                "job_satis_precarity_pos", *cb.BENEFIT_NAMES, "job_benefits_n", "job_benefits_any",
+                "job_annualized_salary", "educ_enrolled", "neet", "survey_tag"]
+
+OUTCOMES_F = """outcomes_j AS (
+  select o.* from outcomes_h o join roster r on o.enrollment_id = r.enrollment_id
+),
+outcomes_f AS (
+  select enrollment_id, wave, version, response_id,
+    """ + ",\n    ".join(
+    f"first_value({c} ignore nulls) over w as {c}" for c in OUTCOME_COLS) + """
+  from outcomes_j
+  window w as (partition by enrollment_id, wave order by version, response_id
+               rows between unbounded preceding and unbounded following)
+)"""
+
+ITEMS = [f"emp_hope_1_{i}" for i in range(1, cb.SCALE_ITEMS + 1)]
+
+
+def repair_long_sql() -> str:
+    parts = []
+    for i in range(1, panel.REPAIR_ITEMS + 1):
+        for o in range(1, panel.REPAIR_OPTIONS + 1):
+            item = min(i, cb.SCALE_ITEMS)
+            parts.append(f"select response_id, cast({item} as integer) as ehs_item, {o} as option, "
+                         f"Q115_{i}_{o} as ehs_item_response from repair")
+    return "repair_long AS (\n  " + "\n  union all\n  ".join(parts) + "\n)"
+
+
+REPAIR_WIDE = "repair_wide AS (\n  select response_id,\n    " + ",\n    ".join(
+    f"avg(case when ehs_item = {i} then cast(ehs_item_response as double) end) as emp_hope_1_{i}"
+    for i in range(1, cb.SCALE_ITEMS + 1)) + "\n  from repair_long group by response_id\n)"
+
+
+def _block(name, lo, hi, prefix="i"):
+    cols = [f"{prefix}{k}" for k in range(lo, hi + 1)]
+    return f"({' + '.join(cols)}) / {float(len(cols))}"
+
+
+_ANY_NULL = " or ".join(f"i{k} is null" for k in range(1, cb.SCALE_ITEMS + 1))
+
+SCORED = """scored_items AS (
+  select r.enrollment_id, r.response_id, r.wave, r.version, """ + tag_sql("r.survey_name") + """ as survey_tag,
+    """ + ",\n    ".join(
+    f"case when u.response_id is not null then u.emp_hope_1_{k} "
+    f"else cast(try_cast(r.emp_hope_1_{k} as int) - 1 as double) end as i{k}" for k in range(1, cb.SCALE_ITEMS + 1)) + """
+  from responses r left join repair_wide u
+    on r.response_id = u.response_id and r.wave = 1 and r.version = 2
+),
+scored AS (
+  select enrollment_id, response_id, wave, version, survey_tag,
+    """ + ",\n    ".join(
+    f"case when {_ANY_NULL} then null else {_block(n, lo, hi)} end as {n}" for n, lo, hi in cb.SCALE_DOMAINS) + """
+  from scored_items
+)"""
+
+DOMAINS = [n for n, _, _ in cb.SCALE_DOMAINS]
+
+HOPE = """hope AS (
+  select enrollment_id, wave, survey_tag,
+    """ + ",\n    ".join(f"{first_nm(d, 'version, response_id')} as {d}" for d in DOMAINS) + """
+  from scored where wave <= 3 group by enrollment_id, wave, survey_tag
+)"""
+
+
+def with_hope(body: str, extra: str = "") -> str:
+    ctes = ",\n".join(x for x in [repair_long_sql(), REPAIR_WIDE, SCORED, HOPE, extra] if x)
+    return panel.with_panel(body, roster_=False, repair_=True, extra=ctes)
+
+
+SATIS_RAW = {2: [f"satis_{j}" for j in range(1, 7)], 3: [f"satis_{j}" for j in range(1, 6)]}
+
+
+def top_box_sql(w: int) -> str:
+    raw = SATIS_RAW[w]
+    names = cb.SATISFACTION_NAMES[w]
+    mx = ",\n    ".join(f"case when bool_and({r} is not null) then max(try_cast({r} as int)) end as mx_{n}"
+                        for r, n in zip(raw, names))
+    flags = ",\n    ".join(f"(m.mx_{n} - try_cast(r.{raw_} as int)) <= 1 as {n}" for raw_, n in zip(raw, names))
+    return f"""tb{w}_max AS (
+  select version,
+    {mx}
+  from responses where wave = {w} and response_id is not null group by version
+),
+tb{w} AS (
+  select r.enrollment_id, r.response_id, r.version,
+    {flags}
+  from responses r join tb{w}_max m on r.version = m.version
+  where r.wave = {w} and r.response_id is not null
+),
+sat{w} AS (
+  select enrollment_id,
+    """ + ",\n    ".join(f"{first_nm(n, 'version, response_id')} as {n}" for n in names) + f"""
+  from tb{w} group by enrollment_id
+)"""
+
+
+SATIS = top_box_sql(2) + ",\n" + top_box_sql(3) + ",\n" + """satis AS (
+  select coalesce(a.enrollment_id, b.enrollment_id) as enrollment_id, """ + ", ".join(
+    f"a.{n}" for n in cb.SATISFACTION_NAMES[2]) + ", " + ", ".join(f"b.{n}" for n in cb.SATISFACTION_NAMES[3]) + """
+  from sat2 a full join sat3 b on a.enrollment_id = b.enrollment_id
+)"""
+
+
+def values_map(mapping: dict, kname: str = "k", vname: str = "v") -> str:
+    rows = ", ".join(f"({q(k)}, {v if isinstance(v, int) else q(v)})" for k, v in mapping.items())
+    return f"(values {rows}) as m({kname}, {vname})"
+
+
+def gender_sql(sex, trans, g):
+    return (f"case when {sex} = 'Male' and {trans} = 'No' then 'Man' "
+            f"when {sex} = 'Female' and {trans} = 'No' then 'Woman' "
+            f"when {regex_hit(g, cb.GENDER_MAN_PATTERN)} then 'Man' "
+            f"when {regex_hit(g, cb.GENDER_WOMAN_PATTERN)} then 'Woman' "
+            f"when {g} is null then null else 'Other' end")
+
+
+def trans_sql(t):
+    return (f"case when {t} is null then null when {t} = 'Prefer not to answer' then null "
+            f"when {t} = 'No' then false else true end")
+
+
+def band_sql(a):
+    br, lab = cb.AGE_BREAKS, cb.AGE_LABELS
+    return "case " + " ".join(f"when {a} > {lo} and {a} <= {hi} then {q(l)}"
+                              for lo, hi, l in zip(br[:-1], br[1:], lab)) + " end"
+
+
+def pse_sql(e):
+    return f"case when {e} is null then null when {e} in {in_list(cb.EDUCATION_PSE_LEVELS)} then true else false end"
+
+
+def sel_flag_sql(opts, no_opt, only):
+    n = count_present(opts)
+    cond = f"{no_opt} is not null and {n} = 1" if only else f"{no_opt} is not null"
+    return f"case when {n} = 0 then null when {cond} then false else true end"
+
+
+# ---------------------------------------------------------------------------
+# Oracle per query
+# ---------------------------------------------------------------------------
+
+
+def flag_summary_sql():
+    flags = [f for f, _ in cb.QUARTERLY_LABELS]
+    labels = ", ".join(f"({q(f)}, {q(l)})" for f, l in cb.QUARTERLY_LABELS)
+    return with_pop(f"""
+, long AS (
+  {union_long('pop', ['enrollment_id'], flags)}
+), g AS (
+  select var, count(*) as n_total, cast(sum(cast(val as int)) as bigint) as n from long
+  where val is not null group by var
+)
+select split_part(l.lab, '--', 1) as cat, substr(l.lab, strpos(l.lab, '--') + 2) as var,
+  g.n_total, g.n, g.n / g.n_total as p
+from g join (values {labels}) l(var, lab) on g.var = l.var
+""")
+
+
+def sample_size_sql():
+    return with_pop(", x AS (select 1) select count(*) as n from pop")
+
+
+def sample_table_sql():
+    return with_pop("""
+, cells AS (select cohort_name, assignment_label_fct as arm, count(*) as n from pop group by 1, 2),
+wide AS (
+  select cohort_name, max(case when arm = 'Program' then n end) as "Program",
+    max(case when arm = 'Non-RCT' then n end) as "Non-RCT", cast(sum(n) as bigint) as "Total"
+  from cells group by cohort_name
+)
+select * from wide
+union all
+select 'Total', cast(sum("Program") as bigint), cast(sum("Non-RCT") as bigint), cast(sum("Total") as bigint) from wide
+""")
+
+
+def education_distribution_sql():
+    ranks = {lab: i + 1 for i, lab in enumerate(cb.EDUCATION_LEVELS)}
+    return with_pop(f"""
+, g AS (select educ_max_fct, count(*) as n from pop where educ_max_fct is not null group by 1)
+select g.educ_max_fct as baseline_highest_education, cast(m.v as integer) as level_order,
+  cast(sum(n) over () as bigint) as n_total, n, n / sum(n) over () as p
+from g left join {values_map(ranks)} on g.educ_max_fct = m.k
+""")
+
+
+def _quarter_flags(k):
+    return f"""qf AS (
+  select *, {fy_sql('date_of_enrollment', k)} as enrollment_fy, {fq_sql('date_of_enrollment', k)} as enrollment_fq,
+    not demo_immigrant_lgl as demo_born_in_canada, demo_age >= 65 as demo_old_lgl_q
+  from flags
+)"""
+
+
+def flag_by_arm_sql():
+    labels = dict(cb.QUARTER_DEMO_LABELS)
+    cols = [f for f, _ in cb.QUARTER_DEMO_LABELS]
+    parts = []
+    for c in cols:
+        src = "demo_old_lgl_q" if c == "demo_old_lgl" else c
+        parts.append(f"select enrollment_fy, enrollment_fq, assignment_label_fct as arm, {q(c)} as var, {src} as val from qf")
+    long = "\n  union all\n  ".join(parts)
+    piv = ",\n  ".join(f"max(case when arm = {q(l)} then pct_n end) as {qi(l)}" for l in cb.ARM_LEVELS)
+    return with_root(f"""
+, long AS (
+  {long}
+), g AS (
+  select enrollment_fy, enrollment_fq, arm, var, count(*) as n_all, cast(sum(cast(val as int)) as bigint) as n_yes
+  from long where val is not null group by 1, 2, 3, 4
+), c AS (
+  select g.*, {pct_cell_sql('n_yes', 'n_all')} as pct_n, m.v as lab
+  from g left join {values_map(labels)} on g.var = m.k
+)
+select enrollment_fy, enrollment_fq, lab,
+  {piv}
+from c group by enrollment_fy, enrollment_fq, lab
+""", REPORT_FLAGS + ",\n" + _quarter_flags(cb.FISCAL_START_DEMOGRAPHICS))
+
+
+def category_crosstab_sql():
+    piv = ",\n  ".join(f"coalesce(max(case when arm = {q(l)} then pct_n end), '') as {qi(l)}" for l in cb.ARM_LEVELS)
+    k = cb.FISCAL_START_DEMOGRAPHICS
+    return with_root(f"""
+, g AS (
+  select {fy_sql('date_of_enrollment', k)} as enrollment_fy, {fq_sql('date_of_enrollment', k)} as enrollment_fq,
+    demo_province_fct as lab, assignment_label_fct as arm, count(*) as n
+  from root where demo_province_fct is not null group by 1, 2, 3, 4
+), s AS (
+  select *, sum(n) over (partition by enrollment_fy, enrollment_fq, arm) as n_arm from g
+), c AS (select *, {pct_cell_sql('n', 'n_arm')} as pct_n from s)
+select enrollment_fy, enrollment_fq, lab,
+  {piv}
+from c group by 1, 2, 3
+""")
+
+
+def label_lookup_sql():
+    names = cb.SATISFACTION_NAMES[2] + cb.SATISFACTION_NAMES[3]
+    return with_hope_satis(f"""
+, long AS (
+  {union_long('satis', ['enrollment_id'], names)}
+), lab AS (select l.*, m.v as lab from long l left join {values_map(cb.SATISFACTION_LABELS)} on l.var = m.k)
+select lab, count(*) as n_total, cast(sum(cast(val as int)) as bigint) as n,
+  cast(sum(cast(val as int)) as bigint) / count(*) as p
+from lab where val is not null group by lab
+""")
+
+
+def with_hope_satis(body: str) -> str:
+    return panel.with_panel(body, roster_=False, extra=SATIS)
+
+
+def scale_by_wave_sql():
+    return with_hope(f"""
+, long AS (
+  {union_long('hope', ['enrollment_id', 'wave', 'survey_tag'], DOMAINS)}
+)
+select m.v as lab, survey_tag, min(wave) as tag_order, count(*) as "N",
+  {rnd('avg(val)')} as mean, {rnd('stddev_samp(val)')} as sd
+from long l left join {values_map(cb.EHS_DOMAIN_LABELS)} on l.var = m.k
+where val is not null group by m.v, survey_tag
+""")
+
+
+def scale_trend_sql():
+    avgs = ", ".join(f"avg({d}) as {d}" for d in DOMAINS)
+    return with_hope(f"""
+, g AS (select wave, survey_tag, {avgs} from hope group by wave, survey_tag),
+long AS (
+  {union_long('g', ['wave', 'survey_tag'], DOMAINS, 'ehs_domain', 'avg_score')}
+)
+select wave, survey_tag, ehs_domain, {rnd('avg_score')} as avg_score from long
+""")
+
+
+def effect_size_sql():
+    return with_hope(f"""
+, long AS (
+  {union_long('hope', ['enrollment_id', 'wave'], DOMAINS, 'ehs_domain', 'score')}
+), g AS (
+  select ehs_domain, wave, count(score) as n, avg(score) as score_mean, stddev_samp(score) as score_sd_t
+  from long group by 1, 2
+), p AS (
+  select *, case when count(case when score_sd_t is null then 1 end) over (partition by ehs_domain) = 0
+    then sum(score_sd_t * n) over (partition by ehs_domain) / sum(n) over (partition by ehs_domain) end as score_sd_p,
+    score_mean - lag(score_mean) over (partition by ehs_domain order by wave) as score_delta
+  from g
+)
+select ehs_domain, wave, n, {rnd('score_mean')} as score_mean, {rnd('score_sd_t')} as score_sd_t,
+  {rnd('score_sd_p')} as score_sd_p, {rnd('score_delta')} as score_delta,
+  {rnd('case when score_sd_p = 0 then null else score_delta / score_sd_p end')} as score_delta_cohen
+from p
+""")
+
+
+def with_outcomes(body: str, filled: bool = True) -> str:
+    extra = OUTCOMES_H + (",\n" + OUTCOMES_F if filled else "")
+    return panel.with_panel(body, roster_=filled, extra=extra)
+
+
+def employment_status_sql():
+    return with_outcomes(f"""
+, g AS (
+  select survey_tag, count(*) as "N", avg(cast(job_employed as int)) as e, avg(cast(educ_enrolled as int)) as en
+  from outcomes_f where job_employed is not null group by survey_tag
+)
+select survey_tag, "N", {rnd('e')} as "Employed", {rnd('en')} as "Enrolled", {rnd('1 - e - en')} as "NEET" from g
+""")
+
+
+def compensation_sql():
+    ben = [n for n in cb.BENEFIT_NAMES if n != "job_benefits_none"]
+    cols = ",\n  ".join(f"{rnd(f'avg(cast({n} as double))')} as {n.replace('job_benefits', '')}" for n in ben)
+    return with_outcomes(f"""
+select survey_tag, count(*) as "N", {rnd('avg(job_annualized_salary)')} as annualized_salary,
+  {cols},
+  {rnd('avg(cast(job_benefits_any as double))')} as _any,
+  {rnd('avg(cast(job_benefits_n as double))')} as _total
+from outcomes_f where coalesce(job_employed, false) group by survey_tag
+""")
+
+
+def missing_rate_sql():
+    return panel.with_panel(f"""
+select cohort_name, {rnd('avg(cast(cohort_start_date is null as int))')} as start_missing
+from roster_clean group by cohort_name
+""", responses_=False, extra=ROSTER_CLEAN)
+
+
+def id_length_audit_sql():
+    return panel.with_panel(f"""
+select province, count(*) as n, {rnd('avg(length(pas_id))')} as mean_len,
+  cast(max(length(pas_id)) as integer) as max_len, cast(max(length(substr(pas_id, 1, 15))) as integer) as max_len_kept
+from roster where pas_id is not null and length(pas_id) > 0 group by province
+""", responses_=False)
+
+
+def assignment_label_sql():
+    return panel.with_panel(f"""
+select enrollment_id, pas_id, cohort_name, assignment_label_fct,
+  assignment_label_fct in {in_list(cb.ELIGIBLE_ARMS)} as program_eligible
+from roster_clean
+""", responses_=False, extra=ROSTER_CLEAN)
+
+
+def recode_levels_sql():
+    ranks = {lab: i + 1 for i, lab in enumerate(cb.EDUCATION_LEVELS)}
+    return panel.with_panel(f"""
+, e AS (
+  select response_id, wave,
+    case when wave = 1 then {education_sql('try_cast(education_highest as int)')} end as educ_max_fct
+  from responses
+)
+select response_id, wave, educ_max_fct, cast(m.v as integer) as educ_rank,
+  educ_max_fct = {q(cb.EDUCATION_LEVELS[1])} as educ_hs_lgl, {pse_sql('educ_max_fct')} as educ_pse_lgl
+from e left join {values_map(ranks)} on e.educ_max_fct = m.k
+""", roster_=False)
+
+
+def classify_text_sql():
+    return panel.with_panel(f"""
+select response_id, {gender_sql('demo_sex', 'demo_transgender', 'demo_gender')} as demo_gender_fct,
+  {trans_sql('demo_transgender')} as demo_transgender_lgl,
+  {regex_hit('job_satisfaction_overall', cb.SATISFACTION_POSITIVE_PATTERN)} as job_satis_overall_pos,
+  not {regex_hit('demo_marital', cb.MARRIED_PATTERN)} as not_married
+from responses
+""", roster_=False)
+
+
+def age_bands_sql():
+    dob = date_from_parts("birth_year", "birth_month")
+    age = years_between(dob, "date_of_enrollment")
+    return panel.with_panel(f"""
+select enrollment_id, {dob} as demo_date_of_birth, {age} as demo_age, {band_sql(age)} as demo_age_fct from roster
+""", responses_=False)
+
+
+def date_parts_sql():
+    mid = (f"case when birth_year is null or birth_month is null or birth_month not between 1 and 12 then null "
+           f"else make_date(birth_year, birth_month, 15) end")
+    return panel.with_panel(f"""
+select enrollment_id, birth_year, birth_month, {date_from_parts('birth_year', 'birth_month')} as birth_date,
+  {mid} as birth_mid_month from roster
+""", responses_=False)
+
+
+def recency_flag_sql():
+    return panel.with_panel("""
+select r.response_id, r.demo_born_in_canada = 'No' as demo_immigrant_lgl,
+  cast(year(c.date_of_enrollment) - r.demo_year_of_arrival as integer) as years_since_arrival,
+  case when (r.demo_born_in_canada = 'No') is null then null when r.demo_year_of_arrival is null then null
+       when year(c.date_of_enrollment) - r.demo_year_of_arrival <= 5 then true else false end as demo_newcomer_lgl
+from responses r join roster c on r.enrollment_id = c.enrollment_id
+""")
+
+
+def flag_algebra_sql():
+    body = """
+select response_id, demo_income_source_fct, demo_receiving_ei_lgl, demo_receiving_ia_lgl,
+  cast(demo_receiving_ei_lgl as int) + cast(demo_receiving_ia_lgl as int) = 0 as demo_receiving_none_lgl,
+  demo_parent_lgl, demo_single_parent_lgl, demo_bipoc_lgl, demo_indigenous_lgl, demo_racialized_lgl
+from baseline_h
+"""
+    return panel.with_panel(body, extra=ROSTER_CLEAN + ",\n" + BASELINE_ALL)
+
+
+def outcome_flags_sql():
+    return with_outcomes("""
+select response_id, job_employed, job_seasonal, job_temporary, job_satis_overall_pos, job_satis_advance_pos,
+  job_satis_precarity_pos, educ_enrolled, neet from outcomes_h
+""", filled=False)
+
+
+def annualize_pay_sql():
+    return with_outcomes("select response_id, version, job_annualized_salary from outcomes_h", filled=False)
+
+
+def tenure_weeks_sql():
+    return with_outcomes(f"""
+select response_id, job_start_date, job_tenure_months, job_tenure_days, {rnd('job_tenure_wks')} as job_tenure_wks
+from outcomes_h
+""", filled=False)
+
+
+def benefit_count_sql():
+    raw = [f"s.opt_{k}" for k in range(1, 7)]
+    return panel.with_panel(f"""
+, p AS (select response_id, {_EMPLOYED} as job_employed from responses)
+select p.response_id, p.job_employed,
+  {benefits_sql(raw, 'p.job_employed')}
+from p left join selections s on p.response_id = s.response_id
+""", roster_=False, selections_=True)
+
+
+def multi_select_any_sql():
+    opts = [f"opt_{k}" for k in range(1, 8)]
+    return panel.with_panel(f"""
+select response_id, {count_present(opts)} as n_selected,
+  {sel_flag_sql(opts, 'opt_2', False)} as flag_excluding_2,
+  {sel_flag_sql(opts, 'opt_7', True)} as flag_unless_only_7,
+  {count_present(opts)} > 0 as any_selected
+from selections
+""", roster_=False, responses_=False, selections_=True)
+
+
+def parse_numbers_sql():
+    return panel.with_panel(f"""
+select enrollment_id, acct_text, {parse_number_sql('acct_text')} as acct_value,
+  try_cast(regexp_replace(acct_text, '[$ A-Z]', '', 'g') as integer) as acct_int,
+  try_cast(acct_text as integer) as acct_junk_int
+from roster
+""", responses_=False)
+
+
+def fiscal_quarter_sql():
+    return panel.with_panel(f"""
+select response_id, response_date, {fy_sql('response_date', 3)} as fy_mar, {fq_sql('response_date', 3)} as fq_mar,
+  {fy_sql('response_date', 4)} as fy_apr, {fq_sql('response_date', 4)} as fq_apr
+from responses
+""", roster_=False)
+
+
+def report_window_sql():
+    lo, hi = cb.REPORT_WINDOW
+    k = cb.FISCAL_START_QUARTERLY
+    return panel.with_panel(f"""
+select enrollment_id, date_of_enrollment, {fy_sql('date_of_enrollment', k)} as enrollment_fy,
+  {fq_sql('date_of_enrollment', k)} as enrollment_fq,
+  date_of_enrollment between date '{lo}' and date '{hi}' as in_window
+from roster
+""", responses_=False)
+
+
+def fill_default_sql():
+    return panel.with_panel("""
+select response_id, coalesce(amount, 0.0) as amount, coalesce(status_answer, 'unknown') as status_answer,
+  coalesce(rating, 0) as rating from responses
+""", roster_=False)
+
+
+def survey_catalog_sql():
+    return panel.with_panel(f"""
+select survey_name, count(*) as n_responses,
+  try_cast(nullif(regexp_extract(survey_name, '_s(\\d{{2}})', 1), '') as integer) as survey_time,
+  try_cast(nullif(regexp_extract(survey_name, '_0\\.0\\.(\\d)', 1), '') as integer) as survey_version,
+  {tag_sql('survey_name')} as survey_tag
+from responses group by survey_name
+""", roster_=False)
+
+
+def label_order_sql():
+    levels = ["URGENT", "HIGH", "MEDIUM", "NOT SPECIFIED", "LOW", "12-month-follow-up"]
+    vals = ", ".join(f"({q(x)})" for x in levels)
+    return panel.with_panel(f"""
+, g AS (
+  select {tag_sql('survey_name')} as survey_tag,
+    median(date_diff('day', date '1970-01-01', response_date)) as median_day,
+    min(wave) as first_wave, count(*) as n
+  from responses group by 1
+)
+select coalesce(l.survey_tag, g.survey_tag) as survey_tag, cast(g.median_day as double) as median_day,
+  g.first_wave, coalesce(g.n, 0) as n
+from (values {vals}) l(survey_tag) full join g on l.survey_tag = g.survey_tag
+""", roster_=False)
+
+
+def regex_select_sql():
+    cols = ["response_id"] + [f"demo_indigenous_{i}" for i in range(1, 4)] + [f"demo_race_{i}" for i in range(1, 7)]
+    return panel.with_panel(f"select {', '.join(cols)} from responses", roster_=False)
+
+
+def clean_names_sql():
+    return ("select c_custkey as cust_key, c_name as customer_name, c_nationkey as nation_key, "
+            "c_acctbal as acct_bal, c_mktsegment as mkt_segment from customer")
+
+
+def v1_null_columns() -> list[str]:
+    """Response columns that are NULL on every version-1 row by construction."""
+    out = []
+    for name, expr in panel.RESPONSE_COLUMNS:
+        v2_only = (expr.startswith(f"case when {panel._V2} then")
+                   and not expr.startswith(f"case when {panel._V2} then null") and " else " not in expr)
+        if expr.startswith(f"case when {panel._V1} then null") or f"case when {panel._V2} and" in expr or v2_only:
+            out.append(name)
+    return out
+
+
+def drop_all_null_sql():
+    gone = set(v1_null_columns())
+    cols = [n for n, _ in panel.RESPONSE_COLUMNS if n not in gone]
+    return panel.with_panel(f"select {', '.join(cols)} from responses where version = 1", roster_=False)
+
+
+def primary_record_sql():
+    return ("select l_orderkey as response_id, max(case when l_linenumber = 1 then l_quantity end) as job_qty, "
+            "max(case when l_linenumber = 1 then l_returnflag end) as job_flag from lineitem group by l_orderkey")
+
+
+def flatten_records_sql():
+    return ("select o_orderkey as order_id, o_totalprice as total_price, o_orderstatus as status, "
+            "c_name as customer_name, c_mktsegment as segment, c_nationkey as nation_key "
+            "from orders left join customer on o_custkey = c_custkey")
+
+
+def json_access_sql():
+    return "select event_id, try_cast(json_extract_string(props, '$.k') as integer) as k from events"
+
+
+def relationship_extract_sql():
+    return ("select c_custkey as customer_id, c_name as customer_name, c_mktsegment as segment, "
+            "n_name as nation_name, r_name as region_name from customer "
+            "left join nation on c_nationkey = n_nationkey left join region on n_regionkey = r_regionkey "
+            "where c_mktsegment in ('BUILDING', 'MACHINERY', 'HOUSEHOLD')")
+
+
+def left_join_suffix_sql():
+    return panel.with_panel("""
+select r.enrollment_id, r.province as province_sf, r.cohort_name, p.response_id, p.demo_province as province_qx
+from roster r left join responses p on r.enrollment_id = p.enrollment_id
+""")
+
+
+def semi_join_sql():
+    return panel.with_panel(f"""
+select response_id, enrollment_id, {fy_sql('response_date', 4)} as fy, {fq_sql('response_date', 4)} as fq
+from responses where enrollment_id in (
+  select enrollment_id from roster_clean where assignment_label_fct <> {q(cb.ARM_DEFAULT)})
+""", extra=ROSTER_CLEAN)
+
+
+def rows_update_sql():
+    cols = ",\n  ".join(
+        f"{rnd(f'case when u.response_id is not null then u.{c} else cast(r.{c} as double) end')} as {c}"
+        for c in ITEMS)
+    return panel.with_panel(f"""
+select r.response_id,
+  {cols}
+from responses r left join repair_wide u on r.response_id = u.response_id
+""", roster_=False, repair_=True, extra=repair_long_sql() + ",\n" + REPAIR_WIDE)
+
+
+def full_join_waves_sql():
+    return with_hope_satis("select * from satis")
+
+
+def union_by_name_sql():
+    return panel.with_panel("""
+select response_id, wave, demo_parent, job_salary_text, cast(rating as varchar) as code
+from responses where version = 1
+union all by name
+select response_id, wave, demo_caregiver, job_salary_num, status_answer as code
+from responses where version = 2
+""", roster_=False)
+
+
+def split_dispatch_sql():
+    return panel.with_panel(f"""
+select response_id, version, job_salary_text, cast({salary_v1()} as double) as job_annualized_salary
+from responses where version = 1
+union all by name
+select response_id, version, job_report_salary, cast({salary_v2()} as double) as job_annualized_salary
+from responses where version = 2
+""", roster_=False)
+
+
+def consolidate_baseline_sql():
     return with_root("select * from root")
 
 
+def fill_within_group_sql():
+    cols = [c for c in OUTCOME_COLS if c not in ("job_tenure_wks", "job_annualized_salary")]
+    return with_outcomes(f"""
+select enrollment_id, wave, version, response_id, {', '.join(cols)},
+  {rnd('job_tenure_wks')} as job_tenure_wks, {rnd('job_annualized_salary')} as job_annualized_salary
+from outcomes_f
+""")
+
+
+def nest_history_sql():
+    return with_hope(f"""
+select enrollment_id, count(*) as n_waves, string_agg(cast(wave as varchar), ',' order by wave) as waves,
+  {rnd('first(ehs_empowerment order by wave, survey_tag)')} as first_empowerment
+from hope group by enrollment_id
+""")
+
+
+def unnest_history_sql():
+    return with_hope("select enrollment_id, wave, survey_tag, " + ", ".join(
+        f"{rnd(d)} as {d}" for d in DOMAINS) + " from hope")
+
+
+def unpivot_items_sql():
+    return panel.with_panel("select * from repair_long", roster_=False, responses_=False, repair_=True,
+                            extra=repair_long_sql())
+
+
+def pivot_items_sql():
+    return panel.with_panel("select response_id, " + ", ".join(f"{rnd(c)} as {c}" for c in ITEMS)
+                            + " from repair_wide", roster_=False, responses_=False, repair_=True,
+                            extra=repair_long_sql() + ",\n" + REPAIR_WIDE)
+
+
+def score_scale_sql():
+    return panel.with_panel("select enrollment_id, response_id, wave, version, " + ", ".join(
+        f"{rnd(d)} as {d}" for d in DOMAINS) + " from scored", roster_=False, repair_=True,
+        extra=",\n".join([repair_long_sql(), REPAIR_WIDE, SCORED]))
+
+
+def top_box_sql_q():
+    return panel.with_panel("""
+select *, 2 as wave from tb2
+union all by name
+select *, 3 as wave from tb3
+""", roster_=False, extra=top_box_sql(2) + ",\n" + top_box_sql(3))
+
+
+def assemble_participant_sql():
+    extra = ",\n".join([ROSTER_CLEAN, BASELINE, ROOT, repair_long_sql(), REPAIR_WIDE, SCORED, HOPE, SATIS,
+                        OUTCOMES_H, OUTCOMES_F])
+    return panel.with_panel("""
+select r.enrollment_id, r.assignment_label_fct, r.demo_age, h.n_ehs, o.n_outcomes,
+  s.satis_inmotion_overall, s.satis_m_plus_overall
+from root r
+left join (select enrollment_id, count(*) as n_ehs from hope group by 1) h on r.enrollment_id = h.enrollment_id
+left join (select enrollment_id, count(distinct wave) as n_outcomes from outcomes_f group by 1) o
+  on r.enrollment_id = o.enrollment_id
+left join satis s on r.enrollment_id = s.enrollment_id
+""", repair_=True, extra=extra)
+
+
+def latest_snapshot_sql():
+    return panel.with_panel("""
+, p AS (select response_id, survey_name, year(response_date) as snapshot from responses)
+select response_id, survey_name, cast(snapshot as integer) as snapshot from p
+where (survey_name, snapshot) in (select survey_name, max(snapshot) from p group by survey_name)
+""", roster_=False)
+
+
+def drop_last_rows_sql():
+    return panel.with_panel("""
+select response_id, enrollment_id, wave from responses
+where response_id not in (select response_id from responses order by response_id desc limit 2)
+""", roster_=False)
+
+
 ORACLE = {
     "quarterly_table": quarterly_table_sql(),
+    "flag_summary": flag_summary_sql(),
+    "flag_by_arm": flag_by_arm_sql(),
+    "category_crosstab": category_crosstab_sql(),
+    "sample_table": sample_table_sql(),
+    "sample_size": sample_size_sql(),
+    "education_distribution": education_distribution_sql(),
+    "recode_levels": recode_levels_sql(),
+    "assignment_label": assignment_label_sql(),
+    "classify_text": classify_text_sql(),
+    "age_bands": age_bands_sql(),
+    "recency_flag": recency_flag_sql(),
+    "multi_select_any": multi_select_any_sql(),
+    "benefit_count": benefit_count_sql(),
+    "flag_algebra": flag_algebra_sql(),
+    "outcome_flags": outcome_flags_sql(),
+    "annualize_pay": annualize_pay_sql(),
+    "parse_numbers": parse_numbers_sql(),
+    "date_parts": date_parts_sql(),
+    "tenure_weeks": tenure_weeks_sql(),
+    "fiscal_quarter": fiscal_quarter_sql(),
+    "report_window": report_window_sql(),
+    "survey_catalog": survey_catalog_sql(),
+    "label_lookup": label_lookup_sql(),
+    "label_order": label_order_sql(),
+    "fill_default": fill_default_sql(),
+    "id_length_audit": id_length_audit_sql(),
+    "regex_select": regex_select_sql(),
+    "clean_names": clean_names_sql(),
+    "drop_all_null": drop_all_null_sql(),
+    "primary_record": primary_record_sql(),
+    "flatten_records": flatten_records_sql(),
+    "json_access": json_access_sql(),
+    "relationship_extract": relationship_extract_sql(),
+    "left_join_suffix": left_join_suffix_sql(),
+    "semi_join": semi_join_sql(),
+    "rows_update": rows_update_sql(),
+    "full_join_waves": full_join_waves_sql(),
+    "assemble_participant": assemble_participant_sql(),
+    "union_by_name": union_by_name_sql(),
+    "split_dispatch": split_dispatch_sql(),
     "consolidate_baseline": consolidate_baseline_sql(),
+    "fill_within_group": fill_within_group_sql(),
+    "nest_history": nest_history_sql(),
+    "unnest_history": unnest_history_sql(),
+    "unpivot_items": unpivot_items_sql(),
+    "pivot_items": pivot_items_sql(),
+    "score_scale": score_scale_sql(),
+    "top_box": top_box_sql_q(),
+    "scale_by_wave": scale_by_wave_sql(),
+    "scale_trend": scale_trend_sql(),
+    "effect_size": effect_size_sql(),
+    "employment_status": employment_status_sql(),
+    "compensation": compensation_sql(),
+    "missing_rate": missing_rate_sql(),
+    "latest_snapshot": latest_snapshot_sql(),
+    "drop_last_rows": drop_last_rows_sql(),
 }

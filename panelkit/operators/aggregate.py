@@ -63,7 +63,7 @@ def strict_max(c: str) -> Column:
     return F.when(F.bool_and(F.col(c).isNotNull()), F.max(c))
 
 
-def share_of_total(df: DataFrame, count_col: str = "n", total_col: str = "N") -> DataFrame:
+def share_of_total(df: DataFrame, count_col: str = "n", total_col: str = "n_total") -> DataFrame:
     """Add the overall total of ``count_col`` and the share ``p``.
 
     The total is a scalar subquery over the (already aggregated) input: no
@@ -75,10 +75,12 @@ def share_of_total(df: DataFrame, count_col: str = "n", total_col: str = "N") ->
 
 
 def group_share(df: DataFrame, group: Sequence[str], count_col: str = "n",
-                total_col: str = "N") -> DataFrame:
+                total_col: str = "n_group") -> DataFrame:
     """Add the group total and share next to already aggregated rows.
 
-    Partitioned window on small, aggregated input (one row per cell).
+    Partitioned window on small, aggregated input (one row per cell).  Column
+    names are case-insensitive in Spark: ``total_col`` must differ from
+    ``count_col`` in more than case.
     """
     from pyspark.sql import Window
 

@@ -113,7 +113,7 @@ def distribution(pop: DataFrame, col: str, label: str | None = None) -> DataFram
     from ..operators.aggregate import share_of_total
 
     counts = pop.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    out = share_of_total(counts, "n", "N")
+    out = share_of_total(counts, "n", "n_total")
     return out.withColumnRenamed(col, label) if label else out
 
 

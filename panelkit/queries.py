@@ -83,7 +83,7 @@ def education_distribution(spark, d):
     out = reports.distribution(_population(spark, d), "educ_max_fct")
     return out.select(F.col("educ_max_fct").alias("baseline_highest_education"),
                       harmonise.education_rank(F.col("educ_max_fct")).alias("level_order"),
-                      F.col("N").alias("n_total"), "n", "p")
+                      "n_total", "n", "p")
 
 
 def _with_quarter(root, fiscal_start):
@@ -120,8 +120,8 @@ def category_crosstab(spark, d):
     keys = ["enrollment_fy", "enrollment_fq"]
     g = root.groupBy(*keys, F.col("demo_province_fct").alias("lab"), "assignment_label_fct").agg(
         F.count(F.lit(1)).alias("n"))
-    g = group_share(g, [*keys, "assignment_label_fct"], "n", "N")
-    g = g.withColumn("pct_n", reports.pct_cell(F.col("n"), F.col("N")))
+    g = group_share(g, [*keys, "assignment_label_fct"], "n", "n_arm")
+    g = g.withColumn("pct_n", reports.pct_cell(F.col("n"), F.col("n_arm")))
     return reshape.pivot_cells(g, [*keys, "lab"], "assignment_label_fct", cb.ARM_LEVELS, "pct_n", fill="")
 
 
