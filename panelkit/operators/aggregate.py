@@ -13,6 +13,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def first_non_missing_sql(c: str, order: Sequence[str]) -> str:
+    """SQL text of the first-non-missing aggregate (see ``first_non_missing``)."""
+    key = ", ".join(_q(o) for o in order)
+    return f"min_by({_q(c)}, CASE WHEN {_q(c)} IS NOT NULL THEN struct({key}) END)"
+
+
 def first_non_missing(c: str, order: Sequence[str]) -> Column:
     """Aggregate: value of ``c`` at the smallest ``order`` among rows where c is present.
 
@@ -20,8 +30,7 @@ def first_non_missing(c: str, order: Sequence[str]) -> Column:
     is nulled where ``c`` is missing.  ``order`` must be unique within a group
     (add the row id as tie-break) for a deterministic result.
     """
-    key = F.when(F.col(c).isNotNull(), F.struct(*[F.col(o) for o in order]))
-    return F.min_by(F.col(c), key)
+    return F.expr(first_non_missing_sql(c, order))
 
 
 def consolidate(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -29,9 +38,11 @@ def consolidate(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """One row per key: every column takes its first non-missing value in ``order``.
 
     One shuffle on ``keys``; every column is folded in the same aggregate.
+    The aggregate list is generated as SQL text (one parse on the JVM instead
+    of several driver round trips per column).
     """
     cols = [c for c in (columns or df.columns) if c not in keys and c not in order]
-    return df.groupBy(*keys).agg(*[first_non_missing(c, order).alias(c) for c in cols])
+    return df.groupBy(*keys).agg(*[F.expr(f"{first_non_missing_sql(c, order)} AS {_q(c)}") for c in cols])
 
 
 def fill_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],

@@ -40,6 +40,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("PANELKIT_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Python call-site capture for error messages walks the Python stack
+        # on every Column call (~2 ms each); plans built from hundreds of
+        # generated expressions spend seconds in it on the driver.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for k, v in {**SEMANTIC_CONF, **PLAN_CONF}.items():
         builder = builder.config(k, v)
