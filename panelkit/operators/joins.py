@@ -5,18 +5,24 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def left_join_suffix(left: DataFrame, right: DataFrame, by: Sequence[str],
                      suffix: tuple[str, str] = ("_x", "_y"), null_keys_match: bool = False,
-                     how: str = "left") -> DataFrame:
+                     how: str = "left", skew_safe: bool = False) -> DataFrame:
     """Left join on ``by``; non-key columns present on both sides get suffixes.
 
     ``null_keys_match=True`` makes a NULL key match a NULL key (null-safe
     equality); by default NULL keys never match.
+
+    ``skew_safe=True`` plans the left join as inner join UNION ALL the left
+    rows without a partner (anti join against the right side's distinct keys).
+    A hot key on the *right* side of a left outer join cannot be split by
+    AQE; an inner join can be split on either side, and the distinct keys are
+    pre-aggregated map-side, so no task holds a whole hot group.
     """
     by = list(by)
     clash = (set(left.columns) & set(right.columns)) - set(by)
@@ -24,29 +30,37 @@ def left_join_suffix(left: DataFrame, right: DataFrame, by: Sequence[str],
     rren = {c: c + suffix[1] for c in right.columns if c in clash}
     lf = left.withColumnsRenamed(lren) if lren else left
     rt = right.withColumnsRenamed(rren) if rren else right
-    if not null_keys_match:
-        return lf.join(rt, by, how)
-    rk = rt.select(*[F.col(k).alias(f"__rk_{k}") for k in by],
-                   *[c for c in rt.columns if c not in by])
-    cond = [lf[k].eqNullSafe(rk[f"__rk_{k}"]) for k in by]
-    out = lf.join(rk, cond, how)
-    return out.drop(*[f"__rk_{k}" for k in by])
-
-
-def rows_update(x: DataFrame, y: DataFrame, by: Sequence[str]) -> DataFrame:
+    if null_keys_match:
+        rk = rt.select(*[F.col(k).alias(f"__rk_{k}") for k in by],
+                       *[c for c in rt.columns if c not in by])
+        cond = [lf[k].eqNullSafe(rk[f"__rk_{k}"]) for k in by]
+        out = lf.join(rk, cond, how)
+        return out.drop(*[f"__rk_{k}" for k in by])
+    if skew_safe and how == "left":
+        matched = lf.join(rt, by, "inner")
+        unmatched = lf.join(rt.select(*by).distinct(), by, "left_anti")
+        return matched.unionByName(unmatched, allowMissingColumns=True)
+    return lf.join(rt, by, how)
+
+
+def rows_update(x: DataFrame, y: DataFrame, by: Sequence[str], where: Column | None = None) -> DataFrame:
     """Keyed overwrite: rows of ``x`` matched in ``y`` take y's values of the
     shared columns -- missing values included; unmatched y rows are ignored.
 
     ``y`` must be unique on ``by`` (else x rows would fan out).  A marker column
     distinguishes "matched with NULL value" from "not matched", which
-    ``coalesce`` cannot.
+    ``coalesce`` cannot.  ``where`` (a condition on x) limits which rows may be
+    updated, so a subset is updated in the same pass instead of split + union.
     """
     by = list(by)
     upd = [c for c in y.columns if c not in by and c in x.columns]
     yy = y.select(*by, *[F.col(c).alias(f"__y_{c}") for c in upd], F.lit(True).alias("__matched"))
     j = x.join(yy, by, "left")
+    hit = F.coalesce(F.col("__matched"), F.lit(False))
+    if where is not None:
+        hit = hit & F.coalesce(where, F.lit(False))
     return j.select(*[
-        (F.when(F.col("__matched"), F.col(f"__y_{c}")).otherwise(F.col(c)).alias(c) if c in upd else F.col(c))
+        (F.when(hit, F.col(f"__y_{c}")).otherwise(F.col(c)).alias(c) if c in upd else F.col(c))
         for c in x.columns
     ])
 

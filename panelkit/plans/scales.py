@@ -52,9 +52,8 @@ def score_scale(responses: DataFrame, repair: DataFrame | None = None,
     d = responses.withColumns({c: F.col(c).try_cast("int") - 1 for c in ITEMS}).withColumns(
         {c: F.col(c).cast("double") for c in ITEMS})
     if repair is not None:
-        target = d.filter((w == 1) & (v == 2))
-        rest = d.filter(~((w == 1) & (v == 2)) | w.isNull() | v.isNull())
-        d = rows_update(target, repair_items(repair), [book.response_col]).unionByName(rest)
+        # only intake v2 answers are repaired; one pass, no split + union
+        d = rows_update(d, repair_items(repair), [book.response_col], where=(w == 1) & (v == 2))
     return d.select(book.id_col, book.response_col, book.wave_col, book.version_col,
                     *[c for c in ("survey_tag",) if c in d.columns],
                     *logic.block_means(ITEMS, cb.SCALE_DOMAINS, strict=strict))

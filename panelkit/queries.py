@@ -429,7 +429,7 @@ def csv_roundtrip(spark, d):
 def left_join_suffix(spark, d):
     r = _roster(spark, d).select("enrollment_id", "province", "cohort_name")
     p = _responses(spark, d).select("enrollment_id", "response_id", F.col("demo_province").alias("province"))
-    return joins.left_join_suffix(r, p, ["enrollment_id"], ("_sf", "_qx"))
+    return joins.left_join_suffix(r, p, ["enrollment_id"], ("_sf", "_qx"), skew_safe=True)
 
 
 def semi_join(spark, d):

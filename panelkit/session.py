@@ -26,6 +26,9 @@ PLAN_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Hot participants / waves: let AQE split skewed partitions of joins.
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    # Split a hot join key even when the split costs an extra shuffle: the
+    # aggregate after the join then combines the hot key map-side.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
