@@ -1,0 +1,3 @@
+"""panelkit: panel-survey analytics as Spark DataFrame transformations."""
+
+__version__ = "0.1.0"

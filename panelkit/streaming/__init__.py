@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference pipeline is a batch re-computation from timestamped snapshots; it
+has no stream source, watermark, window or state.  New snapshots are appended
+with ``panelkit.sources.snapshots.write_snapshot`` and read with partition
+pruning.  No streaming operator is provided because none exists to match.
+"""
