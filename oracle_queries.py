@@ -917,7 +917,7 @@ from outcomes_f
 
 def nest_history_sql():
     return with_hope(f"""
-select enrollment_id, count(*) as n_waves, string_agg(cast(wave as varchar), ',' order by wave) as waves,
+select enrollment_id, cast(count(*) as integer) as n_waves, string_agg(cast(wave as varchar), ',' order by wave) as waves,
   {rnd('first(ehs_empowerment order by wave, survey_tag)')} as first_empowerment
 from hope group by enrollment_id
 """)
@@ -960,8 +960,8 @@ def assemble_participant_sql():
 select r.enrollment_id, r.assignment_label_fct, r.demo_age, h.n_ehs, o.n_outcomes,
   s.satis_inmotion_overall, s.satis_m_plus_overall
 from root r
-left join (select enrollment_id, count(*) as n_ehs from hope group by 1) h on r.enrollment_id = h.enrollment_id
-left join (select enrollment_id, count(distinct wave) as n_outcomes from outcomes_f group by 1) o
+left join (select enrollment_id, cast(count(*) as integer) as n_ehs from hope group by 1) h on r.enrollment_id = h.enrollment_id
+left join (select enrollment_id, cast(count(distinct wave) as integer) as n_outcomes from outcomes_f group by 1) o
   on r.enrollment_id = o.enrollment_id
 left join satis s on r.enrollment_id = s.enrollment_id
 """, repair_=True, extra=extra)

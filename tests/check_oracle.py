@@ -22,6 +22,10 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "pages benchmark labels conversations").split()
 
 
+TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+            "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "float": "FLOAT"}
+
+
 def norm(v):
     if v is None:
         return "∅"
@@ -80,6 +84,12 @@ def main():
             print(f"FAIL {name}: duckdb error {str(e)[:600]}")
             bad += 1
             continue
+        stypes = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+        otypes = {d[0]: str(d[1]) for d in res.description}
+        tdiff = {c: (stypes.get(c), otypes.get(c)) for c in stypes
+                 if TYPE_MAP.get(stypes.get(c), stypes.get(c)) != TYPE_MAP.get(otypes.get(c), otypes.get(c))}
+        if tdiff and os.environ.get("CHECK_TYPES"):
+            print(f"   types differ in {name}: {tdiff}")
         hs, ls = digest(scols, srows)
         ho, lo = digest(ocols, orows)
         ok = sorted(scols) == sorted(ocols) and len(srows) == len(orows) and hs == ho
