@@ -179,10 +179,10 @@ def pct_cell_sql(n: str, N: str) -> str:
             f" || '% (' || cast({n} as varchar) || '/' || cast({N} as varchar) || ')' end")
 
 
-def quarterly_table_sql() -> str:
+def quarterly_table_sql(where: str = "true") -> str:
     flags = [f for f, _ in cb.QUARTERLY_LABELS]
     long = "\n  union all\n  ".join(
-        f"select assignment_label_fct as arm, {q(f)} as var, {f} as val from flags" for f in flags)
+        f"select assignment_label_fct as arm, {q(f)} as var, {f} as val from flags where {where}" for f in flags)
     labels = ", ".join(f"({q(f)}, {q(l)})" for f, l in cb.QUARTERLY_LABELS)
     levels = [*cb.ARM_LEVELS, cb.TOTAL_LABEL]
     pivots = ",\n  ".join(f"max(case when arm = {q(l)} then cell end) as {qi(l)}" for l in levels)
@@ -984,6 +984,8 @@ where response_id not in (select response_id from responses order by response_id
 
 ORACLE = {
     "quarterly_table": quarterly_table_sql(),
+    "quarterly_report": quarterly_table_sql(
+        f"date_of_enrollment between date '{cb.REPORT_WINDOW[0]}' and date '{cb.REPORT_WINDOW[1]}'"),
     "flag_summary": flag_summary_sql(),
     "flag_by_arm": flag_by_arm_sql(),
     "category_crosstab": category_crosstab_sql(),

@@ -143,7 +143,7 @@ QUARTER_DEMO_LABELS = [
 
 # Survey-name grammar: <prefix>_0.0.<version>_..._s<2-digit wave>_<tag>.
 SURVEY_WAVE_PATTERN = r"(?<=_s)\d{2}"
-SURVEY_VERSION_PATTERN = r"(?<=^[A-Z]{1,8}_0\.0\.)\d"
+SURVEY_VERSION_PATTERN = r"(?<=_0\.0\.)\d"
 SURVEY_TAG_PATTERN = r"(?<=s\d{2}_).*$"
 
 # Repair-file item columns: Q115_<item>_<option>.

@@ -8,15 +8,12 @@ summation order cannot change the compared value.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import codebook as cb
 from .functions import dates, logic, text
 from .operators import joins, reshape, schema
-from .operators.aggregate import consolidate, share_of_total
 from .plans import harmonise, pipeline, reports, scales
 from .sources import catalog, files, panel, records, snapshots
 
@@ -63,6 +60,13 @@ def quarterly_table(spark, d):
     return reports.quarterly_table(_root(spark, d))
 
 
+def quarterly_report(spark, d):
+    """The quarterly report: participants enrolled in the report window, then T1."""
+    lo, hi = cb.REPORT_WINDOW
+    root = _root(spark, d).filter(dates.date_between("date_of_enrollment", lo, hi))
+    return reports.quarterly_table(root)
+
+
 def consolidate_baseline(spark, d):
     return _root(spark, d)
 
@@ -533,6 +537,7 @@ def top_box(spark, d):
 
 QUERIES = {name: fn for name, fn in [
     ("quarterly_table", quarterly_table),
+    ("quarterly_report", quarterly_report),
     ("flag_summary", flag_summary),
     ("flag_by_arm", flag_by_arm),
     ("category_crosstab", category_crosstab),

@@ -63,15 +63,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     respected.  Only a local session without one (tests) gets a fresh scratch
     folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        spark.sparkContext.setCheckpointDir(configured)
-        return configured
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        spark.sparkContext.setCheckpointDir(configured)
+        return spark.sparkContext.getCheckpointDir() or configured
+    # Unset: only local/test sessions get here.  A cluster names a shared folder.
     path = tempfile.mkdtemp(prefix="panelkit-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
 

@@ -10,7 +10,7 @@ from ..functions import text
 
 
 def survey_fields(name: Column, wave_pattern: str = cb.SURVEY_WAVE_PATTERN,
-                  version_pattern: str = r"(?<=_0\.0\.)\d",
+                  version_pattern: str = cb.SURVEY_VERSION_PATTERN,
                   tag_pattern: str = cb.SURVEY_TAG_PATTERN) -> dict[str, Column]:
     """Lookbehind extraction (Java regex); NULL where the name does not match."""
     return {
