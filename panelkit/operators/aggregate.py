@@ -98,3 +98,28 @@ def group_share(df: DataFrame, group: Sequence[str], count_col: str = "n",
     w = Window.partitionBy(*group)
     return df.withColumn(total_col, F.sum(count_col).over(w)).withColumn(
         "p", F.try_divide(F.col(count_col).cast("double"), F.col(total_col)))
+
+
+def median_by_group(df: DataFrame, group: Sequence[str], value: str, out: str = "median") -> DataFrame:
+    """Exact median of ``value`` per group (mean of the two middle values for
+    an even count), computed without holding a group's rows in one buffer.
+
+    ``median()``/``percentile()`` buffer every value of a group in one task;
+    with a hot group that is unbounded.  Here the values are first counted per
+    (group, value) -- map-side combined, bounded by the number of distinct
+    values -- and the middle positions are located with a running sum over
+    that histogram, partitioned by group.
+    """
+    from pyspark.sql import Window
+
+    g = list(group)
+    hist = df.filter(F.col(value).isNotNull()).groupBy(*g, value).agg(F.count(F.lit(1)).alias("__c"))
+    w = Window.partitionBy(*g).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    hist = hist.withColumn("__cum", F.sum("__c").over(w)).withColumn(
+        "__n", F.sum("__c").over(Window.partitionBy(*g)))
+    lo = F.floor((F.col("__n") + 1) / 2)
+    hi = F.ceil((F.col("__n") + 1) / 2)
+    med = hist.groupBy(*g).agg(
+        ((F.min(F.when(F.col("__cum") >= lo, F.col(value))) + F.min(F.when(F.col("__cum") >= hi, F.col(value))))
+         / 2.0).alias(out))
+    return med

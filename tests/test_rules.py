@@ -169,3 +169,10 @@ def test_snapshot_store_latest(spark):
     snapshots.write_snapshot(spark.createDataFrame([(1,)], "x int"), store, "20240101000000")
     snapshots.write_snapshot(spark.createDataFrame([(2,), (3,)], "x int"), store, "20250101000000")
     assert sorted(r[0] for r in snapshots.latest_snapshot(spark, store).collect()) == [2, 3]
+
+
+def test_median_by_group_exact(spark):
+    d = spark.createDataFrame([("a", 1), ("a", 3), ("a", 2), ("b", 1), ("b", 2), ("b", 10), ("b", 10),
+                               ("c", None), ("c", 5)], "g string, v int")
+    got = sorted(rows(aggregate.median_by_group(d, ["g"], "v"), "g", "median"))
+    assert got == [("a", 2.0), ("b", 6.0), ("c", 5.0)]
