@@ -361,9 +361,16 @@ HOPE = """hope AS (
 )"""
 
 
-def with_hope(body: str, extra: str = "") -> str:
-    ctes = ",\n".join(x for x in [repair_long_sql(), REPAIR_WIDE, SCORED, HOPE, extra] if x)
-    return panel.with_panel(body, roster_=False, repair_=True, extra=ctes)
+def with_hope(body: str, extra: str = "", population: bool = False) -> str:
+    ctes = ",\n".join(x for x in [pop_chain() if population else "", repair_long_sql(), REPAIR_WIDE, SCORED,
+                                  HOPE, extra] if x)
+    return panel.with_panel(body, roster_=population, repair_=True, extra=ctes)
+
+
+def pop_chain() -> str:
+    """roster_clean -> baseline -> root -> flags -> pop, for population filters."""
+    return ",\n".join([ROSTER_CLEAN, BASELINE, ROOT, REPORT_FLAGS, POP])
+
 
 
 SATIS_RAW = {2: [f"satis_{j}" for j in range(1, 7)], 3: [f"satis_{j}" for j in range(1, 6)]}
@@ -538,15 +545,17 @@ def label_lookup_sql():
     return with_hope_satis(f"""
 , long AS (
   {union_long('satis', ['enrollment_id'], names)}
-), lab AS (select l.*, m.v as lab from long l left join {values_map(cb.SATISFACTION_LABELS)} on l.var = m.k)
+), lab AS (select l.*, m.v as lab from long l left join {values_map(cb.SATISFACTION_LABELS)} on l.var = m.k
+  where l.enrollment_id in (select enrollment_id from pop))
 select lab, count(*) as n_total, cast(sum(cast(val as int)) as bigint) as n,
   cast(sum(cast(val as int)) as bigint) / count(*) as p
 from lab where val is not null group by lab
-""")
+""", population=True)
 
 
-def with_hope_satis(body: str) -> str:
-    return panel.with_panel(body, roster_=False, extra=SATIS)
+def with_hope_satis(body: str, population: bool = False) -> str:
+    extra = (pop_chain() + ",\n" + SATIS) if population else SATIS
+    return panel.with_panel(body, roster_=population, extra=extra)
 
 
 def scale_by_wave_sql():
@@ -557,8 +566,8 @@ def scale_by_wave_sql():
 select m.v as lab, survey_tag, min(wave) as tag_order, count(*) as "N",
   {rnd('avg(val)')} as mean, {rnd('stddev_samp(val)')} as sd
 from long l left join {values_map(cb.EHS_DOMAIN_LABELS)} on l.var = m.k
-where val is not null group by m.v, survey_tag
-""")
+where val is not null and enrollment_id in (select enrollment_id from pop) group by m.v, survey_tag
+""", population=True)
 
 
 def scale_trend_sql():
@@ -592,19 +601,22 @@ from p
 """)
 
 
-def with_outcomes(body: str, filled: bool = True) -> str:
+def with_outcomes(body: str, filled: bool = True, population: bool = False) -> str:
     extra = OUTCOMES_H + (",\n" + OUTCOMES_F if filled else "")
-    return panel.with_panel(body, roster_=filled, extra=extra)
+    if population:
+        extra = pop_chain() + ",\n" + extra
+    return panel.with_panel(body, roster_=filled or population, extra=extra)
 
 
 def employment_status_sql():
     return with_outcomes(f"""
 , g AS (
   select survey_tag, count(*) as "N", avg(cast(job_employed as int)) as e, avg(cast(educ_enrolled as int)) as en
-  from outcomes_f where job_employed is not null group by survey_tag
+  from outcomes_f where job_employed is not null and enrollment_id in (select enrollment_id from pop)
+  group by survey_tag
 )
 select survey_tag, "N", {rnd('e')} as "Employed", {rnd('en')} as "Enrolled", {rnd('1 - e - en')} as "NEET" from g
-""")
+""", population=True)
 
 
 def compensation_sql():
@@ -615,8 +627,9 @@ select survey_tag, count(*) as "N", {rnd('avg(job_annualized_salary)')} as annua
   {cols},
   {rnd('avg(cast(job_benefits_any as double))')} as _any,
   {rnd('avg(cast(job_benefits_n as double))')} as _total
-from outcomes_f where coalesce(job_employed, false) group by survey_tag
-""")
+from outcomes_f where coalesce(job_employed, false) and enrollment_id in (select enrollment_id from pop)
+group by survey_tag
+""", population=True)
 
 
 def missing_rate_sql():

@@ -48,6 +48,12 @@ def _population(spark, d):
     return reports.report_population(_root(spark, d))
 
 
+def _in_population(df, spark, d):
+    """Rows of participants in the report population (semi join on the
+    one-row-per-participant root: no fan-out, hot ids split by AQE)."""
+    return joins.semi_join(df, _population(spark, d), ["enrollment_id"])
+
+
 def _hope_per_wave(spark, d):
     nested = pipeline.construct_hope(_responses(spark, d), panel.repair(spark, d))
     return reshape.unnest(nested, "ehs")
@@ -131,7 +137,7 @@ def category_crosstab(spark, d):
 
 def label_lookup(spark, d):
     """Satisfaction summary with labels; unlabelled variables pool into one NULL-label row."""
-    satis = pipeline.construct_satis(_responses(spark, d))
+    satis = _in_population(pipeline.construct_satis(_responses(spark, d)), spark, d)
     names = [c for c in satis.columns if c.startswith("satis_")]
     long = reshape.unpivot(satis, ["enrollment_id"], names, "var", "val")
     long = long.withColumn("lab", logic.lookup("var", cb.SATISFACTION_LABELS))
@@ -141,8 +147,8 @@ def label_lookup(spark, d):
 
 
 def scale_by_wave(spark, d):
-    """Scale domain x wave tag: N, mean, sd of the non-missing scores."""
-    h = _hope_per_wave(spark, d)
+    """Scale domain x wave tag: N, mean, sd of the non-missing scores (report population)."""
+    h = _in_population(_hope_per_wave(spark, d), spark, d)
     long = reshape.unpivot(h, ["enrollment_id", "wave", "survey_tag"], scales.DOMAINS, "var", "val")
     g = long.filter(F.col("val").isNotNull()).groupBy("var", "survey_tag").agg(
         F.count(F.lit(1)).alias("N"), F.avg("val").alias("mean"), F.stddev_samp("val").alias("sd"),
@@ -173,7 +179,7 @@ def _outcomes(spark, d, dedup=False):
 
 def employment_status(spark, d):
     """Per wave tag: N answering employment, Employed, Enrolled (NA skipped), NEET = 1 - E - En."""
-    o = _outcomes(spark, d).filter(F.col("job_employed").isNotNull())
+    o = _in_population(_outcomes(spark, d), spark, d).filter(F.col("job_employed").isNotNull())
     g = o.groupBy("survey_tag").agg(
         F.count(F.lit(1)).alias("N"),
         F.avg(F.col("job_employed").cast("int")).alias("Employed"),
@@ -184,7 +190,7 @@ def employment_status(spark, d):
 
 def compensation(spark, d):
     """Among the employed, per wave tag: N, mean pay, benefit rates, mean benefit count."""
-    o = _outcomes(spark, d).filter(logic.in_set("job_employed", [True]))
+    o = _in_population(_outcomes(spark, d), spark, d).filter(logic.in_set("job_employed", [True]))
     cols = schema.matching(o, "^job_benefits|^job_annualized_salary")
     g = o.groupBy("survey_tag").agg(
         F.count(F.lit(1)).alias("N"),
