@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..codebook import DEFAULT_CODEBOOK, Codebook
 from ..operators.aggregate import consolidate
-from ..operators.joins import union_by_name
+from ..operators.joins import skew_join, union_by_name
 from .harmonise import BASELINE_COLUMNS, clean_roster, harmonise_baseline
 
 ORDER = ["wave", "version", "response_id"]
@@ -22,12 +22,22 @@ ORDER = ["wave", "version", "response_id"]
 
 def join_panel(roster: DataFrame, responses: DataFrame, book: Codebook = DEFAULT_CODEBOOK,
                roster_cols: Sequence[str] = ("cohort_name", "date_of_enrollment",
-                                            "assignment_label_fct")) -> DataFrame:
+                                            "assignment_label_fct"),
+               hot_rows: int | None = 1_000_000, salts: int = 64) -> DataFrame:
     """Every response with its participant's roster fields (inner: rows without a
-    roster entry cannot be harmonised).  One equi-join on the participant key;
-    Spark picks broadcast or sort-merge from the roster's measured size."""
+    roster entry cannot be harmonised).
+
+    Equi-join on the participant key.  Participants with at least ``hot_rows``
+    responses are salted over ``salts`` tasks (``joins.skew_join``), because
+    the per-participant aggregates that follow would otherwise reuse the join
+    partitioning and keep a hot participant in one task.  ``hot_rows=None``
+    gives the plain join (Spark picks broadcast or sort-merge by size).
+    """
     r = clean_roster(roster, book).select(book.id_col, *roster_cols)
-    return responses.join(r, book.id_col, "inner")
+    if hot_rows is None:
+        return responses.join(r, book.id_col, "inner")
+    return skew_join(responses, r, [book.id_col], "inner", hot_rows=hot_rows, salts=salts,
+                     salt_by=book.response_col)
 
 
 def baseline_rows(joined: DataFrame, book: Codebook = DEFAULT_CODEBOOK) -> DataFrame:

@@ -176,3 +176,28 @@ def test_median_by_group_exact(spark):
                                ("c", None), ("c", 5)], "g string, v int")
     got = sorted(rows(aggregate.median_by_group(d, ["g"], "v"), "g", "median"))
     assert got == [("a", 2.0), ("b", 6.0), ("c", 5.0)]
+
+
+def test_skew_join_salts_hot_keys_without_changing_results(spark):
+    big = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("k"),
+                                   F.col("id").alias("rid"))
+    small = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    plain = sorted(rows(big.join(small, "k"), "k", "rid", "v"))
+    salted = joins.skew_join(big, small, ["k"], hot_rows=500, salts=8, salt_by="rid")
+    assert sorted(rows(salted, "k", "rid", "v")) == plain
+    assert sorted(c for c in salted.columns) == ["k", "rid", "v"]
+
+
+def test_hot_participant_consolidation_matches_plain_join(spark):
+    from panelkit.plans import pipeline
+    from panelkit.sources import panel
+    from conftest import SMALL
+
+    resp = panel.responses(spark, SMALL).withColumn(
+        "enrollment_id", F.when(F.col("response_id") % 3 == 0, F.lit(7)).otherwise(F.col("enrollment_id")))
+    roster = panel.roster(spark, SMALL)
+    a = pipeline.construct_root(pipeline.join_panel(roster, resp, hot_rows=None))
+    b = pipeline.construct_root(pipeline.join_panel(roster, resp, hot_rows=100, salts=8))
+    key = lambda r: r["enrollment_id"]
+    assert sorted(map(tuple, a.collect()), key=lambda t: t[0]) == sorted(map(tuple, b.collect()), key=lambda t: t[0])
+    assert a.count() == b.count()
