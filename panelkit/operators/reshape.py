@@ -65,7 +65,7 @@ def pivot_cells(df: DataFrame, ids: Sequence[str], names_from: str, levels: Sequ
 def split_label(c: Column | str, sep: str = "--") -> tuple[Column, Column]:
     """Split on the first ``sep``: (head, rest-merged)."""
     parts = F.split(F.col(c) if isinstance(c, str) else c, re.escape(sep), 2)
-    return F.element_at(parts, 1), F.element_at(parts, 2)
+    return F.try_element_at(parts, F.lit(1)), F.try_element_at(parts, F.lit(2))
 
 
 def nest(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:

@@ -78,7 +78,7 @@ def quarterly_table(root: DataFrame, levels: Sequence[str] = tuple(cb.ARM_LEVELS
     cells = flag_cells(report_flags(root), flags, group_col, levels)
     lab = logic.lookup("var", dict(labels))
     parts = F.split(lab, "--", 2)
-    cols = [F.element_at(parts, 1).alias("cat"), F.element_at(parts, 2).alias("var")]
+    cols = [F.try_element_at(parts, F.lit(1)).alias("cat"), F.try_element_at(parts, F.lit(2)).alias("var")]
     for lvl in [*levels, cb.TOTAL_LABEL]:
         cols.append(pct_cell(F.col(f"yes_{lvl}"), F.col(f"all_{lvl}")).alias(lvl))
     return cells.filter(F.col(f"all_{cb.TOTAL_LABEL}") > 0).select(*cols)
@@ -107,7 +107,7 @@ def flag_summary(pop: DataFrame, labels: Sequence[tuple[str, str]] = tuple(cb.QU
     cells = flag_cells(report_flags(pop), flags, None, [], total_label=cb.TOTAL_LABEL)
     cat, var = F.split(logic.lookup("var", dict(labels)), "--", 2), None
     return cells.filter(F.col(f"all_{cb.TOTAL_LABEL}") > 0).select(
-        F.element_at(cat, 1).alias("cat"), F.element_at(cat, 2).alias("var"),
+        F.try_element_at(cat, F.lit(1)).alias("cat"), F.try_element_at(cat, F.lit(2)).alias("var"),
         F.col(f"all_{cb.TOTAL_LABEL}").alias("n_total"), F.col(f"yes_{cb.TOTAL_LABEL}").alias("n"),
         (F.col(f"yes_{cb.TOTAL_LABEL}") / F.col(f"all_{cb.TOTAL_LABEL}")).alias("p"))
 

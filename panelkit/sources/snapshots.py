@@ -64,3 +64,21 @@ def roundtrip(spark: SparkSession, df: DataFrame) -> DataFrame:
     write_snapshot(df.limit(0), store, "20000101000000")
     write_snapshot(df, store, "20990101000000")
     return latest_snapshot(spark, store)
+
+
+def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` once as parquet in the session's shared checkpoint folder and
+    return a DataFrame reading it back (the memoised-load step of a pipeline).
+
+    Later branches then read only the columns and partitions they need, and
+    the written table survives executor loss (unlike a cache or a local
+    checkpoint).  The folder is ``spark.checkpoint.dir`` when the cluster sets
+    it.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
+    return spark.read.parquet(path)
