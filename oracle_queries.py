@@ -639,6 +639,11 @@ from roster_clean group by cohort_name
 """, responses_=False, extra=ROSTER_CLEAN)
 
 
+def value_counts_sql():
+    return panel.with_panel("select version, job_report_salary, count(*) as n from responses group by 1, 2",
+                            roster_=False)
+
+
 def id_length_audit_sql():
     return panel.with_panel(f"""
 select province, count(*) as n, {rnd('avg(length(pas_id))')} as mean_len,
@@ -1053,6 +1058,7 @@ ORACLE = {
     "employment_status": employment_status_sql(),
     "compensation": compensation_sql(),
     "missing_rate": missing_rate_sql(),
+    "value_counts": value_counts_sql(),
     "latest_snapshot": latest_snapshot_sql(),
     "drop_last_rows": drop_last_rows_sql(),
 }

@@ -202,6 +202,12 @@ def compensation(spark, d):
     return g.select(*[(_r(c).alias(c) if c not in ("survey_tag", "N") else F.col(c)) for c in keep])
 
 
+def value_counts(spark, d):
+    """Item audit: value counts of raw answer columns (count(keys)), NULL kept as a value."""
+    p = _responses(spark, d)
+    return p.groupBy("version", "job_report_salary").agg(F.count(F.lit(1)).alias("n"))
+
+
 def missing_rate(spark, d):
     r = harmonise.clean_roster(_roster(spark, d))
     return r.groupBy("cohort_name").agg(
@@ -599,6 +605,7 @@ QUERIES = {name: fn for name, fn in [
     ("employment_status", employment_status),
     ("compensation", compensation),
     ("missing_rate", missing_rate),
+    ("value_counts", value_counts),
     ("latest_snapshot", latest_snapshot),
     ("drop_last_rows", drop_last_rows),
     ("snapshot_roundtrip", snapshot_roundtrip),
