@@ -1,7 +1,8 @@
 """Timestamped snapshots: write a new one, read the newest.
 
 A snapshot store is a parquet table partitioned by ``snapshot_ts``
-(``yyyyMMddHHmmss``).  Reading the latest is a filter on the partition column
+(``yyyyMMddHHmmss`` + microseconds, so two snapshots taken within one second
+never share a partition and the names still sort in time order).  Reading the latest is a filter on the partition column
 against its maximum, which Spark answers from the partition listing (partition
 pruning), so older snapshots are never scanned.
 """
@@ -19,7 +20,7 @@ SNAPSHOT_COL = "snapshot_ts"
 
 
 def snapshot_stamp(now: dt.datetime | None = None) -> str:
-    return (now or dt.datetime.now(dt.timezone.utc)).strftime("%Y%m%d%H%M%S")
+    return (now or dt.datetime.now(dt.timezone.utc)).strftime("%Y%m%d%H%M%S%f")
 
 
 def write_snapshot(df: DataFrame, store: str, stamp: str | None = None) -> str:
