@@ -16,6 +16,26 @@ from .. import codebook as cb
 from ..codebook import DEFAULT_CODEBOOK, Codebook
 from ..functions import dates, logic, text
 
+def cached_columns(fn):
+    """Memoise a builder of Column lists per codebook.
+
+    Columns are immutable, unresolved expression trees (not bound to any
+    DataFrame), so one list serves every query; building them costs one driver
+    round trip per node, which this avoids on repeated plans.
+    """
+    cache: dict = {}
+
+    def wrapper(book: Codebook, *args):
+        key = (repr(book), args)
+        if key not in cache:
+            cache[key] = fn(book, *args)
+        return cache[key]
+
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 # ---------------------------------------------------------------------------
 # Roster (H1)
 # ---------------------------------------------------------------------------
@@ -112,9 +132,14 @@ def harmonise_baseline(df: DataFrame, book: Codebook = DEFAULT_CODEBOOK,
     dropped; non-intake rows are kept only where the re-ask flag is the string
     ``"FALSE"``.  Intake-only education variables are NULL on later waves.
     """
-    w, v = F.col(book.wave_col), F.col(book.version_col)
+    w = F.col(book.wave_col)
     rows = df.filter(F.col(book.response_col).isNotNull()).filter((w == 1) | (F.col("demos") == "FALSE"))
+    return rows.select(*_baseline_columns(book, tuple(keep)))
+
 
+@cached_columns
+def _baseline_columns(book: Codebook, keep: tuple[str, ...]) -> list[Column]:
+    w, v = F.col(book.wave_col), F.col(book.version_col)
     intake = w == 1
     educ_code = text.parse_integer("education_highest")
     educ = education_level(educ_code)
@@ -135,7 +160,7 @@ def harmonise_baseline(df: DataFrame, book: Codebook = DEFAULT_CODEBOOK,
     parent = (F.col("demo_children") == "Yes") & F.when(
         v == 1, F.col("demo_parent") == "Yes").otherwise(F.col("demo_caregiver") == "Yes")
 
-    out = rows.select(
+    return [
         *[F.col(k) for k in keep],
         F.col("enrollment_id"),
         F.col("cohort_name"),
@@ -166,8 +191,7 @@ def harmonise_baseline(df: DataFrame, book: Codebook = DEFAULT_CODEBOOK,
         (parent & text.str_detect(F.col("demo_marital"), cb.MARRIED_PATTERN, negate=True))
         .alias("demo_single_parent_lgl"),
         (racialized | indigenous).alias("demo_bipoc_lgl"),
-    )
-    return out
+    ]
 
 
 BASELINE_FCT = ["assignment_label_fct", "educ_max_fct", "demo_gender_fct", "demo_age_fct",
@@ -231,8 +255,13 @@ def harmonise_outcomes(df: DataFrame, book: Codebook = DEFAULT_CODEBOOK,
 
     Enrolment in education and NEET exist only on later waves or version 2.
     """
-    w, v = F.col(book.wave_col), F.col(book.version_col)
     rows = df.filter(F.col(book.response_col).isNotNull())
+    return rows.select(*_outcome_columns(book, tuple(keep), tuple(benefit_cols)))
+
+
+@cached_columns
+def _outcome_columns(book: Codebook, keep: tuple[str, ...], benefit_cols: tuple[str, ...]) -> list[Column]:
+    w, v = F.col(book.wave_col), F.col(book.version_col)
     employed = text.str_detect("job_employed", "Yes")
     start = dates.date_from_parts("job_start_year", "job_start_month")
     end = F.col("response_date")
@@ -241,7 +270,7 @@ def harmonise_outcomes(df: DataFrame, book: Codebook = DEFAULT_CODEBOOK,
     satis = [("job_satis_overall_pos", "job_satisfaction_overall"),
              ("job_satis_advance_pos", "job_satisfaction_advancement"),
              ("job_satis_precarity_pos", "job_satisfaction_precarity")]
-    return rows.select(
+    return [
         *[F.col(k) for k in keep],
         F.col(book.id_col),
         employed.alias("job_employed"),
@@ -257,4 +286,4 @@ def harmonise_outcomes(df: DataFrame, book: Codebook = DEFAULT_CODEBOOK,
         annualized_salary(v).alias("job_annualized_salary"),
         enrolled.alias("educ_enrolled"),
         F.when(has_educ, logic.none_of([employed, F.col("educ_enrolled") == "Yes"])).alias("neet"),
-    )
+    ]

@@ -85,17 +85,25 @@ def with_survey_fields(df: DataFrame, name_col: str = "survey_name") -> DataFram
 # --- H14: employment-hope history ----------------------------------------------
 
 
-def construct_hope(responses: DataFrame, repair: DataFrame | None,
-                   book: Codebook = DEFAULT_CODEBOOK) -> DataFrame:
-    """Scores of waves <= 3 consolidated per (participant, wave, tag), then one
-    nested history per participant (bounded: one entry per wave)."""
-    from ..operators.reshape import nest
+def hope_per_wave(responses: DataFrame, repair: DataFrame | None,
+                  book: Codebook = DEFAULT_CODEBOOK) -> DataFrame:
+    """Scores of waves <= 3 consolidated per (participant, wave, tag): the flat
+    form of the history.  Tables that would unnest the history read this
+    directly and skip the nest/unnest round trip (one aggregation less)."""
     from .scales import DOMAINS, score_scale
 
     early = with_survey_fields(responses.filter(F.col(book.wave_col) <= 3))
     scored = score_scale(early, repair, book)
-    per_wave = consolidate(scored, [book.id_col, "wave", "survey_tag"], ["version", "response_id"], DOMAINS)
-    return nest(per_wave, [book.id_col], ["wave", "survey_tag"], "ehs")
+    return consolidate(scored, [book.id_col, "wave", "survey_tag"], ["version", "response_id"], DOMAINS)
+
+
+def construct_hope(responses: DataFrame, repair: DataFrame | None,
+                   book: Codebook = DEFAULT_CODEBOOK) -> DataFrame:
+    """One nested employment-hope history per participant (bounded: one entry
+    per wave)."""
+    from ..operators.reshape import nest
+
+    return nest(hope_per_wave(responses, repair, book), [book.id_col], ["wave", "survey_tag"], "ehs")
 
 
 # --- H21: outcomes history --------------------------------------------------------

@@ -55,8 +55,7 @@ def _in_population(df, spark, d):
 
 
 def _hope_per_wave(spark, d):
-    nested = pipeline.construct_hope(_responses(spark, d), panel.repair(spark, d))
-    return reshape.unnest(nested, "ehs")
+    return pipeline.hope_per_wave(_responses(spark, d), panel.repair(spark, d))
 
 
 # --- T1 flagship & report tables --------------------------------------------------
@@ -506,7 +505,8 @@ def nest_history(spark, d):
 
 
 def unnest_history(spark, d):
-    h = _hope_per_wave(spark, d)
+    nested = pipeline.construct_hope(_responses(spark, d), panel.repair(spark, d))
+    h = reshape.unnest(nested, "ehs")
     return h.select("enrollment_id", "wave", "survey_tag", *[_r(c).alias(c) for c in scales.DOMAINS])
 
 

@@ -204,8 +204,23 @@ def repair_columns(base1: bool) -> list[tuple[str, str]]:
 # ---------------------------------------------------------------------------
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, resolved once per session (like a catalog table: the file
+    listing and parquet schema are read once, every query reuses the relation)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    df = _TABLES.get(key)
+    if df is None:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
+
+
+def clear_table_cache() -> None:
+    """Forget resolved tables (e.g. after the files were replaced)."""
+    _TABLES.clear()
 
 
 def _select(df: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
