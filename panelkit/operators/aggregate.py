@@ -12,9 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+from ..functions.sqltext import ident as _q
 
 
 def first_non_missing_sql(c: str, order: Sequence[str]) -> str:

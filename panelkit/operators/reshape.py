@@ -13,6 +13,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sqltext import ident as q
+from ..functions.sqltext import string_lit as lit
+
 
 def unpivot(df: DataFrame, ids: Sequence[str], values: Sequence[str] | None = None,
             name_col: str = "var", value_col: str = "val", order_col: str | None = None) -> DataFrame:
@@ -32,12 +35,14 @@ def unpivot_pattern(df: DataFrame, ids: Sequence[str], pattern: str, names_to: S
     ``names_to`` columns (greedy, as in the pattern)."""
     rx = re.compile(pattern)
     cols = [c for c in df.columns if rx.fullmatch(c)]
-    parts = [rx.fullmatch(c).groups() for c in cols]
-    arr = F.array(*[
-        F.struct(*[F.lit(p).alias(n) for p, n in zip(groups, names_to)], F.col(c).alias(value_col))
-        for c, groups in zip(cols, parts)
-    ])
-    return df.select(*ids, F.inline(arr))
+
+    structs = []
+    for c in cols:
+        fields = [f"{lit(n)}, {lit(p)}" for p, n in zip(rx.fullmatch(c).groups(), names_to)]
+        structs.append(f"named_struct({', '.join(fields)}, {lit(value_col)}, {q(c)})")
+    # one generated Generate expression (a single parse instead of a driver
+    # round trip per literal)
+    return df.selectExpr(*[q(i) for i in ids], f"inline(array({', '.join(structs)}))")
 
 
 def pivot_named(df: DataFrame, ids: Sequence[str], names_from: str, levels: Sequence,

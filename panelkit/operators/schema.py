@@ -11,6 +11,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.sqltext import ident
+
 
 def matching(df: DataFrame, pattern: str, ignore_case: bool = True) -> list[str]:
     """Column names containing a match of ``pattern`` (case-insensitive by default)."""
@@ -83,7 +85,7 @@ def all_null_columns(df: DataFrame) -> list[str]:
     """Names of the columns without a single non-missing value (one aggregate job)."""
     cols = df.columns
     # one global aggregate; the count list is generated as SQL text (one parse)
-    counts = df.selectExpr(*[f"count(`{c.replace('`', '``')}`) AS c{i}" for i, c in enumerate(cols)]).first()
+    counts = df.selectExpr(*[f"count({ident(c)}) AS c{i}" for i, c in enumerate(cols)]).first()
     return [c for i, c in enumerate(cols) if counts[f"c{i}"] == 0]
 
 

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from .. import codebook as cb
 from ..functions import logic
 from ..functions.formatting import pct_cell
+from ..functions.sqltext import ident as q
+from ..functions.sqltext import string_lit as lit
 
 
 def report_flags(root: DataFrame, older_than: int = 64) -> DataFrame:
@@ -40,12 +42,6 @@ def flag_cells(df: DataFrame, flags: Sequence[str], group_col: str | None,
     once, combined map-side, and only one partial row per task is shuffled.
     Output: one row per flag with ``var``, ``yes_<level>`` (n), ``all_<level>`` (N).
     """
-    def q(name: str) -> str:
-        return "`" + name.replace("`", "``") + "`"
-
-    def lit(v: str) -> str:
-        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
     groups = [(lvl, f"{q(group_col)} = {lit(lvl)}") for lvl in levels] if group_col else []
     if total_label is not None:
         groups.append((total_label, "true"))
