@@ -993,6 +993,13 @@ where (survey_name, snapshot) in (select survey_name, max(snapshot) from p group
 """, roster_=False)
 
 
+def snapshot_roundtrip_sql():
+    """The round trip returns the cleaned roster unchanged."""
+    return panel.with_panel(f"""
+select *, assignment_label_fct in {in_list(cb.ELIGIBLE_ARMS)} as program_eligible from roster_clean
+""", responses_=False, extra=ROSTER_CLEAN)
+
+
 def drop_last_rows_sql():
     return panel.with_panel("""
 select response_id, enrollment_id, wave from responses
@@ -1061,4 +1068,7 @@ ORACLE = {
     "value_counts": value_counts_sql(),
     "latest_snapshot": latest_snapshot_sql(),
     "drop_last_rows": drop_last_rows_sql(),
+    "snapshot_roundtrip": snapshot_roundtrip_sql(),
+    # CSV keeps every cell (no cell is an empty string); NULL cells come back NULL
+    "csv_roundtrip": quarterly_table_sql(),
 }
