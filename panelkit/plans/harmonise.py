@@ -9,6 +9,8 @@ the per-(wave, version) form for schemas that genuinely differ.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +28,12 @@ def cached_columns(fn):
     cache: dict = {}
 
     def wrapper(book: Codebook, *args):
-        key = (repr(book), args)
+        from pyspark import SparkContext
+
+        # Columns belong to one JVM gateway (classic) or are client-side
+        # (Spark Connect): never hand one kind to the other.
+        key = (repr(book), args, id(getattr(SparkContext, "_gateway", None)),
+               os.environ.get("SPARK_CONNECT_MODE_ENABLED"))
         if key not in cache:
             cache[key] = fn(book, *args)
         return cache[key]
