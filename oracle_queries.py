@@ -448,7 +448,7 @@ def sel_flag_sql(opts, no_opt, only):
 
 def flag_summary_sql():
     flags = [f for f, _ in cb.QUARTERLY_LABELS]
-    labels = ", ".join(f"({q(f)}, {q(l)})" for f, l in cb.QUARTERLY_LABELS)
+    labels = ", ".join(f"({q(f)}, {q(l)}, {i + 1})" for i, (f, l) in enumerate(cb.QUARTERLY_LABELS))
     return with_pop(f"""
 , long AS (
   {union_long('pop', ['enrollment_id'], flags)}
@@ -457,8 +457,8 @@ def flag_summary_sql():
   where val is not null group by var
 )
 select split_part(l.lab, '--', 1) as cat, substr(l.lab, strpos(l.lab, '--') + 2) as var,
-  g.n_total, g.n, g.n / g.n_total as p
-from g join (values {labels}) l(var, lab) on g.var = l.var
+  l.var_order, g.n_total, g.n, g.n / g.n_total as p
+from g join (values {labels}) l(var, lab, var_order) on g.var = l.var
 """)
 
 

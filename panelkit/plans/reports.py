@@ -104,6 +104,8 @@ def flag_summary(pop: DataFrame, labels: Sequence[tuple[str, str]] = tuple(cb.QU
     cat, var = F.split(logic.lookup("var", dict(labels)), "--", 2), None
     return cells.filter(F.col(f"all_{cb.TOTAL_LABEL}") > 0).select(
         F.try_element_at(cat, F.lit(1)).alias("cat"), F.try_element_at(cat, F.lit(2)).alias("var"),
+        # order of first appearance (position in the unpivoted column list)
+        (F.col("var_order") + 1).alias("var_order"),
         F.col(f"all_{cb.TOTAL_LABEL}").alias("n_total"), F.col(f"yes_{cb.TOTAL_LABEL}").alias("n"),
         (F.col(f"yes_{cb.TOTAL_LABEL}") / F.col(f"all_{cb.TOTAL_LABEL}")).alias("p"))
 
