@@ -137,3 +137,133 @@ def sample_table(pop: DataFrame, row: str = "cohort_name", col: str = "assignmen
     grand = wide.agg(*[F.sum(lv).alias(lv) for lv in [*levels, cb.TOTAL_LABEL]]).select(
         F.lit(cb.TOTAL_LABEL).alias(row), *levels, cb.TOTAL_LABEL)
     return wide.unionByName(grand)
+
+
+# --- T2: quarter demographics -----------------------------------------------------
+
+
+def with_fiscal_quarter(df: DataFrame, date_col: str, fiscal_start: int,
+                        prefix: str = "enrollment") -> DataFrame:
+    from ..functions import dates
+
+    return df.withColumns({
+        f"{prefix}_fy": dates.fiscal_year(date_col, fiscal_start),
+        f"{prefix}_fq": dates.fiscal_quarter(date_col, fiscal_start),
+    })
+
+
+def quarter_demographics(root: DataFrame, fiscal_start: int = cb.FISCAL_START_DEMOGRAPHICS,
+                         labels: Sequence[tuple[str, str]] = tuple(cb.QUARTER_DEMO_LABELS),
+                         levels: Sequence[str] = tuple(cb.ARM_LEVELS)) -> DataFrame:
+    """Per enrolment fiscal quarter and flag: ``p% (n/N)`` per arm (older = 65+)."""
+    from ..operators import reshape
+
+    df = with_fiscal_quarter(report_flags(root), "date_of_enrollment", fiscal_start)
+    df = df.withColumns({
+        "demo_born_in_canada": ~F.col("demo_immigrant_lgl"),
+        "demo_old_lgl": F.col("demo_age") >= 65,
+    })
+    keys = ["enrollment_fy", "enrollment_fq"]
+    long = reshape.unpivot(df, [*keys, "assignment_label_fct"], [f for f, _ in labels], "var", "val")
+    g = long.filter(F.col("val").isNotNull()).groupBy(*keys, "assignment_label_fct", "var").agg(
+        F.count(F.lit(1)).alias("N_all"), F.count_if("val").alias("n_yes"))
+    g = g.withColumns({"pct_n": pct_cell(F.col("n_yes"), F.col("N_all")),
+                       "lab": logic.lookup("var", dict(labels))})
+    return reshape.pivot_cells(g, [*keys, "lab"], "assignment_label_fct", list(levels), "pct_n")
+
+
+def province_crosstab(root: DataFrame, fiscal_start: int = cb.FISCAL_START_DEMOGRAPHICS,
+                      levels: Sequence[str] = tuple(cb.ARM_LEVELS)) -> DataFrame:
+    """Province x arm per fiscal quarter: ``p% (n/N)`` within the arm, '' where absent."""
+    from ..operators import reshape
+    from ..operators.aggregate import group_share
+
+    df = with_fiscal_quarter(root, "date_of_enrollment", fiscal_start).filter(
+        F.col("demo_province_fct").isNotNull())
+    keys = ["enrollment_fy", "enrollment_fq"]
+    g = df.groupBy(*keys, F.col("demo_province_fct").alias("lab"), "assignment_label_fct").agg(
+        F.count(F.lit(1)).alias("n"))
+    g = group_share(g, [*keys, "assignment_label_fct"], "n", "n_arm")
+    g = g.withColumn("pct_n", pct_cell(F.col("n"), F.col("n_arm")))
+    return reshape.pivot_cells(g, [*keys, "lab"], "assignment_label_fct", list(levels), "pct_n", fill="")
+
+
+# --- T6-T9, T11, T12, T14 ------------------------------------------------------------------
+
+
+def satisfaction_summary(satis: DataFrame, labels: dict | None = None) -> DataFrame:
+    """Share of positive answers per label; unlabelled variables pool into a NULL label."""
+    from ..operators import reshape
+
+    names = [c for c in satis.columns if c.startswith("satis_")]
+    long = reshape.unpivot(satis, ["enrollment_id"], names, "var", "val")
+    lab = logic.lookup("var", labels) if labels is not None else F.col("var")
+    return long.withColumn("lab", lab).filter(F.col("val").isNotNull()).groupBy("lab").agg(
+        F.count(F.lit(1)).alias("n_total"), F.count_if("val").alias("n")).withColumn(
+        "p", F.col("n") / F.col("n_total"))
+
+
+def scale_summary(hope: DataFrame, domains: Sequence[str], labels: dict | None = None) -> DataFrame:
+    """Per domain x wave tag: N, mean and sample sd of the non-missing scores;
+    ``tag_order`` (the wave) orders the tags."""
+    from ..operators import reshape
+
+    long = reshape.unpivot(hope, ["enrollment_id", "wave", "survey_tag"], list(domains), "var", "val")
+    g = long.filter(F.col("val").isNotNull()).groupBy("var", "survey_tag").agg(
+        F.count(F.lit(1)).alias("N"), F.avg("val").alias("mean"), F.stddev_samp("val").alias("sd"),
+        F.min("wave").alias("tag_order"))
+    lab = logic.lookup("var", labels) if labels is not None else F.col("var")
+    return g.select(lab.alias("lab"), "survey_tag", "tag_order", "N", "mean", "sd")
+
+
+def scale_trend(hope: DataFrame, domains: Sequence[str]) -> DataFrame:
+    """Mean score per wave and domain (the data of a trend chart)."""
+    from ..operators import reshape
+
+    g = hope.groupBy("wave", "survey_tag").agg(*[F.avg(c).alias(c) for c in domains])
+    return reshape.unpivot(g, ["wave", "survey_tag"], list(domains), "ehs_domain", "avg_score")
+
+
+def employment_status(outcomes: DataFrame) -> DataFrame:
+    """Per wave tag: N answering employment, Employed, Enrolled (missing
+    skipped), NEET = 1 - Employed - Enrolled (aggregate formula, can be < 0)."""
+    o = outcomes.filter(F.col("job_employed").isNotNull())
+    g = o.groupBy("survey_tag").agg(
+        F.count(F.lit(1)).alias("N"),
+        F.avg(F.col("job_employed").cast("int")).alias("Employed"),
+        F.avg(F.col("educ_enrolled").cast("int")).alias("Enrolled"))
+    return g.withColumn("NEET", 1 - F.col("Employed") - F.col("Enrolled"))
+
+
+COMPENSATION_COLUMNS = ["survey_tag", "N", "annualized_salary", "_health", "_dental", "_disability",
+                        "_pension", "_vacation", "_any", "_total"]
+
+
+def compensation(outcomes: DataFrame) -> DataFrame:
+    """Among the employed, per wave tag: N, mean pay, benefit rates and mean
+    benefit count; names lose their ``job_benefits``/``job_`` prefix."""
+    from ..operators import schema
+
+    o = outcomes.filter(logic.in_set("job_employed", [True]))
+    cols = schema.matching(o, "^job_benefits|^job_annualized_salary")
+    g = o.groupBy("survey_tag").agg(F.count(F.lit(1)).alias("N"),
+                                    *[F.avg(F.col(c).cast("double")).alias(c) for c in cols])
+    g = schema.rename_matching(g, "job_benefits|job_", "")
+    return g.withColumnRenamed("_n", "_total").select(*COMPENSATION_COLUMNS)
+
+
+def missing_rate(roster: DataFrame, group: str = "cohort_name", col: str = "cohort_start_date") -> DataFrame:
+    """Share of missing ``col`` per group, largest first."""
+    return roster.groupBy(group).agg(
+        F.avg(F.col(col).isNull().cast("int")).alias("start_missing")).orderBy(F.desc("start_missing"))
+
+
+def id_length_audit(df: DataFrame, id_col: str, group: str, keep: int = 15) -> DataFrame:
+    """Non-empty ids per group: count, mean and max length, max length kept after truncation."""
+    from ..functions import text
+
+    r = df.filter(F.col(id_col).isNotNull() & (text.nchar(id_col) > 0))
+    return r.groupBy(group).agg(
+        F.count(F.lit(1)).alias("n"), F.avg(text.nchar(id_col)).alias("mean_len"),
+        F.max(text.nchar(id_col)).alias("max_len"),
+        F.max(text.nchar(text.str_sub(id_col, 1, keep))).alias("max_len_kept"))

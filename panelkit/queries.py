@@ -95,73 +95,32 @@ def education_distribution(spark, d):
                       "n_total", "n", "p")
 
 
-def _with_quarter(root, fiscal_start):
-    return root.withColumns({
-        "enrollment_fy": dates.fiscal_year("date_of_enrollment", fiscal_start),
-        "enrollment_fq": dates.fiscal_quarter("date_of_enrollment", fiscal_start),
-    })
-
-
 def flag_by_arm(spark, d):
     """Quarter demographics: per fiscal quarter and flag, p% (n/N) by arm."""
-    root = _with_quarter(reports.report_flags(_root(spark, d)), cb.FISCAL_START_DEMOGRAPHICS)
-    root = root.withColumns({
-        "demo_born_in_canada": ~F.col("demo_immigrant_lgl"),
-        "demo_old_lgl": F.col("demo_age") >= 65,
-    })
-    flags = [f for f, _ in cb.QUARTER_DEMO_LABELS]
-    long = reshape.unpivot(root, ["enrollment_fy", "enrollment_fq", "assignment_label_fct"], flags, "var", "val")
-    g = long.filter(F.col("val").isNotNull()).groupBy(
-        "enrollment_fy", "enrollment_fq", "assignment_label_fct", "var").agg(
-        F.count(F.lit(1)).alias("N_all"), F.count_if("val").alias("n_yes"))
-    g = g.withColumn("pct_n", reports.pct_cell(F.col("n_yes"), F.col("N_all")))
-    g = g.withColumn("lab", logic.lookup("var", dict(cb.QUARTER_DEMO_LABELS)))
-    return reshape.pivot_cells(g, ["enrollment_fy", "enrollment_fq", "lab"], "assignment_label_fct",
-                               cb.ARM_LEVELS, "pct_n")
+    return reports.quarter_demographics(_root(spark, d))
 
 
 def category_crosstab(spark, d):
     """Province x arm per fiscal quarter: p% (n/N) within arm, '' where absent."""
-    from .operators.aggregate import group_share
-
-    root = _with_quarter(_root(spark, d), cb.FISCAL_START_DEMOGRAPHICS).filter(
-        F.col("demo_province_fct").isNotNull())
-    keys = ["enrollment_fy", "enrollment_fq"]
-    g = root.groupBy(*keys, F.col("demo_province_fct").alias("lab"), "assignment_label_fct").agg(
-        F.count(F.lit(1)).alias("n"))
-    g = group_share(g, [*keys, "assignment_label_fct"], "n", "n_arm")
-    g = g.withColumn("pct_n", reports.pct_cell(F.col("n"), F.col("n_arm")))
-    return reshape.pivot_cells(g, [*keys, "lab"], "assignment_label_fct", cb.ARM_LEVELS, "pct_n", fill="")
+    return reports.province_crosstab(_root(spark, d))
 
 
 def label_lookup(spark, d):
     """Satisfaction summary with labels; unlabelled variables pool into one NULL-label row."""
     satis = _in_population(pipeline.construct_satis(_responses(spark, d)), spark, d)
-    names = [c for c in satis.columns if c.startswith("satis_")]
-    long = reshape.unpivot(satis, ["enrollment_id"], names, "var", "val")
-    long = long.withColumn("lab", logic.lookup("var", cb.SATISFACTION_LABELS))
-    return long.filter(F.col("val").isNotNull()).groupBy("lab").agg(
-        F.count(F.lit(1)).alias("n_total"), F.count_if("val").alias("n")).withColumn(
-        "p", F.col("n") / F.col("n_total"))
+    return reports.satisfaction_summary(satis, cb.SATISFACTION_LABELS)
 
 
 def scale_by_wave(spark, d):
     """Scale domain x wave tag: N, mean, sd of the non-missing scores (report population)."""
     h = _in_population(_hope_per_wave(spark, d), spark, d)
-    long = reshape.unpivot(h, ["enrollment_id", "wave", "survey_tag"], scales.DOMAINS, "var", "val")
-    g = long.filter(F.col("val").isNotNull()).groupBy("var", "survey_tag").agg(
-        F.count(F.lit(1)).alias("N"), F.avg("val").alias("mean"), F.stddev_samp("val").alias("sd"),
-        F.min("wave").alias("tag_order"))
-    return g.select(logic.lookup("var", cb.EHS_DOMAIN_LABELS).alias("lab"), "survey_tag", "tag_order", "N",
-                    _r("mean").alias("mean"), _r("sd").alias("sd"))
+    g = reports.scale_summary(h, scales.DOMAINS, cb.EHS_DOMAIN_LABELS)
+    return g.withColumns({"mean": _r("mean"), "sd": _r("sd")})
 
 
 def scale_trend(spark, d):
     """Mean score per wave and domain (the data of a trend line)."""
-    h = _hope_per_wave(spark, d)
-    g = h.groupBy("wave", "survey_tag").agg(*[F.avg(c).alias(c) for c in scales.DOMAINS])
-    long = reshape.unpivot(g, ["wave", "survey_tag"], scales.DOMAINS, "ehs_domain", "avg_score")
-    return long.withColumn("avg_score", _r("avg_score"))
+    return reports.scale_trend(_hope_per_wave(spark, d), scales.DOMAINS).withColumn("avg_score", _r("avg_score"))
 
 
 def effect_size(spark, d):
@@ -178,27 +137,14 @@ def _outcomes(spark, d, dedup=False):
 
 def employment_status(spark, d):
     """Per wave tag: N answering employment, Employed, Enrolled (NA skipped), NEET = 1 - E - En."""
-    o = _in_population(_outcomes(spark, d), spark, d).filter(F.col("job_employed").isNotNull())
-    g = o.groupBy("survey_tag").agg(
-        F.count(F.lit(1)).alias("N"),
-        F.avg(F.col("job_employed").cast("int")).alias("Employed"),
-        F.avg(F.col("educ_enrolled").cast("int")).alias("Enrolled"))
-    g = g.withColumn("NEET", 1 - F.col("Employed") - F.col("Enrolled"))
-    return g.select("survey_tag", "N", *[_r(c).alias(c) for c in ("Employed", "Enrolled", "NEET")])
+    g = reports.employment_status(_in_population(_outcomes(spark, d), spark, d))
+    return g.withColumns({c: _r(c) for c in ("Employed", "Enrolled", "NEET")})
 
 
 def compensation(spark, d):
     """Among the employed, per wave tag: N, mean pay, benefit rates, mean benefit count."""
-    o = _in_population(_outcomes(spark, d), spark, d).filter(logic.in_set("job_employed", [True]))
-    cols = schema.matching(o, "^job_benefits|^job_annualized_salary")
-    g = o.groupBy("survey_tag").agg(
-        F.count(F.lit(1)).alias("N"),
-        *[F.avg(F.col(c).cast("double")).alias(c) for c in cols])
-    g = schema.rename_matching(g, "job_benefits|job_", "")
-    g = g.withColumnRenamed("_n", "_total").drop("_none")
-    keep = ["survey_tag", "N", "annualized_salary", "_health", "_dental", "_disability", "_pension",
-            "_vacation", "_any", "_total"]
-    return g.select(*[(_r(c).alias(c) if c not in ("survey_tag", "N") else F.col(c)) for c in keep])
+    g = reports.compensation(_in_population(_outcomes(spark, d), spark, d))
+    return g.withColumns({c: _r(c) for c in reports.COMPENSATION_COLUMNS if c not in ("survey_tag", "N")})
 
 
 def value_counts(spark, d):
@@ -208,19 +154,12 @@ def value_counts(spark, d):
 
 
 def missing_rate(spark, d):
-    r = harmonise.clean_roster(_roster(spark, d))
-    return r.groupBy("cohort_name").agg(
-        _r(F.avg(F.col("cohort_start_date").isNull().cast("int"))).alias("start_missing")).orderBy(
-        F.desc("start_missing"))
+    out = reports.missing_rate(harmonise.clean_roster(_roster(spark, d)))
+    return out.withColumn("start_missing", _r("start_missing"))
 
 
 def id_length_audit(spark, d):
-    r = _roster(spark, d).filter(F.col("pas_id").isNotNull() & (text.nchar("pas_id") > 0))
-    return r.groupBy(F.col("province")).agg(
-        F.count(F.lit(1)).alias("n"),
-        _r(F.avg(text.nchar("pas_id"))).alias("mean_len"),
-        F.max(text.nchar("pas_id")).alias("max_len"),
-        F.max(text.nchar(text.str_sub("pas_id", 1, 15))).alias("max_len_kept"))
+    return reports.id_length_audit(_roster(spark, d), "pas_id", "province").withColumn("mean_len", _r("mean_len"))
 
 
 # --- recoding / scalar functions --------------------------------------------------------

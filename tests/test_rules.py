@@ -259,3 +259,18 @@ def test_move_last_and_columns_between(spark):
     d = spark.createDataFrame([(1, 2, 3, 4)], "Total int, a int, b int, c int")
     assert schema.move_last(d, "Total").columns == ["a", "b", "c", "Total"]
     assert schema.columns_between(d, "a", "c") == ["a", "b", "c"]
+
+
+def test_study_object_matches_registered_queries(spark):
+    import __spark_entry__ as E
+    from conftest import SMALL
+    from panelkit.plans.study import PanelStudy
+    from panelkit.sources import panel
+
+    study = PanelStudy(panel.roster(spark, SMALL), panel.responses(spark, SMALL), panel.repair(spark, SMALL))
+    a = sorted(map(tuple, study.root().collect()), key=lambda t: t[0])
+    b = sorted(map(tuple, E.queries()["consolidate_baseline"](spark, SMALL).collect()), key=lambda t: t[0])
+    assert a == b
+    m = study.materialized("test-study")
+    assert m.root().count() == len(a)
+    assert study.participants().count() == len(a)
