@@ -806,7 +806,7 @@ from responses group by survey_name
 
 
 def label_order_sql():
-    levels = ["URGENT", "HIGH", "MEDIUM", "NOT SPECIFIED", "LOW", "12-month-follow-up"]
+    levels = [*panel.WAVE_TAGS, cb.LAST_WAVE_TAG]
     vals = ", ".join(f"({q(x)})" for x in levels)
     return panel.with_panel(f"""
 , g AS (

@@ -204,6 +204,9 @@ EHS_DOMAIN_LABELS = {
     "ehs_goal_orientation": "Goal-orientation",
 }
 
+# Wave tag that is always placed last in wave-ordered outcome tables.
+LAST_WAVE_TAG = "12-month-follow-up"
+
 # Report populations: the province reports exclude the comparison arm.
 REPORT_EXCLUDED_ARM = "Comparison"
 # Quarterly report window and fiscal starts.

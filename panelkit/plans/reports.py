@@ -267,3 +267,22 @@ def id_length_audit(df: DataFrame, id_col: str, group: str, keep: int = 15) -> D
         F.count(F.lit(1)).alias("n"), F.avg(text.nchar(id_col)).alias("mean_len"),
         F.max(text.nchar(id_col)).alias("max_len"),
         F.max(text.nchar(text.str_sub(id_col, 1, keep))).alias("max_len_kept"))
+
+
+# --- O3-O5: level orders -------------------------------------------------------------
+
+
+def level_order(df: DataFrame, label: str, time_col: str, first_col: str,
+                levels: Sequence[str] = ()) -> DataFrame:
+    """Per label: exact median of ``time_col`` (order by a statistic), minimum of
+    ``first_col`` (order of first appearance) and the row count; codebook
+    ``levels`` that never occur are added with n = 0 (an expanded factor)."""
+    from ..operators.aggregate import median_by_group
+
+    g = df.groupBy(label).agg(F.min(first_col).alias("first_" + first_col), F.count(F.lit(1)).alias("n"))
+    g = g.join(median_by_group(df, [label], time_col, "median_" + time_col), label, "left")
+    if levels:
+        spark = df.sparkSession
+        lv = spark.createDataFrame([(x,) for x in levels], f"{label} string")
+        g = lv.join(g, label, "full")
+    return g.withColumn("n", F.coalesce("n", F.lit(0)))

@@ -304,15 +304,9 @@ def survey_catalog(spark, d):
 def label_order(spark, d):
     """Wave-tag orders: by median response day, by first appearance (wave),
     plus codebook levels that never occur (n = 0)."""
-    from .operators.aggregate import median_by_group
-
     p = pipeline.with_survey_fields(_responses(spark, d)).withColumn("day", F.unix_date("response_date"))
-    g = p.groupBy("survey_tag").agg(F.min("wave").alias("first_wave"), F.count(F.lit(1)).alias("n"))
-    g = g.join(median_by_group(p, ["survey_tag"], "day", "median_day"), "survey_tag", "left")
-    levels = ["URGENT", "HIGH", "MEDIUM", "NOT SPECIFIED", "LOW", "12-month-follow-up"]
-    lv = spark.createDataFrame([(x,) for x in levels], "survey_tag string")
-    out = lv.join(g, "survey_tag", "full")
-    return out.select("survey_tag", "median_day", "first_wave", F.coalesce("n", F.lit(0)).alias("n"))
+    out = reports.level_order(p, "survey_tag", "day", "wave", [*panel.WAVE_TAGS, cb.LAST_WAVE_TAG])
+    return out.select("survey_tag", F.col("median_day"), F.col("first_wave"), "n")
 
 
 # --- schema operators --------------------------------------------------------------------

@@ -164,6 +164,9 @@ RESPONSE_COLUMNS: list[tuple[str, str]] = [
     ],
 ]
 
+# Wave tags of the fixture's survey names (the order-priority texts).
+WAVE_TAGS = ["URGENT", "HIGH", "MEDIUM", "NOT SPECIFIED", "LOW"]
+
 # Select-all answers from lineitem: option k chosen iff the order has line k.
 SELECTION_OPTIONS = 7
 
