@@ -2,9 +2,9 @@
 
 A snapshot store is a parquet table partitioned by ``snapshot_ts``
 (``yyyyMMddHHmmss`` + microseconds, so two snapshots taken within one second
-never share a partition and the names still sort in time order).  Reading the latest is a filter on the partition column
-against its maximum, which Spark answers from the partition listing (partition
-pruning), so older snapshots are never scanned.
+never share a partition and the names still sort in time order).  Reading the
+latest lists the partition directories and reads only the newest one, so older
+snapshots are never scanned.
 """
 
 from __future__ import annotations
@@ -30,16 +30,31 @@ def write_snapshot(df: DataFrame, store: str, stamp: str | None = None) -> str:
     return stamp
 
 
+def snapshot_stamps(spark: SparkSession, store: str) -> list[str]:
+    """Stamps present in ``store``, from the directory listing only (no data read)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(store)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    prefix = SNAPSHOT_COL + "="
+    return sorted(st.getPath().getName()[len(prefix):] for st in fs.listStatus(path)
+                  if st.isDirectory() and st.getPath().getName().startswith(prefix))
+
+
 def latest_snapshot(spark: SparkSession, store: str) -> DataFrame | None:
-    """Rows of the newest snapshot, or None if the store is absent or empty."""
-    try:
-        df = spark.read.parquet(store)
-    except Exception as e:  # noqa: BLE001 - path does not exist / empty
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return None
-        raise
-    latest = df.select(F.max(SNAPSHOT_COL)).scalar()
-    return df.filter(F.col(SNAPSHOT_COL) == latest).drop(SNAPSHOT_COL)
+    """Rows of the newest snapshot, or None if the store is absent or empty.
+
+    The newest stamp comes from listing the partition directories (names sort
+    in time order), and only that partition is read -- older snapshots are
+    never opened, however many there are.
+    """
+    stamps = snapshot_stamps(spark, store)
+    if not stamps:
+        return None
+    latest = stamps[-1]
+    return (spark.read.option("basePath", store).parquet(f"{store.rstrip('/')}/{SNAPSHOT_COL}={latest}")
+            .drop(SNAPSHOT_COL))
 
 
 def load(spark: SparkSession, store: str, fetch, force: bool = False) -> DataFrame:
