@@ -52,6 +52,7 @@ def main() -> None:
     spark = local_session(cpus, shuffle_partitions=int(cpus) * 2, app_name="panelkit-bench")
 
     times: dict[str, float] = {}
+    failed: dict[str, str] = {}
     for name in names:
         fn = QUERIES[name]
 
@@ -60,8 +61,11 @@ def main() -> None:
             fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
 
-        once()  # warm-up: JIT, file listing, broadcast of dimensions
-        times[name] = round(statistics.median(once() for _ in range(runs)), 3)
+        try:
+            once()  # warm-up: JIT, file listing, broadcast of dimensions
+            times[name] = round(statistics.median(once() for _ in range(runs)), 3)
+        except Exception as e:  # noqa: BLE001 - report, keep benchmarking the rest
+            failed[name] = str(e).splitlines()[0][:200]
 
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
@@ -73,6 +77,7 @@ def main() -> None:
         "cpus": int(cpus),
         "runs": runs,
         "spark": spark.version,
+        **({"failed": failed} if failed else {}),
     }))
     spark.stop()
 
