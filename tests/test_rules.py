@@ -274,3 +274,15 @@ def test_study_object_matches_registered_queries(spark):
     m = study.materialized("test-study")
     assert m.root().count() == len(a)
     assert study.participants().count() == len(a)
+
+
+def test_csv_sink_and_inferred_scan(spark):
+    from panelkit.session import scratch_dir
+
+    path = scratch_dir(spark, "test-csv")
+    df = spark.createDataFrame([(1, 2.5, "a b", None), (2, None, "", "x")], "i int, d double, s string, t string")
+    files.write_csv(df, path, single_file=True)
+    back = files.read_csv(spark, path, infer=True)
+    assert dict(back.dtypes) == {"i": "int", "d": "double", "s": "string", "t": "string"}
+    # missing and empty both come back missing (CSV has no NULL marker)
+    assert sorted(rows(back, "i", "d", "s", "t")) == [(1, 2.5, "a b", None), (2, None, None, "x")]
