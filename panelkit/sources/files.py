@@ -37,4 +37,5 @@ def drop_last(df: DataFrame, order_col: str, n: int = 2) -> DataFrame:
     removed with an anti join: no global sort, no unpartitioned window.
     """
     tail = df.select(order_col).orderBy(F.col(order_col).desc()).limit(n)
-    return df.join(tail, order_col, "left_anti")
+    # the tail has at most n rows by construction: broadcast it
+    return df.join(F.broadcast(tail), order_col, "left_anti")
