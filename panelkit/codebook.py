@@ -7,7 +7,7 @@ built to replace.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # ---------------------------------------------------------------------------
 # Fixed values.  These must equal the original questionnaire/report values for
@@ -167,8 +167,6 @@ class Codebook:
     response_col: str = "response_id"
     wave_col: str = "wave"
     version_col: str = "version"
-    # Waves whose answers feed the consolidated baseline.
-    baseline_rule: str = "intake_or_v2_early"
     # v2 select-all option columns.
     indigenous_options: tuple[str, ...] = ("demo_indigenous_1", "demo_indigenous_2", "demo_indigenous_3")
     indigenous_no_option: str = "demo_indigenous_2"
@@ -176,7 +174,6 @@ class Codebook:
     race_not_racialized_option: str = "demo_race_7"
     home_province: str = HOME_PROVINCE
     eligible_arms: tuple[str, ...] = tuple(ELIGIBLE_ARMS)
-    extra: dict = field(default_factory=dict)
 
     def check_arity(self, names: list[str], available: list[str], what: str) -> list[str]:
         """Positional rename guard: fail loudly if more columns than names."""
