@@ -831,21 +831,9 @@ def clean_names_sql():
             "c_acctbal as acct_bal, c_mktsegment as mkt_segment from customer")
 
 
-def v1_null_columns() -> list[str]:
-    """Response columns that are NULL on every version-1 row by construction."""
-    out = []
-    for name, expr in panel.RESPONSE_COLUMNS:
-        v2_only = (expr.startswith(f"case when {panel._V2} then")
-                   and not expr.startswith(f"case when {panel._V2} then null") and " else " not in expr)
-        if expr.startswith(f"case when {panel._V1} then null") or f"case when {panel._V2} and" in expr or v2_only:
-            out.append(name)
-    return out
-
-
 def drop_all_null_sql():
-    gone = set(v1_null_columns())
-    cols = [n for n, _ in panel.RESPONSE_COLUMNS if n not in gone]
-    return panel.with_panel(f"select {', '.join(cols)} from responses where version = 1", roster_=False)
+    cols = [n for n, _ in panel.ROSTER_COLUMNS if n != "vip_note"]
+    return panel.with_panel(f"select {', '.join(cols)} from roster", responses_=False)
 
 
 def primary_record_sql():

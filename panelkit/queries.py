@@ -324,8 +324,8 @@ def clean_names(spark, d):
 
 
 def drop_all_null(spark, d):
-    p = _responses(spark, d).filter(F.col("version") == 1)
-    return schema.drop_all_null(p)
+    """The roster without the columns its source never fills (data-dependent schema)."""
+    return schema.drop_all_null(_roster(spark, d))
 
 
 def primary_record(spark, d):

@@ -41,6 +41,8 @@ ROSTER_COLUMNS: list[tuple[str, str]] = [
     ("f_c", "case when c_custkey % 5 = 0 then null else c_acctbal > 6000 end"),
     ("educ_code", "case when c_custkey % 9 = 0 then null else cast(1 + c_custkey % 7 as int) end"),
     ("acct_text", "concat('$', cast(cast(floor(c_acctbal) as bigint) as string), ' CAD')"),
+    # a field the source never fills (no balance reaches it): all missing
+    ("vip_note", "case when c_acctbal > 1000000 then 'vip' end"),
 ]
 
 _V1 = "o_orderkey % 2 = 0"

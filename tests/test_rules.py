@@ -286,3 +286,8 @@ def test_csv_sink_and_inferred_scan(spark):
     assert dict(back.dtypes) == {"i": "int", "d": "double", "s": "string", "t": "string"}
     # missing and empty both come back missing (CSV has no NULL marker)
     assert sorted(rows(back, "i", "d", "s", "t")) == [(1, 2.5, "a b", None), (2, None, None, "x")]
+
+
+def test_drop_all_null_columns(spark):
+    d = spark.createDataFrame([(1, None, "a"), (2, None, None)], "id int, gone string, kept string")
+    assert schema.drop_all_null(d).columns == ["id", "kept"]
