@@ -135,21 +135,40 @@ def nest_outcomes(outcomes_per_wave: DataFrame, book: Codebook = DEFAULT_CODEBOO
 SATIS_RAW = {2: [f"satis_{j}" for j in range(1, 7)], 3: [f"satis_{j}" for j in range(1, 6)]}
 
 
-def construct_satis(responses: DataFrame, book: Codebook = DEFAULT_CODEBOOK) -> DataFrame:
+def construct_satis(responses: DataFrame, book: Codebook = DEFAULT_CODEBOOK,
+                    method: str = "aggregate") -> DataFrame:
     """Top-box flags of wave 2 and wave 3 (each stacked over versions), one row
-    per participant and wave (first non-missing), then a full outer join on the
-    participant: the join is 1:1, never all pairs of a participant's rows."""
+    per participant: wave 2 full-joined to wave 3 on the participant.
+
+    ``method="aggregate"`` (default) computes it as ONE first-non-missing
+    aggregate over the responses of both waves, each wave's columns being NULL
+    on the other wave's rows: same rows and values as the full join of the two
+    per-wave consolidations, without the join and with one scan.
+    ``method="full_join"`` builds the two per-wave tables and full-joins them
+    (1:1 after consolidation, never all pairs of a participant's rows).
+    """
+    from .scales import satisfaction_top_box, satisfaction_top_box_waves
+
+    names = [n for wave in SATIS_RAW for n in cb_satis_names(wave, SATIS_RAW[wave], book)]
+    if method == "aggregate":
+        tb = satisfaction_top_box_waves(responses, SATIS_RAW, book)
+        return consolidate(tb, [book.id_col], ["version", "response_id"], names)
     from ..operators.joins import full_join_on
-    from .scales import satisfaction_top_box
 
     per_wave = []
     for wave, raw in SATIS_RAW.items():
         tb = satisfaction_top_box(responses, wave, raw, book)
-        names = [c for c in tb.columns if c.startswith("satis_")]
-        per_wave.append(consolidate(tb, [book.id_col], ["version", "response_id"], names))
+        per_wave.append(consolidate(tb, [book.id_col], ["version", "response_id"],
+                                    cb_satis_names(wave, raw, book)))
     return full_join_on(per_wave[0], per_wave[1], book.id_col)
 
 
+def cb_satis_names(wave: int, raw, book: Codebook = DEFAULT_CODEBOOK) -> list[str]:
+    from .. import codebook as cb
+
+    return book.check_arity(cb.SATISFACTION_NAMES[wave], list(raw), f"satisfaction wave {wave}")
+
+
 # --- H24: participant assembly ------------------------------------------------------
 
 

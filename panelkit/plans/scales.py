@@ -91,6 +91,29 @@ def satisfaction_top_box(df: DataFrame, wave: int, raw: Sequence[str],
                     *[((F.col(f"__max_{n}") - F.col(n)) <= 1).alias(n) for n in names])
 
 
+def satisfaction_top_box_waves(df: DataFrame, waves: dict[int, Sequence[str]],
+                               book: Codebook = DEFAULT_CODEBOOK, strict: bool = True) -> DataFrame:
+    """Top-box flags of several waves in one pass: one row per response of those
+    waves, with every wave's (positionally renamed) columns, NULL outside the
+    response's own wave.  Equivalent to stacking ``satisfaction_top_box`` per
+    wave by name, with one scan and one maxima aggregate keyed by survey
+    (wave, version) -- bounded by the codebook's survey list, so broadcast.
+    """
+    w, v = book.wave_col, book.version_col
+    raw_all = sorted({r for raw in waves.values() for r in raw}, key=lambda r: (len(r), r))
+    rows = df.filter(F.col(w).isin(list(waves)) & F.col(book.response_col).isNotNull())
+    codes = rows.select(book.id_col, book.response_col, w, v,
+                        *[F.col(r).try_cast("int").alias(r) for r in raw_all])
+    mx = codes.groupBy(w, v).agg(*[(strict_max(r) if strict else F.max(r)).alias(f"__max_{r}") for r in raw_all])
+    j = codes.join(F.broadcast(mx), [w, v])
+    flags = []
+    for wave, raw in waves.items():
+        names = book.check_arity(cb.SATISFACTION_NAMES[wave], list(raw), f"satisfaction wave {wave}")
+        flags += [F.when(F.col(w) == wave, (F.col(f"__max_{r}") - F.col(r)) <= 1).alias(n)
+                  for r, n in zip(raw, names)]
+    return j.select(book.id_col, book.response_col, v, w, *flags)
+
+
 # --- T10: wave-to-wave effect size ------------------------------------------
 
 

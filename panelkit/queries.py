@@ -396,7 +396,7 @@ def rows_update(spark, d):
 
 
 def full_join_waves(spark, d):
-    return pipeline.construct_satis(_responses(spark, d))
+    return pipeline.construct_satis(_responses(spark, d), method="full_join")
 
 
 def union_by_name(spark, d):
@@ -475,10 +475,7 @@ def score_scale(spark, d):
 
 
 def top_box(spark, d):
-    p = _responses(spark, d)
-    parts = [scales.satisfaction_top_box(p, w, raw).withColumn("wave", F.lit(w))
-             for w, raw in pipeline.SATIS_RAW.items()]
-    return joins.union_by_name(parts)
+    return scales.satisfaction_top_box_waves(_responses(spark, d), pipeline.SATIS_RAW)
 
 
 QUERIES = {name: fn for name, fn in [

@@ -291,3 +291,16 @@ def test_csv_sink_and_inferred_scan(spark):
 def test_drop_all_null_columns(spark):
     d = spark.createDataFrame([(1, None, "a"), (2, None, None)], "id int, gone string, kept string")
     assert schema.drop_all_null(d).columns == ["id", "kept"]
+
+
+def test_satisfaction_aggregate_equals_full_join(spark):
+    from conftest import SMALL
+    from panelkit.plans import pipeline
+    from panelkit.sources import panel
+
+    p = panel.responses(spark, SMALL)
+    a = pipeline.construct_satis(p, method="aggregate")
+    b = pipeline.construct_satis(p, method="full_join")
+    cols = sorted(a.columns)
+    assert cols == sorted(b.columns)
+    assert sorted(map(tuple, a.select(*cols).collect())) == sorted(map(tuple, b.select(*cols).collect()))
