@@ -304,3 +304,13 @@ def test_satisfaction_aggregate_equals_full_join(spark):
     cols = sorted(a.columns)
     assert cols == sorted(b.columns)
     assert sorted(map(tuple, a.select(*cols).collect())) == sorted(map(tuple, b.select(*cols).collect()))
+
+
+def test_skew_join_left_keeps_unmatched_and_hot_list_is_bounded(spark):
+    big = spark.range(2000).select((F.col("id") % 4).alias("k"), F.col("id").alias("rid"))
+    small = spark.createDataFrame([(0, "a"), (1, "b")], "k long, v string")
+    hot = joins.hot_keys(big, ["k"], hot_rows=500)
+    assert hot.count() <= 2000 // 500
+    out = joins.skew_join(big, small, ["k"], how="left", hot_rows=500, salts=4, salt_by="rid")
+    assert out.count() == 2000
+    assert out.filter(F.col("v").isNull()).count() == 1000
