@@ -1002,6 +1002,7 @@ ORACLE = {
     "flag_summary": flag_summary_sql(),
     "flag_by_arm": flag_by_arm_sql(),
     "category_crosstab": category_crosstab_sql(),
+    "quarter_demographics": f"select * from ({flag_by_arm_sql()}) union all by name select * from ({category_crosstab_sql()})",
     "sample_table": sample_table_sql(),
     "sample_size": sample_size_sql(),
     "education_distribution": education_distribution_sql(),

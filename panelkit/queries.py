@@ -105,6 +105,13 @@ def category_crosstab(spark, d):
     return reports.province_crosstab(_root(spark, d))
 
 
+def quarter_demographics(spark, d):
+    """The saved quarter table: flag rows stacked over province rows (by name),
+    per enrolment fiscal quarter; flag cells NULL, province cells '' when absent."""
+    root = _root(spark, d)
+    return joins.union_by_name([reports.quarter_demographics(root), reports.province_crosstab(root)])
+
+
 def label_lookup(spark, d):
     """Satisfaction summary with labels; unlabelled variables pool into one NULL-label row."""
     satis = _in_population(pipeline.construct_satis(_responses(spark, d)), spark, d)
@@ -484,6 +491,7 @@ QUERIES = {name: fn for name, fn in [
     ("flag_summary", flag_summary),
     ("flag_by_arm", flag_by_arm),
     ("category_crosstab", category_crosstab),
+    ("quarter_demographics", quarter_demographics),
     ("sample_table", sample_table),
     ("sample_size", sample_size),
     ("education_distribution", education_distribution),
