@@ -43,21 +43,38 @@ def flat_columns(schema: T.StructType, prefix: str = "", sep: str = ".") -> list
     return out
 
 
+def _flatten(parsed: DataFrame, root: str, clean: T.StructType, rename: dict[str, str] | None) -> DataFrame:
+    leaves = flat_columns(clean)
+    rename = rename or {}
+    missing = set(rename) - {p for p, _ in leaves}
+    if missing:
+        raise ValueError(f"rename paths not in schema: {sorted(missing)}")
+    prefix = f"{root}." if root else ""
+    return parsed.select(*[F.col(f"{prefix}{p}").alias(rename.get(p, flat)) for p, flat in leaves])
+
+
 def flatten_records(df: DataFrame, json_col: str, schema: T.StructType,
                     rename: dict[str, str] | None = None, meta: str = META_FIELD) -> DataFrame:
-    """Parse JSON records, drop metadata members, flatten nested parents.
+    """Parse JSON records held in a string column, drop metadata members,
+    flatten nested parents.
 
     ``rename`` maps flattened dotted paths to canonical names; every mapped path
     must exist in the schema (fails loudly instead of renaming by position).
     """
     clean = strip_meta(schema, meta)
     parsed = df.select(F.from_json(F.col(json_col), clean).alias("__r"))
-    leaves = flat_columns(clean)
-    rename = rename or {}
-    missing = set(rename) - {p for p, _ in leaves}
-    if missing:
-        raise ValueError(f"rename paths not in schema: {sorted(missing)}")
-    return parsed.select(*[F.col(f"__r.{p}").alias(rename.get(p, flat)) for p, flat in leaves])
+    return _flatten(parsed, "__r", clean, rename)
+
+
+def read_records(spark: SparkSession, path: str, schema: T.StructType,
+                 rename: dict[str, str] | None = None, meta: str = META_FIELD) -> DataFrame:
+    """Landed JSON-lines record files -> flat columns.
+
+    The reader gets the schema without metadata members, so they are never
+    parsed, and no inference pass runs over the files.
+    """
+    clean = strip_meta(schema, meta)
+    return _flatten(spark.read.schema(clean).json(path), "", clean, rename)
 
 
 def json_int(c: str, path: str) -> Column:

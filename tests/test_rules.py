@@ -314,3 +314,19 @@ def test_skew_join_left_keeps_unmatched_and_hot_list_is_bounded(spark):
     out = joins.skew_join(big, small, ["k"], how="left", hot_rows=500, salts=4, salt_by="rid")
     assert out.count() == 2000
     assert out.filter(F.col("v").isNull()).count() == 1000
+
+
+def test_read_landed_json_records(spark):
+    from panelkit.session import scratch_dir
+    from pyspark.sql import types as T
+
+    meta = T.StructType([T.StructField("type", T.StringType())])
+    sch = T.StructType([T.StructField("attributes", meta), T.StructField("Id", T.LongType()),
+                        T.StructField("P", T.StructType([T.StructField("attributes", meta),
+                                                         T.StructField("Name", T.StringType())]))])
+    path = scratch_dir(spark, "test-json")
+    spark.createDataFrame([('{"attributes":{"type":"X"},"Id":1,"P":{"Name":"n"}}',), ('{"Id":2}',)],
+                          "value string").write.text(path)
+    out = records.read_records(spark, path, sch, {"P.Name": "parent_name"})
+    assert out.columns == ["Id", "parent_name"]
+    assert sorted(rows(out, "Id", "parent_name")) == [(1, "n"), (2, None)]
