@@ -51,3 +51,9 @@ def test_drop_last_uses_top_n(spark):
 def test_window_check_sees_windows(spark):
     specs = window_partition_specs(QUERIES["category_crosstab"](spark, SMALL))
     assert specs and all(specs)
+
+
+def test_relationship_extract_pushes_in_list_to_scan(spark):
+    p = plan(QUERIES["relationship_extract"](spark, SMALL))
+    scan = [l for l in p.splitlines() if "customer.parquet" in l]
+    assert scan and any("PushedFilters" in l and "In(c_mktsegment" in l for l in scan)
