@@ -7,8 +7,9 @@ ORACLE holds DuckDB SQL where SQL can express the result.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash
+from . import simhash, topk
 from .common import table
 
 
@@ -16,8 +17,31 @@ def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+def op10_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
 QUERIES = {
+    "op10_block_topk": op10_block_topk,
     "op7_simhash_bktree": op7_simhash_bktree,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op10_block_topk": """
+WITH clean AS (
+  SELECT row_number() OVER () AS uid, vec_id,
+         list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.uid, q.vec_id AS query_id, d.vec_id,
+         CAST(list_dot_product(q.v, d.v) AS BIGINT) AS score
+  FROM clean q JOIN clean d ON q.uid <> d.uid
+  WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY uid ORDER BY score DESC, vec_id) AS n FROM scored
+)
+SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <= 20
+""",
+}
