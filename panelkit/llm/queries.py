@@ -9,10 +9,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, topk
+from . import curriculum, hilbert, simhash, topk
 from .common import table
 
 
+def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = curriculum.mix_plan(table(spark, sf_dir, "documents"))
+    plan = plan.withColumn("position", F.round("position", 9))
+    return (plan.select("doc_id", "size", "source_size", "target", "taken", "position")
+            .orderBy(F.col("position").asc_nulls_last(), "doc_id"))
+
+
+def op6_hilbert_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.hilbert_shards(table(spark, sf_dir, "documents"), shards=40, bits=4, dims=("source", "lang"))
+
+
 def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
@@ -22,11 +33,57 @@ def op10_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_curriculum_mix": op3_curriculum_mix,
+    "op6_hilbert_shard": op6_hilbert_shard,
     "op10_block_topk": op10_block_topk,
     "op7_simhash_bktree": op7_simhash_bktree,
 }
 
 ORACLE: dict[str, str] = {
+    "op3_curriculum_mix": r"""
+WITH docs AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+  FROM documents
+), sized AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         row_number() OVER (ORDER BY source NULLS LAST) - 1 AS kind
+  FROM docs GROUP BY source
+), weighted AS (
+  SELECT *, [5, 2, 1][1 + kind % 3] AS w, 2 * source_size AS cap FROM sized
+), ranked AS (
+  SELECT *, row_number() OVER (ORDER BY cap / w, kind) AS n,
+         sum(source_size) OVER () AS total,
+         sum(w) OVER () - coalesce(sum(w) OVER (ORDER BY cap / w, kind ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS w_left,
+         coalesce(sum(cap) OVER (ORDER BY cap / w, kind ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS cap_before
+  FROM weighted
+), level AS (
+  SELECT n AS level_n, 3 * total - 2 * cap_before AS left2, w_left AS level_w FROM ranked
+  WHERE (3 * total - 2 * cap_before) * w <= 2 * cap * w_left ORDER BY n LIMIT 1
+), goals AS (
+  SELECT source, source_size, kind,
+         CASE WHEN n < level_n THEN CAST(cap AS DOUBLE)
+              ELSE CAST(left2 AS DOUBLE) / 2 * w / CAST(level_w AS DOUBLE) END AS target
+  FROM ranked, level
+), stream AS (
+  SELECT d.doc_id, d.size, g.source_size, g.target, g.kind, CAST(floor(g.target) AS BIGINT) AS goal,
+         CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.doc_id, d.size
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS BIGINT) AS start
+  FROM docs d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source
+), placed AS (
+  SELECT *, greatest(least(goal - start, size), 0) AS first, greatest(least(goal - start - source_size, size), 0) AS second,
+         CAST(start AS DOUBLE) / CAST(goal AS DOUBLE) AS share
+  FROM stream
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(first + second AS BIGINT) AS taken,
+       CASE WHEN first > 0 THEN round(CASE kind % 3
+         WHEN 0 THEN share * 2 / (0.5 + sqrt(0.25 + 2 * share))
+         WHEN 1 THEN share
+         ELSE CASE WHEN share < 0.625 THEN share * 2 / (1.5 + sqrt(2.25 - 2 * share))
+                   ELSE 0.5 + (share - 0.625) * 2 / (1.0 + sqrt(1.0 - 2 * (share - 0.625))) END
+         END, 9) END AS position
+FROM placed
+""",
     "op10_block_topk": """
 WITH clean AS (
   SELECT row_number() OVER () AS uid, vec_id,
