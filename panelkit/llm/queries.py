@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import curriculum, hilbert, simhash, topk
+from . import curriculum, hilbert, pieces, simhash, topk
 from .common import table
 
 
@@ -28,6 +28,10 @@ def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
 
@@ -35,6 +39,7 @@ def op10_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_curriculum_mix": op3_curriculum_mix,
     "op6_hilbert_shard": op6_hilbert_shard,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_block_topk": op10_block_topk,
     "op7_simhash_bktree": op7_simhash_bktree,
 }
