@@ -25,7 +25,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables from :func:`materialize` whose consumers are themselves written out."""
+    for df in tables:
+        spark = df.sparkSession
+        at = spark._jvm.org.apache.hadoop.fs.Path(df._scratch)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def bucket_of(text_id: Column, modulus: int) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import curriculum, hilbert, pieces, simhash, topk
+from . import curriculum, hilbert, pieces, recompression, simhash, topk
 from .common import table
 
 
@@ -20,6 +20,10 @@ def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
             .orderBy(F.col("position").asc_nulls_last(), "doc_id"))
 
 
+def op5_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.dedup_digests(table(spark, sf_dir, "documents"))
+
+
 def op6_hilbert_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.hilbert_shards(table(spark, sf_dir, "documents"), shards=40, bits=4, dims=("source", "lang"))
 
@@ -38,6 +42,7 @@ def op10_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_curriculum_mix": op3_curriculum_mix,
+    "op5_recompression_dedup": op5_recompression_dedup,
     "op6_hilbert_shard": op6_hilbert_shard,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_block_topk": op10_block_topk,
@@ -88,6 +93,25 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(first + s
                    ELSE 0.5 + (share - 0.625) * 2 / (1.0 + sqrt(1.0 - 2 * (share - 0.625))) END
          END, 9) END AS position
 FROM placed
+""",
+    "op5_recompression_dedup": r"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS uid, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT uid, doc_id, p, array_to_string(w[p:p + 49], ' ') AS words
+  FROM (SELECT uid, doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM docs WHERE doc_id IS NOT NULL)
+), old AS (
+  SELECT uid, p FROM (SELECT uid, doc_id, p, min(doc_id) OVER (PARTITION BY words) AS least FROM windows) WHERE doc_id > least
+), gone AS (
+  SELECT DISTINCT uid, unnest(range(p, p + 50)) AS p FROM old
+), marks AS (
+  SELECT uid, list(p) AS gone FROM gone GROUP BY uid
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(len(m.gone), 0) AS BIGINT) AS n_removed,
+       sha256(CASE WHEN m.gone IS NULL THEN array_to_string(d.w, ' ') ELSE
+              coalesce(array_to_string(list_transform(list_filter(range(1, len(d.w) + 1), lambda i: NOT list_contains(m.gone, i)),
+                                             lambda i: d.w[i]), ' '), '') END) AS kept_sha256
+FROM docs d LEFT JOIN marks m ON d.uid = m.uid
 """,
     "op10_block_topk": """
 WITH clean AS (
