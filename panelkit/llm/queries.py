@@ -9,10 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import curriculum, hilbert, pieces, recompression, simhash, topk
+from . import curriculum, hilbert, minhash, pieces, recompression, simhash, topk
 from .common import table
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = curriculum.mix_plan(table(spark, sf_dir, "documents"))
     plan = plan.withColumn("position", F.round("position", 9))
@@ -41,6 +45,7 @@ def op10_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_minhash": op1_minhash,
     "op3_curriculum_mix": op3_curriculum_mix,
     "op5_recompression_dedup": op5_recompression_dedup,
     "op6_hilbert_shard": op6_hilbert_shard,
