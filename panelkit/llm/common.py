@@ -39,8 +39,8 @@ def release(*tables: DataFrame) -> None:
 
 
 def bucket_of(text_id: Column, modulus: int) -> Column:
-    """crc32 of the id as text, modulo ``modulus``; NULL ids count as remainder NULL."""
-    return F.crc32(text_id.cast("string").cast("binary")) % F.lit(modulus)
+    """crc32 of the id as text, modulo ``modulus``; a NULL id counts as the empty text."""
+    return F.crc32(F.coalesce(text_id.cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)
 
 
 def globally_ordered(df: DataFrame, keys: list[Column], name: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import curriculum, hilbert, minhash, pieces, recompression, simhash, topk
+from . import curriculum, hilbert, language_id, minhash, pieces, recompression, simhash, topk
 from .common import table
 
 
@@ -24,6 +24,10 @@ def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
             .orderBy(F.col("position").asc_nulls_last(), "doc_id"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op5_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.dedup_digests(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ def op10_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op3_curriculum_mix": op3_curriculum_mix,
+    "op4_language_id": op4_language_id,
     "op5_recompression_dedup": op5_recompression_dedup,
     "op6_hilbert_shard": op6_hilbert_shard,
     "op9_sentencepiece": op9_sentencepiece,
