@@ -188,7 +188,7 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
     wanted = min(PER_LANGUAGE, max(1, IN_ALL // len(languages)))
     share = F.create_map(*[x for lang in languages for x in (F.lit(lang), F.lit(min(1.0, wanted / sizes[lang])))])
     place = F.pmod("rank", F.lit(1_000_003)) / F.lit(1_000_003.0)
-    sample = rows.filter(place < share[F.col("lang")]).mapInPandas(
+    sample = rows.filter(place < share[F.col("lang")]).dropDuplicates(["rank", "lang"]).select("rank", "lang", "text").mapInPandas(
         _sparse, "rank long, lang string, buckets binary, counts binary").collect()
     sample.sort(key=lambda r: (r["rank"], r["lang"], bytes(r["buckets"])))
     examples = []

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import curriculum, hilbert, language_id, minhash, pieces, recompression, simhash, topk
+from . import curriculum, hilbert, language_id, minhash, pieces, quality, recompression, simhash, topk
 from .common import table
 
 
@@ -40,6 +40,10 @@ def op7_simhash_bktree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=2)
 
 
+def op8_fm_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op5_recompression_dedup": op5_recompression_dedup,
     "op6_hilbert_shard": op6_hilbert_shard,
+    "op8_fm_quality": op8_fm_quality,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_block_topk": op10_block_topk,
     "op7_simhash_bktree": op7_simhash_bktree,
