@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import curriculum, hilbert, language_id, minhash, pieces, quality, recompression, simhash, topk
+from . import curriculum, hilbert, html_extract, language_id, minhash, pieces, quality, recompression, simhash, topk
 from .common import table
 
 
@@ -17,6 +17,10 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = curriculum.mix_plan(table(spark, sf_dir, "documents"))
     plan = plan.withColumn("position", F.round("position", 9))
@@ -54,6 +58,7 @@ def op10_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash": op1_minhash,
+    "op2_html_extract": op2_html_extract,
     "op3_curriculum_mix": op3_curriculum_mix,
     "op4_language_id": op4_language_id,
     "op5_recompression_dedup": op5_recompression_dedup,
