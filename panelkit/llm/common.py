@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
@@ -58,3 +58,15 @@ def globally_ordered(df: DataFrame, keys: list[Column], name: str) -> DataFrame:
               .withColumn("_row", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
               .drop("_mid"))
     return materialize(out, name)
+
+
+def ranked(ordered: DataFrame) -> DataFrame:
+    """``_rank`` (from 0) and ``_total`` for a table from :func:`globally_ordered`.
+
+    Only the offsets, one row a partition, meet in one task and are broadcast.
+    """
+    counts = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+                            F.sum("_n").over(Window.partitionBy()).alias("_total"))
+    return ordered.join(F.broadcast(offsets), "_part").withColumn("_rank", F.col("_before") + F.col("_row"))

@@ -8,10 +8,10 @@ dimension, so the shards' min/max statistics prune on any of them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import globally_ordered, materialize
+from .common import globally_ordered, materialize, ranked
 
 
 def curve_tables(dims: int) -> tuple[list[int], list[int]]:
@@ -91,15 +91,10 @@ def cut_runs(ordered: DataFrame, shards: int) -> DataFrame:
     """``shard`` and ``slot`` for a table from :func:`globally_ordered`.
 
     Shard s takes the ranks from ceil(s n / shards) on, so counts differ by one
-    at most.  The per-partition offsets are one row a partition.
+    at most.
     """
-    counts = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
-                            F.sum("_n").over(Window.partitionBy()).alias("_total"))
-    ranked = ordered.join(F.broadcast(offsets), "_part").withColumn("_rank", F.col("_before") + F.col("_row"))
     shard = F.expr(f"(_rank * {shards}) div _total")
-    return (ranked.withColumn("shard", shard.cast("int"))
+    return (ranked(ordered).withColumn("shard", shard.cast("int"))
             .withColumn("slot", F.expr(f"_rank - (shard * _total + {shards - 1}) div {shards}")))
 
 

@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import globally_ordered, materialize, ranked
 
 #: Vectors in a block, blocks in a document range, queries in a query block.
 BLOCK, RANGE_BLOCKS, QUERY_BLOCK = 128, 64, 1024
@@ -34,29 +34,17 @@ def _pack(frame_ids, vectors, uids) -> dict:
             "matrix": m.tobytes(), "dim": dim}
 
 
-def _blocks(rows: DataFrame, size: int, per_group: int) -> DataFrame:
+def _blocks(rows: DataFrame, size: int, per_group: int, name: str) -> DataFrame:
     """Blocks of ``size`` rows in id order; ``per_group`` blocks make a group."""
 
-    def build(frames):
-        held = None
-        number = 0
-        for frame in frames:
-            held = frame if held is None else pd.concat([held, frame], ignore_index=True)
-            while len(held) >= size:
-                yield block(held.iloc[:size], number)
-                held, number = held.iloc[size:], number + 1
-        if held is not None and len(held):
-            yield block(held, number)
+    def build(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("rank")
+        return pd.DataFrame([{"grp": key[0], **_pack(part["id"], list(part["v"]), part["uid"])}
+                             for _, part in frame.groupby(frame["rank"] // size)])
 
-    def block(part, number):
-        from pyspark import TaskContext
-
-        packed = _pack(part["id"], list(part["v"]), part["uid"])
-        group = TaskContext.get().partitionId() * (1 << 24) + number // per_group
-        return pd.DataFrame([{"grp": group, **packed}])
-
-    ordered = rows.repartitionByRange("id", "uid").sortWithinPartitions("id", "uid")
-    return ordered.mapInPandas(build, "grp long, ids binary, uids binary, matrix binary, dim int")
+    ordered = ranked(globally_ordered(rows, [F.col("id"), F.col("uid")], name))
+    placed = ordered.select(F.expr(f"_rank div {size * per_group}").alias("grp"), F.col("_rank").alias("rank"), "id", "uid", "v")
+    return placed.groupBy("grp").applyInPandas(build, "grp long, ids binary, uids binary, matrix binary, dim int")
 
 
 def _unpack(rows: pd.DataFrame, dim: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -144,8 +132,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64,
                      F.coalesce("is_query", F.lit(False)).alias("is_query"),
                      F.monotonically_increasing_id().alias("uid")))
     clean = materialize(clean, "vectors")
-    docs = materialize(_blocks(clean, BLOCK, RANGE_BLOCKS), "blocks")
-    asked = materialize(_blocks(clean.filter("is_query"), QUERY_BLOCK, 1), "queries")
+    docs = materialize(_blocks(clean, BLOCK, RANGE_BLOCKS, "ordered"), "blocks")
+    asked = materialize(_blocks(clean.filter("is_query"), QUERY_BLOCK, 1, "asked"), "queries")
     spans = docs.select(F.col("grp").alias("r")).distinct()
     groups = asked.select(F.col("grp").alias("g")).distinct()
     # Every document range meets every query block: the stated query set against all rows.
