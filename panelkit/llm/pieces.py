@@ -171,7 +171,9 @@ class Decoder:
 
 
 def _shipped(spark: SparkSession, path: str):
-    return spark.sparkContext.broadcast(Pieces.read(path))
+    """The vocabulary as plain values: its size does not grow with the data."""
+    p = Pieces.read(path)
+    return spark.sparkContext.broadcast((p.piece, p.score, p.byte, p.unknown))
 
 
 def encode(text: Column, spark: SparkSession, path: str = MODEL) -> Column:
@@ -180,7 +182,7 @@ def encode(text: Column, spark: SparkSession, path: str = MODEL) -> Column:
 
     @F.pandas_udf("array<int>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = Encoder(shared.value)
+        encoder = Encoder(Pieces(*shared.value))
         for texts in batches:
             yield pd.Series([None if t is None else encoder.encode(t) for t in texts], dtype=object)
 
@@ -193,7 +195,7 @@ def decode(ids: Column, spark: SparkSession, path: str = MODEL) -> Column:
 
     @F.pandas_udf("string")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        decoder = Decoder(shared.value)
+        decoder = Decoder(Pieces(*shared.value))
         for rows in batches:
             yield pd.Series([None if r is None else decoder.decode(r) for r in rows], dtype=object)
 
