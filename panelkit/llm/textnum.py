@@ -84,7 +84,7 @@ def shingle_hashes(word: np.ndarray, k: int) -> np.ndarray:
     return mix(total)
 
 
-def text_batches(texts: list[bytes], limit: int = 4_000_000):
+def text_batches(texts: list[bytes], limit: int = 1_500_000):
     """Index ranges of texts of about ``limit`` bytes in all (one long text alone)."""
     begin, total = 0, 0
     for i, t in enumerate(texts):
