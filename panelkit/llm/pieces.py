@@ -12,7 +12,10 @@ best sum.  Decoding is exact for every text.
 
 from __future__ import annotations
 
+import hashlib
 import re
+import sys
+import types
 from collections.abc import Iterator
 
 import ahocorasick
@@ -25,7 +28,9 @@ SPACE = "▁"
 #: Stands for a literal U+2581 of a text; no valid text holds a lone surrogate.
 _LITERAL = "\udc81"
 #: Chunks remembered by a worker before it starts afresh, and the longest one.
-CACHE, CACHED_CHARS = 300_000, 64
+CACHE, CACHED_CHARS = 150_000, 48
+#: Documents handed back at a time.
+ROWS = 256
 
 _WORST = float("-inf")
 
@@ -69,6 +74,8 @@ class Encoder:
         # Spaces only begin pieces and no piece holds a line feed: chunks can then be
         # segmented alone, and remembered, without changing the best path.
         self.local = not any(re.search(f"[^{SPACE}]{SPACE}|\n", p) for p, _ in known)
+        # Two characters side by side in no piece are a safe cut as well.
+        self.pairs = {p[i:i + 2] for p, _ in known for i in range(len(p) - 1)}
         self.spaced: dict[str, list[int]] = {}
         self.bare: dict[str, list[int]] = {}
         self.newline = self._fallback_ids("\n")
@@ -122,7 +129,12 @@ class Encoder:
         return [i for part in reversed(path) for i in part]
 
     def _chunk(self, word: str, kept: dict, prefix: str) -> list[int]:
-        ids = self.best(prefix + word)
+        """Ids of a word, from those of its stem if its last character can be cut off."""
+        if len(word) > 1 and word[-2:] not in self.pairs:
+            stem, last = word[:-1], word[-1]
+            ids = (kept.get(stem) or self._chunk(stem, kept, prefix)) + (self.bare.get(last) or self._chunk(last, self.bare, ""))
+        else:
+            ids = self.best(prefix + word)
         if len(word) <= CACHED_CHARS:
             if len(kept) >= CACHE:
                 kept.clear()
@@ -170,6 +182,15 @@ class Decoder:
         return whole[1:] if whole.startswith(" ") else whole
 
 
+def _worker_encoder(values: tuple) -> Encoder:
+    """The encoder of this worker process: tasks that follow one another share its memory."""
+    held = sys.modules.setdefault("_pieces_of_this_worker", types.ModuleType("_pieces_of_this_worker"))
+    key = hashlib.sha256(repr(values).encode()).digest()
+    if getattr(held, "key", None) != key:
+        held.key, held.encoder = key, Encoder(Pieces(*values))
+    return held.encoder
+
+
 def _shipped(spark: SparkSession, path: str):
     """The vocabulary as plain values: its size does not grow with the data."""
     p = Pieces.read(path)
@@ -182,7 +203,7 @@ def encode(text: Column, spark: SparkSession, path: str = MODEL) -> Column:
 
     @F.pandas_udf("array<int>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = Encoder(Pieces(*shared.value))
+        encoder = _worker_encoder(shared.value)
         for texts in batches:
             yield pd.Series([None if t is None else encoder.encode(t) for t in texts], dtype=object)
 
@@ -205,14 +226,27 @@ def decode(ids: Column, spark: SparkSession, path: str = MODEL) -> Column:
 def encode_documents(docs: DataFrame, path: str = MODEL, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_pieces, ids, decoded_sha256, round_trip), one row per document.
 
-    Defined cases: a NULL text has NULL ids, n_pieces 0 and round_trip true; a
-    literal U+2581 is written as bytes, so it comes back; a character without a
-    piece is written as its bytes; NULL ids and repeated rows are kept; other
-    columns are not read.  A text is encoded whole.
+    Every text is encoded, and its ids decoded again, in one pass that hands back
+    a few hundred documents at a time.  Defined cases: a NULL text has NULL ids,
+    n_pieces 0 and round_trip true; a literal U+2581 is written as bytes, so it
+    comes back; a character without a piece is written as its bytes; NULL ids
+    and repeated rows are kept; other columns are not read.  A text is encoded
+    whole.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(id_col), F.col(text_col).alias("_text"), encode(F.col(text_col), spark, path).alias("ids"))
-    rows = rows.withColumn("_decoded", decode(F.col("ids"), spark, path))
-    return rows.select(id_col, F.when(F.col("ids").isNull(), 0).otherwise(F.size("ids")).alias("n_pieces"), "ids",
-                       F.sha2(F.col("_decoded").cast("binary"), 256).alias("decoded_sha256"),
-                       F.col("_decoded").eqNullSafe(F.col("_text")).alias("round_trip"))
+    shared = _shipped(docs.sparkSession, path)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encoder, decoder = _worker_encoder(shared.value), Decoder(Pieces(*shared.value))
+        for frame in frames:
+            for lo in range(0, len(frame), ROWS):
+                part = frame.iloc[lo:lo + ROWS]
+                ids = [None if t is None else encoder.encode(t) for t in part["text"]]
+                back = [None if i is None else decoder.decode(i.tolist()) for i in ids]
+                yield pd.DataFrame({
+                    id_col: part["id"].array, "n_pieces": [0 if i is None else len(i) for i in ids], "ids": ids,
+                    "decoded_sha256": [None if b is None else hashlib.sha256(b.encode()).hexdigest() for b in back],
+                    "round_trip": [b == t for b, t in zip(back, part["text"])]})
+
+    id_type = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return rows.mapInPandas(run, f"{id_col} {id_type}, n_pieces int, ids array<int>, decoded_sha256 string, round_trip boolean")
