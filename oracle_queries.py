@@ -40,6 +40,9 @@ ROSTER_CLEAN = f"""roster_clean AS (
 )"""
 
 
+PANEL_CLEAN = ROSTER_CLEAN.replace("roster_clean AS", "panel_clean AS").replace("from roster", "from survey_roster")
+
+
 def date_from_parts(y: str, m: str) -> str:
     return (f"case when {y} is null or {m} is null or {m} not between 1 and 12 then null "
             f"else make_date(cast({y} as int), cast({m} as int), 1) end")
@@ -97,7 +100,7 @@ BASELINE_TEMPLATE = f"""baseline AS (
                    else true end end as demo_racialized_lgl,
     r.demo_children = 'Yes' and (case when r.version = 1 then r.demo_parent = 'Yes'
                                       else r.demo_caregiver = 'Yes' end) as demo_parent_lgl
-  from responses r join roster_clean c on r.enrollment_id = c.enrollment_id
+  from responses r join panel_clean c on r.response_id = c.response_id
   where r.response_id is not null
     and (r.wave = 1 or r.demos = 'FALSE')
     @@WAVE_FILTER@@
@@ -156,7 +159,7 @@ ROOT = "root AS (\n  select enrollment_id,\n    " + ",\n    ".join(
 
 
 def with_root(body: str, extra: str = "") -> str:
-    ctes = ",\n".join(x for x in [ROSTER_CLEAN, BASELINE, ROOT, extra] if x)
+    ctes = ",\n".join(x for x in [PANEL_CLEAN, BASELINE, ROOT, extra] if x)
     return panel.with_panel(body, extra=ctes)
 
 
@@ -301,7 +304,7 @@ OUTCOME_COLS = ["job_employed", "job_start_date", "job_tenure_months", "job_tenu
                 "job_annualized_salary", "educ_enrolled", "neet", "survey_tag"]
 
 OUTCOMES_F = """outcomes_j AS (
-  select o.* from outcomes_h o join roster r on o.enrollment_id = r.enrollment_id
+  select o.* from outcomes_h o join survey_roster r on o.response_id = r.response_id
 ),
 outcomes_f AS (
   select enrollment_id, wave, version, response_id,
@@ -338,12 +341,12 @@ def _block(name, lo, hi, prefix="i"):
 _ANY_NULL = " or ".join(f"i{k} is null" for k in range(1, cb.SCALE_ITEMS + 1))
 
 SCORED = """scored_items AS (
-  select r.enrollment_id, r.response_id, r.wave, r.version, """ + tag_sql("r.survey_name") + """ as survey_tag,
+  select s.enrollment_id, s.response_id, s.wave, s.version, """ + tag_sql("s.survey_name") + """ as survey_tag,
     """ + ",\n    ".join(
     f"case when u.response_id is not null then u.emp_hope_1_{k} "
     f"else cast(try_cast(r.emp_hope_1_{k} as int) - 1 as double) end as i{k}" for k in range(1, cb.SCALE_ITEMS + 1)) + """
-  from responses r left join repair_wide u
-    on r.response_id = u.response_id and r.wave = 1 and r.version = 2
+  from survey_roster s left join responses r on s.response_id = r.response_id
+  left join repair_wide u on s.response_id = u.response_id and s.wave = 1 and s.version = 2
 ),
 scored AS (
   select enrollment_id, response_id, wave, version, survey_tag,
@@ -369,7 +372,7 @@ def with_hope(body: str, extra: str = "", population: bool = False) -> str:
 
 def pop_chain() -> str:
     """roster_clean -> baseline -> root -> flags -> pop, for population filters."""
-    return ",\n".join([ROSTER_CLEAN, BASELINE, ROOT, REPORT_FLAGS, POP])
+    return ",\n".join([PANEL_CLEAN, BASELINE, ROOT, REPORT_FLAGS, POP])
 
 
 
@@ -707,7 +710,7 @@ select r.response_id, r.demo_born_in_canada = 'No' as demo_immigrant_lgl,
   cast(year(c.date_of_enrollment) - r.demo_year_of_arrival as integer) as years_since_arrival,
   case when (r.demo_born_in_canada = 'No') is null then null when r.demo_year_of_arrival is null then null
        when year(c.date_of_enrollment) - r.demo_year_of_arrival <= 5 then true else false end as demo_newcomer_lgl
-from responses r join roster c on r.enrollment_id = c.enrollment_id
+from responses r join survey_roster c on r.response_id = c.response_id
 """)
 
 
@@ -718,7 +721,7 @@ select response_id, demo_income_source_fct, demo_receiving_ei_lgl, demo_receivin
   demo_parent_lgl, demo_single_parent_lgl, demo_bipoc_lgl, demo_indigenous_lgl, demo_racialized_lgl
 from baseline_h
 """
-    return panel.with_panel(body, extra=ROSTER_CLEAN + ",\n" + BASELINE_ALL)
+    return panel.with_panel(body, extra=PANEL_CLEAN + ",\n" + BASELINE_ALL)
 
 
 def outcome_flags_sql():
@@ -860,8 +863,9 @@ def relationship_extract_sql():
 
 def left_join_suffix_sql():
     return panel.with_panel("""
-select r.enrollment_id, r.province as province_sf, r.cohort_name, p.response_id, p.demo_province as province_qx
-from roster r left join responses p on r.enrollment_id = p.enrollment_id
+select r.response_id, r.qx_survey_id, r.enrollment_id as enrollment_id_sf, r.cohort_name,
+  p.enrollment_id as enrollment_id_qx, p.demo_province
+from survey_roster r left join responses p on r.response_id = p.response_id
 """)
 
 
@@ -960,7 +964,7 @@ select *, 3 as wave from tb3
 
 
 def assemble_participant_sql():
-    extra = ",\n".join([ROSTER_CLEAN, BASELINE, ROOT, repair_long_sql(), REPAIR_WIDE, SCORED, HOPE, SATIS,
+    extra = ",\n".join([PANEL_CLEAN, BASELINE, ROOT, repair_long_sql(), REPAIR_WIDE, SCORED, HOPE, SATIS,
                         OUTCOMES_H, OUTCOMES_F])
     return panel.with_panel("""
 select r.enrollment_id, r.assignment_label_fct, r.demo_age, h.n_ehs, o.n_outcomes,
@@ -991,7 +995,7 @@ select *, assignment_label_fct in {in_list(cb.ELIGIBLE_ARMS)} as program_eligibl
 def drop_last_rows_sql():
     return panel.with_panel("""
 select response_id, enrollment_id, wave from responses
-where response_id not in (select response_id from responses order by response_id desc limit 2)
+where response_id not in (select response_id from responses order by wave desc, response_id desc limit 2)
 """, roster_=False)
 
 

@@ -175,12 +175,15 @@ class Codebook:
     home_province: str = HOME_PROVINCE
     eligible_arms: tuple[str, ...] = tuple(ELIGIBLE_ARMS)
 
-    def check_arity(self, names: list[str], available: list[str], what: str) -> list[str]:
-        """Positional rename guard: fail loudly if more columns than names."""
-        if len(available) > len(names):
-            raise ValueError(
-                f"{what}: {len(available)} columns but only {len(names)} names in the codebook"
-            )
+    def check_arity(self, names: list[str], available: list[str], what: str,
+                    fewer: bool = False) -> list[str]:
+        """Positional rename guard: as many columns as names.
+
+        ``fewer`` allows a shorter block, whose columns take the first names;
+        elsewhere one absent middle question would shift all later names.
+        """
+        if len(available) > len(names) or (len(available) < len(names) and not fewer):
+            raise ValueError(f"{what}: {len(available)} columns for {len(names)} names in the codebook")
         return names[: len(available)]
 
 

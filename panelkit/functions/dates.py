@@ -68,11 +68,6 @@ def fiscal_quarter(c: ColumnOrName, fiscal_start: int) -> Column:
     return (F.pmod(F.month(d) - fiscal_start, F.lit(12)) / 3).cast("int") + 1
 
 
-def fiscal_year_quarter(c: ColumnOrName, fiscal_start: int) -> Column:
-    """``year.quarter`` as a decimal(6,1) display value, e.g. 2025.1."""
-    return (fiscal_year(c, fiscal_start) * 10 + fiscal_quarter(c, fiscal_start)).cast("decimal(7,0)") / 10
-
-
 def date_between(c: ColumnOrName, lo: str, hi: str) -> Column:
     """Inclusive date window flag."""
     return _c(c).between(F.lit(lo).cast("date"), F.lit(hi).cast("date"))

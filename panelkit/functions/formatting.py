@@ -25,8 +25,3 @@ def pct_cell(n: ColumnOrName, total: ColumnOrName) -> Column:
         F.concat(whole_percent(nn, tt).cast("string"), F.lit("% ("),
                  nn.cast("string"), F.lit("/"), tt.cast("string"), F.lit(")")),
     )
-
-
-def percent_text(p: ColumnOrName) -> Column:
-    """A proportion as whole percent text, half-even: 0.125 -> '12%'."""
-    return F.concat(F.bround(_c(p) * 100.0, 0).cast("int").cast("string"), F.lit("%"))

@@ -25,11 +25,6 @@ def in_set(c: ColumnOrName, values: Iterable) -> Column:
     return F.coalesce(_c(c).isin(list(values)), F.lit(False))
 
 
-def equals(c: ColumnOrName, value) -> Column:
-    """Plain equality: NULL stays NULL (missing propagates)."""
-    return _c(c) == F.lit(value)
-
-
 def as_int(c: ColumnOrName) -> Column:
     """Logical as number (TRUE=1, FALSE=0, NULL=NULL)."""
     return _c(c).cast("int")

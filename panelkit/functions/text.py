@@ -26,19 +26,12 @@ def str_extract(c: ColumnOrName, pattern: str) -> Column:
     return F.regexp_substr(_c(c), F.lit(pattern))
 
 
-def str_extract_group(c: ColumnOrName, pattern: str, group: int) -> Column:
-    """Capture group of the first match, NULL when the pattern does not match."""
-    col = _c(c)
-    return F.when(col.rlike(pattern), F.regexp_extract(col, pattern, group))
-
-
 def str_remove(c: ColumnOrName, pattern: str) -> Column:
-    """Remove the first match of ``pattern``.
-
-    ``regexp_replace`` replaces every match; callers pass anchored patterns
-    (``^..`` / ``..$``), which can match at most once.
-    """
-    return F.regexp_replace(_c(c), pattern, "")
+    """Remove the first match of ``pattern``; later matches stay."""
+    col, rx = _c(c), F.lit(pattern)
+    at, found = F.regexp_instr(col, rx), F.regexp_substr(col, rx)
+    rest = F.concat(F.substring(col, F.lit(1), at - 1), F.substr(col, at + F.length(found)))
+    return F.when(found.isNull() | (found == ""), col).otherwise(rest)
 
 
 def str_detect(c: ColumnOrName, pattern: str, negate: bool = False) -> Column:
@@ -56,10 +49,6 @@ def parse_integer(c: ColumnOrName) -> Column:
     return _c(c).cast("string").try_cast("int")
 
 
-def parse_double(c: ColumnOrName) -> Column:
-    return _c(c).try_cast("double")
-
-
 # Characters kept when reading the first number out of free text.
 NUMBER_PATTERN = r"-?[0-9][0-9,]*(\.[0-9]+)?|-?\.[0-9]+"
 
@@ -71,9 +60,3 @@ def parse_number(c: ColumnOrName) -> Column:
     """
     first = F.regexp_substr(_c(c), F.lit(NUMBER_PATTERN))
     return F.regexp_replace(first, ",", "").try_cast("double")
-
-
-def glue(*parts: ColumnOrName | str) -> Column:
-    """Template concatenation; plain strings are literals, Columns are values."""
-    cols = [p if isinstance(p, Column) else F.lit(p) for p in parts]
-    return F.concat(*[c.cast("string") for c in cols])

@@ -47,14 +47,22 @@ def rows_update(x: DataFrame, y: DataFrame, by: Sequence[str], where: Column | N
     """Keyed overwrite: rows of ``x`` matched in ``y`` take y's values of the
     shared columns -- missing values included; unmatched y rows are ignored.
 
-    ``y`` must be unique on ``by`` (else x rows would fan out).  A marker column
-    distinguishes "matched with NULL value" from "not matched", which
-    ``coalesce`` cannot.  ``where`` (a condition on x) limits which rows may be
-    updated, so a subset is updated in the same pass instead of split + union.
+    Columns of ``y`` that ``x`` lacks are refused when the plan is built; a key
+    that ``y`` holds twice stops the job, since x rows would otherwise fan out.
+    (The check is an aggregate on the join key: it shares the join's shuffle.)
+    A marker column distinguishes "matched with NULL value" from "not matched",
+    which ``coalesce`` cannot.  ``where`` (a condition on x) limits which rows
+    may be updated, so a subset is updated in the same pass instead of split +
+    union.
     """
     by = list(by)
-    upd = [c for c in y.columns if c not in by and c in x.columns]
-    yy = y.select(*by, *[F.col(c).alias(f"__y_{c}") for c in upd], F.lit(True).alias("__matched"))
+    unknown = [c for c in y.columns if c not in x.columns]
+    if unknown:
+        raise ValueError(f"columns to update that x does not have: {unknown}")
+    upd = [c for c in y.columns if c not in by]
+    once = F.when(F.count(F.lit(1)) == 1, True).otherwise(
+        F.raise_error(F.lit(f"rows_update: a key of {by} occurs more than once in y")).cast("boolean"))
+    yy = y.groupBy(*by).agg(*[F.first(c).alias(f"__y_{c}") for c in upd], once.alias("__matched"))
     j = x.join(yy, by, "left")
     hit = F.coalesce(F.col("__matched"), F.lit(False))
     if where is not None:
@@ -116,37 +124,3 @@ def full_join_on(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 def semi_join(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rows of ``left`` with a match in ``right`` (no fan-out, right cols dropped)."""
     return left.join(right.select(*by), list(by), "left_semi")
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
-    """Keys holding at least ``hot_rows`` rows (partial aggregation on the key
-    columns only).  At most ``rows(df) / hot_rows`` keys can qualify, so the
-    result has a size bound by construction and may be broadcast."""
-    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-            .filter(F.col("__n") >= hot_rows).select(*keys))
-
-
-def skew_join(big: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "inner",
-              hot_rows: int = 1_000_000, salts: int = 64, salt_by: str | None = None) -> DataFrame:
-    """Equi-join that spreads hot keys of ``big`` over ``salts`` tasks.
-
-    Hot keys (>= ``hot_rows`` rows in ``big``) get a salt from a hash of
-    ``salt_by`` (a row id of ``big``); the matching ``small`` rows are
-    replicated once per salt, all other keys use salt 0.  The join runs on
-    (keys, salt), so its output is not partitioned by ``keys`` alone: an
-    aggregate on ``keys`` after it gets its own shuffle with map-side partial
-    aggregation, which collapses a hot key to one row per task first.  (AQE's
-    skew-join split does not apply when the aggregate reuses the join's
-    partitioning.)  ``how`` is "inner" or "left" (``big`` on the left).
-    """
-    keys = list(keys)
-    hot = F.broadcast(hot_keys(big, keys, hot_rows).withColumn("__hot", F.lit(True)))
-    row = F.col(salt_by) if salt_by else F.monotonically_increasing_id()
-    b = big.join(hot, keys, "left").withColumn(
-        "__salt", F.when(F.col("__hot"), F.pmod(F.xxhash64(row), F.lit(salts))).otherwise(F.lit(0))
-    ).drop("__hot")
-    s = small.join(hot, keys, "left").withColumn(
-        "__salt", F.explode(F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1)))
-                            .otherwise(F.array(F.lit(0))).cast("array<bigint>"))
-    ).drop("__hot")
-    return b.join(s, [*keys, "__salt"], how).drop("__salt")

@@ -45,10 +45,22 @@ def unpivot_pattern(df: DataFrame, ids: Sequence[str], pattern: str, names_to: S
     return df.selectExpr(*[q(i) for i in ids], f"inline(array({', '.join(structs)}))")
 
 
+def listed(c: str, levels: Sequence, what: str) -> Column:
+    """Column ``c``; a value that is NULL or not among ``levels`` stops the job,
+    as it would otherwise be missing from the wide table without a sign."""
+    shown = F.coalesce(F.col(c).cast("string"), F.lit("NULL"))
+    stop = F.raise_error(F.concat(F.lit(f"{what}: level of {c} without a column: "), shown))
+    known = F.coalesce(F.col(c).isin(list(levels)), F.lit(False))
+    return F.when(known, F.col(c)).otherwise(stop)
+
+
 def pivot_named(df: DataFrame, ids: Sequence[str], names_from: str, levels: Sequence,
                 agg: Column, template: str = "{}") -> DataFrame:
-    """Long -> wide with explicit levels; output columns ``template.format(level)``."""
-    wide = df.groupBy(*ids).pivot(names_from, list(levels)).agg(agg)
+    """Long -> wide with explicit levels; output columns ``template.format(level)``.
+
+    Values of unlisted levels are refused, see :func:`listed`.
+    """
+    wide = df.withColumn(names_from, listed(names_from, levels, "pivot_named")).groupBy(*ids).pivot(names_from, list(levels)).agg(agg)
     return wide.withColumnsRenamed({str(lv): template.format(lv) for lv in levels})
 
 
@@ -57,7 +69,9 @@ def pivot_cells(df: DataFrame, ids: Sequence[str], names_from: str, levels: Sequ
     """Pivot one already-unique cell per (ids, level) -- crosstab layout.
 
     Conditional ``max`` per level in one aggregate; ``fill`` replaces absent cells.
+    Cells of unlisted levels are refused, see :func:`listed`.
     """
+    df = df.withColumn(names_from, listed(names_from, levels, "pivot_cells"))
     aggs = []
     for lv in levels:
         cell = F.max(F.when(F.col(names_from) == lv, F.col(value)))
@@ -67,12 +81,6 @@ def pivot_cells(df: DataFrame, ids: Sequence[str], names_from: str, levels: Sequ
     return df.groupBy(*ids).agg(*aggs)
 
 
-def split_label(c: Column | str, sep: str = "--") -> tuple[Column, Column]:
-    """Split on the first ``sep``: (head, rest-merged)."""
-    parts = F.split(F.col(c) if isinstance(c, str) else c, re.escape(sep), 2)
-    return F.try_element_at(parts, F.lit(1)), F.try_element_at(parts, F.lit(2))
-
-
 def nest(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
     """One row per key with the other columns as a sorted array of structs.
 

@@ -43,17 +43,6 @@ def rename_matching(df: DataFrame, pattern: str, replacement: str = "") -> DataF
     return rename_with(df, lambda c: rx.sub(replacement, c, count=1))
 
 
-def rename_positional(df: DataFrame, pattern: str, names: Sequence[str]) -> DataFrame:
-    """Rename the columns matching ``pattern`` (in column order) to ``names``.
-
-    More matching columns than names is an error; fewer take a prefix of names.
-    """
-    cols = [c for c in df.columns if re.search(pattern, c)]
-    if len(cols) > len(names):
-        raise ValueError(f"{len(cols)} columns match {pattern!r}, only {len(names)} names")
-    return df.withColumnsRenamed(dict(zip(cols, names)))
-
-
 def clean_name(name: str) -> str:
     """snake_case: split camelCase, non-alphanumerics to '_', lower, trimmed."""
     s = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", name)
@@ -98,7 +87,3 @@ def columns_between(df: DataFrame, first: str, last: str) -> list[str]:
     """Positional column range ``first:last`` (inclusive)."""
     cols = df.columns
     return cols[cols.index(first): cols.index(last) + 1]
-
-
-def move_last(df: DataFrame, *names: str) -> DataFrame:
-    return df.select(*[c for c in df.columns if c not in names], *names)

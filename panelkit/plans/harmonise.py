@@ -239,7 +239,7 @@ def benefit_flags(raw: list[str], employed: Column) -> list[Column]:
     The count is over the counted options and only for the employed (NULL
     otherwise, also when employment is unknown).
     """
-    names = cb.DEFAULT_CODEBOOK.check_arity(cb.BENEFIT_NAMES, raw, "benefits")
+    names = cb.DEFAULT_CODEBOOK.check_arity(cb.BENEFIT_NAMES, raw, "benefits", fewer=True)
     flags = {n: F.col(r).isNotNull() for r, n in zip(raw, names)}
     counted = [flags[n] for n in cb.BENEFIT_COUNTED if n in flags]
     total = logic.flag_sum(counted)

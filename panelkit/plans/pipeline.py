@@ -1,8 +1,8 @@
 """Panel assembly: responses x roster -> consolidated participant-level tables.
 
-Boundaries of the original pipeline become shuffles keyed by ``enrollment_id``
-(joins and first-non-missing aggregates share that key, so Spark reuses the
-partitioning instead of re-shuffling).
+Responses meet the roster on the response id, which is unique on both sides;
+the first-non-missing aggregates then shuffle on ``enrollment_id`` after a
+map-side combine.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..codebook import DEFAULT_CODEBOOK, Codebook
 from ..operators.aggregate import consolidate
-from ..operators.joins import skew_join, union_by_name
+from ..operators.joins import union_by_name
 from .harmonise import BASELINE_COLUMNS, clean_roster, harmonise_baseline
 
 ORDER = ["wave", "version", "response_id"]
@@ -22,22 +22,23 @@ ORDER = ["wave", "version", "response_id"]
 
 def join_panel(roster: DataFrame, responses: DataFrame, book: Codebook = DEFAULT_CODEBOOK,
                roster_cols: Sequence[str] = ("cohort_name", "date_of_enrollment",
-                                            "assignment_label_fct"),
-               hot_rows: int | None = 1_000_000, salts: int = 64) -> DataFrame:
-    """Every response with its participant's roster fields (inner: rows without a
-    roster entry cannot be harmonised).
-
-    Equi-join on the participant key.  Participants with at least ``hot_rows``
-    responses are salted over ``salts`` tasks (``joins.skew_join``), because
-    the per-participant aggregates that follow would otherwise reuse the join
-    partitioning and keep a hot participant in one task.  ``hot_rows=None``
-    gives the plain join (Spark picks broadcast or sort-merge by size).
+                                            "assignment_label_fct")) -> DataFrame:
+    """Every response with the roster fields of its survey row (inner: rows
+    without a response or without a roster entry cannot be harmonised).
+
+    Both sides are unique in the response id, so the join deals rows out evenly
+    however many of them one participant has; the per-participant aggregates
+    that follow shuffle after their map-side combine.
     """
-    r = clean_roster(roster, book).select(book.id_col, *roster_cols)
-    if hot_rows is None:
-        return responses.join(r, book.id_col, "inner")
-    return skew_join(responses, r, [book.id_col], "inner", hot_rows=hot_rows, salts=salts,
-                     salt_by=book.response_col)
+    r = clean_roster(roster, book).select(book.response_col, *roster_cols)
+    return responses.join(r, book.response_col, "inner")
+
+
+def survey_rows(roster: DataFrame, responses: DataFrame, book: Codebook = DEFAULT_CODEBOOK) -> DataFrame:
+    """Every roster row (participant x survey) with its answers, NULL without a response."""
+    own = [book.id_col, book.response_col, book.wave_col, book.version_col, "survey_name"]
+    answers = responses.drop(*[c for c in own if c != book.response_col])
+    return roster.select(*own).join(answers, book.response_col, "left")
 
 
 def baseline_rows(joined: DataFrame, book: Codebook = DEFAULT_CODEBOOK) -> DataFrame:
@@ -55,21 +56,30 @@ def construct_root(joined: DataFrame, book: Codebook = DEFAULT_CODEBOOK) -> Data
 
 
 def dispatch(df: DataFrame, keys: Sequence[str],
-             branches: dict[tuple, Callable[[DataFrame], DataFrame]]) -> DataFrame:
+             branches: dict[tuple, Callable[[DataFrame], DataFrame]],
+             default: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Apply one transform per key value (e.g. per (wave, version)) and stack.
 
     The key values come from the codebook, never from the data, so building
     the plan needs no job; every branch filters the same source (parquet
-    pushdown prunes row groups), and results are stacked by name.
+    pushdown prunes row groups), and results are stacked by name.  Rows with a
+    key that is NULL or not listed go to ``default``; without one they stop
+    the job instead of vanishing.
     """
-    parts = []
+    parts, listed = [], F.lit(False)
     for value, fn in branches.items():
-        cond = None
+        cond = F.lit(True)
         for k, v in zip(keys, value):
-            c = F.col(k) == F.lit(v)
-            cond = c if cond is None else cond & c
+            cond = cond & (F.col(k) == F.lit(v))
         parts.append(fn(df.filter(cond)))
-    return union_by_name(parts)
+        listed = listed | cond
+    rest = df.filter(~F.coalesce(listed, F.lit(False)))
+    if default is not None:
+        return union_by_name([*parts, default(rest)])
+    shown = F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    stop = F.raise_error(F.concat(F.lit(f"dispatch: no branch for {list(keys)} = "), shown))
+    first = next(iter(branches.values()))
+    return union_by_name([*parts, first(rest.filter(stop.cast("boolean")))])
 
 
 # --- survey tag from the catalogue name -----------------------------------------
@@ -85,25 +95,26 @@ def with_survey_fields(df: DataFrame, name_col: str = "survey_name") -> DataFram
 # --- H14: employment-hope history ----------------------------------------------
 
 
-def hope_per_wave(responses: DataFrame, repair: DataFrame | None,
+def hope_per_wave(surveys: DataFrame, repair: DataFrame | None,
                   book: Codebook = DEFAULT_CODEBOOK) -> DataFrame:
     """Scores of waves <= 3 consolidated per (participant, wave, tag): the flat
-    form of the history.  Tables that would unnest the history read this
+    form of the history.  ``surveys`` are the rows of :func:`survey_rows`: a
+    survey without a response stays, with missing scores.  Tables that would unnest the history read this
     directly and skip the nest/unnest round trip (one aggregation less)."""
     from .scales import DOMAINS, score_scale
 
-    early = with_survey_fields(responses.filter(F.col(book.wave_col) <= 3))
+    early = with_survey_fields(surveys.filter(F.col(book.wave_col) <= 3))
     scored = score_scale(early, repair, book)
     return consolidate(scored, [book.id_col, "wave", "survey_tag"], ["version", "response_id"], DOMAINS)
 
 
-def construct_hope(responses: DataFrame, repair: DataFrame | None,
+def construct_hope(surveys: DataFrame, repair: DataFrame | None,
                    book: Codebook = DEFAULT_CODEBOOK) -> DataFrame:
     """One nested employment-hope history per participant (bounded: one entry
     per wave)."""
     from ..operators.reshape import nest
 
-    return nest(hope_per_wave(responses, repair, book), [book.id_col], ["wave", "survey_tag"], "ehs")
+    return nest(hope_per_wave(surveys, repair, book), [book.id_col], ["wave", "survey_tag"], "ehs")
 
 
 # --- H21: outcomes history --------------------------------------------------------

@@ -86,7 +86,9 @@ def satisfaction_top_box(df: DataFrame, wave: int, raw: Sequence[str],
                         *[F.col(r).try_cast("int").alias(n) for r, n in zip(raw, names)])
     mx = codes.groupBy(book.version_col).agg(
         *[(strict_max(n) if strict else F.max(n)).alias(f"__max_{n}") for n in names])
-    j = codes.join(F.broadcast(mx), book.version_col)
+    # null-safe: rows without a version form a survey of their own
+    mx = mx.withColumnRenamed(book.version_col, "__v")
+    j = codes.join(F.broadcast(mx), F.col(book.version_col).eqNullSafe(F.col("__v")))
     return j.select(book.id_col, book.response_col, book.version_col,
                     *[((F.col(f"__max_{n}") - F.col(n)) <= 1).alias(n) for n in names])
 
@@ -105,7 +107,8 @@ def satisfaction_top_box_waves(df: DataFrame, waves: dict[int, Sequence[str]],
     codes = rows.select(book.id_col, book.response_col, w, v,
                         *[F.col(r).try_cast("int").alias(r) for r in raw_all])
     mx = codes.groupBy(w, v).agg(*[(strict_max(r) if strict else F.max(r)).alias(f"__max_{r}") for r in raw_all])
-    j = codes.join(F.broadcast(mx), [w, v])
+    mx = mx.withColumnsRenamed({w: "__w", v: "__v"})
+    j = codes.join(F.broadcast(mx), (F.col(w) == F.col("__w")) & F.col(v).eqNullSafe(F.col("__v")))
     flags = []
     for wave, raw in waves.items():
         names = book.check_arity(cb.SATISFACTION_NAMES[wave], list(raw), f"satisfaction wave {wave}")

@@ -26,16 +26,17 @@ class PanelStudy:
     responses: DataFrame
     repair: DataFrame | None = None
     book: Codebook = DEFAULT_CODEBOOK
-    hot_rows: int | None = 1_000_000
-    salts: int = 64
     joined_panel: DataFrame | None = None
 
     def joined(self) -> DataFrame:
-        """Responses with their participant's roster fields (skew-safe join)."""
+        """Responses with the roster fields of their survey row."""
         if self.joined_panel is not None:
             return self.joined_panel
-        return pipeline.join_panel(self.roster, self.responses, self.book,
-                                   hot_rows=self.hot_rows, salts=self.salts)
+        return pipeline.join_panel(self.roster, self.responses, self.book)
+
+    def surveys(self) -> DataFrame:
+        """Every roster row with its answers, if any."""
+        return pipeline.survey_rows(self.roster, self.responses, self.book)
 
     def materialized(self, name: str = "panel") -> "PanelStudy":
         """The same study reading a written copy of the joined panel."""
@@ -50,8 +51,8 @@ class PanelStudy:
     def hope(self, nested: bool = True) -> DataFrame:
         """Employment-hope scores per participant x wave (nested per participant)."""
         if nested:
-            return pipeline.construct_hope(self.responses, self.repair, self.book)
-        return pipeline.hope_per_wave(self.responses, self.repair, self.book)
+            return pipeline.construct_hope(self.surveys(), self.repair, self.book)
+        return pipeline.hope_per_wave(self.surveys(), self.repair, self.book)
 
     def outcomes(self, dedup: bool = False) -> DataFrame:
         """Employment outcomes per response, filled within participant x wave."""

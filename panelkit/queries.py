@@ -36,8 +36,11 @@ def _responses(spark, d):
 
 
 def _joined(spark: SparkSession, d: str) -> DataFrame:
-    return pipeline.join_panel(_roster(spark, d), _responses(spark, d),
-                               roster_cols=("cohort_name", "date_of_enrollment", "assignment_label_fct"))
+    return pipeline.join_panel(panel.survey_roster(spark, d), _responses(spark, d))
+
+
+def _surveys(spark: SparkSession, d: str) -> DataFrame:
+    return pipeline.survey_rows(panel.survey_roster(spark, d), _responses(spark, d))
 
 
 def _root(spark: SparkSession, d: str) -> DataFrame:
@@ -55,7 +58,7 @@ def _in_population(df, spark, d):
 
 
 def _hope_per_wave(spark, d):
-    return pipeline.hope_per_wave(_responses(spark, d), panel.repair(spark, d))
+    return pipeline.hope_per_wave(_surveys(spark, d), panel.repair(spark, d))
 
 
 # --- T1 flagship & report tables --------------------------------------------------
@@ -368,7 +371,7 @@ def latest_snapshot(spark, d):
 
 def drop_last_rows(spark, d):
     p = _responses(spark, d).select("response_id", "enrollment_id", "wave")
-    return files.drop_last(p, "response_id", 2)
+    return files.drop_last(p, "wave", 2, ties=["response_id"])
 
 
 def snapshot_roundtrip(spark, d):
@@ -376,16 +379,16 @@ def snapshot_roundtrip(spark, d):
 
 
 def csv_roundtrip(spark, d):
-    return files.csv_roundtrip(spark, reports.quarterly_table(_root(spark, d)))
+    return files.csv_roundtrip(spark, reports.quarterly_table(_root(spark, d)), single_file=True)
 
 
 # --- joins and stacking ------------------------------------------------------------------------
 
 
 def left_join_suffix(spark, d):
-    r = _roster(spark, d).select("enrollment_id", "province", "cohort_name")
-    p = _responses(spark, d).select("enrollment_id", "response_id", F.col("demo_province").alias("province"))
-    return joins.left_join_suffix(r, p, ["enrollment_id"], ("_sf", "_qx"), skew_safe=True)
+    r = panel.survey_roster(spark, d).select("response_id", "qx_survey_id", "enrollment_id", "cohort_name")
+    p = _responses(spark, d).select("response_id", "enrollment_id", "demo_province")
+    return joins.left_join_suffix(r, p, ["response_id"], ("_sf", "_qx"))
 
 
 def semi_join(spark, d):
@@ -437,7 +440,7 @@ def fill_within_group(spark, d):
 
 
 def nest_history(spark, d):
-    nested = pipeline.construct_hope(_responses(spark, d), panel.repair(spark, d))
+    nested = pipeline.construct_hope(_surveys(spark, d), panel.repair(spark, d))
     return nested.select(
         "enrollment_id", F.size("ehs").alias("n_waves"),
         F.array_join(F.transform("ehs", lambda x: x["wave"].cast("string")), ",").alias("waves"),
@@ -445,7 +448,7 @@ def nest_history(spark, d):
 
 
 def unnest_history(spark, d):
-    nested = pipeline.construct_hope(_responses(spark, d), panel.repair(spark, d))
+    nested = pipeline.construct_hope(_surveys(spark, d), panel.repair(spark, d))
     h = reshape.unnest(nested, "ehs")
     return h.select("enrollment_id", "wave", "survey_tag", *[_r(c).alias(c) for c in scales.DOMAINS])
 
@@ -453,7 +456,7 @@ def unnest_history(spark, d):
 def assemble_participant(spark, d):
     j = _joined(spark, d)
     root = pipeline.construct_root(j)
-    hope = pipeline.construct_hope(_responses(spark, d), panel.repair(spark, d))
+    hope = pipeline.construct_hope(_surveys(spark, d), panel.repair(spark, d))
     outcomes = pipeline.nest_outcomes(pipeline.construct_outcomes(j, dedup=True))
     satis = pipeline.construct_satis(_responses(spark, d))
     a = pipeline.assemble(root, hope, outcomes, satis)
@@ -477,7 +480,7 @@ def pivot_items(spark, d):
 
 
 def score_scale(spark, d):
-    s = scales.score_scale(_responses(spark, d), panel.repair(spark, d))
+    s = scales.score_scale(_surveys(spark, d), panel.repair(spark, d))
     return s.select("enrollment_id", "response_id", "wave", "version", *[_r(c).alias(c) for c in scales.DOMAINS])
 
 

@@ -41,7 +41,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", os.environ.get("PANELKIT_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("PANELKIT_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # Python call-site capture for error messages walks the Python stack
         # on every Column call (~2 ms each); plans built from hundreds of
@@ -70,7 +70,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return spark.sparkContext.getCheckpointDir() or configured
-    # Unset: only local/test sessions get here.  A cluster names a shared folder.
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    # Only local sessions (tests) get here: driver and executors are one process.
     path = tempfile.mkdtemp(prefix="panelkit-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path

@@ -2,40 +2,62 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 
 
+#: Text that stands for a missing value, so that it differs from the empty text.
+MISSING = "NA"
+_FORMAT = {"header": True, "quote": '"', "escape": '"', "nullValue": MISSING,
+           "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def read_csv(spark: SparkSession, path: str, schema=None, infer: bool = False) -> DataFrame:
-    """CSV with a header; explicit schema preferred (inference is a full extra pass)."""
-    r = spark.read.option("header", True)
+    """CSV with a header; explicit schema preferred (inference is a full extra pass).
+
+    Quoted texts may hold line feeds, quotes and commas.  ``NA`` is a missing
+    value, also as a text.  Texts with line feeds make a file unsplittable, so
+    large tables should come as many files.
+    """
+    r = spark.read.options(multiLine=True, emptyValue="", **_FORMAT)
     if schema is not None:
         return r.schema(schema).csv(path)
     return r.option("inferSchema", infer).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Report CSV sink: header, empty string for missing.  ``single_file`` is for
-    small report tables only (coalesce(1) funnels the data through one task)."""
+    """Report CSV sink: header, ``NA`` for missing, ``""`` for the empty text,
+    quotes doubled, white space kept.  ``single_file`` is for small report
+    tables only (coalesce(1) funnels the data through one task)."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    out.write.mode("overwrite").options(emptyValue='""', **_FORMAT).csv(path)
 
 
-def csv_roundtrip(spark: SparkSession, df: DataFrame) -> DataFrame:
+def csv_roundtrip(spark: SparkSession, df: DataFrame, single_file: bool = False) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back."""
     path = scratch_dir(spark, "csv")
-    write_csv(df, path, single_file=True)
+    write_csv(df, path, single_file=single_file)
     return read_csv(spark, path, schema=df.schema)
 
 
-def drop_last(df: DataFrame, order_col: str, n: int = 2) -> DataFrame:
-    """Drop the last ``n`` rows in ``order_col`` order.
+def drop_last(df: DataFrame, order_col: str, n: int = 2, ties: Sequence[str] = ()) -> DataFrame:
+    """Drop the last ``n`` rows in the order of ``order_col``, then ``ties``.
 
-    Rows have no file order in Spark, so "last" is by an explicit column.  The
-    n rows are found with a top-n (TakeOrdered: per-task top n, then merge) and
-    removed with an anti join: no global sort, no unpartitioned window.
+    Rows have no file order in Spark, so "last" is by explicit columns, and they
+    must tell the last rows apart: if two of the last n + 1 rows are equal in
+    all of them, the job stops (give a row id as ``ties``).  NULLs come first.
+    The rows are found with a top-n (TakeOrdered: per-task top n, then merge)
+    and removed with an anti join: no global sort, no unpartitioned window.
     """
-    tail = df.select(order_col).orderBy(F.col(order_col).desc()).limit(n)
-    # the tail has at most n rows by construction: broadcast it
-    return df.join(F.broadcast(tail), order_col, "left_anti")
+    keys = [order_col, *ties]
+    last = df.select(*keys).orderBy(*[F.col(k).desc_nulls_last() for k in keys]).limit(n + 1)
+    # n + 1 keys by construction: they fit into one row, and the tail may be broadcast
+    listed = last.agg(F.sort_array(F.collect_list(F.struct(*keys)), asc=False).alias("__last"))
+    stop = F.raise_error(F.lit(f"drop_last: {keys} do not tell the last rows apart"))
+    tail = F.when(F.size(F.array_distinct("__last")) == F.size("__last"), F.slice("__last", 1, n)).otherwise(stop)
+    tail = listed.select(F.explode(tail).alias("__t"))
+    return df.join(F.broadcast(tail), [F.col(k).eqNullSafe(F.col(f"__t.{k}")) for k in keys], "left_anti")

@@ -4,6 +4,7 @@ The study's own inputs (CRM roster, survey responses, repair file) are not
 public, so the checks run on a panel *derived* from the driver's tables:
 
 * ``roster``     one row per participant   <- customer x nation
+* ``survey_roster`` one row per participant and survey <- orders
 * ``responses``  one row per survey answer <- orders (wave = order priority)
 * ``selections`` select-all answers        <- lineitem, one row per order
 * ``repair``     wide repair file          <- embeddings (64 = 16 items x 4 options)
@@ -45,6 +46,27 @@ ROSTER_COLUMNS: list[tuple[str, str]] = [
     ("vip_note", "case when c_acctbal > 1000000 then 'vip' end"),
 ]
 
+# The roster at the grain of the survey platform: one row per participant and
+# survey, participant fields included.  Some rows have no response (NULL, or an
+# id that no response has), and some responses have no row.
+SURVEY_ROSTER_COLUMNS: list[tuple[str, str]] = [
+    ("response_id",
+     "case when o_orderkey % 31 = 0 then null when o_orderkey % 41 = 0 then -o_orderkey else o_orderkey end"),
+    ("qx_survey_id", "concat('SV_', substr(o_orderpriority, 1, 1), cast(1 + o_orderkey % 2 as string))"),
+    ("enrollment_id", "o_custkey"),
+    ("pas_id", "concat('PAS-', lpad(cast(o_custkey as string), 14, '0'), '-X')"),
+    ("wave", "cast(substr(o_orderpriority, 1, 1) as int)"),
+    ("version", "cast(1 + o_orderkey % 2 as int)"),
+    ("survey_name",
+     "concat('S_0.0.', cast(1 + o_orderkey % 2 as string), '_PANEL_s0', "
+     "substr(o_orderpriority, 1, 1), '_', substr(o_orderpriority, 3, 20))"),
+    ("cohort_name",
+     "concat('Cohort ', cast(o_custkey % 5 as string), case o_custkey % 7 when 0 then ' - Program' "
+     "when 1 then ' - Program' when 2 then ' - Comparison' when 3 then ' - Comparison ' else '' end)"),
+    ("date_of_enrollment", "date '2022-01-01' + cast((o_custkey * 37) % 900 as int)"),
+]
+SURVEY_ROSTER_ROWS = "o_orderkey % 37 <> 0"
+
 _V1 = "o_orderkey % 2 = 0"
 _V2 = "o_orderkey % 2 = 1"
 
@@ -209,23 +231,10 @@ def repair_columns(base1: bool) -> list[tuple[str, str]]:
 # ---------------------------------------------------------------------------
 
 
-_TABLES: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, resolved once per session (like a catalog table: the file
-    listing and parquet schema are read once, every query reuses the relation)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), spark.sparkContext.applicationId, path)
-    df = _TABLES.get(key)
-    if df is None:
-        df = _TABLES[key] = spark.read.parquet(path)
-    return df
-
-
-def clear_table_cache() -> None:
-    """Forget resolved tables (e.g. after the files were replaced)."""
-    _TABLES.clear()
+    """A driver table.  The files are listed anew each time, so that rows
+    appended since the last query are read."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _select(df: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
@@ -243,6 +252,11 @@ def roster(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(c.join(n, c.c_nationkey == n.n_nationkey), ROSTER_COLUMNS)
 
 
+def survey_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per participant and survey, with the id of its response (if any)."""
+    return _select(table(spark, sf_dir, "orders").filter(SURVEY_ROSTER_ROWS), SURVEY_ROSTER_COLUMNS)
+
+
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per survey response (order): raw answers of every wave/version."""
     return _select(table(spark, sf_dir, "orders"), RESPONSE_COLUMNS)
@@ -279,6 +293,10 @@ def roster_sql() -> str:
     return _cte(ROSTER_COLUMNS, "customer join nation on c_nationkey = n_nationkey")
 
 
+def survey_roster_sql() -> str:
+    return _cte(SURVEY_ROSTER_COLUMNS, f"orders where {SURVEY_ROSTER_ROWS}")
+
+
 def responses_sql() -> str:
     return _cte(RESPONSE_COLUMNS, "orders")
 
@@ -300,6 +318,7 @@ def with_panel(sql_body: str, *, roster_: bool = True, responses_: bool = True,
         ctes.append(f"roster AS (\n{roster_sql()}\n)")
     if responses_:
         ctes.append(f"responses AS (\n{responses_sql()}\n)")
+        ctes.append(f"survey_roster AS (\n{survey_roster_sql()}\n)")
     if selections_:
         ctes.append(f"selections AS (\n{selections_sql()}\n)")
     if repair_:

@@ -21,14 +21,18 @@ META_FIELD = "attributes"
 
 
 def strip_meta(schema: T.StructType, meta: str = META_FIELD) -> T.StructType:
-    """Schema without the metadata member, recursively."""
-    fields = []
-    for f in schema.fields:
-        if f.name == meta:
-            continue
-        dt = strip_meta(f.dataType, meta) if isinstance(f.dataType, T.StructType) else f.dataType
-        fields.append(T.StructField(f.name, dt, True))
-    return T.StructType(fields)
+    """Schema without the metadata member, recursively, inside arrays and maps too."""
+
+    def clean(t: T.DataType) -> T.DataType:
+        if isinstance(t, T.StructType):
+            return T.StructType([T.StructField(f.name, clean(f.dataType), True) for f in t.fields if f.name != meta])
+        if isinstance(t, T.ArrayType):
+            return T.ArrayType(clean(t.elementType), True)
+        if isinstance(t, T.MapType):
+            return T.MapType(t.keyType, clean(t.valueType), True)
+        return t
+
+    return clean(schema)
 
 
 def flat_columns(schema: T.StructType, prefix: str = "", sep: str = ".") -> list[tuple[str, str]]:
@@ -62,19 +66,28 @@ def flatten_records(df: DataFrame, json_col: str, schema: T.StructType,
     must exist in the schema (fails loudly instead of renaming by position).
     """
     clean = strip_meta(schema, meta)
-    parsed = df.select(F.from_json(F.col(json_col), clean).alias("__r"))
+    # FAILFAST: a malformed record stops the job instead of becoming a row of NULLs
+    parsed = df.select(F.from_json(F.col(json_col), clean, {"mode": "FAILFAST"}).alias("__r"))
     return _flatten(parsed, "__r", clean, rename)
 
 
 def read_records(spark: SparkSession, path: str, schema: T.StructType,
-                 rename: dict[str, str] | None = None, meta: str = META_FIELD) -> DataFrame:
+                 rename: dict[str, str] | None = None, meta: str = META_FIELD,
+                 corrupt: str | None = None) -> DataFrame:
     """Landed JSON-lines record files -> flat columns.
 
+    A malformed record stops the job; with ``corrupt`` it is kept as a row that
+    holds its text in the column of that name.
+
     The reader gets the schema without metadata members, so they are never
     parsed, and no inference pass runs over the files.
     """
     clean = strip_meta(schema, meta)
-    return _flatten(spark.read.schema(clean).json(path), "", clean, rename)
+    if corrupt is None:
+        return _flatten(spark.read.schema(clean).json(path, mode="FAILFAST"), "", clean, rename)
+    kept = T.StructType([*clean.fields, T.StructField(corrupt, T.StringType(), True)])
+    read = spark.read.schema(kept).json(path, mode="PERMISSIVE", columnNameOfCorruptRecord=corrupt)
+    return _flatten(read, "", kept, rename)
 
 
 def json_int(c: str, path: str) -> Column:

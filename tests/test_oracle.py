@@ -5,11 +5,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+import oracle_queries
+from panelkit import queries as panel_queries
 from conftest import SMALL
 from check_oracle import TABLES, digest
 
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = panel_queries.QUERIES
+ORACLE = oracle_queries.ORACLE
 
 
 @pytest.fixture(scope="module")

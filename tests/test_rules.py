@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from panelkit import codebook as cb
 from panelkit.functions import dates, formatting, logic, text
 from panelkit.operators import aggregate, joins, reshape, schema
-from panelkit.plans import harmonise
+from panelkit.plans import harmonise, scales
 from panelkit.sources import files, records, snapshots
 
 
@@ -137,8 +137,6 @@ def test_clean_names_and_regex_ops(spark):
     assert c.columns == ["cust_key", "customer_name", "a1_job", "a2_job"]
     p = schema.rename_matching(schema.drop_matching(c, "^a[2-9]_"), "^a1_", "")
     assert p.columns == ["cust_key", "customer_name", "job"]
-    with pytest.raises(ValueError):
-        schema.rename_positional(c, "^a", ["only_one"])
 
 
 def test_unpivot_pattern_greedy(spark):
@@ -178,31 +176,6 @@ def test_median_by_group_exact(spark):
     assert got == [("a", 2.0), ("b", 6.0), ("c", 5.0)]
 
 
-def test_skew_join_salts_hot_keys_without_changing_results(spark):
-    big = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).alias("k"),
-                                   F.col("id").alias("rid"))
-    small = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    plain = sorted(rows(big.join(small, "k"), "k", "rid", "v"))
-    salted = joins.skew_join(big, small, ["k"], hot_rows=500, salts=8, salt_by="rid")
-    assert sorted(rows(salted, "k", "rid", "v")) == plain
-    assert sorted(c for c in salted.columns) == ["k", "rid", "v"]
-
-
-def test_hot_participant_consolidation_matches_plain_join(spark):
-    from panelkit.plans import pipeline
-    from panelkit.sources import panel
-    from conftest import SMALL
-
-    resp = panel.responses(spark, SMALL).withColumn(
-        "enrollment_id", F.when(F.col("response_id") % 3 == 0, F.lit(7)).otherwise(F.col("enrollment_id")))
-    roster = panel.roster(spark, SMALL)
-    a = pipeline.construct_root(pipeline.join_panel(roster, resp, hot_rows=None))
-    b = pipeline.construct_root(pipeline.join_panel(roster, resp, hot_rows=100, salts=8))
-    key = lambda r: r["enrollment_id"]
-    assert sorted(map(tuple, a.collect()), key=lambda t: t[0]) == sorted(map(tuple, b.collect()), key=lambda t: t[0])
-    assert a.count() == b.count()
-
-
 def test_read_through_fetches_once(spark):
     from panelkit.session import scratch_dir
 
@@ -227,10 +200,7 @@ def test_materialize_partitions_and_reads_back(spark):
     assert sorted(rows(m.filter("wave = 2"), "id")) == [(2,), (3,)]
 
 
-def test_split_label_and_pivot_named(spark):
-    d = spark.createDataFrame([("A--b--c",), ("x",)], "lab string")
-    head, rest = reshape.split_label("lab")
-    assert rows(d.select(head.alias("h"), rest.alias("r")), "h", "r") == [("A", "b--c"), ("x", None)]
+def test_pivot_named(spark):
     long = spark.createDataFrame([(1, 1, 2.0), (1, 1, 4.0), (1, 2, None), (2, 2, 5.0)], "id int, item int, v double")
     wide = reshape.pivot_named(long, ["id"], "item", [1, 2, 3], F.avg("v"), "emp_{}")
     assert sorted(rows(wide, "id", "emp_1", "emp_2", "emp_3")) == [(1, 3.0, None, None), (2, None, 5.0, None)]
@@ -255,9 +225,8 @@ def test_dispatch_per_key_and_stack(spark):
     assert sorted(rows(out, "id", "a", "b")) == [(1, "v1", None), (2, None, 2), (3, None, 2)]
 
 
-def test_move_last_and_columns_between(spark):
+def test_columns_between(spark):
     d = spark.createDataFrame([(1, 2, 3, 4)], "Total int, a int, b int, c int")
-    assert schema.move_last(d, "Total").columns == ["a", "b", "c", "Total"]
     assert schema.columns_between(d, "a", "c") == ["a", "b", "c"]
 
 
@@ -267,13 +236,14 @@ def test_study_object_matches_registered_queries(spark):
     from panelkit.plans.study import PanelStudy
     from panelkit.sources import panel
 
-    study = PanelStudy(panel.roster(spark, SMALL), panel.responses(spark, SMALL), panel.repair(spark, SMALL))
+    study = PanelStudy(panel.survey_roster(spark, SMALL), panel.responses(spark, SMALL), panel.repair(spark, SMALL))
     a = sorted(map(tuple, study.root().collect()), key=lambda t: t[0])
     b = sorted(map(tuple, E.queries()["consolidate_baseline"](spark, SMALL).collect()), key=lambda t: t[0])
     assert a == b
     m = study.materialized("test-study")
     assert m.root().count() == len(a)
     assert study.participants().count() == len(a)
+    assert study.surveys().count() == panel.survey_roster(spark, SMALL).count()
 
 
 def test_csv_sink_and_inferred_scan(spark):
@@ -284,8 +254,7 @@ def test_csv_sink_and_inferred_scan(spark):
     files.write_csv(df, path, single_file=True)
     back = files.read_csv(spark, path, infer=True)
     assert dict(back.dtypes) == {"i": "int", "d": "double", "s": "string", "t": "string"}
-    # missing and empty both come back missing (CSV has no NULL marker)
-    assert sorted(rows(back, "i", "d", "s", "t")) == [(1, 2.5, "a b", None), (2, None, None, "x")]
+    assert sorted(rows(back, "i", "d", "s", "t")) == [(1, 2.5, "a b", None), (2, None, "", "x")]
 
 
 def test_drop_all_null_columns(spark):
@@ -306,16 +275,6 @@ def test_satisfaction_aggregate_equals_full_join(spark):
     assert sorted(map(tuple, a.select(*cols).collect())) == sorted(map(tuple, b.select(*cols).collect()))
 
 
-def test_skew_join_left_keeps_unmatched_and_hot_list_is_bounded(spark):
-    big = spark.range(2000).select((F.col("id") % 4).alias("k"), F.col("id").alias("rid"))
-    small = spark.createDataFrame([(0, "a"), (1, "b")], "k long, v string")
-    hot = joins.hot_keys(big, ["k"], hot_rows=500)
-    assert hot.count() <= 2000 // 500
-    out = joins.skew_join(big, small, ["k"], how="left", hot_rows=500, salts=4, salt_by="rid")
-    assert out.count() == 2000
-    assert out.filter(F.col("v").isNull()).count() == 1000
-
-
 def test_read_landed_json_records(spark):
     from panelkit.session import scratch_dir
     from pyspark.sql import types as T
@@ -330,3 +289,146 @@ def test_read_landed_json_records(spark):
     out = records.read_records(spark, path, sch, {"P.Name": "parent_name"})
     assert out.columns == ["Id", "parent_name"]
     assert sorted(rows(out, "Id", "parent_name")) == [(1, "n"), (2, None)]
+
+
+# --- nothing is lost silently ---------------------------------------------------
+
+
+def test_dispatch_stops_or_takes_the_default_for_unlisted_keys(spark):
+    from panelkit.plans import pipeline
+
+    d = spark.createDataFrame([(1, 1), (2, 2), (3, 9), (4, None)], "id int, version int")
+    branches = {(v,): lambda x: x.select("id") for v in (1, 2)}
+    assert pipeline.dispatch(d, ["version"], branches, default=lambda x: x.select("id")).count() == 4
+    with pytest.raises(Exception, match="no branch"):
+        pipeline.dispatch(d, ["version"], branches).collect()
+    assert pipeline.dispatch(d.limit(2), ["version"], branches).count() == 2
+
+
+def test_drop_last_with_ties(spark):
+    d = spark.createDataFrame([(1, 1), (2, 2), (3, 3), (4, 3), (5, 3)], "id int, k int")
+    assert sorted(r[0] for r in files.drop_last(d, "k", 2, ties=["id"]).collect()) == [1, 2, 3]
+    with pytest.raises(Exception, match="do not tell"):
+        files.drop_last(d, "k", 2).collect()
+    nulls = spark.createDataFrame([(1, None), (2, 5), (3, 6)], "id int, k int")
+    assert sorted(r[0] for r in files.drop_last(nulls, "k", 2).collect()) == [1]
+    assert files.drop_last(nulls.limit(0), "k", 2).count() == 0
+
+
+def test_top_box_keeps_rows_without_a_version(spark):
+    d = spark.createDataFrame([(1, 1, 2, None, 5), (2, 2, 2, None, 3), (3, 3, 2, 1, 1)],
+                              "enrollment_id int, response_id int, wave int, version int, satis_1 int")
+    for j in range(2, 7):
+        d = d.withColumn(f"satis_{j}", F.col("satis_1"))
+    raw = [f"satis_{j}" for j in range(1, 7)]
+    assert scales.satisfaction_top_box(d, 2, raw).count() == 3
+    got = scales.satisfaction_top_box_waves(d, {2: raw})
+    name = got.columns[4]
+    assert sorted(rows(got, "response_id", name)) == [(1, True), (2, False), (3, True)]
+
+
+def test_pivots_refuse_unlisted_levels(spark):
+    long = spark.createDataFrame([(1, "a", "x"), (1, "b", "y")], "id int, lab string, v string")
+    assert reshape.pivot_cells(long, ["id"], "lab", ["a", "b"], "v").count() == 1
+    for bad in (long.filter("lab = 'b'"), long.withColumn("lab", F.lit(None).cast("string"))):
+        with pytest.raises(Exception, match="without a column"):
+            reshape.pivot_cells(bad, ["id"], "lab", ["a"], "v").collect()
+        with pytest.raises(Exception, match="without a column"):
+            reshape.pivot_named(bad, ["id"], "lab", ["a"], F.max("v")).collect()
+
+
+def test_positional_names_need_equal_length():
+    from panelkit.codebook import DEFAULT_CODEBOOK
+
+    names = ["a", "b", "c"]
+    assert DEFAULT_CODEBOOK.check_arity(names, ["x", "y", "z"], "t") == names
+    assert DEFAULT_CODEBOOK.check_arity(names, ["x", "y"], "t", fewer=True) == ["a", "b"]
+    for columns in (["x", "y"], ["w", "x", "y", "z"]):
+        with pytest.raises(ValueError):
+            DEFAULT_CODEBOOK.check_arity(names, columns, "t")
+
+
+def test_rows_update_refuses_unknown_columns_and_repeated_keys(spark):
+    x = spark.createDataFrame([(1, 10), (2, 20)], "id int, v int")
+    y = spark.createDataFrame([(1, None), (3, 5)], "id int, v int")
+    assert sorted(rows(joins.rows_update(x, y, ["id"]), "id", "v")) == [(1, None), (2, 20)]
+    with pytest.raises(ValueError):
+        joins.rows_update(x, y.withColumn("w", F.lit(1)), ["id"])
+    with pytest.raises(Exception, match="more than once"):
+        joins.rows_update(x, y.union(y), ["id"]).collect()
+
+
+def test_appended_rows_are_read(spark):
+    from panelkit.session import scratch_dir
+    from panelkit.sources import panel
+
+    d = scratch_dir(spark, "test-append")
+    spark.range(3).write.parquet(f"{d}/region.parquet")
+    assert panel.table(spark, d, "region").count() == 3
+    spark.range(3).write.mode("append").parquet(f"{d}/region.parquet")
+    assert panel.table(spark, d, "region").count() == 6
+
+
+def test_csv_keeps_line_feeds_quotes_spaces_and_missing(spark):
+    data = [(1, "two\nlines"), (2, 'say "hi", x'), (3, None), (4, ""), (5, "  kept  "), (6, "a\\b"), (7, "r\r\nn")]
+    back = files.csv_roundtrip(spark, spark.createDataFrame(data, "i int, t string"))
+    assert sorted(rows(back, "i", "t")) == data
+
+
+def test_str_remove_takes_the_first_match_only(spark):
+    d = spark.createDataFrame([("abab",), ("bbb",), (None,), ("ba",)], "t string")
+    assert rows(d.select(text.str_remove("t", "a").alias("t")), "t") == [("bab",), ("bbb",), (None,), ("b",)]
+
+
+def test_records_strip_arrays_and_stop_at_malformed_ones(spark):
+    from panelkit.session import scratch_dir
+    from pyspark.sql import types as T
+
+    meta = T.StructType([T.StructField("type", T.StringType())])
+    item = T.StructType([T.StructField("attributes", meta), T.StructField("x", T.LongType())])
+    sch = T.StructType([T.StructField("Id", T.LongType()), T.StructField("Items", T.ArrayType(item))])
+    good = '{"Id":1,"Items":[{"attributes":{"type":"I"},"x":5}]}'
+    df = spark.createDataFrame([(good,)], "r string")
+    assert records.flatten_records(df, "r", sch).schema["Items"].dataType.elementType.fieldNames() == ["x"]
+    bad = spark.createDataFrame([(good,), ('{"Id":',)], "r string")
+    with pytest.raises(Exception):
+        records.flatten_records(bad, "r", sch).collect()
+    path = scratch_dir(spark, "test-corrupt")
+    bad.write.text(path)
+    with pytest.raises(Exception):
+        records.read_records(spark, path, sch).collect()
+    kept = records.read_records(spark, path, sch, corrupt="raw")
+    assert sorted(map(tuple, kept.select("Id", "raw").collect()), key=str) == [(1, None), (None, '{"Id":')]
+
+
+def test_scratch_needs_a_shared_folder_off_local():
+    from panelkit.session import ensure_checkpoint_dir
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())
+
+
+def test_surveys_without_a_response_stay_with_missing_scores(spark):
+    from conftest import SMALL
+    from panelkit.plans import pipeline
+    from panelkit.sources import panel
+
+    roster, resp = panel.survey_roster(spark, SMALL), panel.responses(spark, SMALL)
+    scored = scales.score_scale(pipeline.survey_rows(roster, resp), panel.repair(spark, SMALL))
+    assert scored.count() == roster.count()
+    lone = scored.filter("response_id is null or response_id < 0")
+    assert lone.count() > 0 and lone.filter("ehs_empowerment is not null").count() == 0
+    joined = pipeline.join_panel(roster, resp)
+    assert 0 < joined.count() < min(roster.count(), resp.count())
+    hot = lambda df: df.withColumn("enrollment_id", F.when(F.col("response_id") % 3 == 0, F.lit(7)).otherwise(F.col("enrollment_id")))
+    assert pipeline.join_panel(roster, hot(resp)).count() == joined.count()
