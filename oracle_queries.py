@@ -67,7 +67,9 @@ def education_sql(code: str) -> str:
             f"when {code} = 7 then {q(L[4])} end")
 
 
-BOOK = cb.DEFAULT_CODEBOOK
+# written out: the fixture's identity options
+BOOK = cb.Codebook(race_options=("demo_race_1", "demo_race_2", "demo_race_3", "demo_race_4", "demo_race_5",
+                                 "demo_race_6", "demo_race_7"), race_not_racialized_option="demo_race_7")
 
 _IND_N = count_present(BOOK.indigenous_options)
 _RACE_N = count_present(BOOK.race_options)
@@ -238,7 +240,8 @@ def parse_number_sql(c: str) -> str:
 
 
 def rnd(x: str, n: int = 6) -> str:
-    return f"round({x}, {n})"
+    # first to 10 digits: a sum's order must not tip a value that stands between two
+    return f"round(round({x}, 10), {n})"
 
 
 def union_long(src: str, ids: list[str], cols: list[str], name: str = "var", value: str = "val") -> str:
@@ -471,15 +474,15 @@ def sample_size_sql():
 
 def sample_table_sql():
     return with_pop("""
-, cells AS (select cohort_name, assignment_label_fct as arm, count(*) as n from pop group by 1, 2),
+, cells AS (select cohort_name, assignment_label_fct as arm, count(*) as n, min(date_of_enrollment) as first from pop group by 1, 2),
 wide AS (
   select cohort_name, max(case when arm = 'Program' then n end) as "Program",
-    max(case when arm = 'Non-RCT' then n end) as "Non-RCT", cast(sum(n) as bigint) as "Total"
+    max(case when arm = 'Non-RCT' then n end) as "Non-RCT", cast(sum(n) as bigint) as "Total", min(first) as first_enrolled
   from cells group by cohort_name
 )
 select * from wide
 union all
-select 'Total', cast(sum("Program") as bigint), cast(sum("Non-RCT") as bigint), cast(sum("Total") as bigint) from wide
+select 'Total', cast(sum("Program") as bigint), cast(sum("Non-RCT") as bigint), cast(sum("Total") as bigint), null from wide
 """)
 
 
@@ -556,6 +559,33 @@ from lab where val is not null group by lab
 """, population=True)
 
 
+def satisfaction_by_variable_sql():
+    names = cb.SATISFACTION_NAMES[2] + cb.SATISFACTION_NAMES[3]
+    return with_hope_satis(f"""
+, long AS (
+  {union_long('satis', ['enrollment_id'], names)}
+)
+select var as lab, count(*) as n_total, cast(sum(cast(val as int)) as bigint) as n,
+  cast(sum(cast(val as int)) as bigint) / count(*) as p
+from long where val is not null and enrollment_id in (select enrollment_id from pop) group by var
+""", population=True)
+
+
+def read_through_sql():
+    return panel.with_panel("""
+select *, assignment_label_fct in ('Program', 'Non-RCT') as program_eligible from panel_clean
+""", extra=PANEL_CLEAN)
+
+
+def landed_responses_sql():
+    return panel.with_panel("""
+select response_id, 'SV_' || wave || version as survey_id, wave as survey_time, version as survey_version,
+  case when version = 1 then job_salary_text end as job_salary_text,
+  case when version = 2 then job_salary_num end as job_salary_num
+from responses
+""", roster_=False)
+
+
 def with_hope_satis(body: str, population: bool = False) -> str:
     extra = (pop_chain() + ",\n" + SATIS) if population else SATIS
     return panel.with_panel(body, roster_=population, extra=extra)
@@ -614,11 +644,12 @@ def with_outcomes(body: str, filled: bool = True, population: bool = False) -> s
 def employment_status_sql():
     return with_outcomes(f"""
 , g AS (
-  select survey_tag, count(*) as "N", avg(cast(job_employed as int)) as e, avg(cast(educ_enrolled as int)) as en
+  select survey_tag, case when survey_tag = '12-month-follow-up' then 1000 else min(wave) end as tag_order,
+    count(*) as "N", avg(cast(job_employed as int)) as e, avg(cast(educ_enrolled as int)) as en
   from outcomes_f where job_employed is not null and enrollment_id in (select enrollment_id from pop)
   group by survey_tag
 )
-select survey_tag, "N", {rnd('e')} as "Employed", {rnd('en')} as "Enrolled", {rnd('1 - e - en')} as "NEET" from g
+select survey_tag, tag_order, "N", {rnd('e')} as "Employed", {rnd('en')} as "Enrolled", {rnd('1 - e - en')} as "NEET" from g
 """, population=True)
 
 
@@ -626,7 +657,8 @@ def compensation_sql():
     ben = [n for n in cb.BENEFIT_NAMES if n != "job_benefits_none"]
     cols = ",\n  ".join(f"{rnd(f'avg(cast({n} as double))')} as {n.replace('job_benefits', '')}" for n in ben)
     return with_outcomes(f"""
-select survey_tag, count(*) as "N", {rnd('avg(job_annualized_salary)')} as annualized_salary,
+select survey_tag, case when survey_tag = '12-month-follow-up' then 1000 else min(wave) end as tag_order,
+  count(*) as "N", {rnd('avg(job_annualized_salary)')} as annualized_salary,
   {cols},
   {rnd('avg(cast(job_benefits_any as double))')} as _any,
   {rnd('avg(cast(job_benefits_n as double))')} as _total
@@ -1028,6 +1060,11 @@ ORACLE = {
     "survey_catalog": survey_catalog_sql(),
     "label_lookup": label_lookup_sql(),
     "label_order": label_order_sql(),
+    "satisfaction_by_variable": satisfaction_by_variable_sql(),
+    "read_through": read_through_sql(),
+    "materialized_panel": consolidate_baseline_sql(),
+    "landed_responses": landed_responses_sql(),
+    "csv_crosstab": category_crosstab_sql(),
     "fill_default": fill_default_sql(),
     "id_length_audit": id_length_audit_sql(),
     "regex_select": regex_select_sql(),

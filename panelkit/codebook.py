@@ -170,8 +170,8 @@ class Codebook:
     # v2 select-all option columns.
     indigenous_options: tuple[str, ...] = ("demo_indigenous_1", "demo_indigenous_2", "demo_indigenous_3")
     indigenous_no_option: str = "demo_indigenous_2"
-    race_options: tuple[str, ...] = tuple(f"demo_race_{i}" for i in range(1, 8))
-    race_not_racialized_option: str = "demo_race_7"
+    race_options: tuple[str, ...] = tuple(f"demo_race_{i}" for i in range(1, 12))
+    race_not_racialized_option: str = "demo_race_10"
     home_province: str = HOME_PROVINCE
     eligible_arms: tuple[str, ...] = tuple(ELIGIBLE_ARMS)
 

@@ -10,6 +10,7 @@ the per-(wave, version) form for schemas that genuinely differ.
 from __future__ import annotations
 
 import os
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -254,6 +255,18 @@ OUTCOME_COLUMNS = ["job_employed", "job_start_date", "job_tenure_months", "job_t
                    "educ_enrolled", "neet"]
 
 
+def primary_job(df: DataFrame) -> DataFrame:
+    """Surveys that ask for several jobs (``a1_job_hours``, ``a2_job_hours``, ...):
+    the first is the primary job and takes the plain name; on rows of surveys
+    that ask for one job the plain column stands.  Other jobs are dropped."""
+    several = [c for c in df.columns if re.match(r"a\d+_", c)]
+    if not several:
+        return df
+    first = {c: c[3:] for c in several if c.startswith("a1_")}
+    plain = {n: F.coalesce(F.col(n), F.col(c)) if n in df.columns else F.col(c) for c, n in first.items()}
+    return df.withColumns(plain).drop(*several)
+
+
 def harmonise_outcomes(df: DataFrame, book: Codebook = DEFAULT_CODEBOOK,
                        keep: tuple[str, ...] = ("wave", "version", "response_id"),
                        benefit_cols: tuple[str, ...] = tuple(f"job_benefits_{i}" for i in range(1, 7)),
@@ -262,7 +275,7 @@ def harmonise_outcomes(df: DataFrame, book: Codebook = DEFAULT_CODEBOOK,
 
     Enrolment in education and NEET exist only on later waves or version 2.
     """
-    rows = df.filter(F.col(book.response_col).isNotNull())
+    rows = primary_job(df).filter(F.col(book.response_col).isNotNull())
     return rows.select(*_outcome_columns(book, tuple(keep), tuple(benefit_cols)))
 
 

@@ -134,6 +134,22 @@ def construct_outcomes(joined: DataFrame, book: Codebook = DEFAULT_CODEBOOK, ded
                        OUTCOME_COLUMNS + ["survey_tag"], dedup=dedup)
 
 
+def outcomes_per_wave(joined: DataFrame, book: Codebook = DEFAULT_CODEBOOK) -> DataFrame:
+    """Outcomes consolidated per (participant, wave), with ``n_rows``: the
+    responses that share them.  A table over the filled rows of
+    :func:`construct_outcomes` is this one weighted by ``n_rows``, without
+    joining the filled values back to the rows."""
+    from ..operators.aggregate import first_non_missing
+    from .harmonise import OUTCOME_COLUMNS, harmonise_outcomes
+
+    h = with_survey_fields(harmonise_outcomes(joined, book, keep=("wave", "version", "response_id",
+                                                                  "survey_name")))
+    order = ["version", "response_id"]
+    return h.groupBy(book.id_col, "wave").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        *[first_non_missing(c, order).alias(c) for c in [*OUTCOME_COLUMNS, "survey_tag"]])
+
+
 def nest_outcomes(outcomes_per_wave: DataFrame, book: Codebook = DEFAULT_CODEBOOK) -> DataFrame:
     from ..operators.reshape import nest
 

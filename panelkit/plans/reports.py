@@ -129,13 +129,15 @@ def sample_table(pop: DataFrame, row: str = "cohort_name", col: str = "assignmen
                  levels: Sequence[str] = ("Program", "Non-RCT")) -> DataFrame:
     """Counts row x level pivoted on explicit levels, a per-row Total and a
     grand-total row.  Both totals come from the small aggregated table (its
-    shuffle is reused), never from a second pass over the participants."""
-    cells = pop.groupBy(row, col).agg(F.count(F.lit(1)).alias("n"))
+    shuffle is reused), never from a second pass over the participants.
+    ``first_enrolled`` (NULL for the grand total, which stands last) orders the
+    rows by date."""
+    cells = pop.groupBy(row, col).agg(F.count(F.lit(1)).alias("n"), F.min("date_of_enrollment").alias("first_enrolled"))
     wide = cells.groupBy(row).agg(
         *[F.max(F.when(F.col(col) == lv, F.col("n"))).alias(lv) for lv in levels],
-        F.sum("n").alias(cb.TOTAL_LABEL))
+        F.sum("n").alias(cb.TOTAL_LABEL), F.min("first_enrolled").alias("first_enrolled"))
     grand = wide.agg(*[F.sum(lv).alias(lv) for lv in [*levels, cb.TOTAL_LABEL]]).select(
-        F.lit(cb.TOTAL_LABEL).alias(row), *levels, cb.TOTAL_LABEL)
+        F.lit(cb.TOTAL_LABEL).alias(row), *levels, cb.TOTAL_LABEL, F.lit(None).cast("date").alias("first_enrolled"))
     return wide.unionByName(grand)
 
 
@@ -224,30 +226,45 @@ def scale_trend(hope: DataFrame, domains: Sequence[str]) -> DataFrame:
     return reshape.unpivot(g, ["wave", "survey_tag"], list(domains), "ehs_domain", "avg_score")
 
 
+def _weighted_mean(c: str) -> Column:
+    """Mean of ``c`` over the responses behind each (participant, wave) row; missing skipped."""
+    value = F.col(c).cast("int").cast("double") if c in _FLAGS else F.col(c).cast("double")
+    known = F.when(F.col(c).isNotNull(), F.col("n_rows"))
+    return F.try_divide(F.sum(value * F.col("n_rows")), F.sum(known))
+
+
+_FLAGS = {"job_employed", "educ_enrolled", *cb.BENEFIT_NAMES, "job_benefits_any"}
+
+
+def wave_order(tag: str = "survey_tag", wave: str = "wave") -> Column:
+    """Aggregate: place of a wave tag in a table, the last tag after all waves."""
+    return F.when(F.first(F.col(tag)) == cb.LAST_WAVE_TAG, F.lit(1000)).otherwise(F.min(wave)).cast("int").alias("tag_order")
+
+
 def employment_status(outcomes: DataFrame) -> DataFrame:
     """Per wave tag: N answering employment, Employed, Enrolled (missing
-    skipped), NEET = 1 - Employed - Enrolled (aggregate formula, can be < 0)."""
+    skipped), NEET = 1 - Employed - Enrolled (aggregate formula, can be < 0).
+    Input: ``pipeline.outcomes_per_wave``; ``tag_order`` orders the tags."""
     o = outcomes.filter(F.col("job_employed").isNotNull())
     g = o.groupBy("survey_tag").agg(
-        F.count(F.lit(1)).alias("N"),
-        F.avg(F.col("job_employed").cast("int")).alias("Employed"),
-        F.avg(F.col("educ_enrolled").cast("int")).alias("Enrolled"))
+        wave_order(), F.sum("n_rows").alias("N"),
+        _weighted_mean("job_employed").alias("Employed"), _weighted_mean("educ_enrolled").alias("Enrolled"))
     return g.withColumn("NEET", 1 - F.col("Employed") - F.col("Enrolled"))
 
 
-COMPENSATION_COLUMNS = ["survey_tag", "N", "annualized_salary", "_health", "_dental", "_disability",
+COMPENSATION_COLUMNS = ["survey_tag", "tag_order", "N", "annualized_salary", "_health", "_dental", "_disability",
                         "_pension", "_vacation", "_any", "_total"]
 
 
 def compensation(outcomes: DataFrame) -> DataFrame:
     """Among the employed, per wave tag: N, mean pay, benefit rates and mean
-    benefit count; names lose their ``job_benefits``/``job_`` prefix."""
+    benefit count; names lose their ``job_benefits``/``job_`` prefix.
+    Input: ``pipeline.outcomes_per_wave``; ``tag_order`` orders the tags."""
     from ..operators import schema
 
     o = outcomes.filter(logic.in_set("job_employed", [True]))
     cols = schema.matching(o, "^job_benefits|^job_annualized_salary")
-    g = o.groupBy("survey_tag").agg(F.count(F.lit(1)).alias("N"),
-                                    *[F.avg(F.col(c).cast("double")).alias(c) for c in cols])
+    g = o.groupBy("survey_tag").agg(wave_order(), F.sum("n_rows").alias("N"), *[_weighted_mean(c).alias(c) for c in cols])
     g = schema.rename_matching(g, "job_benefits|job_", "")
     return g.withColumnRenamed("_n", "_total").select(*COMPENSATION_COLUMNS)
 

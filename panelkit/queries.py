@@ -15,13 +15,15 @@ from . import codebook as cb
 from .functions import dates, logic, text
 from .operators import joins, reshape, schema
 from .plans import harmonise, pipeline, reports, scales
+from .plans.study import PanelStudy
 from .sources import catalog, files, panel, records, snapshots
 
 ROUND = 6
 
 
 def _r(c, n: int = ROUND):
-    return F.round(F.col(c) if isinstance(c, str) else c, n)
+    # first to 10 digits: a sum's order must not tip a value that stands between two
+    return F.round(F.round(F.col(c) if isinstance(c, str) else c, 10), n)
 
 
 # --- panel building blocks ----------------------------------------------------
@@ -44,7 +46,7 @@ def _surveys(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _root(spark: SparkSession, d: str) -> DataFrame:
-    return pipeline.construct_root(_joined(spark, d))
+    return pipeline.construct_root(_joined(spark, d), panel.BOOK)
 
 
 def _population(spark, d):
@@ -145,16 +147,22 @@ def _outcomes(spark, d, dedup=False):
     return pipeline.construct_outcomes(_joined(spark, d), dedup=dedup)
 
 
+def _population_outcomes(spark, d):
+    """Outcomes per (participant, wave) of the report population, which is
+    filtered first: a group lies within one participant."""
+    return pipeline.outcomes_per_wave(_in_population(_joined(spark, d), spark, d))
+
+
 def employment_status(spark, d):
     """Per wave tag: N answering employment, Employed, Enrolled (NA skipped), NEET = 1 - E - En."""
-    g = reports.employment_status(_in_population(_outcomes(spark, d), spark, d))
+    g = reports.employment_status(_population_outcomes(spark, d))
     return g.withColumns({c: _r(c) for c in ("Employed", "Enrolled", "NEET")})
 
 
 def compensation(spark, d):
     """Among the employed, per wave tag: N, mean pay, benefit rates, mean benefit count."""
-    g = reports.compensation(_in_population(_outcomes(spark, d), spark, d))
-    return g.withColumns({c: _r(c) for c in reports.COMPENSATION_COLUMNS if c not in ("survey_tag", "N")})
+    g = reports.compensation(_population_outcomes(spark, d))
+    return g.withColumns({c: _r(c) for c in reports.COMPENSATION_COLUMNS if c not in ("survey_tag", "tag_order", "N")})
 
 
 def value_counts(spark, d):
@@ -227,7 +235,7 @@ def recency_flag(spark, d):
 
 
 def flag_algebra(spark, d):
-    h = harmonise.harmonise_baseline(_joined(spark, d))
+    h = harmonise.harmonise_baseline(_joined(spark, d), panel.BOOK)
     return h.select("response_id", "demo_income_source_fct", "demo_receiving_ei_lgl", "demo_receiving_ia_lgl",
                     logic.none_of(["demo_receiving_ei_lgl", "demo_receiving_ia_lgl"]).alias("demo_receiving_none_lgl"),
                     "demo_parent_lgl", "demo_single_parent_lgl", "demo_bipoc_lgl",
@@ -311,6 +319,54 @@ def survey_catalog(spark, d):
     return counts.join(catalog.survey_catalog(p), "survey_name", "left")
 
 
+def satisfaction_by_variable(spark, d):
+    """Satisfaction summary of every variable, without labels."""
+    satis = _in_population(pipeline.construct_satis(_responses(spark, d)), spark, d)
+    return reports.satisfaction_summary(satis)
+
+
+def read_through(spark, d):
+    """Memoised load: fetched and written the first time, read back the second."""
+    store = snapshots.scratch_dir(spark, "read-through")
+    fetch = lambda: harmonise.clean_roster(panel.survey_roster(spark, d))
+    snapshots.load(spark, store, fetch)
+    return snapshots.load(spark, store, lambda: fetch().limit(0))
+
+
+def materialized_panel(spark, d):
+    """Baseline of a study whose joined panel was written once and is read back."""
+    study = PanelStudy(panel.survey_roster(spark, d), _responses(spark, d), book=panel.BOOK)
+    return study.materialized().root()
+
+
+def landed_responses(spark, d):
+    """One landed file per survey, each with its own columns; names cleaned on
+    load, stacked by name, tagged from the landed catalogue."""
+    p = _responses(spark, d)
+    root = snapshots.scratch_dir(spark, "landed")
+    catalogue, frames = [], []
+    for version, column in ((1, "job_salary_text"), (2, "job_salary_num")):
+        for wave in range(1, 6):
+            rows = p.filter((F.col("version") == version) & (F.col("wave") == wave))
+            names = {"response_id": "Response Id", column: "Job " + column[4:].replace("_", " ").title()}
+            path = f"{root}/SV_{wave}{version}"
+            rows.select(*[F.col(c).alias(n) for c, n in names.items()]).write.parquet(path)
+            catalogue.append((f"SV_{wave}{version}", f"S_0.0.{version}_PANEL_s0{wave}_x", path))
+    spark.createDataFrame(catalogue, "`Survey Id` string, `Survey Name` string, Path string").write.parquet(f"{root}/catalogue")
+    surveys = schema.clean_names(spark.read.parquet(f"{root}/catalogue"))
+    tags = surveys.select("survey_id", *[c.alias(n) for n, c in catalog.survey_fields(F.col("survey_name")).items()])
+    for row in surveys.select("survey_id", "path").collect():  # one row per survey of the study
+        own = schema.clean_names(spark.read.parquet(row["path"]))
+        frames.append(own.withColumn("survey_id", F.lit(row["survey_id"])))
+    out = joins.union_by_name(frames).join(tags, "survey_id", "left")
+    return out.select("response_id", "survey_id", "survey_time", "survey_version", "job_salary_text", "job_salary_num")
+
+
+def csv_crosstab(spark, d):
+    """Round trip of a table with empty cells: '' stays '', not missing."""
+    return files.csv_roundtrip(spark, reports.province_crosstab(_root(spark, d)), single_file=True)
+
+
 def label_order(spark, d):
     """Wave-tag orders: by median response day, by first appearance (wave),
     plus codebook levels that never occur (n = 0)."""
@@ -455,7 +511,7 @@ def unnest_history(spark, d):
 
 def assemble_participant(spark, d):
     j = _joined(spark, d)
-    root = pipeline.construct_root(j)
+    root = pipeline.construct_root(j, panel.BOOK)
     hope = pipeline.construct_hope(_surveys(spark, d), panel.repair(spark, d))
     outcomes = pipeline.nest_outcomes(pipeline.construct_outcomes(j, dedup=True))
     satis = pipeline.construct_satis(_responses(spark, d))
@@ -515,6 +571,11 @@ QUERIES = {name: fn for name, fn in [
     ("report_window", report_window),
     ("survey_catalog", survey_catalog),
     ("label_lookup", label_lookup),
+    ("satisfaction_by_variable", satisfaction_by_variable),
+    ("read_through", read_through),
+    ("materialized_panel", materialized_panel),
+    ("landed_responses", landed_responses),
+    ("csv_crosstab", csv_crosstab),
     ("label_order", label_order),
     ("fill_default", fill_default),
     ("id_length_audit", id_length_audit),

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..codebook import Codebook
+
 # ---------------------------------------------------------------------------
 # Fixture column definitions (portable SQL text, evaluated by both engines).
 # ---------------------------------------------------------------------------
@@ -96,8 +98,8 @@ RESPONSE_COLUMNS: list[tuple[str, str]] = [
     ("demo_dob_month", "cast(case when o_orderkey % 17 = 0 then 13 else 1 + o_orderkey % 12 end as int)"),
     ("demo_dob_year", "case when o_orderkey % 19 = 0 then null else cast(1950 + o_orderkey % 55 as int) end"),
     ("demo_province",
-     "case o_orderkey % 6 when 0 then 'Ontario' when 1 then 'Saskatchewan' when 2 then 'Alberta' "
-     "when 3 then 'British Columbia' when 4 then 'Newfoundland' else null end"),
+     "case when o_orderkey % 499 = 7 then 'Nunavut' else case o_orderkey % 6 when 0 then 'Ontario' when 1 then 'Saskatchewan' when 2 then 'Alberta' "
+     "when 3 then 'British Columbia' when 4 then 'Newfoundland' else null end end"),
     ("income_source",
      "case when o_orderkey % 11 < 2 then 'Employment Insurance' when o_orderkey % 11 < 4 then 'Social Assistance' "
      "when o_orderkey % 11 < 7 then null when o_orderkey % 11 < 9 then 'Employment' else 'Disability Support' end"),
@@ -188,6 +190,9 @@ RESPONSE_COLUMNS: list[tuple[str, str]] = [
     ],
 ]
 
+#: The fixture asks fewer options of the identity question than the study does.
+BOOK = Codebook(race_options=tuple(f"demo_race_{i}" for i in range(1, 8)), race_not_racialized_option="demo_race_7")
+
 # Wave tags of the fixture's survey names (the order-priority texts).
 WAVE_TAGS = ["URGENT", "HIGH", "MEDIUM", "NOT SPECIFIED", "LOW"]
 

@@ -19,7 +19,7 @@ def test_consolidation_matches_sorted_first_non_missing(spark):
     joined = pipeline.join_panel(panel.survey_roster(spark, SMALL), panel.responses(spark, SMALL))
     from panelkit.plans.harmonise import harmonise_baseline
 
-    rows = harmonise_baseline(pipeline.baseline_rows(joined)).toPandas()
+    rows = harmonise_baseline(pipeline.baseline_rows(joined), panel.BOOK).toPandas()
     rows = rows.sort_values(["wave", "version", "response_id"])
     expect = rows.groupby("enrollment_id").agg(
         {c: first_non_missing for c in ["demo_province_fct", "demo_age", "demo_racialized_lgl"]})

@@ -236,7 +236,8 @@ def test_study_object_matches_registered_queries(spark):
     from panelkit.plans.study import PanelStudy
     from panelkit.sources import panel
 
-    study = PanelStudy(panel.survey_roster(spark, SMALL), panel.responses(spark, SMALL), panel.repair(spark, SMALL))
+    study = PanelStudy(panel.survey_roster(spark, SMALL), panel.responses(spark, SMALL), panel.repair(spark, SMALL),
+                       book=panel.BOOK)
     a = sorted(map(tuple, study.root().collect()), key=lambda t: t[0])
     b = sorted(map(tuple, E.queries()["consolidate_baseline"](spark, SMALL).collect()), key=lambda t: t[0])
     assert a == b
@@ -432,3 +433,27 @@ def test_surveys_without_a_response_stay_with_missing_scores(spark):
     assert 0 < joined.count() < min(roster.count(), resp.count())
     hot = lambda df: df.withColumn("enrollment_id", F.when(F.col("response_id") % 3 == 0, F.lit(7)).otherwise(F.col("enrollment_id")))
     assert pipeline.join_panel(roster, hot(resp)).count() == joined.count()
+
+
+def test_outcomes_take_the_primary_job(spark):
+    d = spark.createDataFrame([(1, None, 40.0, 10.0), (2, 30.0, None, None)],
+                              "response_id int, job_hours double, a1_job_hours double, a2_job_hours double")
+    got = harmonise.primary_job(d)
+    assert got.columns == ["response_id", "job_hours"]
+    assert sorted(rows(got, "response_id", "job_hours")) == [(1, 40.0), (2, 30.0)]
+    assert harmonise.primary_job(got) is got
+
+
+def test_study_codebook_has_all_identity_options():
+    from panelkit.codebook import DEFAULT_CODEBOOK
+
+    assert len(DEFAULT_CODEBOOK.race_options) == 11
+    assert DEFAULT_CODEBOOK.race_not_racialized_option == DEFAULT_CODEBOOK.race_options[9]
+
+
+def test_last_wave_tag_stands_last(spark):
+    from panelkit.plans import reports
+
+    d = spark.createDataFrame([("12-month-follow-up", 2), ("exit", 3)], "survey_tag string, wave int")
+    got = d.groupBy("survey_tag").agg(reports.wave_order()).orderBy("tag_order").collect()
+    assert [r["survey_tag"] for r in got] == ["exit", "12-month-follow-up"]
