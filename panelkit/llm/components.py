@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, release
 
 
 def _state(links: DataFrame) -> tuple:
@@ -31,20 +31,25 @@ def components(links: DataFrame) -> DataFrame:
     """
     links = materialize(links.filter("u <> v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
-    state = _state(links)
+    state, spent = _state(links), []
     while state[0]:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (both.join(_least_neighbour(both), "u").filter("v > u")
+        near = _least_neighbour(both)
+        large = (both.join(near, "u").filter("v > u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")))
         large = materialize(large.filter("u <> v").distinct(), "large")
-        small = large.join(_least_neighbour(large), "u")
+        least = _least_neighbour(large)
+        small = large.join(least, "u")
         small = (small.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                                                 F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
                  .select("e.*").filter("u <> v").distinct())
+        spent += [links, near, large, least]
         links = materialize(small, "small")
         after = _state(links)
         if after == state:
             break
         state = after
+    if spent:
+        release(*spent)  # the last round is written out; nothing reads the earlier ones again
     stars = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -18,13 +18,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
 from .textnum import Words, mix, random_words, shingle_hashes, text_batches
 
 SHINGLE = 5
 PERMUTATIONS = 128
 #: Bits kept of each minimum; two unequal minima agree in them once in 65,536.
 PLACE_BITS = 16
+#: Bands of PERMUTATIONS / BANDS places: a pair at similarity 0.8 shares none once in 20 million.
 BANDS = 32
+#: Bucket members compared at once; larger buckets are compared in pairs of blocks of half as many.
+BUCKET = 512
+#: Estimates this far below the threshold are still verified: five standard errors.
+SLACK = 0.18
 #: Id ranges at most; each is sorted by one task.
 RANGES = 4096
 THRESHOLD = 0.8
@@ -149,3 +155,95 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     dealt = _ranges(rows).repartition("part").sortWithinPartitions("part", "kind", F.col("id").asc_nulls_first(), "h")
     return dealt.select("id", "text", "kind").mapInPandas(run, schema)
+
+
+# --- near-duplicate links -----------------------------------------------------------
+
+
+def signature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, words, signature) of the rows with an id; ``words`` is a digest of the word sequence."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            texts = [t.encode() for t in frame["text"]]
+            yield pd.DataFrame({"id": frame["id"].array, "words": [hashlib.sha256(b" ".join(t.split())).digest() for t in texts],
+                                "signature": [s.astype(">u2").tobytes() for s in signatures(texts)]})
+
+    rows = docs.filter(F.col(id_col).isNotNull()).select(
+        F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return materialize(rows.mapInPandas(run, "id long, words binary, signature binary"), "signatures")
+
+
+def classes(table: DataFrame) -> DataFrame:
+    """(id, class_id) of a signature table: the smallest id with the same words."""
+    reps = materialize(table.groupBy(F.col("words").alias("w")).agg(F.min("id").alias("class_id")), "classes")
+    return table.join(reps, table["words"] == reps["w"]).select("id", "class_id")
+
+
+def _alike(left: np.ndarray, right: np.ndarray, band: int, least: float) -> np.ndarray:
+    """Pairs of rows whose estimate reaches ``least`` and whose first common band is ``band``."""
+    width = PERMUTATIONS // BANDS
+    found = []
+    for i, row in enumerate(left):
+        same = right == row
+        near = np.flatnonzero(same.mean(axis=1) >= least)
+        if len(near):
+            first = same[near].reshape(len(near), BANDS, width).all(axis=2).argmax(axis=1)
+            found += [(i, j) for j in near[first == band]]
+    return np.array(found, np.int64).reshape(-1, 2)
+
+
+def similar_pairs(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(u, v, jaccard): pairs u < v of class representatives with a Jaccard
+    similarity of their 5-word shingle sets of at least ``threshold``.
+
+    Equal texts count once, by their representative (see :func:`classes`).  The
+    signature bands meet in Spark; a bucket's members are compared by their
+    fingerprints in one task, a large bucket's in pairs of blocks, and only
+    pairs that look similar leave it, each from its first common band.  Their
+    exact similarity is then verified.  NULL texts count as empty; rows with a
+    NULL id take no part; a repeated id is read as one of its rows.
+    """
+    table = signature_table(docs, id_col, text_col)
+    member = classes(table).filter("id = class_id").select("class_id").distinct()
+    reps = materialize(table.join(member, table["id"] == member["class_id"]).dropDuplicates(["id"]).select("id", "signature"), "reps")
+    width = 2 * PERMUTATIONS // BANDS
+    bands = F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.substring("signature", 1 + width * b, width)).alias("h"))
+                      for b in range(BANDS)])
+    keyed = reps.select("id", F.explode(bands).alias("key")).select("id", "key.*")
+    sizes = materialize(keyed.groupBy("band", "h").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "buckets")
+    # Blocks of a bucket: one up to BUCKET members, else as many as keep two within it.
+    blocks = F.when(F.col("size") <= BUCKET, F.lit(1)).otherwise(F.ceil(F.col("size") * 3 / F.lit(BUCKET))).cast("int")
+    members = keyed.join(sizes.withColumn("blocks", blocks), ["band", "h"])
+    members = members.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    other = F.sequence(F.lit(0), F.col("blocks") - 1)
+    members = members.select("band", "h", "id", "own", F.explode(other).alias("other"))
+    members = materialize(members.select("band", "h", "id", "own", F.least("own", "other").alias("a"),
+                                         F.greatest("own", "other").alias("b")), "members")
+    named = members.join(reps.withColumnRenamed("id", "rep"), F.col("id") == F.col("rep"))
+    least = threshold - SLACK
+
+    def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        band, _, a, b = key
+        matrix = np.stack([np.frombuffer(s, ">u2") for s in frame["signature"]])
+        ids, own = frame["id"].to_numpy(), frame["own"].to_numpy()
+        left, right = np.flatnonzero(own == a), np.flatnonzero(own == b)
+        pairs = _alike(matrix[left], matrix[right], band, least)
+        u, v = ids[left][pairs[:, 0]], ids[right][pairs[:, 1]]
+        keep = (u < v) if a == b else (u != v)
+        return pd.DataFrame({"u": np.minimum(u, v)[keep], "v": np.maximum(u, v)[keep]})
+
+    candidates = materialize(named.groupBy("band", "h", "a", "b").applyInPandas(compare, "u long, v long").distinct(), "candidates")
+
+    @F.pandas_udf("array<long>")
+    def shingle_set(texts: pd.Series) -> pd.Series:
+        return pd.Series([np.unique(shingle_sets([(t or "").encode()])[0]).view(np.int64) for t in texts], dtype=object)
+
+    wanted = candidates.select(F.col("u").alias("w")).union(candidates.select("v")).distinct()
+    sets = docs.join(wanted, docs[id_col] == wanted["w"]).dropDuplicates([id_col])
+    sets = materialize(sets.select(F.col("w").alias("id"), shingle_set(F.col(text_col)).alias("s")), "sets")
+    both = (candidates.join(sets.select(F.col("id").alias("u"), F.col("s").alias("su")), "u")
+            .join(sets.select(F.col("id").alias("v"), F.col("s").alias("sv")), "v"))
+    common = F.size(F.array_intersect("su", "sv"))
+    both = both.withColumn("jaccard", common / (F.size("su") + F.size("sv") - common))
+    return both.filter(F.col("jaccard") >= threshold).select("u", "v", "jaccard")

@@ -59,3 +59,42 @@ def test_signature_does_not_depend_on_the_batch():
     texts = [" ".join(f"t{(i * j) % 31}" for j in range(i)).encode() for i in range(60)] + [b"long " * 30_000]
     whole = minhash.signatures(texts)
     assert all(np.array_equal(minhash.signatures([t])[0], s) for t, s in zip(texts, whole))
+
+
+def near_rows():
+    import random
+
+    rng = random.Random(8)
+    base = [[f"w{rng.randrange(500)}" for _ in range(80)] for _ in range(12)]
+    rows = [(i, " ".join(b)) for i, b in enumerate(base)]
+    for i in range(12, 120):
+        words = list(rng.choice(base))
+        for _ in range(rng.randrange(4)):
+            words[rng.randrange(80)] = f"edit{rng.randrange(50)}"
+        rows.append((i, ("  " if i % 5 == 0 else " ").join(words)))
+    return rows
+
+
+def test_similar_pairs_equal_brute_force(make_docs, monkeypatch):
+    rows = near_rows() + [r for r in ODD if r[1] != "same row"]
+    first = {}
+    for i, t in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
+        first.setdefault(tuple((t or "").encode().split()), i)
+    reps = sorted(first.values())
+    text = dict(rows)
+    want = {(u, v) for n, u in enumerate(reps) for v in reps[n + 1:]
+            if shingles(text[u]) and jaccard(text[u], text[v]) >= 0.8}
+    assert len(want) > 25
+    docs = make_docs(rows)
+    got = minhash.similar_pairs(docs).collect()
+    assert {(r["u"], r["v"]) for r in got} == want and len(got) == len(want)
+    assert all(abs(r["jaccard"] - jaccard(text[r["u"]], text[r["v"]])) < 1e-12 for r in got)
+    monkeypatch.setattr(minhash, "BUCKET", 4)  # every bucket of more than four in pairs of blocks
+    assert {(r["u"], r["v"]) for r in minhash.similar_pairs(docs).collect()} == want
+    member = {r["id"]: r["class_id"] for r in minhash.classes(minhash.signature_table(docs)).collect()}
+    assert set(member.values()) == set(reps) and all(shingles(text[i]) == shingles(text[c]) for i, c in member.items())
+
+
+def test_similar_pairs_of_nothing(make_docs):
+    assert minhash.similar_pairs(make_docs([])).count() == 0
+    assert minhash.similar_pairs(make_docs(ODD[:2])).count() == 0
