@@ -154,6 +154,14 @@ def with_fiscal_quarter(df: DataFrame, date_col: str, fiscal_start: int,
     })
 
 
+def wide_counts(df: DataFrame, keys: Sequence[str], flags: Sequence[str]) -> DataFrame:
+    """(keys, var, N_all, n_yes) of boolean columns with any answer: aggregated
+    wide in one pass, then turned long, so that rows are never multiplied."""
+    g = df.groupBy(*keys).agg(*[a for f in flags for a in (F.count(f).alias(f"__n_{f}"), F.count_if(f).alias(f"__y_{f}"))])
+    cells = F.array(*[F.struct(F.lit(f).alias("var"), F.col(f"__n_{f}").alias("N_all"), F.col(f"__y_{f}").alias("n_yes")) for f in flags])
+    return g.select(*keys, F.inline(cells)).filter("N_all > 0")
+
+
 def quarter_demographics(root: DataFrame, fiscal_start: int = cb.FISCAL_START_DEMOGRAPHICS,
                          labels: Sequence[tuple[str, str]] = tuple(cb.QUARTER_DEMO_LABELS),
                          levels: Sequence[str] = tuple(cb.ARM_LEVELS)) -> DataFrame:
@@ -166,9 +174,7 @@ def quarter_demographics(root: DataFrame, fiscal_start: int = cb.FISCAL_START_DE
         "demo_old_lgl": F.col("demo_age") >= 65,
     })
     keys = ["enrollment_fy", "enrollment_fq"]
-    long = reshape.unpivot(df, [*keys, "assignment_label_fct"], [f for f, _ in labels], "var", "val")
-    g = long.filter(F.col("val").isNotNull()).groupBy(*keys, "assignment_label_fct", "var").agg(
-        F.count(F.lit(1)).alias("N_all"), F.count_if("val").alias("n_yes"))
+    g = wide_counts(df, [*keys, "assignment_label_fct"], [f for f, _ in labels])
     g = g.withColumns({"pct_n": pct_cell(F.col("n_yes"), F.col("N_all")),
                        "lab": logic.lookup("var", dict(labels))})
     return reshape.pivot_cells(g, [*keys, "lab"], "assignment_label_fct", list(levels), "pct_n")
@@ -195,25 +201,20 @@ def province_crosstab(root: DataFrame, fiscal_start: int = cb.FISCAL_START_DEMOG
 
 def satisfaction_summary(satis: DataFrame, labels: dict | None = None) -> DataFrame:
     """Share of positive answers per label; unlabelled variables pool into a NULL label."""
-    from ..operators import reshape
-
-    names = [c for c in satis.columns if c.startswith("satis_")]
-    long = reshape.unpivot(satis, ["enrollment_id"], names, "var", "val")
+    counts = wide_counts(satis, [], [c for c in satis.columns if c.startswith("satis_")])
     lab = logic.lookup("var", labels) if labels is not None else F.col("var")
-    return long.withColumn("lab", lab).filter(F.col("val").isNotNull()).groupBy("lab").agg(
-        F.count(F.lit(1)).alias("n_total"), F.count_if("val").alias("n")).withColumn(
+    return counts.groupBy(lab.alias("lab")).agg(F.sum("N_all").alias("n_total"), F.sum("n_yes").alias("n")).withColumn(
         "p", F.col("n") / F.col("n_total"))
 
 
 def scale_summary(hope: DataFrame, domains: Sequence[str], labels: dict | None = None) -> DataFrame:
     """Per domain x wave tag: N, mean and sample sd of the non-missing scores;
     ``tag_order`` (the wave) orders the tags."""
-    from ..operators import reshape
-
-    long = reshape.unpivot(hope, ["enrollment_id", "wave", "survey_tag"], list(domains), "var", "val")
-    g = long.filter(F.col("val").isNotNull()).groupBy("var", "survey_tag").agg(
-        F.count(F.lit(1)).alias("N"), F.avg("val").alias("mean"), F.stddev_samp("val").alias("sd"),
-        F.min("wave").alias("tag_order"))
+    g = hope.groupBy("survey_tag").agg(*[a.alias(f"__{n}_{d}") for d in domains for n, a in (
+        ("N", F.count(d)), ("mean", F.avg(d)), ("sd", F.stddev_samp(d)), ("tag_order", F.min(F.when(F.col(d).isNotNull(), F.col("wave")))))])
+    cells = F.array(*[F.struct(F.lit(d).alias("var"), *[F.col(f"__{n}_{d}").alias(n) for n in ("N", "mean", "sd", "tag_order")])
+                      for d in domains])
+    g = g.select("survey_tag", F.inline(cells)).filter("N > 0")
     lab = logic.lookup("var", labels) if labels is not None else F.col("var")
     return g.select(lab.alias("lab"), "survey_tag", "tag_order", "N", "mean", "sd")
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import codebook as cb
@@ -31,9 +32,27 @@ def repair_long(repair: DataFrame, pattern: str = cb.REPAIR_ITEM_PATTERN, cap_it
     return long.withColumn("ehs_item", logic.cap(F.col("ehs_item").try_cast("int"), cap_item))
 
 
-def repair_items(repair: DataFrame, id_col: str = "response_id") -> DataFrame:
-    """Item value = mean of the item's option answers (NULL when all missing),
-    pivoted wide to ``emp_hope_1_<item>`` with explicit item levels."""
+def repair_items(repair: DataFrame, pattern: str = cb.REPAIR_ITEM_PATTERN, cap_item: int = cb.SCALE_ITEMS,
+                 id_col: str = "response_id") -> DataFrame:
+    """Item value = mean of the item's option answers (NULL when all missing), as
+    ``emp_hope_1_<item>``: one aggregate of sums and counts over the wide
+    columns, without unpivoting them."""
+    options: dict[int, list[Column]] = {}
+    for c in repair.columns:
+        m = re.fullmatch(pattern, c)
+        if m and m[1].isdigit():
+            options.setdefault(min(int(m[1]), cap_item), []).append(F.col(c).try_cast("double"))
+    aggs = []
+    for item in range(1, cap_item + 1):
+        cells = options.get(item, [F.lit(None).cast("double")])
+        total = F.sum(sum((F.coalesce(c, F.lit(0.0)) for c in cells), F.lit(0.0)))
+        known = F.sum(sum((c.isNotNull().cast("int") for c in cells), F.lit(0)))
+        aggs.append(F.when(known > 0, total / known).alias(f"{ITEM_PREFIX}{item}"))
+    return repair.groupBy(id_col).agg(*aggs)
+
+
+def pivot_repair_items(repair: DataFrame, id_col: str = "response_id") -> DataFrame:
+    """The same through the long form: mean per (id, item), pivoted on explicit levels."""
     long = repair_long(repair, id_col=id_col)
     return reshape.pivot_named(
         long, [id_col], "ehs_item", list(range(1, cb.SCALE_ITEMS + 1)),

@@ -531,7 +531,7 @@ def unpivot_items(spark, d):
 
 
 def pivot_items(spark, d):
-    w = scales.repair_items(panel.repair(spark, d))
+    w = scales.pivot_repair_items(panel.repair(spark, d))
     return w.select("response_id", *[_r(c).alias(c) for c in scales.ITEMS])
 
 

@@ -457,3 +457,14 @@ def test_last_wave_tag_stands_last(spark):
     d = spark.createDataFrame([("12-month-follow-up", 2), ("exit", 3)], "survey_tag string, wave int")
     got = d.groupBy("survey_tag").agg(reports.wave_order()).orderBy("tag_order").collect()
     assert [r["survey_tag"] for r in got] == ["exit", "12-month-follow-up"]
+
+
+def test_repair_items_wide_equals_long(spark):
+    from conftest import SMALL
+    from panelkit.sources import panel
+
+    d = panel.repair(spark, SMALL)
+    d = d.union(d.limit(20))  # repeated ids share one mean
+    cols = ["response_id", *scales.ITEMS]
+    wide = sorted(map(tuple, scales.repair_items(d).select(*cols).collect()))
+    assert wide == sorted(map(tuple, scales.pivot_repair_items(d).select(*cols).collect()))
