@@ -25,6 +25,8 @@ from .common import materialize
 from .components import components
 
 BITS = 64
+#: Texts whose shingles a worker holds at once.
+ROWS = 256
 #: Members of a shard that get a BK-tree; larger shards take the bit-flip way.
 SHARD = 1024
 
@@ -72,13 +74,13 @@ def fingerprint(text: Column, shingle: int = 3) -> Column:
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
         digest = xxhash.xxh64_intdigest
-        hashes, count = [], np.zeros(len(texts), dtype=np.int64)
-        for i, t in enumerate(texts):
-            found = shingles(t, shingle)
-            count[i] = len(found)
-            hashes.append(np.fromiter((digest(s, 42) for s in found), np.uint64, len(found)))
-        whole = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        return pd.Series(majority_bits(whole, count).view(np.int64))
+        out = np.zeros(len(texts), dtype=np.int64)
+        for lo in range(0, len(texts), ROWS):
+            found = [shingles(t, shingle) for t in texts.iloc[lo:lo + ROWS]]
+            count = np.array([len(f) for f in found], dtype=np.int64)
+            hashes = np.fromiter((digest(s, 42) for f in found for s in f), np.uint64, int(count.sum()))
+            out[lo:lo + ROWS] = majority_bits(hashes, count).view(np.int64)
+        return pd.Series(out)
 
     return of(text)
 
