@@ -236,10 +236,18 @@ def repair_columns(base1: bool) -> list[tuple[str, str]]:
 # ---------------------------------------------------------------------------
 
 
+_SCHEMAS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table.  The files are listed anew each time, so that rows
-    appended since the last query are read."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    appended since the last query are read; only the schema, which takes a job
+    to read, is kept for the session."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def _select(df: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
