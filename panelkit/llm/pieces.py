@@ -129,10 +129,15 @@ class Encoder:
         return [i for part in reversed(path) for i in part]
 
     def _chunk(self, word: str, kept: dict, prefix: str) -> list[int]:
-        """Ids of a word, from those of its stem if its last character can be cut off."""
-        if len(word) > 1 and word[-2:] not in self.pairs:
-            stem, last = word[:-1], word[-1]
-            ids = (kept.get(stem) or self._chunk(stem, kept, prefix)) + (self.bare.get(last) or self._chunk(last, self.bare, ""))
+        """Ids of a word: its stem, then one by one the characters at its end that stand in no piece with the one before."""
+        cut = len(word)
+        while cut > 1 and word[cut - 2:cut] not in self.pairs:
+            cut -= 1
+        if cut < len(word):
+            stem = word[:cut]
+            ids = list(kept.get(stem) or self._chunk(stem, kept, prefix))
+            for last in word[cut:]:
+                ids += self.bare.get(last) or self._chunk(last, self.bare, "")
         else:
             ids = self.best(prefix + word)
         if len(word) <= CACHED_CHARS:

@@ -62,6 +62,20 @@ def test_round_trip(vocabulary, encoder):
         assert text is None or decoder.decode(encoder.encode(text)) == text
 
 
+def test_long_words_of_unpaired_characters(vocabulary, encoder):
+    decoder = pieces.Decoder(vocabulary)
+    rng = random.Random(7)
+    ideographs = "".join(chr(rng.randrange(0x4E00, 0x9FA0)) for _ in range(5000))
+    digits = "".join(rng.choice("0123456789") for _ in range(5000))
+    for word in (ideographs, digits):
+        for text in (word, "so " + word + "\n" + word):
+            ids = encoder.encode(text).tolist()
+            assert decoder.decode(ids) == text
+            whole = encoder.best("▁" + text.replace(" ", "▁"))
+            assert score(encoder, ids, "") == pytest.approx(score(encoder, whole, ""))
+    assert len(encoder.encode(digits)) >= 5000
+
+
 def test_general_vocabulary_without_bytes_or_chunks():
     v = pieces.Pieces([None, "▁", "a", "b", "a▁b", "ab"], [0.0, -1.0, -2.0, -2.0, -1.0, -3.5], [])
     e = pieces.Encoder(v)
