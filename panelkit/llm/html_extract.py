@@ -61,19 +61,60 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[
 _NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
+#: Endings with which a purpose is written; all others take "s" alone.
+_ENDINGS = {"advert": "s|ise|ising|isement|isements|iser|isers", "sponsor": "s|ed|ship", "promo": "s|ted|tion|tions|tional",
+            "respons": "e|es", "recommend": "s|ed|ation|ations|ing", "subscri": "be|ber|bers|bing|ption|ptions",
+            "comment": "s|ing|er|ers"}
+_BEFORE = "site|page|main|global|top|left|right|bottom|blog|web|primary|secondary|inner|outer|sub|user|post|article|entry|content"
+_AFTER = ("bar|box|boxes|list|area|wrap|wrapper|container|block|section|inner|outer|left|right|top|bottom|item|items|link|links|form|body|"
+          "text|content|count|thread|title|nav|menu|panel|widget|holder|banner|row|col|column|inside|main|primary|secondary|page|button|btn|icon|icons")
+#: A part of a name that is one purpose, alone or written together with words of layout.
+_PURPOSE = re.compile(rf"(?:{_BEFORE})*?(?P<p>" + "|".join(
+    f"{p}(?:{_ENDINGS.get(p, 's')})?" for p in sorted(PURPOSES, key=len, reverse=True) if p not in WHOLE) + rf")(?:{_AFTER})*")
+#: Parts after these say what stands elsewhere; names of a topic or a state say nothing of their container.
+_STATES = frozenset("has have no not with without hide hidden".split())
+_TOPIC = re.compile(r"(?:tag|category|cat|topic|term|tax|type|format|status)[-_](?!(?:list|lists|cloud|links?)\b)|comments?[-_](?:open|closed)\b", re.I)
+#: What can have a heading of its own, and class parts that hold against the tag article or main as well.
+_HEADED = frozenset("article post entry story content".split())
+_OTHER = frozenset("ad ads adv advert promo comment discussion reply respons disqus related recommend teaser".split())
+
+_LONGEST = sorted((p for p in PURPOSES if p not in WHOLE), key=len, reverse=True)
+
+
+def _purpose(part: str) -> str | None:
+    if part in WHOLE:
+        return part
+    m = _PURPOSE.fullmatch(part)
+    return next((p for p in _LONGEST if m["p"].startswith(p)), None) if m else None
+
 
 @lru_cache(maxsize=20_000)
 def purposes(tag: str, rest: str) -> frozenset[str]:
-    """Purposes that a start tag names."""
+    """Purposes that a start tag names: by itself, or as whole parts of its class names, id and role.
+
+    Classes of the whole page (html, body) tell its layout and count for nothing.
+    An article's or main's own tag outweighs class parts, save those of comments,
+    adverts and references to other articles.  The header of an article is its heading.
+    """
     found = set()
     if tag in PURPOSES:
         found.add(tag)
+    if tag in ("html", "body"):
+        return frozenset(found)
     for m in _NAMES.finditer(rest):
-        parts = [p.lower() for p in _PART.findall(m[1] or m[2] or m[3] or "")]
-        whole = "".join(parts)
-        found.update(p for p in parts if p in WHOLE)
-        found.update(p for p in PURPOSES if p not in WHOLE and p in whole)
-    return frozenset(found)
+        for name in (m[1] or m[2] or m[3] or "").split():
+            if _TOPIC.match(name):
+                continue
+            parts = [p.lower() for p in _PART.findall(name)]
+            parts = parts[:next((i for i, p in enumerate(parts) if p in _STATES), len(parts))]
+            own = {_purpose(p) for p in parts} | {a + b for a, b in zip(parts, parts[1:]) if a + b in PURPOSES}
+            if "header" in own and own & _HEADED:
+                own.discard("header")
+                found.discard("header")
+            if tag in ("article", "main"):
+                own -= set(_AGAINST) - _OTHER
+            found |= own
+    return frozenset(found - {None})
 
 
 class Block:

@@ -36,6 +36,26 @@ def test_odd_markup():
     assert hx.main_text("<article><p>" + "word " * 50_000 + "</p></article>").count("word") == 50_000
 
 
+def test_names_that_only_look_like_other_purposes():
+    words = "These are the words of the article itself."
+    for outer in ("<body class='responsive has-sidebar'><article>%s</article>", "<div class='responsive'><article>%s</article></div>",
+                  "<article class='post tag-politics'>%s</article>", "<article class='post-7 post category-comment tag-2024 comments-open'>%s</article>",
+                  "<div class='post tag-search'>%s</div>", "<article class='research'>%s</article>", "<div class='research'>%s</div>",
+                  "<div class='entry-content has-sidebar'>%s</div>", "<div class='layout-with-sidebar'>%s</div>",
+                  "<div class='article-header'>%s</div>", "<header class='entry-header'>%s</header>", "<main class='page-header meta'>%s</main>",
+                  "<div class='table-responsive'>%s</div>", "<div class='commentary'>%s</div>"):
+        assert hx.main_text(outer % f"<p>{words}</p>") == words, outer
+
+
+def test_names_of_other_purposes():
+    for name in ("advertisement", "adbox ad", "site-header", "pagefooter", "sidebarRight", "rightsidebar", "commentlist", "comment-list", "commentList",
+                 "responses", "subscription-box", "newsletterSignup", "sponsored", "promotions", "cookiebar", "pop-up", "related-posts",
+                 "tag-cloud", "search", "site-search", "breadcrumbs", "post-comments"):
+        page = f"<body><article><p>Words of the article.</p></article><div class='{name}'><p>Not of it at all.</p></div></body>"
+        assert hx.main_text(page) == "Words of the article.", name
+    assert hx.main_text("<article class='comment'><p>Not an article.</p></article>") == ""
+
+
 def test_best_region():
     assert hx.best_region([-1, 2, -1, 3, -5, 4]) == (1, 4)
     assert hx.best_region([-1, -2]) == (0, 0) == hx.best_region([])
