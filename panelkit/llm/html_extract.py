@@ -4,7 +4,8 @@ Method: a page is a sequence of words and tags.  Words score positive where
 their surroundings speak for the article and negative where they speak against
 it, tags score negative; one linear scan finds the contiguous region with the
 greatest sum.  The weights are log-odds counted on labelled pages.  Within the
-region, blocks that score negative (an advert between paragraphs) are left out.
+region, blocks that score negative (an advert between paragraphs) are left out;
+between two parts of one article they and the tags cost less than either part.
 """
 
 from __future__ import annotations
@@ -22,10 +23,12 @@ from pyspark.sql import functions as F
 # --- fixed values -------------------------------------------------------------
 
 #: Elements whose contents are never text of the page.
-HIDDEN = frozenset("head title script style noscript template svg math iframe object select textarea button canvas audio video".split())
+HIDDEN = frozenset("head title script style noscript template svg annotation annotation-xml iframe object select textarea button canvas audio video".split())
 #: Elements that stand inside a line; all others limit blocks.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark meter output progress q rp rt "
-                   "ruby s samp small span strike strong sub sup time tt u var wbr img input link meta".split())
+                   "ruby s samp small span strike strong sub sup time tt u var wbr img input link meta "
+                   "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot msub msup msubsup munder mover munderover mmultiscripts mprescripts "
+                   "mstyle merror mpadded mphantom mfenced menclose mtable mtr mlabeledtr mtd maction semantics annotation annotation-xml".split())
 #: Elements without contents.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements and parts of class names, ids and roles that tell the purpose of a container.
@@ -118,19 +121,28 @@ def purposes(tag: str, rest: str) -> frozenset[str]:
 
 
 class Block:
-    """Text between block limits, the purposes around it, its words inside links, the tags before it."""
+    """Text between block limits, the purposes around it, its words inside links, the tags before it.
 
-    __slots__ = ("parts", "around", "linked", "tags")
+    ``place`` numbers the article (rank and number; rank 0: none) and the division that hold it.
+    """
+
+    __slots__ = ("parts", "around", "linked", "tags", "place")
 
-    def __init__(self, around, tags):
-        self.parts, self.around, self.linked, self.tags = [], around, 0, tags
+    def __init__(self, around, tags, place):
+        self.parts, self.around, self.linked, self.tags, self.place = [], around, 0, tags, place
+
+    def beside(self, other: "Block") -> bool:
+        """Whether both stand in one article, or directly in one division."""
+        (article, division), (article2, division2) = self.place, other.place
+        return article == article2 and article[0] > 0 or division == division2
 
 
 def blocks(page: str) -> list[Block]:
     """Blocks of a page in order; markup need be neither closed nor nested properly."""
     out: list[Block] = []
-    stack: list[tuple[str, frozenset[str]]] = []  # open containers with all purposes around their contents
+    stack: list[tuple[str, frozenset[str], tuple]] = []  # open containers with all purposes around their contents, and the place
     around: frozenset[str] = frozenset()
+    place, number = _NOWHERE, 0
     block, links, tags, at = None, 0, 0, 0
 
     def text(raw: str) -> None:
@@ -138,7 +150,7 @@ def blocks(page: str) -> list[Block]:
         if block is None:
             if raw.isspace():
                 return
-            block = Block(around, tags)
+            block = Block(around, tags, place)
             tags = 0
             out.append(block)
         raw = html.unescape(raw)
@@ -176,10 +188,10 @@ def blocks(page: str) -> list[Block]:
             if name == "p" or name in VOID:
                 continue
             if closing:
-                if any(n == name for n, _ in stack):
+                if any(n == name for n, _, _ in stack):
                     while stack.pop()[0] != name:
                         pass
-                around = stack[-1][1] if stack else frozenset()
+                around, place = stack[-1][1:] if stack else (frozenset(), _NOWHERE)
             else:
                 own = purposes(name, rest)
                 if name in ("article", "main") and not own & _COMMENTS:
@@ -189,14 +201,23 @@ def blocks(page: str) -> list[Block]:
                     inner = around | (own - {"header"})  # the heading of an article
                 else:
                     inner = around | own
-                stack.append((name, inner))
+                number += 1
+                article, division = place
+                rank = 0 if own & _COMMENTS else 3 if name == "article" else 2 if name == "main" else 1 if own & _ARTICLES else 0
+                if rank > article[0]:
+                    article = (rank, number)
+                place = article, number if name in _DIVISIONS else division
+                stack.append((name, inner, place))
                 around = inner
-            links = 0 if name in ("article", "main", "div", "section", "body") else links
+            links = 0 if name in _DIVISIONS else links
     return out
 
 
 _COMMENTS = frozenset(("comment", "reply", "discussion", "respons", "disqus"))
 _BODIES = frozenset(("article", "main"))
+_ARTICLES = frozenset(("article", "post", "entry", "story"))
+_DIVISIONS = frozenset(("article", "main", "div", "section", "body"))
+_NOWHERE = ((0, 0), 0)
 
 # --- weights and region ---------------------------------------------------------
 
@@ -210,8 +231,8 @@ class Weights:
     def word(self, block: Block, words: int) -> float:
         """Score of each word of a block, between -0.5 and 1.
 
-        The limits keep one long advert from cutting an article in two: a
-        negative block inside the region is left out anyway.
+        A negative block inside the region is left out; :func:`bridge` keeps a
+        long one from cutting an article in two.
         """
         total = self.base + sum(self.purpose.get(p, 0.0) for p in block.around)
         if 2 * block.linked > words:
@@ -264,13 +285,31 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     return found
 
 
+def bridge(own: list[Block], scores: list[float]) -> None:
+    """Limit what lies between two positive blocks of one article to half the lesser of them.
+
+    ``scores`` holds two places a block: its tags and its words.  However long
+    an advert or however many tags stand there, the region reaches over them.
+    """
+    last = None
+    for i, b in enumerate(own):
+        if scores[2 * i + 1] <= 0:
+            continue
+        if last is not None and own[last].beside(b):
+            lo, hi = 2 * last + 2, 2 * i + 1
+            cost, limit = -sum(scores[lo:hi]), min(scores[lo - 1], scores[hi]) / 2
+            if cost > limit:
+                scores[lo:hi] = [s * limit / cost for s in scores[lo:hi]]
+        last = i
+
+
 def main_text(page: str | None, weights: Weights | None = None) -> str:
     """Main text of a page: blocks in page order, white space as one space."""
     if not page:
         return ""
     weights = weights or learn_weights()
-    kept, scores = [], []
-    for b in blocks(page):
+    found, kept, scores = blocks(page), [], []
+    for b in found:
         words = "".join(b.parts).split()
         if words:
             own = weights.word(b, len(words))
@@ -279,6 +318,7 @@ def main_text(page: str | None, weights: Weights | None = None) -> str:
         else:
             kept.append(("", 0.0))
             scores += [weights.tag * b.tags, 0.0]
+    bridge(found, scores)
     lo, hi = best_region(scores)
     return " ".join(t for i, (t, own) in enumerate(kept) if t and own > 0 and lo <= 2 * i + 1 < hi)
 

@@ -56,6 +56,31 @@ def test_names_of_other_purposes():
     assert hx.main_text("<article class='comment'><p>Not an article.</p></article>") == ""
 
 
+def test_article_on_both_sides_of_a_long_block():
+    first, other, last = "one " * 100, "not this " * 250, "two " * 80
+    text = (first + last).strip()
+    for outer in ("<body><article>%s</article></body>", "<body><main><section>%s</section></main></body>", "<body><div class='entry-content'>%s</div></body>",
+                  "<body><div>%s</div></body>", "<body>%s</body>"):
+        for block in ("<aside>%s</aside>", "<div class='advert'><p>%s</p></div>", "<form><p>%s</p></form>", "<div class='related'><ul><li><a>%s</a></li></ul></div>"):
+            page = outer % (f"<p>{first}</p>" + block % other + f"<p>{last}</p>")
+            assert hx.main_text(page) == text, (outer, block)
+            assert hx.main_text(page.replace(f"<p>{last}</p>", f"<ul><li>{last}</li></ul>")) == text, (outer, block)
+    nested = f"<article><div class='entry-content'><p>{first}</p></div><aside>{other}</aside><div><p>{last}</p></div></article>"
+    assert hx.main_text(nested) == text
+    for tags in ("<br>" * 400, "<p><img src=x></p>" * 400, "<table><tr>" + "<td></td>" * 400 + "</tr></table>"):
+        assert hx.main_text(f"<article><p>{first}</p>{tags}<p>The three last.</p></article>") == first + "The three last."
+
+
+def test_long_block_outside_the_article():
+    page = f"<body><p>Welcome here</p><nav>{'menu ' * 300}</nav><article><p>{'one ' * 100}</p></article><aside>{'not ' * 300}</aside><p>Go up</p></body>"
+    assert hx.main_text(page) == ("one " * 100).strip()
+
+
+def test_math():
+    page = "<p>So <math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>x = 2</annotation></semantics></math> holds.</p>"
+    assert hx.main_text(page) == "So x=2 holds."
+
+
 def test_best_region():
     assert hx.best_region([-1, 2, -1, 3, -5, 4]) == (1, 4)
     assert hx.best_region([-1, -2]) == (0, 0) == hx.best_region([])
