@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import globally_ordered, materialize, ranked
+from .common import globally_ordered, materialize, ranked, release
 
 
 def curve_tables(dims: int) -> tuple[list[int], list[int]]:
@@ -99,8 +99,8 @@ def cut_runs(ordered: DataFrame, shards: int) -> DataFrame:
 
 
 def hilbert_shards(docs: DataFrame, shards: int = 40, bits: int = 4, id_col: str = "doc_id",
-                   text_col: str = "text", dims: tuple[str, ...] = ("source", "lang")) -> DataFrame:
-    """One row per document: id, size, text_crc32, law, shard, slot, grown_shard.
+                   text_col: str = "text", dims: tuple[str, ...] = ("source", "lang"), row_col: str | None = None) -> DataFrame:
+    """One row per document: id, size, text_crc32, law, shard, slot, grown_shard (and ``row_col``, handed through, if given).
 
     The curve runs over the given string columns and the size.  Law ``rows``:
     shard counts are at most one apart.  Equal texts form a group that takes the
@@ -111,28 +111,35 @@ def hilbert_shards(docs: DataFrame, shards: int = 40, bits: int = 4, id_col: str
     fewer rows than shards some shards are empty; other columns are not read.
     """
     names = [f"d{i}" for i in range(len(dims))]
+    carried = [row_col] if row_col else []
     text = F.coalesce(F.col(text_col), F.lit(""))
     narrow = materialize(docs.select(
         F.col(id_col).alias("id"), (F.octet_length(text) + 16).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("crc"), F.unhex(F.md5(text.cast("binary"))).alias("group"),
-        *[text_order(F.col(c)).alias(n) for c, n in zip(dims, names)]), "narrow")
+        *[text_order(F.col(c)).alias(n) for c, n in zip(dims, names)], *[F.col(c).alias("row") for c in carried]), "narrow")
     groups = materialize(narrow.groupBy(F.col("group").alias("g")).agg(
         *[F.min(n).alias(f"g_{n}") for n in names]), "groups")
     rows = narrow.join(groups, narrow["group"] == groups["g"])
     levels = quantise(narrow, [*names, "size"], bits)
     if names:
         rows = rows.drop(*names).withColumnsRenamed({f"g_{n}": n for n in names})
-    placed = rows.select("id", "size", "crc", "group", hilbert_index(levels, bits).alias("h"))
+    placed = rows.select("id", "size", "crc", "group", hilbert_index(levels, bits).alias("h"), *["row" for _ in carried])
     ordered = globally_ordered(placed, [F.col("h"), F.col("group"), F.col("id").asc_nulls_first()], "curve")
     return cut_runs(ordered, shards).select(
         F.col("id").alias(id_col), "size", F.col("crc").alias("text_crc32"), F.lit("rows").alias("law"),
-        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+        "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), *[F.col("row").alias(c) for c in carried])
 
 
 def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", **options) -> None:
-    """Write the rows of ``docs`` with a unique id as one folder per shard, in slot order."""
-    placed = hilbert_shards(docs, id_col=id_col, **options).select(
-        F.col(id_col).alias("_id"), "shard", "slot")
-    rows = docs.join(placed, docs[id_col] == placed["_id"]).drop("_id")
-    (rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+    """Write every row of ``docs`` once, as one folder per shard, in slot order.
+
+    Rows meet their slots by a row number written with them, so NULL and
+    repeated ids are kept like any other.
+    """
+    rows = materialize(docs.withColumn("_number", F.monotonically_increasing_id()), "rows")
+    placed = hilbert_shards(rows, id_col=id_col, row_col="_number", **options).select(
+        F.col("_number").alias("_placed"), "shard", "slot")
+    out = rows.join(placed, F.col("_number") == F.col("_placed")).drop("_number", "_placed")
+    (out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
      .write.partitionBy("shard").parquet(path))
+    release(rows)

@@ -60,3 +60,14 @@ def test_write_shards(make_docs, tmp_path):
     hilbert.write_shards(docs, str(tmp_path / "out"), shards=4)
     back = docs.sparkSession.read.parquet(str(tmp_path / "out"))
     assert back.count() == 200 and {r["shard"] for r in back.select("shard").distinct().collect()} == {0, 1, 2, 3}
+
+
+def test_write_shards_keeps_null_and_repeated_ids(make_docs, tmp_path):
+    rows = [(i, f"t{i}") for i in range(50)] + [(None, f"n{i}") for i in range(7)] + [(3, "t3")] * 4 + [(4, f"r{i}") for i in range(6)] + [(None, None)] * 2
+    docs = make_docs(rows)
+    hilbert.write_shards(docs, str(tmp_path / "out"), shards=4)
+    back = docs.sparkSession.read.parquet(str(tmp_path / "out"))
+    assert set(back.columns) == {*docs.columns, "shard", "slot"}
+    assert Counter(map(tuple, back.select(docs.columns).collect())) == Counter(map(tuple, docs.collect()))
+    placed = lambda df: Counter(map(tuple, df.select("doc_id", "shard", "slot").collect()))
+    assert placed(back) == placed(hilbert.hilbert_shards(docs, shards=4))
