@@ -8,7 +8,7 @@ dimension, so the shards' min/max statistics prune on any of them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import globally_ordered, materialize, ranked, release
@@ -64,10 +64,30 @@ def hilbert_index(levels: list[Column], bits: int) -> Column:
     return F.aggregate(falling, start, step)["h"]
 
 
-def text_order(c: Column, n: int = 6) -> Column:
-    """A number in the order of a string's first n bytes (NULL stays NULL)."""
-    hexed = F.rpad(F.hex(F.substring(c.cast("binary"), 1, n)), 2 * n, "0")
-    return F.conv(hexed, 16, 10).cast("long")
+def text_levels(df: DataFrame, dim: str, bits: int) -> Column:
+    """Equally filled levels of a string column in code-point order; NULL stays NULL.
+
+    The distinct values are counted and put in order; where their running share
+    of the rows passes a multiple of 2**-bits, a level begins.  At most
+    2**bits values, however many there are, come to the driver.
+    """
+    levels = 1 << bits
+    counted = df.filter(F.col(dim).isNotNull()).groupBy(F.col(dim).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    ordered = globally_ordered(counted, [F.col("value")], f"values_{dim}")
+    parts = ordered.groupBy("_part").agg(F.sum("n").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+                         F.sum("_n").over(Window.partitionBy()).alias("_all"))
+    inside = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    shares = ordered.join(F.broadcast(parts), "_part").withColumn("through", F.col("_before") + F.sum("n").over(inside))
+    level = F.expr(f"least(through * {levels} div _all, {levels - 1})")
+    cuts = (shares.withColumn("level", level).filter(level > F.expr(f"least((through - n) * {levels} div _all, {levels - 1})"))
+            .select("level", "value").collect())
+    release(ordered)
+    reached = F.lit(0)
+    for r in sorted(cuts, key=lambda r: r["level"]):
+        reached = F.when(F.col(dim) >= F.lit(r["value"]), F.lit(r["level"]).cast("int")).otherwise(reached)
+    return F.when(F.col(dim).isNotNull(), reached)
 
 
 def quantise(df: DataFrame, dims: list[str], bits: int) -> list[Column]:
@@ -116,13 +136,12 @@ def hilbert_shards(docs: DataFrame, shards: int = 40, bits: int = 4, id_col: str
     narrow = materialize(docs.select(
         F.col(id_col).alias("id"), (F.octet_length(text) + 16).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("crc"), F.unhex(F.md5(text.cast("binary"))).alias("group"),
-        *[text_order(F.col(c)).alias(n) for c, n in zip(dims, names)], *[F.col(c).alias("row") for c in carried]), "narrow")
-    groups = materialize(narrow.groupBy(F.col("group").alias("g")).agg(
+        *[F.col(c).cast("string").alias(n) for c, n in zip(dims, names)], *[F.col(c).alias("row") for c in carried]), "narrow")
+    leveled = narrow.withColumns({n: text_levels(narrow, n, bits) for n in names}) if names else narrow
+    groups = materialize(leveled.groupBy(F.col("group").alias("g")).agg(
         *[F.min(n).alias(f"g_{n}") for n in names]), "groups")
-    rows = narrow.join(groups, narrow["group"] == groups["g"])
-    levels = quantise(narrow, [*names, "size"], bits)
-    if names:
-        rows = rows.drop(*names).withColumnsRenamed({f"g_{n}": n for n in names})
+    rows = narrow.drop(*names).join(groups, F.col("group") == F.col("g"))
+    levels = [*[F.coalesce(F.col(f"g_{n}"), F.lit(0)) for n in names], *quantise(narrow, ["size"], bits)]
     placed = rows.select("id", "size", "crc", "group", hilbert_index(levels, bits).alias("h"), *["row" for _ in carried])
     ordered = globally_ordered(placed, [F.col("h"), F.col("group"), F.col("id").asc_nulls_first()], "curve")
     return cut_runs(ordered, shards).select(

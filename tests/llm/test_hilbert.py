@@ -71,3 +71,20 @@ def test_write_shards_keeps_null_and_repeated_ids(make_docs, tmp_path):
     assert Counter(map(tuple, back.select(docs.columns).collect())) == Counter(map(tuple, docs.collect()))
     placed = lambda df: Counter(map(tuple, df.select("doc_id", "shard", "slot").collect()))
     assert placed(back) == placed(hilbert.hilbert_shards(docs, shards=4))
+
+
+def test_text_levels_look_at_whole_values(make_docs):
+    rows = [(i, f"t{i}", "en", None if i % 10 == 9 else f"https://example.com/é/{i * 7 % 64:03d}") for i in range(1280)]
+    docs = make_docs(rows)
+    got = docs.select("source", hilbert.text_levels(docs, "source", 4).alias("level")).collect()
+    values = sorted((r["source"] for r in got if r["source"] is not None), key=str.encode)
+    through = {v: i + 1 for i, v in enumerate(values)}
+    assert all(r["level"] == (None if r["source"] is None else min(through[r["source"]] * 16 // len(values), 15)) for r in got)
+
+
+def test_shards_prune_on_sources_with_one_beginning(make_docs):
+    rows = [(i, "w " * (i * 37 % 1000), "en", f"common_crawl_{i * 11 % 16:02d}") for i in range(4000)]
+    docs = make_docs(rows)
+    got = hilbert.hilbert_shards(docs, dims=("source",)).join(docs.select("doc_id", "source"), "doc_id")
+    sources = got.groupBy("shard").agg(F.countDistinct("source").alias("n")).collect()
+    assert sum(r["n"] for r in sources) / 40 < 8
