@@ -230,6 +230,16 @@ def predict(text: Column, model: Model) -> Column:
     return run(text)
 
 
+def has_letter(text: Column) -> Column:
+    """Whether a text has a letter; false for NULL."""
+
+    @F.pandas_udf("boolean")
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([t is not None and any(c.isalpha() for c in t) for t in texts], dtype=bool)
+
+    return run(text)
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Rows never learned from: crc32 of the id as text, modulo 4, is 2 (a NULL id is the empty text)."""
     return bucket_of(F.col(id_col), 4) == 2
@@ -250,8 +260,12 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
 
 def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` with a predicted language; ``und`` rows go.  All columns as they are."""
+    """The rows of ``docs`` with a predicted language; ``und`` rows go.  All columns as they are.
+
+    Where nothing could be learned, no language tells rows apart: only NULL
+    texts and texts without a letter go.
+    """
     model = fit(docs, ~held_out(id_col), id_col, text_col, lang_col)
     if not model.languages:
-        return docs
+        return docs.filter(has_letter(F.col(text_col)))
     return docs.withColumn("_p", predict(F.col(text_col), model)).filter(F.col("_p.lang") != UNDETERMINED).drop("_p")

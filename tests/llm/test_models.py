@@ -47,6 +47,14 @@ def test_language_cases(spark, make_docs):
     assert kept.columns == docs.columns and not ids & {10100, 10101, 10102, 10103} and {10104, 10106, None} <= ids
 
 
+def test_keep_known_without_labels(make_docs):
+    docs = make_docs([(i, t, None) for i, t in ODD] + [(1, "漢"), (2, "a 1")]).withColumn("lang", F.lit(None).cast("string"))
+    kept = language_id.keep_known(docs)
+    assert kept.columns == docs.columns
+    want = [i for i, t in ODD if t is not None and any(c.isalpha() for c in t)] + [1, 2]
+    assert sorted([r["doc_id"] for r in kept.collect()], key=str) == sorted(want, key=str)
+
+
 def test_labels_of_held_out_rows_are_not_learned(spark):
     docs = table(spark, SMALL, "documents")
     spoiled = docs.withColumn("lang", F.when(language_id.held_out(), F.lit("xx")).otherwise(F.col("lang")))
