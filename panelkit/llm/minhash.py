@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import WORD, materialize
 from .textnum import Words, mix, random_words, shingle_hashes, text_batches
 
 SHINGLE = 5
@@ -197,16 +197,20 @@ def similar_pairs(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "
     """(u, v, jaccard): pairs u < v of class representatives with a Jaccard
     similarity of their 5-word shingle sets of at least ``threshold``.
 
+    Of several texts under one repeated id each is compared; of a pair of ids
+    the greatest similarity is given.
+
     Equal texts count once, by their representative (see :func:`classes`).  The
     signature bands meet in Spark; a bucket's members are compared by their
     fingerprints in one task, a large bucket's in pairs of blocks, and only
     pairs that look similar leave it, each from its first common band.  Their
     exact similarity is then verified.  NULL texts count as empty; rows with a
-    NULL id take no part; a repeated id is read as one of its rows.
+    NULL id take no part.
     """
     table = signature_table(docs, id_col, text_col)
-    member = classes(table).filter("id = class_id").select("class_id").distinct()
-    reps = materialize(table.join(member, table["id"] == member["class_id"]).dropDuplicates(["id"]).select("id", "signature"), "reps")
+    # One row for each word sequence; "id" numbers them up to the verified pairs.
+    reps = table.groupBy("words").agg(F.min("id").alias("class_id"), F.first("signature").alias("signature"))
+    reps = materialize(reps.withColumn("id", F.monotonically_increasing_id()), "reps")
     width = 2 * PERMUTATIONS // BANDS
     bands = F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.substring("signature", 1 + width * b, width)).alias("h"))
                       for b in range(BANDS)])
@@ -220,7 +224,7 @@ def similar_pairs(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "
     members = members.select("band", "h", "id", "own", F.explode(other).alias("other"))
     members = materialize(members.select("band", "h", "id", "own", F.least("own", "other").alias("a"),
                                          F.greatest("own", "other").alias("b")), "members")
-    named = members.join(reps.withColumnRenamed("id", "rep"), F.col("id") == F.col("rep"))
+    named = members.join(reps.select(F.col("id").alias("rep"), "signature"), F.col("id") == F.col("rep"))
     least = threshold - SLACK
 
     def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
@@ -240,10 +244,14 @@ def similar_pairs(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "
         return pd.Series([np.unique(shingle_sets([(t or "").encode()])[0]).view(np.int64) for t in texts], dtype=object)
 
     wanted = candidates.select(F.col("u").alias("w")).union(candidates.select("v")).distinct()
-    sets = docs.join(wanted, docs[id_col] == wanted["w"]).dropDuplicates([id_col])
-    sets = materialize(sets.select(F.col("w").alias("id"), shingle_set(F.col(text_col)).alias("s")), "sets")
-    both = (candidates.join(sets.select(F.col("id").alias("u"), F.col("s").alias("su")), "u")
-            .join(sets.select(F.col("id").alias("v"), F.col("s").alias("sv")), "v"))
+    wanted = wanted.join(reps.select(F.col("id").alias("rep"), "class_id", "words"), F.col("w") == F.col("rep"))
+    texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    digest = F.unhex(F.sha2(F.array_join(F.regexp_extract_all("_text", F.lit(WORD), 0), " ").cast("binary"), 256))
+    sets = texts.join(wanted, (F.col("_id") == F.col("class_id")) & (digest == F.col("words"))).dropDuplicates(["w"])
+    sets = materialize(sets.select(F.col("w").alias("id"), "class_id", shingle_set(F.col("_text")).alias("s")), "sets")
+    both = (candidates.join(sets.select(F.col("id").alias("u"), F.col("class_id").alias("cu"), F.col("s").alias("su")), "u")
+            .join(sets.select(F.col("id").alias("v"), F.col("class_id").alias("cv"), F.col("s").alias("sv")), "v"))
     common = F.size(F.array_intersect("su", "sv"))
     both = both.withColumn("jaccard", common / (F.size("su") + F.size("sv") - common))
-    return both.filter(F.col("jaccard") >= threshold).select("u", "v", "jaccard")
+    found = both.filter((F.col("jaccard") >= threshold) & (F.col("cu") != F.col("cv")))
+    return found.groupBy(F.least("cu", "cv").alias("u"), F.greatest("cu", "cv").alias("v")).agg(F.max("jaccard").alias("jaccard"))

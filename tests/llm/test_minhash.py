@@ -95,6 +95,14 @@ def test_similar_pairs_equal_brute_force(make_docs, monkeypatch):
     assert set(member.values()) == set(reps) and all(shingles(text[i]) == shingles(text[c]) for i, c in member.items())
 
 
+def test_similar_pairs_of_all_texts_of_a_repeated_id(make_docs):
+    base = [" ".join(f"{n}w{i}" for i in range(100)) for n in range(6)]
+    docs = make_docs([(n, b) for n, b in enumerate(base)] + [(50, b + " more") for b in base] + [(50, base[0] + " yet more")])
+    got = minhash.similar_pairs(docs).collect()
+    assert sorted((r["u"], r["v"]) for r in got) == [(n, 50) for n in range(6)]
+    assert all(abs(r["jaccard"] - 96 / 97) < 1e-12 for r in got)
+
+
 def test_similar_pairs_of_nothing(make_docs):
     assert minhash.similar_pairs(make_docs([])).count() == 0
     assert minhash.similar_pairs(make_docs(ODD[:2])).count() == 0
