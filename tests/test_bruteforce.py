@@ -4,7 +4,7 @@ report rules directly (independent of both the Spark code and the SQL oracle).""
 import pandas as pd
 
 import __spark_entry__ as E
-from conftest import SMALL
+from paths import SMALL
 from panelkit import codebook as cb
 from panelkit.plans import pipeline
 from panelkit.sources import panel

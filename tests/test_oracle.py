@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__ as E
 import oracle_queries
 from panelkit import queries as panel_queries
-from conftest import SMALL
+from paths import SMALL
 from check_oracle import TABLES, digest
 
 QUERIES = panel_queries.QUERIES

@@ -5,7 +5,7 @@ import json
 
 import pytest
 
-from conftest import SMALL
+from paths import SMALL
 from panelkit.queries import QUERIES
 
 SKIP = {"snapshot_roundtrip", "csv_roundtrip", "csv_crosstab", "read_through", "materialized_panel", "landed_responses"}  # read back a written table

@@ -232,7 +232,7 @@ def test_columns_between(spark):
 
 def test_study_object_matches_registered_queries(spark):
     import __spark_entry__ as E
-    from conftest import SMALL
+    from paths import SMALL
     from panelkit.plans.study import PanelStudy
     from panelkit.sources import panel
 
@@ -264,7 +264,7 @@ def test_drop_all_null_columns(spark):
 
 
 def test_satisfaction_aggregate_equals_full_join(spark):
-    from conftest import SMALL
+    from paths import SMALL
     from panelkit.plans import pipeline
     from panelkit.sources import panel
 
@@ -420,7 +420,7 @@ def test_scratch_needs_a_shared_folder_off_local():
 
 
 def test_surveys_without_a_response_stay_with_missing_scores(spark):
-    from conftest import SMALL
+    from paths import SMALL
     from panelkit.plans import pipeline
     from panelkit.sources import panel
 
@@ -460,7 +460,7 @@ def test_last_wave_tag_stands_last(spark):
 
 
 def test_repair_items_wide_equals_long(spark):
-    from conftest import SMALL
+    from paths import SMALL
     from panelkit.sources import panel
 
     d = panel.repair(spark, SMALL)
