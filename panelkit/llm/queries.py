@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import curriculum, fim, hilbert, html_extract, language_id, minhash, pieces, quality, recompression, simhash, topk
+from . import curriculum, fim, hilbert, html_extract, language_id, line_dedup, minhash, pieces, quality, recompression, simhash, topk
 from .common import table
 
 
@@ -56,6 +56,10 @@ def op10_block_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_digests(table(spark, sf_dir, "documents"), min_docs=10, min_chars=1)
+
+
 def op12_fim_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ QUERIES = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_block_topk": op10_block_topk,
     "op7_simhash_bktree": op7_simhash_bktree,
+    "op11_line_dedup": op11_line_dedup,
     "op12_fim_rotation": op12_fim_rotation,
 }
 
@@ -154,6 +159,25 @@ WITH clean AS (
   SELECT *, row_number() OVER (PARTITION BY uid ORDER BY score DESC, vec_id) AS n FROM scored
 )
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM ranked WHERE n <= 20
+""",
+    "op11_line_dedup": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS uid, dense_rank() OVER (ORDER BY doc_id, coalesce(text, '')) AS doc, doc_id, coalesce(text, '') AS t
+  FROM documents
+), lines AS (
+  SELECT uid, doc, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS pos FROM docs
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), often AS (
+  SELECT key FROM keyed WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc) >= 10
+), kept AS (
+  SELECT uid, count(*) AS n_lines, count(o.key) AS n_dropped,
+         coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE o.key IS NULL), '') AS text
+  FROM keyed LEFT JOIN often o USING (key) GROUP BY uid
+)
+SELECT doc_id, n_lines, n_dropped, sha256(text) AS kept_sha256 FROM docs JOIN kept USING (uid)
 """,
     "op12_fim_rotation": """
 WITH seeded AS (
