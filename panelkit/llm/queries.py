@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import curriculum, fim, hilbert, html_extract, language_id, line_dedup, minhash, pieces, quality, recompression, simhash, topk
+from . import curriculum, fim, hilbert, html_extract, language_id, line_dedup, minhash, pieces, quality, recompression, simhash, topk, zone_clusters
 from .common import table
 
 
@@ -64,6 +64,10 @@ def op12_fim_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(table(spark, sf_dir, "documents"))
 
 
+def op13_zone_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return zone_clusters.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dim=64, scale=64, seed=1)
+
+
 QUERIES = {
     "op1_minhash": op1_minhash,
     "op2_html_extract": op2_html_extract,
@@ -77,8 +81,40 @@ QUERIES = {
     "op7_simhash_bktree": op7_simhash_bktree,
     "op11_line_dedup": op11_line_dedup,
     "op12_fim_rotation": op12_fim_rotation,
+    "op13_zone_clusters": op13_zone_clusters,
 }
 
+def _cluster_sql(rounds: int = 3) -> str:
+    """The clustering of op13 with one pair of CTEs a round: vectors to centroids, then means."""
+    nearest = """a{i} AS (
+  SELECT uid, arg_min(c, (d, c)) AS c, min(d) AS d FROM (
+    SELECT v.uid, m.c, list_sum(list_transform(list_zip(v.v, m.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+    FROM kept v, m{i} m) GROUP BY uid
+)"""
+    means = """m{j} AS (
+  SELECT m.c, coalesce(f.v, m.v) AS v FROM m{i} m LEFT JOIN (
+    SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY p) AS v FROM (
+      SELECT a.c, e.p, sum(e.x)::HUGEINT AS s, count(*)::HUGEINT AS n
+      FROM a{i} a JOIN (SELECT uid, unnest(v) AS x, generate_subscripts(v, 1) AS p FROM kept) e USING (uid) GROUP BY a.c, e.p
+    ) GROUP BY c) f ON m.c = f.c
+)"""
+    steps = [step.format(i=i, j=i + 1) for i in range(rounds) for step in (nearest, means)] + [nearest.format(i=rounds)]
+    return """
+WITH kept AS (
+  SELECT row_number() OVER () AS uid, vec_id, sha256('1:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h,
+         list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS HUGEINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), m0 AS (
+  SELECT row_number() OVER (ORDER BY h, vec_id NULLS FIRST, v) - 1 AS c, v FROM kept ORDER BY h, vec_id NULLS FIRST, v LIMIT 16
+), """ + ", ".join(steps) + f"""
+SELECT k.vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance,
+       CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(list_transform(m.v, lambda x: CAST(x AS VARCHAR)), ',')) AS centroid_sha256
+FROM a{rounds} a JOIN kept k USING (uid) JOIN m{rounds} m ON a.c = m.c
+"""
+
+
 ORACLE: dict[str, str] = {
     "op3_curriculum_mix": r"""
 WITH docs AS (
@@ -201,4 +237,5 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form,
        sha256(p || m || s) AS restored_sha256
 FROM parts
 """,
+    "op13_zone_clusters": _cluster_sql(),
 }
