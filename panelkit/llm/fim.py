@@ -139,10 +139,21 @@ def restored(output: str = "output", form: str = "form"):
     return run(F.col(output), F.col(form))
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n, form, prefix_chars, middle_chars, output_sha256, restored_sha256)
-    of :func:`rearrange` and the texts rebuilt from its outputs; cases as there."""
-    made = rearrange(docs, id_col, text_col)
-    digest = lambda c: F.sha2(c.cast("binary"), 256)
-    return made.select(id_col, "n", "form", "prefix_chars", "middle_chars", digest(F.col("output")).alias("output_sha256"),
-                       digest(restored()).alias("restored_sha256"))
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", seed: int = 1,
+            plain_from: int = 90, spm_below: int = 20) -> DataFrame:
+    """(id, n, form, prefix_chars, middle_chars, output_sha256, restored_sha256):
+    the outputs of :func:`rearrange` and the texts rebuilt from them, hashed
+    where they are made, so that a task holds one output at a time; cases as there."""
+
+    @F.pandas_udf("n long, form string, prefix_chars long, middle_chars long, output_sha256 string, restored_sha256 string")
+    def run(ids: pd.Series, texts: pd.Series) -> pd.DataFrame:
+        sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+        rows = []
+        for i, t in zip(ids, texts):
+            n, form, prefix, middle, output = rearrange_one(t, i, seed, plain_from, spm_below)
+            rows.append((n, form, prefix, middle, sha(output), sha(restore(output, form))))
+        out = pd.DataFrame(rows, columns=["n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"])
+        return out.astype({"n": "int64", "prefix_chars": "Int64", "middle_chars": "Int64"})
+
+    made = run(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(F.col(text_col), F.lit("")))
+    return docs.select(F.col(id_col), made.alias("fim")).select(id_col, "fim.*")
