@@ -145,61 +145,65 @@ def harmonise_baseline(df: DataFrame, book: Codebook = DEFAULT_CODEBOOK,
     return rows.select(*_baseline_columns(book, tuple(keep)))
 
 
-@cached_columns
-def _baseline_columns(book: Codebook, keep: tuple[str, ...]) -> list[Column]:
+def baseline_answers(book: Codebook) -> dict[str, Column]:
+    """Baseline variables that need the response alone, by name."""
     w, v = F.col(book.wave_col), F.col(book.version_col)
     intake = w == 1
-    educ_code = text.parse_integer("education_highest")
-    educ = education_level(educ_code)
-    educ_max = F.when(intake, educ)
-    dob = dates.date_from_parts("demo_dob_year", "demo_dob_month")
-    age = dates.completed_years(dob, F.col("date_of_enrollment"))
+    educ = education_level(text.parse_integer("education_highest"))
     income = logic.case_when([
         (F.col("demo_province").isNull(), None),
         (F.col("income_source").isNull(), cb.INCOME_NONE),
     ], F.col("income_source"))
     ei = income == cb.INCOME_EI
-    immigrant = F.col("demo_born_in_canada") == "No"
-
     indigenous = F.when(v == 1, F.col("demo_indigenous") == "Yes").otherwise(
         select_all_flag(list(book.indigenous_options), book.indigenous_no_option, only=False))
     racialized = F.when(v == 1, F.col("demo_racialized") == "Yes").otherwise(
         select_all_flag(list(book.race_options), book.race_not_racialized_option, only=True))
     parent = (F.col("demo_children") == "Yes") & F.when(
         v == 1, F.col("demo_parent") == "Yes").otherwise(F.col("demo_caregiver") == "Yes")
+    return {
+        "demo_date_of_birth": dates.date_from_parts("demo_dob_year", "demo_dob_month"),
+        "educ_max_fct": F.when(intake, educ),
+        "demo_gender_fct": gender(F.col("demo_sex"), F.col("demo_transgender"), F.col("demo_gender")),
+        "demo_province_fct": F.col("demo_province"),
+        "income_source_fct": F.col("income_source"),
+        "demo_income_source_fct": income,
+        "educ_domestic_lgl": F.when(intake, F.col("education_domestic") == cb.EDUCATION_DOMESTIC_ANSWER),
+        "educ_hs_lgl": F.when(intake, educ == cb.EDUCATION_LEVELS[1]),
+        "educ_pse_lgl": F.when(intake, logic.case_when([(educ.isNull(), None),
+                                                        (educ.isin(cb.EDUCATION_PSE_LEVELS), True)], False)),
+        "demo_transgender_lgl": transgender_flag(F.col("demo_transgender")),
+        "demo_in_sk_lgl": F.col("demo_province") == book.home_province,
+        "demo_receiving_ei_lgl": ei,
+        "demo_receiving_ia_lgl": (~ei) & (income != cb.INCOME_NONE),
+        "demo_disability_lgl": F.col("demo_disability") == "Yes",
+        "demo_immigrant_lgl": F.col("demo_born_in_canada") == "No",
+        "demo_indigenous_lgl": indigenous,
+        "demo_racialized_lgl": racialized,
+        "demo_parent_lgl": parent,
+        "demo_single_parent_lgl": parent & text.str_detect(F.col("demo_marital"), cb.MARRIED_PATTERN, negate=True),
+        "demo_bipoc_lgl": racialized | indigenous,
+    }
+
+
+def baseline_at_enrolment(birth: Column, immigrant: Column, arrival_year: Column, enrolled: Column) -> dict[str, Column]:
+    """Baseline variables that compare an answer with the roster's enrolment date, by name."""
+    age = dates.completed_years(birth, enrolled)
+    return {
+        "demo_age": age,
+        "demo_age_fct": logic.right_closed_bands(age, cb.AGE_BREAKS, cb.AGE_LABELS),
+        "demo_newcomer_lgl": newcomer_flag(immigrant, arrival_year, enrolled),
+    }
 
-    return [
-        *[F.col(k) for k in keep],
-        F.col("enrollment_id"),
-        F.col("cohort_name"),
-        F.col("date_of_enrollment"),
-        age.alias("demo_age"),
-        dob.alias("demo_date_of_birth"),
-        F.col("assignment_label_fct"),
-        educ_max.alias("educ_max_fct"),
-        gender(F.col("demo_sex"), F.col("demo_transgender"), F.col("demo_gender")).alias("demo_gender_fct"),
-        logic.right_closed_bands(age, cb.AGE_BREAKS, cb.AGE_LABELS).alias("demo_age_fct"),
-        F.col("demo_province").alias("demo_province_fct"),
-        F.col("income_source").alias("income_source_fct"),
-        income.alias("demo_income_source_fct"),
-        F.when(intake, F.col("education_domestic") == cb.EDUCATION_DOMESTIC_ANSWER).alias("educ_domestic_lgl"),
-        F.when(intake, educ == cb.EDUCATION_LEVELS[1]).alias("educ_hs_lgl"),
-        F.when(intake, logic.case_when([(educ.isNull(), None),
-                                        (educ.isin(cb.EDUCATION_PSE_LEVELS), True)], False)).alias("educ_pse_lgl"),
-        transgender_flag(F.col("demo_transgender")).alias("demo_transgender_lgl"),
-        (F.col("demo_province") == book.home_province).alias("demo_in_sk_lgl"),
-        ei.alias("demo_receiving_ei_lgl"),
-        ((~ei) & (income != cb.INCOME_NONE)).alias("demo_receiving_ia_lgl"),
-        (F.col("demo_disability") == "Yes").alias("demo_disability_lgl"),
-        immigrant.alias("demo_immigrant_lgl"),
-        newcomer_flag(immigrant, F.col("demo_year_of_arrival"), F.col("date_of_enrollment")).alias("demo_newcomer_lgl"),
-        indigenous.alias("demo_indigenous_lgl"),
-        racialized.alias("demo_racialized_lgl"),
-        parent.alias("demo_parent_lgl"),
-        (parent & text.str_detect(F.col("demo_marital"), cb.MARRIED_PATTERN, negate=True))
-        .alias("demo_single_parent_lgl"),
-        (racialized | indigenous).alias("demo_bipoc_lgl"),
-    ]
+
+@cached_columns
+def _baseline_columns(book: Codebook, keep: tuple[str, ...]) -> list[Column]:
+    own = baseline_answers(book)
+    own |= baseline_at_enrolment(own["demo_date_of_birth"], own["demo_immigrant_lgl"], F.col("demo_year_of_arrival"),
+                                 F.col("date_of_enrollment"))
+    given = ["enrollment_id", "cohort_name", "date_of_enrollment", "assignment_label_fct"]
+    return [*[F.col(k) for k in keep],
+            *[F.col(c) if c in given else own[c].alias(c) for c in BASELINE_COLUMNS]]
 
 
 BASELINE_FCT = ["assignment_label_fct", "educ_max_fct", "demo_gender_fct", "demo_age_fct",

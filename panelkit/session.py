@@ -29,6 +29,10 @@ PLAN_CONF = {
     # Split a hot join key even when the split costs an extra shuffle: the
     # aggregate after the join then combines the hot key map-side.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # HotSpot never compiles a method above 8,000 bytes of bytecode.  The
+    # harmonisers' projections make larger ones; beyond this limit Spark plans
+    # them without whole-stage code, as many small methods that are compiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
