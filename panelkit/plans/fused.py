@@ -7,9 +7,8 @@ four (baseline, hope, outcomes, satisfaction), and one aggregate per
 participant, wave and tag folds all of them together.  What is left, a few rows
 a participant, is merged and nested after one more exchange.
 
-A first non-missing value is the least (version, response id, value) with a
-value; the least of such structs over parts of a group is that of the group, so
-the fold is combined map-side and again above.
+The fold is combined map-side, so a participant who holds a third of all rows is
+a few rows a task before the exchange.
 """
 
 from __future__ import annotations
@@ -77,9 +76,9 @@ def _answers(responses: DataFrame, book: Codebook) -> DataFrame:
     ).select("*", *[F.col(f"o.{c}").alias(f"o_{c}") for c in _OUTCOMES]).drop("o")
 
 
-def _least(c: str, there: Column, version: str, rid: str) -> Column:
-    """Aggregate: the least (version, response id, value) of the rows ``there`` with a value."""
-    return F.min(F.when(there & F.col(c).isNotNull(), F.struct(F.col(version).alias("v"), F.col(rid).alias("r"), F.col(c).alias("x")))).alias(c)
+def _first(c: str, there: Column, order: str) -> Column:
+    """Aggregate: the value at the least ``order`` of the rows ``there`` that have one."""
+    return F.min_by(c, F.when(there & F.col(c).isNotNull(), F.col(order))).alias(c)
 
 
 def participants(roster: DataFrame, responses: DataFrame, repair: DataFrame | None = None,
@@ -111,38 +110,29 @@ def participants(roster: DataFrame, responses: DataFrame, repair: DataFrame | No
         *[f"o_{c}" for c in outs], *[F.when(F.col("q_here"), F.col(f"q_{c}")).otherwise(F.col(f"p_{c}")).alias(c) for c in scales.DOMAINS],
         *[f"s_{n}" for n in satis])
 
-    # Rows count under the participant and wave of their roster row, of their response, or of both.
-    same = F.col("r_own").eqNullSafe(F.col("p_own")) & F.col("r_w").eqNullSafe(F.col("p_w"))
-    place = lambda who, wv, tg, answer, hope: F.struct(who.alias("own"), wv.alias("w"), tg.alias("tag"), answer.alias("as_answer"), hope.alias("as_hope"))
-    yes, no, none = F.lit(True), F.lit(False), F.lit(None).cast("string")
-    by_roster = lambda answer: place(F.col("r_own"), F.col("r_w"), F.col("r_tag"), answer, yes)
-    by_answer = place(F.col("p_own"), F.col("p_w"), none, yes, no)
-    placed = (F.when(F.col("is_hope") & F.col("is_answer") & same, F.array(by_roster(yes)))
-              .when(F.col("is_hope") & F.col("is_answer"), F.array(by_roster(no), by_answer))
-              .when(F.col("is_hope"), F.array(by_roster(no))).otherwise(F.array(by_answer)))
-    rows = rows.filter("is_hope OR is_answer").select("*", F.inline(placed))
-    answer, hope = F.col("as_answer"), F.col("as_hope")
-    folded = rows.groupBy("own", "w", "tag").agg(
-        F.count_if(answer & F.col("is_base")).alias("n_base"), F.count_if(answer & F.col("is_out")).alias("n_out"), F.count_if(hope).alias("n_hope"),
-        *[_least(f"b_{c}", answer & F.col("is_base"), "p_v", "p_rid") for c in base],
-        *[_least(f"o_{c}", answer & F.col("is_out"), "p_v", "p_rid") for c in outs],
-        *[_least(f"s_{n}", answer, "p_v", "p_rid") for n in satis],
-        *[_least(c, hope, "r_v", "r_rid") for c in scales.DOMAINS])
-
-    # A few rows a participant from here on; both aggregates read one exchange.
-    value = lambda c, name: F.col(f"{c}.x").alias(name)
-    scores = F.struct(F.col("w").alias("wave"), F.col("tag").alias("survey_tag"), *[value(c, c) for c in scales.DOMAINS])
-    waves = folded.repartition("own").groupBy("own", "w").agg(
-        F.sum("n_base").alias("n_base"), F.sum("n_out").alias("n_out"), F.collect_list(F.when(F.col("n_hope") > 0, scores)).alias("ehs"),
-        *[F.min(c).alias(c) for c in [*(f"b_{c}" for c in base), *(f"o_{c}" for c in outs), *(f"s_{n}" for n in satis)]])
-    outcomes = F.struct(F.col("w").alias("wave"), *[value(f"o_{c}", c) for c in outs])
-    earliest = lambda c: F.min(F.when(F.col(c).isNotNull(), F.struct("w", c)))
-    people = waves.groupBy("own").agg(
-        F.sum("n_base").alias("n_base"),
-        *[earliest(f"b_{c}")[f"b_{c}"]["x"].alias(c) for c in base],
-        F.flatten(F.collect_list("ehs")).alias("ehs"),
-        F.collect_list(F.when(F.col("n_out") > 0, outcomes)).alias("outcomes"),
-        *[F.min(f"s_{n}")["x"].alias(n) for n in satis])
+    # Answers count under the participant and wave of the response, scores under those (and the tag) of the roster row.
+    part = lambda kind, who, wv, tg: F.struct(F.lit(kind).alias("kind"), who.alias("own"), wv.alias("w"), tg.alias("tag"))
+    answers = part(0, F.col("p_own"), F.col("p_w"), F.lit(None).cast("string"))
+    scores = part(1, F.col("r_own"), F.col("r_w"), F.col("r_tag"))
+    parts = (F.when(F.col("is_hope") & F.col("is_answer"), F.array(answers, scores))
+             .when(F.col("is_hope"), F.array(scores)).otherwise(F.array(answers)))
+    order = F.when(F.col("kind") == 0, F.struct(F.col("p_v").alias("v"), F.col("p_rid").alias("id"))).otherwise(F.struct(F.col("r_v").alias("v"), F.col("r_rid").alias("id")))
+    rows = rows.filter("is_hope OR is_answer").select("*", F.inline(parts)).withColumn("ord", order)
+    answer, hope = F.col("kind") == 0, F.col("kind") == 1
+    folded = rows.groupBy("own", "w", "kind", "tag").agg(
+        F.count_if(answer & F.col("is_base")).alias("n_base"), F.count_if(answer & F.col("is_out")).alias("n_out"),
+        *[_first(f"b_{c}", answer & F.col("is_base"), "ord") for c in base],
+        *[_first(f"o_{c}", answer & F.col("is_out"), "ord") for c in outs],
+        *[_first(f"s_{n}", answer, "ord") for n in satis],
+        *[_first(c, hope, "ord") for c in scales.DOMAINS])
+
+    # A few rows a participant from here on.  A satisfaction variable belongs to one wave.
+    score = F.struct(F.col("w").alias("wave"), F.col("tag").alias("survey_tag"), *scales.DOMAINS)
+    outcome = F.struct(F.col("w").alias("wave"), *[F.col(f"o_{c}").alias(c) for c in outs])
+    people = folded.groupBy("own").agg(
+        F.sum("n_base").alias("n_base"), *[_first(f"b_{c}", F.lit(True), "w").alias(c) for c in base],
+        F.collect_list(F.when(hope, score)).alias("ehs"), F.collect_list(F.when(F.col("n_out") > 0, outcome)).alias("outcomes"),
+        *[F.bool_or(f"s_{n}").alias(n) for n in satis])
     known = F.col("own").isNotNull()
     nested = lambda c: F.when(known & (F.size(c) > 0), F.array_sort(c)).alias(c)
     return people.filter("n_base > 0").select(

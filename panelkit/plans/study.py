@@ -17,7 +17,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame
 
 from ..codebook import DEFAULT_CODEBOOK, Codebook
-from . import pipeline, reports
+from . import fused, pipeline, reports
 
 
 @dataclass(frozen=True)
@@ -63,7 +63,12 @@ class PanelStudy:
         return pipeline.construct_satis(self.responses, self.book)
 
     def participants(self) -> DataFrame:
-        """The assembled participant table (root <- hope <- outcomes <- satisfaction)."""
+        """The assembled participant table (root <- hope <- outcomes <- satisfaction).
+
+        One pass over roster and responses; a study that reads a written panel
+        joins its four tables instead."""
+        if self.joined_panel is None:
+            return fused.participants(self.roster, self.responses, self.repair, self.book)
         outcomes = pipeline.nest_outcomes(self.outcomes(dedup=True), self.book)
         return pipeline.assemble(self.root(), self.hope(), outcomes, self.satisfaction(), self.book.id_col)
 

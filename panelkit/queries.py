@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from . import codebook as cb
 from .functions import dates, logic, text
 from .operators import joins, reshape, schema
-from .plans import harmonise, pipeline, reports, scales
+from .plans import fused, harmonise, pipeline, reports, scales
 from .plans.study import PanelStudy
 from .sources import catalog, files, panel, records, snapshots
 
@@ -510,12 +510,8 @@ def unnest_history(spark, d):
 
 
 def assemble_participant(spark, d):
-    j = _joined(spark, d)
-    root = pipeline.construct_root(j, panel.BOOK)
-    hope = pipeline.construct_hope(_surveys(spark, d), panel.repair(spark, d))
-    outcomes = pipeline.nest_outcomes(pipeline.construct_outcomes(j, dedup=True))
-    satis = pipeline.construct_satis(_responses(spark, d))
-    a = pipeline.assemble(root, hope, outcomes, satis)
+    """The whole participant table, from one pass over roster and responses."""
+    a = fused.participants(panel.survey_roster(spark, d), _responses(spark, d), panel.repair(spark, d), panel.BOOK)
     return a.select("enrollment_id", "assignment_label_fct", "demo_age",
                     F.size("ehs").alias("n_ehs"), F.size("outcomes").alias("n_outcomes"),
                     "satis_inmotion_overall", "satis_m_plus_overall")

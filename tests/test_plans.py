@@ -74,3 +74,13 @@ def test_outcome_tables_do_not_join_back(spark):
     for name in ("employment_status", "compensation"):
         df = QUERIES[name](spark, SMALL)
         assert shuffles(df) <= 8
+
+
+def test_participants_in_one_pass(spark):
+    p = plan(QUERIES["assemble_participant"](spark, SMALL))
+    orders = [line for line in p.splitlines() if "FileScan" in line and "orders.parquet" in line]
+    # roster rows, responses, and the best answer of each survey
+    assert len(orders) <= 3
+    # both sides and the repair file on the response id, surveys, then two folds of the participants
+    assert shuffles(QUERIES["assemble_participant"](spark, SMALL)) <= 6
+    assert p.count("SortMergeJoin") <= 2
