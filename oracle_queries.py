@@ -1062,6 +1062,11 @@ ORACLE = {
     "label_order": label_order_sql(),
     "satisfaction_by_variable": satisfaction_by_variable_sql(),
     "read_through": read_through_sql(),
+    "snapshot_versions": panel.with_panel("""
+select 1 as version, wave, count(*) as n from survey_roster group by wave
+union all select 2, wave, count(*) from survey_roster where wave <= 2 group by wave
+union all select 0, null, 0
+""", roster_=False),
     "materialized_panel": consolidate_baseline_sql(),
     "landed_responses": landed_responses_sql(),
     "csv_crosstab": category_crosstab_sql(),

@@ -326,16 +326,32 @@ def satisfaction_by_variable(spark, d):
 
 
 def read_through(spark, d):
-    """Memoised load: fetched and written the first time, read back the second."""
+    """Read-through: an empty fetch is a version, a forced refresh replaces it, a further load reads it back."""
     store = snapshots.scratch_dir(spark, "read-through")
     fetch = lambda: harmonise.clean_roster(panel.survey_roster(spark, d))
-    snapshots.load(spark, store, fetch)
+    snapshots.load(spark, store, lambda: fetch().limit(0))
+    snapshots.load(spark, store, fetch, force=True)
     return snapshots.load(spark, store, lambda: fetch().limit(0))
 
 
+def snapshot_versions(spark, d):
+    """Rows by version and wave of a store whose second refresh brings fewer rows and whose third brings none."""
+    store = snapshots.scratch_dir(spark, "versions")
+    rows = panel.survey_roster(spark, d).select("response_id", "wave")
+    wanted = [rows, rows.filter("wave <= 2"), rows.limit(0)]
+    for n, part in enumerate(wanted):
+        snapshots.write_snapshot(part, store, f"2025010100000{n}")
+    read = [snapshots.snapshot(spark, store, s).withColumn("version", F.lit(n + 1))
+            for n, s in enumerate(snapshots.snapshot_stamps(spark, store))]
+    kept = joins.union_by_name(read).groupBy("version", "wave").agg(F.count(F.lit(1)).alias("n"))
+    newest = snapshots.latest_snapshot(spark, store).agg(F.lit(0).alias("version"), F.lit(None).cast("int").alias("wave"), F.count(F.lit(1)).alias("n"))
+    return kept.unionByName(newest)
+
+
 def materialized_panel(spark, d):
-    """Baseline of a study whose joined panel was written once and is read back."""
+    """Baseline of a study whose joined panel was written once; the second copy is the first, found again."""
     study = PanelStudy(panel.survey_roster(spark, d), _responses(spark, d), book=panel.BOOK)
+    study.materialized()
     return study.materialized().root()
 
 
@@ -569,6 +585,7 @@ QUERIES = {name: fn for name, fn in [
     ("label_lookup", label_lookup),
     ("satisfaction_by_variable", satisfaction_by_variable),
     ("read_through", read_through),
+    ("snapshot_versions", snapshot_versions),
     ("materialized_panel", materialized_panel),
     ("landed_responses", landed_responses),
     ("csv_crosstab", csv_crosstab),

@@ -481,4 +481,4 @@ def test_consolidate_takes_odd_names_and_types(spark):
     d = spark.createDataFrame([(1, 2, "b", [1], "s"), (1, 1, None, [2], "t"), (1, 3, "a", None, None)],
                               "id int, `my order` int, `x y` string, arr array<int>, st string")
     got = aggregate.consolidate(d, ["id"], ["my order"])
-    assert rows(got, "id", "`x y`", "arr", "st") == [(1, "b", [2], "t")]
+    assert [tuple(r) for r in got.select("id", "`x y`", "arr", "st").collect()] == [(1, "b", [2], "t")]
