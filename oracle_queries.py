@@ -1062,6 +1062,17 @@ ORACLE = {
     "label_order": label_order_sql(),
     "satisfaction_by_variable": satisfaction_by_variable_sql(),
     "read_through": read_through_sql(),
+    "unlike_records": """
+select 'order' as source, cast(o_orderkey as varchar) as "Id", c_name as "Customer_Name", c_mktsegment as "Customer_Segment",
+  cast(c_nationkey as bigint) as "Customer_Nation_Key", o_totalprice as "TotalPrice", o_orderstatus as "Status",
+  cast(null as bigint) as "Nation_Key", cast(null as varchar) as "Nation_parts", cast(null as bigint) as "props_k"
+from orders left join customer on o_custkey = c_custkey
+union all by name
+select 'event' as source, cast(event_id as varchar) as "Id", cast(json_extract(props, '$.k') as bigint) as "props_k" from events
+union all by name
+select 'supplier' as source, '"' || s_name || '"' as "Id", cast(s_nationkey as bigint) as "Nation_Key",
+  '[{"part":' || s_suppkey || '},{"part":' || (s_suppkey + 1) || '}]' as "Nation_parts" from supplier
+""",
     "snapshot_versions": panel.with_panel("""
 select 1 as version, wave, count(*) as n from survey_roster group by wave
 union all select 2, wave, count(*) from survey_roster where wave <= 2 group by wave

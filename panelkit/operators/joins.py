@@ -63,22 +63,57 @@ def rows_update(x: DataFrame, y: DataFrame, by: Sequence[str], where: Column | N
     ])
 
 
+_WHOLE = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def _digits(t: T.DataType) -> tuple[int, int]:
+    """Digits before and after the point that a whole number or decimal type can hold."""
+    return (t.precision - t.scale, t.scale) if isinstance(t, T.DecimalType) else (_WHOLE[type(t)], 0)
+
+
 def _common_type(types: list[T.DataType]) -> T.DataType:
-    names = {t.simpleString() for t in types}
-    if len(names) == 1:
+    """A type that holds the values of all ``types``.
+
+    Whole numbers widen to the larger one, with decimals to a decimal that has
+    room for both; with a double all become doubles; dates with timestamps
+    become timestamps; anything else becomes text.
+    """
+    if all(t == types[0] for t in types):
         return types[0]
-    numeric = all(isinstance(t, T.NumericType) for t in types)
-    if numeric:
-        return T.DoubleType() if any(isinstance(t, (T.DoubleType, T.FloatType, T.DecimalType))
-                                     for t in types) else T.LongType()
+    if all(isinstance(t, T.NumericType) for t in types):
+        if any(isinstance(t, (T.DoubleType, T.FloatType)) for t in types):
+            return T.DoubleType()
+        if not any(isinstance(t, T.DecimalType) for t in types):
+            return max(types, key=lambda t: _WHOLE[type(t)])
+        whole, scale = (max(_digits(t)[i] for t in types) for i in (0, 1))
+        return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else T.StringType()
+    if all(isinstance(t, (T.DateType, T.TimestampType)) for t in types):
+        return T.TimestampType()
     return T.StringType()
 
 
+def _aligned(f: T.StructField, to: T.DataType) -> Column:
+    """The column as ``to``; a whole number or decimal that no double equals stops the job."""
+    c = F.col(f"`{f.name}`")
+    if f.dataType == to:
+        return c
+    out = c.cast(to)
+    if isinstance(to, T.DoubleType) and isinstance(f.dataType, (T.LongType, T.DecimalType)):
+        same = out.try_cast(f.dataType) == c
+        if isinstance(f.dataType, T.LongType):
+            same = same & (c != 2**63 - 1)  # the double 2**63 turns back into this long
+        lost = F.raise_error(F.concat(F.lit(f"union_by_name: {f.name} = "), c.cast("string"), F.lit(" is no double")))
+        out = F.when(c.isNull() | same, out).otherwise(lost.cast("double"))
+    return out.alias(f.name)
+
+
 def union_by_name(parts: Sequence[DataFrame]) -> DataFrame:
     """Stack frames by column name, filling absent columns with NULL.
 
     Columns whose types differ between parts are first aligned to a common type
-    (ANSI mode refuses int/string unions).
+    that loses no value (ANSI mode refuses int/string unions); where whole
+    numbers or decimals meet doubles, a value that a double cannot hold stops
+    the job.
     """
     parts = list(parts)
     if len(parts) == 1:
@@ -88,13 +123,7 @@ def union_by_name(parts: Sequence[DataFrame]) -> DataFrame:
         for f in p.schema.fields:
             types.setdefault(f.name, []).append(f.dataType)
     target = {n: _common_type(ts) for n, ts in types.items()}
-    aligned = []
-    for p in parts:
-        cols = []
-        for f in p.schema.fields:
-            t = target[f.name]
-            cols.append(F.col(f.name) if f.dataType == t else F.col(f.name).cast(t).alias(f.name))
-        aligned.append(p.select(*cols))
+    aligned = [p.select(*[_aligned(f, target[f.name]) for f in p.schema.fields]) for p in parts]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), aligned)
 
 

@@ -6,6 +6,7 @@ Name operations run on the driver over ``df.columns`` (metadata only, no job).
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
@@ -43,9 +44,17 @@ def rename_matching(df: DataFrame, pattern: str, replacement: str = "") -> DataF
     return rename_with(df, lambda c: rx.sub(replacement, c, count=1))
 
 
+#: Signs that a cleaned name spells out or leaves out.
+SPELLED = {"%": "_percent_", "#": "_number_", "'": "", '"': ""}
+
+
 def clean_name(name: str) -> str:
-    """snake_case: split camelCase, non-alphanumerics to '_', lower, trimmed."""
-    s = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", name)
+    """snake_case: ``%`` and ``#`` spelled out, quotes left out, accents off, camelCase
+    split, other signs to ``_``, lower case; ``x`` before a digit or alone."""
+    for sign, word in SPELLED.items():
+        name = name.replace(sign, word)
+    s = "".join(c for c in unicodedata.normalize("NFKD", name) if not unicodedata.combining(c))
+    s = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", s)
     s = re.sub(r"([A-Z]+)([A-Z][a-z])", r"\1_\2", s)
     s = re.sub(r"[^0-9A-Za-z]+", "_", s).strip("_").lower()
     if not s:

@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from . import codebook as cb
 from .functions import dates, logic, text
 from .operators import joins, reshape, schema
 from .plans import fused, harmonise, pipeline, reports, scales
 from .plans.study import PanelStudy
-from .sources import catalog, files, panel, records, snapshots
+from .sources import catalog, files, landed, panel, records, snapshots
 
 ROUND = 6
 
@@ -356,28 +357,31 @@ def materialized_panel(spark, d):
 
 
 def landed_responses(spark, d):
-    """One landed file per survey, each with its own columns; names cleaned on
-    load, stacked by name, tagged from the landed catalogue."""
-    p = _responses(spark, d)
+    """Landed files of all surveys, each with its own columns, read in one scan:
+    names cleaned, stacked by name, the survey read off the path, tagged from the landed catalogue."""
+    p = _responses(spark, d).withColumn("survey", F.concat(F.lit("SV_"), F.col("wave").cast("string"), F.col("version").cast("string")))
     root = snapshots.scratch_dir(spark, "landed")
-    catalogue, frames = [], []
-    for version, column in ((1, "job_salary_text"), (2, "job_salary_num")):
-        for wave in range(1, 6):
-            rows = p.filter((F.col("version") == version) & (F.col("wave") == wave))
-            names = {"response_id": "Response Id", column: "Job " + column[4:].replace("_", " ").title()}
-            path = f"{root}/SV_{wave}{version}"
-            rows.select(*[F.col(c).alias(n) for c, n in names.items()]).write.parquet(path)
-            catalogue.append((f"SV_{wave}{version}", f"S_0.0.{version}_PANEL_s0{wave}_x", path))
-    spark.createDataFrame(catalogue, "`Survey Id` string, `Survey Name` string, Path string").write.parquet(f"{root}/catalogue")
-    surveys = schema.clean_names(spark.read.parquet(f"{root}/catalogue"))
+    own = {1: [F.col("job_salary_text").alias("Job Salary Text")], 2: [F.col("job_salary_num").alias("Job Salary Num")]}
+    for version, columns in own.items():
+        rows = p.filter(F.col("version") == version).select("survey", F.col("response_id").alias("Response Id"), *columns)
+        rows.write.partitionBy("survey").parquet(f"{root}/files/v{version}")
+    names = [(f"SV_{w}{v}", f"S_0.0.{v}_PANEL_s0{w}_x") for v in own for w in range(1, 6)]
+    spark.createDataFrame(names, "`Survey Id` string, `Survey Name` string").write.parquet(f"{root}/catalogue")
+    registry = StructType().add("Response Id", "long").add("Job Salary Text", "string").add("Job Salary Num", "double")
+    rows = landed.read_landed(spark, f"{root}/files", registry, survey_pattern="survey=([^/]+)/")
+    listed = StructType().add("Survey Id", "string").add("Survey Name", "string")
+    surveys = schema.clean_names(spark.read.schema(listed).parquet(f"{root}/catalogue"))
     tags = surveys.select("survey_id", *[c.alias(n) for n, c in catalog.survey_fields(F.col("survey_name")).items()])
-    for row in surveys.select("survey_id", "path").collect():  # one row per survey of the study
-        own = schema.clean_names(spark.read.parquet(row["path"]))
-        frames.append(own.withColumn("survey_id", F.lit(row["survey_id"])))
-    out = joins.union_by_name(frames).join(tags, "survey_id", "left")
+    out = rows.join(tags, "survey_id", "left")
     return out.select("response_id", "survey_id", "survey_time", "survey_version", "job_salary_text", "job_salary_num")
 
 
+def unlike_records(spark, d):
+    """Records of three shapes in one column, flattened without a schema."""
+    flat = records.flatten_unknown(records.unlike_records(spark, d), "record", keep=["source"], sep="_")
+    return flat.withColumns({"TotalPrice": F.col("TotalPrice").cast("double"), "Nation_parts": F.to_json("Nation_parts")})
+
+
 def csv_crosstab(spark, d):
     """Round trip of a table with empty cells: '' stays '', not missing."""
     return files.csv_roundtrip(spark, reports.province_crosstab(_root(spark, d)), single_file=True)
@@ -597,6 +601,7 @@ QUERIES = {name: fn for name, fn in [
     ("drop_all_null", drop_all_null),
     ("primary_record", primary_record),
     ("flatten_records", flatten_records),
+    ("unlike_records", unlike_records),
     ("json_access", json_access),
     ("relationship_extract", relationship_extract),
     ("left_join_suffix", left_join_suffix),

@@ -6,35 +6,70 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_dir
 
 
-#: Text that stands for a missing value, so that it differs from the empty text.
-MISSING = "NA"
-_FORMAT = {"header": True, "quote": '"', "escape": '"', "nullValue": MISSING,
-           "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+#: Stands for a missing value.  A text that begins with a backslash is written
+#: with one more, so no text equals it.
+MISSING = "\\N"
+_FORMAT = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def read_csv(spark: SparkSession, path: str, schema=None, infer: bool = False) -> DataFrame:
+def _texts(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+
+
+def read_csv(spark: SparkSession, path: str, schema=None, infer: bool = False, missing: str = MISSING,
+             corrupt: str | None = None) -> DataFrame:
     """CSV with a header; explicit schema preferred (inference is a full extra pass).
 
-    Quoted texts may hold line feeds, quotes and commas.  ``NA`` is a missing
-    value, also as a text.  Texts with line feeds make a file unsplittable, so
-    large tables should come as many files.
+    Reads what :func:`write_csv` wrote back value for value.  ``missing`` names
+    another mark of missing values in files from elsewhere (``NA``); their texts
+    are taken as they stand.  A row that does not fit the schema stops the job;
+    with ``corrupt`` it is kept, its text in the column of that name and the
+    values that could be read in theirs.  Quoted texts may hold line feeds,
+    quotes and commas; they make a file unsplittable, so large tables should
+    come as many files.
     """
-    r = spark.read.options(multiLine=True, emptyValue="", **_FORMAT)
-    if schema is not None:
-        return r.schema(schema).csv(path)
-    return r.option("inferSchema", infer).csv(path)
+    r = spark.read.options(multiLine=True, emptyValue="", nullValue=missing, **_FORMAT)
+    if schema is None:
+        out = r.option("inferSchema", infer).option("mode", "FAILFAST").csv(path)
+    else:
+        schema = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
+        if corrupt is None:
+            # every column is parsed, also those that a query leaves out: a bad row is found always
+            out = r.schema(schema).option("mode", "FAILFAST").option("columnPruning", False).csv(path)
+        else:
+            kept = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType(), True)])
+            out = (r.schema(kept).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt)
+                   .option("columnPruning", False).csv(path))
+    if missing != MISSING:
+        return out
+    plain = lambda c: F.when(F.col(f"`{c}`").startswith("\\"), F.substring(f"`{c}`", 2, 2**31 - 1)).otherwise(F.col(f"`{c}`"))
+    return out.withColumns({c: plain(c) for c in _texts(out) if c != corrupt})
+
+
+def write_csv(df: DataFrame, path: str, single_file: bool = False, missing: str = MISSING) -> None:
+    """CSV sink: header, a mark for missing values, ``""`` for the empty text,
+    quotes doubled, white space kept.
+
+    By default no text equals the mark.  Another one (``NA``, for readers that
+    expect it) is written as it is, and a text that equals it stops the job.
+    ``single_file`` is for small report tables only (coalesce(1) funnels the
+    data through one task)."""
+    out = df.coalesce(1) if single_file else df
 
+    def cell(c: str):
+        text = F.col(f"`{c}`")
+        if missing == MISSING:
+            return F.when(text.startswith("\\"), F.concat(F.lit("\\"), text)).otherwise(text)
+        stop = F.raise_error(F.lit(f"write_csv: a text of {c} equals the mark of missing values, {missing!r}"))
+        return F.when(text == missing, stop.cast("string")).otherwise(text)
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Report CSV sink: header, ``NA`` for missing, ``""`` for the empty text,
-    quotes doubled, white space kept.  ``single_file`` is for small report
-    tables only (coalesce(1) funnels the data through one task)."""
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").options(emptyValue='""', **_FORMAT).csv(path)
+    out = out.withColumns({c: cell(c) for c in _texts(df)})
+    out.write.mode("overwrite").options(emptyValue='""', nullValue=missing, **_FORMAT).csv(path)
 
 
 def csv_roundtrip(spark: SparkSession, df: DataFrame, single_file: bool = False) -> DataFrame:

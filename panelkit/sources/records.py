@@ -9,6 +9,7 @@ optional: a missing parent yields NULL columns, never a shifted schema.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -90,6 +91,71 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType,
     return _flatten(read, "", kept, rename)
 
 
+def flatten_unknown(df: DataFrame, json_col: str, keep: Sequence[str] = (), meta: str = META_FIELD, sep: str = ".") -> DataFrame:
+    """JSON records of any shapes -> one flat column per leaf found in any of them.
+
+    Each record is parsed once, into a VARIANT.  The merged shape of all records
+    is one aggregate (the schema depends on the data, so a job is needed); its
+    members named ``meta`` are left out at every depth, also inside arrays.
+    Leaves come in the order of their names; a record without one has NULL.  A
+    leaf that is an object in some records and a value in others, and one of
+    several types, is its whole JSON text.  ``keep`` columns are handed through.
+    Malformed records stop the job; NULL records give rows of NULLs.
+    """
+    parsed = df.select(*keep, F.parse_json(json_col).alias("__v"))
+    shape = parsed.agg(F.schema_of_variant_agg("__v")).first()[0]
+    kind = _variant_type(shape or "VOID")
+    leaves = _variant_leaves(kind, meta)
+    cell = lambda path, t: F.variant_get("__v", "$" + "".join(f"['{k}']" for k in path), t)
+    # a value of several types is a VARIANT still; its text is that of the JSON
+    columns = [(F.when(F.is_variant_null(cell(p, "variant")), None).otherwise(F.to_json(cell(p, "variant"))) if t == "variant"
+                else cell(p, t)).alias(sep.join(p)) for p, t in leaves]
+    return parsed.select(*keep, *columns)
+
+
+def _variant_type(shape: str):
+    """The nested dict, ``[element]`` list or type name of a text such as ``OBJECT<a: ARRAY<BIGINT>>``."""
+    token = re.compile(r"`((?:[^`]|``)*)`|([A-Za-z_][\w]*(?:\(\d+,\s*\d+\))?)|([<>:,])")
+    parts = [(m[1].replace("``", "`") if m[1] is not None else m[2] or m[3], m[3]) for m in token.finditer(shape)]
+    at = 0
+
+    def take():
+        nonlocal at
+        name, at = parts[at][0], at + 1
+        if name not in ("OBJECT", "ARRAY") or at >= len(parts) or parts[at][1] != "<":
+            return name.lower()
+        at += 1
+        found: dict | list = {} if name == "OBJECT" else []
+        while parts[at][1] != ">":
+            if parts[at][1] == ",":
+                at += 1
+            if name == "OBJECT":
+                key, at = parts[at][0], at + 2
+                found[key] = take()
+            else:
+                found.append(take())
+        at += 1
+        return found
+
+    return take()
+
+
+def _type_text(kind, meta: str) -> str:
+    """The SQL type of a value inside an array, metadata members left out."""
+    if isinstance(kind, list):
+        return f"array<{_type_text(kind[0], meta)}>"
+    if isinstance(kind, dict):
+        members = ", ".join(f"`{k}`: {_type_text(v, meta)}" for k, v in kind.items() if k != meta)
+        return f"struct<{members}>" if members else "string"
+    return "string" if kind == "void" else kind
+
+
+def _variant_leaves(kind, meta: str, path: tuple[str, ...] = ()) -> list[tuple[tuple[str, ...], str]]:
+    if isinstance(kind, dict):
+        return [leaf for k, v in kind.items() if k != meta for leaf in _variant_leaves(v, meta, (*path, k))]
+    return [(path, _type_text(kind, meta))] if path else []
+
+
 def json_int(c: str, path: str) -> Column:
     """Explicit JSON path access on a string column, as an integer."""
     return F.get_json_object(F.col(c), path).try_cast("int")
@@ -137,6 +203,17 @@ def order_records_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return flatten_records(order_records(spark, d), "record", order_record_schema(), ORDER_RECORD_NAMES)
 
 
+def unlike_records(spark: SparkSession, d: str) -> DataFrame:
+    """(source, record): orders with their customers, events with their props as an object, suppliers with a list."""
+    orders = order_records(spark, d).select(F.lit("order").alias("source"), "record")
+    events = table(spark, d, "events").select(F.lit("event").alias("source"), F.concat(
+        F.lit('{"Id":'), F.col("event_id").cast("string"), F.lit(',"attributes":{"type":"Event"},"props":'), F.col("props"), F.lit("}")).alias("record"))
+    parts = F.array(*[F.struct(F.struct(F.lit("Part").alias("type")).alias("attributes"), (F.col("s_suppkey") + i).alias("part")) for i in range(2)])
+    suppliers = table(spark, d, "supplier").select(F.lit("supplier").alias("source"), F.to_json(F.struct(
+        F.col("s_name").alias("Id"), F.struct(F.col("s_nationkey").alias("Key"), parts.alias("parts")).alias("Nation"))).alias("record"))
+    return orders.unionByName(events).unionByName(suppliers)
+
+
 def relationship_extract(spark: SparkSession, d: str, segments: Sequence[str]) -> DataFrame:
     """Child records with their optional parents (customer -> nation -> region)
     and an ``IN`` filter that Spark pushes into the parquet scan."""

@@ -84,3 +84,9 @@ def test_participants_in_one_pass(spark):
     # both sides and the repair file on the response id, surveys, then two folds of the participants
     assert shuffles(QUERIES["assemble_participant"](spark, SMALL)) <= 6
     assert p.count("SortMergeJoin") <= 2
+
+
+def test_landed_surveys_are_read_in_one_scan(spark):
+    p = plan(QUERIES["landed_responses"](spark, SMALL))
+    # the files of all surveys, and the catalogue
+    assert p.count("FileScan parquet") == 2
