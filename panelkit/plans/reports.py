@@ -114,11 +114,15 @@ def flag_summary(pop: DataFrame, labels: Sequence[tuple[str, str]] = tuple(cb.QU
 
 
 def distribution(pop: DataFrame, col: str, label: str | None = None) -> DataFrame:
-    """Counts of the non-missing levels of ``col`` with N = overall total and p."""
-    from ..operators.aggregate import share_of_total
+    """Counts of the non-missing levels of ``col`` with N = overall total and p.
 
+    The total is that of the counted levels, which fit into one row: the
+    participants are read once.
+    """
     counts = pop.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    out = share_of_total(counts, "n", "n_total")
+    rows = counts.agg(F.sum("n").alias("n_total"), F.collect_list(F.struct(col, "n")).alias("levels"))
+    out = rows.select(F.inline("levels"), "n_total").withColumn("p", F.col("n") / F.col("n_total"))
+    out = out.select(col, "n", "n_total", "p")
     return out.withColumnRenamed(col, label) if label else out
 
 
@@ -128,17 +132,16 @@ def distribution(pop: DataFrame, col: str, label: str | None = None) -> DataFram
 def sample_table(pop: DataFrame, row: str = "cohort_name", col: str = "assignment_label_fct",
                  levels: Sequence[str] = ("Program", "Non-RCT")) -> DataFrame:
     """Counts row x level pivoted on explicit levels, a per-row Total and a
-    grand-total row.  Both totals come from the small aggregated table (its
-    shuffle is reused), never from a second pass over the participants.
+    grand-total row: one aggregate with a grouping set for the whole.
     ``first_enrolled`` (NULL for the grand total, which stands last) orders the
-    rows by date."""
-    cells = pop.groupBy(row, col).agg(F.count(F.lit(1)).alias("n"), F.min("date_of_enrollment").alias("first_enrolled"))
-    wide = cells.groupBy(row).agg(
-        *[F.max(F.when(F.col(col) == lv, F.col("n"))).alias(lv) for lv in levels],
-        F.sum("n").alias(cb.TOTAL_LABEL), F.min("first_enrolled").alias("first_enrolled"))
-    grand = wide.agg(*[F.sum(lv).alias(lv) for lv in [*levels, cb.TOTAL_LABEL]]).select(
-        F.lit(cb.TOTAL_LABEL).alias(row), *levels, cb.TOTAL_LABEL, F.lit(None).cast("date").alias("first_enrolled"))
-    return wide.unionByName(grand)
+    rows by date.  A level without participants is NULL; without any there are no rows."""
+    whole = F.grouping(row)
+    g = pop.rollup(row).agg(
+        whole.alias("__whole"), *[F.nullif(F.count_if(F.col(col) == lv), F.lit(0).cast("long")).alias(lv) for lv in levels],
+        F.count(F.lit(1)).alias(cb.TOTAL_LABEL), F.min("date_of_enrollment").alias("first_enrolled"))
+    total = F.col("__whole") == 1
+    return g.select(F.when(total, F.lit(cb.TOTAL_LABEL)).otherwise(F.col(row)).alias(row), *levels, cb.TOTAL_LABEL,
+                    F.when(~total, F.col("first_enrolled")).alias("first_enrolled"))
 
 
 # --- T2: quarter demographics -----------------------------------------------------
@@ -162,17 +165,22 @@ def wide_counts(df: DataFrame, keys: Sequence[str], flags: Sequence[str]) -> Dat
     return g.select(*keys, F.inline(cells)).filter("N_all > 0")
 
 
+def _quarter_flags(root: DataFrame, fiscal_start: int) -> DataFrame:
+    """Report flags and enrolment quarter of every participant (older = 65+)."""
+    df = with_fiscal_quarter(report_flags(root), "date_of_enrollment", fiscal_start)
+    return df.withColumns({
+        "demo_born_in_canada": ~F.col("demo_immigrant_lgl"),
+        "demo_old_lgl": F.col("demo_age") >= 65,
+    })
+
+
 def quarter_demographics(root: DataFrame, fiscal_start: int = cb.FISCAL_START_DEMOGRAPHICS,
                          labels: Sequence[tuple[str, str]] = tuple(cb.QUARTER_DEMO_LABELS),
                          levels: Sequence[str] = tuple(cb.ARM_LEVELS)) -> DataFrame:
     """Per enrolment fiscal quarter and flag: ``p% (n/N)`` per arm (older = 65+)."""
     from ..operators import reshape
 
-    df = with_fiscal_quarter(report_flags(root), "date_of_enrollment", fiscal_start)
-    df = df.withColumns({
-        "demo_born_in_canada": ~F.col("demo_immigrant_lgl"),
-        "demo_old_lgl": F.col("demo_age") >= 65,
-    })
+    df = _quarter_flags(root, fiscal_start)
     keys = ["enrollment_fy", "enrollment_fq"]
     g = wide_counts(df, [*keys, "assignment_label_fct"], [f for f, _ in labels])
     g = g.withColumns({"pct_n": pct_cell(F.col("n_yes"), F.col("N_all")),
@@ -180,6 +188,36 @@ def quarter_demographics(root: DataFrame, fiscal_start: int = cb.FISCAL_START_DE
     return reshape.pivot_cells(g, [*keys, "lab"], "assignment_label_fct", list(levels), "pct_n")
 
 
+def quarter_tables(root: DataFrame, fiscal_start: int = cb.FISCAL_START_DEMOGRAPHICS,
+                   labels: Sequence[tuple[str, str]] = tuple(cb.QUARTER_DEMO_LABELS),
+                   levels: Sequence[str] = tuple(cb.ARM_LEVELS)) -> DataFrame:
+    """The rows of :func:`quarter_demographics` over those of :func:`province_crosstab`, from one pass.
+
+    Participants are counted once per (quarter, arm, province), with all flags
+    beside the count.  These few cells hold both tables: a flag's counts are
+    summed over the provinces, a province's are shares of its arm.  The cells
+    are exchanged once, by quarter, for sums, shares and pivot together.
+    """
+    from pyspark.sql import Window
+
+    from ..operators import reshape
+
+    keys, arm = ["enrollment_fy", "enrollment_fq"], "assignment_label_fct"
+    flags = [f for f, _ in labels]
+    cells = _quarter_flags(root, fiscal_start).groupBy(*keys, arm, "demo_province_fct").agg(
+        F.count(F.lit(1)).alias("n"), *[a for f in flags for a in (F.count(f).alias(f"n_{f}"), F.count_if(f).alias(f"y_{f}"))])
+    entry = lambda kind, lab, n, all_: F.struct(F.lit(kind).alias("kind"), lab.alias("lab"), n.alias("n_yes"), all_.alias("n_all"))
+    rows = F.array(*[entry("flag", F.lit(lab), F.col(f"y_{f}"), F.col(f"n_{f}")) for f, lab in labels],
+                   entry("province", F.col("demo_province_fct"), F.col("n"), F.col("n")))
+    long = cells.repartition(*keys).select(*keys, arm, F.inline(rows)).filter("n_all > 0 AND lab IS NOT NULL")
+    g = long.groupBy(*keys, arm, "kind", "lab").agg(F.sum("n_yes").alias("n_yes"), F.sum("n_all").alias("n_all"))
+    in_arm = F.sum("n_all").over(Window.partitionBy(*keys, arm, "kind"))
+    g = g.withColumn("pct_n", pct_cell(F.col("n_yes"), F.when(F.col("kind") == "flag", F.col("n_all")).otherwise(in_arm)))
+    wide = reshape.pivot_cells(g, [*keys, "kind", "lab"], arm, list(levels), "pct_n")
+    blank = lambda lv: F.when(F.col("kind") == "province", F.coalesce(F.col(lv), F.lit(""))).otherwise(F.col(lv)).alias(lv)
+    return wide.select(*keys, "lab", *[blank(lv) for lv in levels])
+
+
 def province_crosstab(root: DataFrame, fiscal_start: int = cb.FISCAL_START_DEMOGRAPHICS,
                       levels: Sequence[str] = tuple(cb.ARM_LEVELS)) -> DataFrame:
     """Province x arm per fiscal quarter: ``p% (n/N)`` within the arm, '' where absent."""

@@ -112,10 +112,9 @@ def category_crosstab(spark, d):
 
 
 def quarter_demographics(spark, d):
-    """The saved quarter table: flag rows stacked over province rows (by name),
-    per enrolment fiscal quarter; flag cells NULL, province cells '' when absent."""
-    root = _root(spark, d)
-    return joins.union_by_name([reports.quarter_demographics(root), reports.province_crosstab(root)])
+    """The saved quarter table: flag rows over province rows, per enrolment
+    fiscal quarter; flag cells NULL, province cells '' when absent."""
+    return reports.quarter_tables(_root(spark, d))
 
 
 def label_lookup(spark, d):

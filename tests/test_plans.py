@@ -2,6 +2,7 @@
 top-n instead of a global sort, no single-partition window."""
 
 import json
+import re
 
 import pytest
 
@@ -90,3 +91,14 @@ def test_landed_surveys_are_read_in_one_scan(spark):
     p = plan(QUERIES["landed_responses"](spark, SMALL))
     # the files of all surveys, and the catalogue
     assert p.count("FileScan parquet") == 2
+
+
+def exchanges(df):
+    """Exchanges of rows, broadcasts apart; those that reuse another one's rows count too."""
+    return len(re.findall(r"(?<!Broadcast)Exchange (?:hashpartitioning|SinglePartition|rangepartitioning|RoundRobin)", plan(df)))
+
+
+@pytest.mark.parametrize("name,most", [("quarter_demographics", 5), ("sample_table", 5), ("education_distribution", 5)])
+def test_reports_read_the_participants_once(spark, name, most):
+    df = QUERIES[name](spark, SMALL)
+    assert plan(df).count("FileScan parquet") == 2 and exchanges(df) <= most

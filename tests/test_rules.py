@@ -482,3 +482,22 @@ def test_consolidate_takes_odd_names_and_types(spark):
                               "id int, `my order` int, `x y` string, arr array<int>, st string")
     got = aggregate.consolidate(d, ["id"], ["my order"])
     assert [tuple(r) for r in got.select("id", "`x y`", "arr", "st").collect()] == [(1, "b", [2], "t")]
+
+
+def test_quarter_tables_equal_the_two_stacked(spark):
+    from paths import SMALL
+    from panelkit.plans import pipeline, reports
+    from panelkit.sources import panel
+
+    root = pipeline.construct_root(pipeline.join_panel(panel.survey_roster(spark, SMALL), panel.responses(spark, SMALL), panel.BOOK), panel.BOOK)
+    root = root.withColumn("date_of_enrollment", F.when(F.col("enrollment_id") % 10 != 0, F.col("date_of_enrollment")))
+    want = joins.union_by_name([reports.quarter_demographics(root), reports.province_crosstab(root)])
+    got = reports.quarter_tables(root)
+    assert got.columns == want.columns and sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    assert reports.quarter_tables(root.limit(0)).count() == 0
+
+
+def test_distribution_of_no_rows(spark):
+    from panelkit.plans import reports
+
+    assert reports.distribution(spark.createDataFrame([("a", None)], "k string, v string"), "v").count() == 0
