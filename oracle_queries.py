@@ -1073,6 +1073,17 @@ union all by name
 select 'supplier' as source, '"' || s_name || '"' as "Id", cast(s_nationkey as bigint) as "Nation_Key",
   '[{"part":' || s_suppkey || '},{"part":' || (s_suppkey + 1) || '}]' as "Nation_parts" from supplier
 """,
+    "colocated_panel": consolidate_baseline_sql(),
+    "accounted_join": panel.with_panel("""
+select 'joined, wave ' || wave as what, count(*) as n from responses join survey_roster using (response_id) group by responses.wave
+union all select 'matched', count(*) from responses join survey_roster using (response_id)
+union all select 'no_roster', count(*) from responses anti join survey_roster using (response_id)
+union all select 'no_response', count(*) from survey_roster anti join responses using (response_id)
+""".replace("|| wave", "|| responses.wave"), roster_=False),
+    "median_amount": panel.with_panel(f"""
+select {tag_sql('survey_name')} as survey_tag, version, {rnd('median(amount)')} as median
+from responses where amount is not null group by 1, 2
+""", roster_=False),
     "snapshot_versions": panel.with_panel("""
 select 1 as version, wave, count(*) as n from survey_roster group by wave
 union all select 2, wave, count(*) from survey_roster where wave <= 2 group by wave

@@ -102,24 +102,37 @@ def group_share(df: DataFrame, group: Sequence[str], count_col: str = "n",
 
 def median_by_group(df: DataFrame, group: Sequence[str], value: str, out: str = "median") -> DataFrame:
     """Exact median of ``value`` per group (mean of the two middle values for
-    an even count), computed without holding a group's rows in one buffer.
-
-    ``median()``/``percentile()`` buffer every value of a group in one task;
-    with a hot group that is unbounded.  Here the values are first counted per
-    (group, value) -- map-side combined, bounded by the number of distinct
-    values -- and the middle positions are located with a running sum over
-    that histogram, partitioned by group.
+    an even count), without one group's values ever meeting in one task.
+
+    ``median()``/``percentile()`` buffer every value of a group, and a running
+    sum over a group's histogram puts all its distinct values into one task.
+    Here the (group, value) counts are combined map-side, range-partitioned by
+    group and value, and written (range bounds are sampled, so a second reading
+    must not deal them anew).  Each range's total per group, one row a range
+    and group, tells where the middle positions lie; running sums are taken in
+    those ranges only.  NULL values are left out; a NULL group is a group.
     """
     from pyspark.sql import Window
 
-    g = list(group)
-    hist = df.filter(F.col(value).isNotNull()).groupBy(*g, value).agg(F.count(F.lit(1)).alias("__c"))
-    w = Window.partitionBy(*g).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hist = hist.withColumn("__cum", F.sum("__c").over(w)).withColumn(
-        "__n", F.sum("__c").over(Window.partitionBy(*g)))
-    lo = F.floor((F.col("__n") + 1) / 2)
-    hi = F.ceil((F.col("__n") + 1) / 2)
-    med = hist.groupBy(*g).agg(
-        ((F.min(F.when(F.col("__cum") >= lo, F.col(value))) + F.min(F.when(F.col("__cum") >= hi, F.col(value))))
-         / 2.0).alias(out))
-    return med
+    from ..session import scratch_dir
+
+    g, spark = list(group), df.sparkSession
+    counted = df.filter(F.col(value).isNotNull()).groupBy(*g, F.col(value).alias("__x")).agg(F.count(F.lit(1)).alias("__c"))
+    ordered = counted.repartitionByRange(*g, "__x").withColumn("__part", F.spark_partition_id())
+    path = scratch_dir(spark, "histogram")
+    ordered.write.parquet(path)
+    hist = spark.read.schema(ordered.schema).parquet(path)
+    sizes = hist.groupBy("__part", *g).agg(F.sum("__c").alias("__n"))
+    own = Window.partitionBy(*g)
+    earlier = own.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("__part", *g, "__n", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"), F.sum("__n").over(own).alias("__all"))
+    middle = [F.floor((F.col("__all") + 1) / 2), F.floor(F.col("__all") / 2) + 1]
+    inside = [(F.col("__before") < m) & (m <= F.col("__before") + F.col("__n")) for m in middle]
+    wanted = sizes.filter(inside[0] | inside[1]).select(
+        F.col("__part").alias("__p"), *[F.col(c).alias(f"__g{i}") for i, c in enumerate(g)], "__before", middle[0].alias("__lo"), middle[1].alias("__hi"))
+    same = [F.col("__part") == F.col("__p"), *[F.col(c).eqNullSafe(F.col(f"__g{i}")) for i, c in enumerate(g)]]
+    near = hist.join(wanted, same)
+    run = Window.partitionBy("__part", *g).orderBy("__x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = near.withColumn("__cum", F.col("__before") + F.sum("__c").over(run))
+    at = lambda m: F.min(F.when(F.col("__cum") >= F.col(m), F.col("__x")))
+    return near.groupBy(*g).agg(((at("__lo") + at("__hi")) / 2.0).alias(out))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -143,3 +143,43 @@ def full_join_on(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 def semi_join(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rows of ``left`` with a match in ``right`` (no fan-out, right cols dropped)."""
     return left.join(right.select(*by), list(by), "left_semi")
+
+
+# --- rows accounted for ----------------------------------------------------------
+
+
+def counted_filter(df: DataFrame, cond: Column, counts: Observation) -> DataFrame:
+    """Rows where ``cond`` is true; ``counts`` is told ``kept``, ``dropped`` (false) and ``unknown`` (NULL)."""
+    seen = df.withColumn("__cond", cond)
+    one = lambda c, n: F.count_if(c).alias(n)
+    seen = seen.observe(counts, one(F.col("__cond"), "kept"), one(~F.col("__cond"), "dropped"), one(F.col("__cond").isNull(), "unknown"))
+    return seen.filter("__cond").drop("__cond")
+
+
+def counted_inner_join(left: DataFrame, right: DataFrame, by: Sequence[str], counts: Observation,
+                       names: tuple[str, str] = ("left_only", "right_only")) -> DataFrame:
+    """Inner join on ``by`` that accounts for every row of both sides.
+
+    ``counts`` is told the ``matched`` rows and, under ``names``, the rows of
+    either side that found no partner (NULL keys among them).  It is planned as
+    a full join of which the matched rows go on, so the counts cost neither a
+    scan nor an exchange.  Rows with a NULL key are spread by a hash of the key
+    and all their columns, not sent to one task.
+    """
+    by = list(by)
+    rest = [c for c in right.columns if c not in by]
+
+    def side(df: DataFrame, tag: str) -> DataFrame:
+        null = F.lit(False)
+        for k in by:
+            null = null | F.col(f"`{k}`").isNull()
+        spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(1 << 20)) + 1
+        return df.withColumns({f"__{tag}": F.lit(True), f"__{tag}_salt": F.when(null, spread).otherwise(F.lit(0).cast("long"))})
+
+    lf = side(left, "l")
+    rt = side(right, "r").withColumnsRenamed({k: f"__r_{k}" for k in by})
+    on = [F.col(f"`{k}`") == F.col(f"`__r_{k}`") for k in by] + [F.col("__l_salt") == F.col("__r_salt")]
+    both = lf.join(rt, on, "full")
+    here = [F.col("__l").isNotNull(), F.col("__r").isNotNull()]
+    both = both.observe(counts, F.count_if(here[0] & here[1]).alias("matched"), F.count_if(~here[1]).alias(names[0]), F.count_if(~here[0]).alias(names[1]))
+    return both.filter(here[0] & here[1]).select(*[F.col(f"`{c}`") for c in [*by, *[c for c in left.columns if c not in by], *rest]])

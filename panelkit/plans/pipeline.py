@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..codebook import DEFAULT_CODEBOOK, Codebook
+from ..operators import joins
 from ..operators.aggregate import consolidate
 from ..operators.joins import union_by_name
 from .harmonise import BASELINE_COLUMNS, clean_roster, harmonise_baseline
@@ -22,16 +23,23 @@ ORDER = ["wave", "version", "response_id"]
 
 def join_panel(roster: DataFrame, responses: DataFrame, book: Codebook = DEFAULT_CODEBOOK,
                roster_cols: Sequence[str] = ("cohort_name", "date_of_enrollment",
-                                            "assignment_label_fct")) -> DataFrame:
+                                            "assignment_label_fct"),
+               counts: Observation | None = None) -> DataFrame:
     """Every response with the roster fields of its survey row (inner: rows
     without a response or without a roster entry cannot be harmonised).
 
+    ``counts`` is told, by the next action on the result and without a job of
+    its own, how many rows were ``matched``, how many responses had
+    ``no_roster`` row and how many roster rows had ``no_response``.
+
     Both sides are unique in the response id, so the join deals rows out evenly
     however many of them one participant has; the per-participant aggregates
     that follow shuffle after their map-side combine.
     """
     r = clean_roster(roster, book).select(book.response_col, *roster_cols)
-    return responses.join(r, book.response_col, "inner")
+    if counts is None:
+        return responses.join(r, book.response_col, "inner")
+    return joins.counted_inner_join(responses, r, [book.response_col], counts, ("no_roster", "no_response"))
 
 
 def survey_rows(roster: DataFrame, responses: DataFrame, book: Codebook = DEFAULT_CODEBOOK) -> DataFrame:

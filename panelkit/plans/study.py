@@ -44,6 +44,19 @@ class PanelStudy:
 
         return replace(self, joined_panel=materialize(self.joined(), name, (self.book.wave_col,)))
 
+    def colocated(self, buckets: int | None = None) -> "PanelStudy":
+        """The same study reading roster and responses from buckets of the
+        response id: they are joined without an exchange, by as many studies
+        and reports as there are.  (Buckets of the participant would put a
+        participant with a third of all rows into one task.)"""
+        from ..sources.colocated import bucketed
+
+        key = [self.book.response_col]
+        # roster rows without a response id join nothing; they would fill one bucket
+        known = self.roster.filter(self.roster[key[0]].isNotNull())
+        return replace(self, joined_panel=pipeline.join_panel(bucketed(known, "roster", key, buckets),
+                                                              bucketed(self.responses, "responses", key, buckets), self.book))
+
     def root(self) -> DataFrame:
         """One row per participant: consolidated baseline variables."""
         return pipeline.construct_root(self.joined(), self.book)

@@ -8,13 +8,13 @@ summation order cannot change the compared value.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from . import codebook as cb
 from .functions import dates, logic, text
-from .operators import joins, reshape, schema
+from .operators import aggregate, joins, reshape, schema
 from .plans import fused, harmonise, pipeline, reports, scales
 from .plans.study import PanelStudy
 from .sources import catalog, files, landed, panel, records, snapshots
@@ -355,6 +355,28 @@ def materialized_panel(spark, d):
     return study.materialized().root()
 
 
+def colocated_panel(spark, d):
+    """Baseline over roster and responses in buckets of the response id, joined without an exchange."""
+    study = PanelStudy(panel.survey_roster(spark, d), _responses(spark, d), book=panel.BOOK)
+    return study.colocated().root()
+
+
+def accounted_join(spark, d):
+    """What became of every roster row and response: joined, or left without its partner."""
+    counts = Observation("join")
+    joined = pipeline.join_panel(panel.survey_roster(spark, d), _responses(spark, d), panel.BOOK, counts=counts)
+    by_wave = joined.groupBy("wave").agg(F.count(F.lit(1)).alias("n")).collect()  # one row a wave; the counts come with it
+    rows = [(f"joined, wave {r['wave']}", r["n"]) for r in by_wave] + sorted(counts.get.items())
+    return spark.createDataFrame(rows, "what string, n long")
+
+
+def median_amount(spark, d):
+    """Exact median of a continuous answer per wave tag and version."""
+    p = pipeline.with_survey_fields(_responses(spark, d))
+    out = aggregate.median_by_group(p, ["survey_tag", "version"], "amount")
+    return out.withColumn("median", _r("median"))
+
+
 def landed_responses(spark, d):
     """Landed files of all surveys, each with its own columns, read in one scan:
     names cleaned, stacked by name, the survey read off the path, tagged from the landed catalogue."""
@@ -590,6 +612,9 @@ QUERIES = {name: fn for name, fn in [
     ("read_through", read_through),
     ("snapshot_versions", snapshot_versions),
     ("materialized_panel", materialized_panel),
+    ("colocated_panel", colocated_panel),
+    ("accounted_join", accounted_join),
+    ("median_amount", median_amount),
     ("landed_responses", landed_responses),
     ("csv_crosstab", csv_crosstab),
     ("label_order", label_order),
