@@ -71,14 +71,9 @@ def score_scale(responses: DataFrame, repair: DataFrame | None = None,
     d = responses.withColumns({c: F.col(c).try_cast("int") - 1 for c in ITEMS}).withColumns(
         {c: F.col(c).cast("double") for c in ITEMS})
     if repair is not None:
-        # Only intake v2 answers are repaired.  The repair join shuffles only
-        # that slice; the other rows bypass it (a second, pruned scan of the
-        # source is cheaper than shuffling every response by response id, and
-        # with a wave/version-partitioned source each branch reads only its
-        # own partitions).
-        target = (w == 1) & (v == 2)
-        fixed = rows_update(d.filter(target), repair_items(repair), [book.response_col])
-        d = fixed.unionByName(d.filter(~F.coalesce(target, F.lit(False))))
+        # Survey rows come from a join on the response id and are dealt by it:
+        # the repair file is the one side that this join exchanges.
+        d = rows_update(d, repair_items(repair), [book.response_col], where=(w == 1) & (v == 2))
     return d.select(book.id_col, book.response_col, book.wave_col, book.version_col,
                     *[c for c in ("survey_tag",) if c in d.columns],
                     *logic.block_means(ITEMS, cb.SCALE_DOMAINS, strict=strict))
