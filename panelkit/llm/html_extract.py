@@ -22,8 +22,10 @@ from pyspark.sql import functions as F
 
 # --- fixed values -------------------------------------------------------------
 
-#: Elements whose contents are never text of the page.
-HIDDEN = frozenset("head title script style noscript template svg annotation annotation-xml iframe object select textarea button canvas audio video".split())
+#: Elements whose contents are no markup: they end at their end tag alone, whatever stands between.
+RAW = frozenset("script style title textarea iframe noembed noframes xmp".split())
+#: Elements whose contents are markup, but never text of the page, if they are closed where they were opened.
+HIDDEN = frozenset("noscript template svg annotation annotation-xml object select button canvas audio video".split())
 #: Elements that stand inside a line; all others limit blocks.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark meter output progress q rp rt "
                    "ruby s samp small span strike strong sub sup time tt u var wbr img input link meta "
@@ -37,6 +39,13 @@ PURPOSES = ("nav menu header footer aside sidebar form article main content post
             "share social related recommend newsletter subscri signup login search breadcrumb pagination pager widget toolbar "
             "masthead copyright legal tag meta toc skip teaser trending popular disqus complementary contentinfo navigation "
             "disclaimer dialog").split()
+#: Purposes that hold however much prose they surround.
+FIRM = frozenset("nav footer aside navigation contentinfo complementary cookie consent popup modal overlay dialog disclaimer "
+                 "comment discussion reply respons disqus".split())
+#: Lines that say what they are, on pages that name nothing.
+PHRASES = re.compile(r"(?:©|\(c\)|copyright ©|copyright \(c\)|copyright \d{4}\b).*|.*\ball rights reserved\b.*|advertisement|sponsored"
+                     r"|\d[\d.,]* (?:comments?|repl(?:y|ies)|responses?|shares?|likes?)(?: (?:to|on) .*)?"
+                     r"|(?:leave|post|write|add) a (?:comment|reply)|share (?:this|on)(?: \w+)?|read more|sign (?:up|in)|log ?in|subscribe", re.I)
 #: Names too short to be looked for inside longer ones.
 WHOLE = frozenset("ad ads adv toc tag meta nav text body post main skip form menu alert entry story login pager reply share legal".split())
 
@@ -137,10 +146,48 @@ class Block:
         return article == article2 and article[0] > 0 or division == division2
 
 
+class _Ends:
+    """Where hidden and raw elements end.  Every position is searched once per name, so a page is read in linear time."""
+
+    def __init__(self, page: str):
+        self.page, self.next = page, {}
+
+    def raw(self, name: str, at: int) -> int:
+        """After the end tag of ``name``, or the end of the page."""
+        found = self._tag(name, at, "/")
+        return found[1] if found else len(self.page)
+
+    def hidden(self, name: str, at: int, parent: str | None) -> int | None:
+        """After the end tag of ``name``, or None if it is left open: its parent ends, or the next one begins, before."""
+        end = self._tag(name, at, "/")
+        if end is None:
+            return None
+        for other, mark in ((name, ""), (parent, "/")):
+            found = other and self._tag(other, at, mark)
+            # a container of the parent's name inside would be closed before: then this one is no sign
+            if found and found[0] < end[0] and not (mark and self._within(other, at, found[0])):
+                return None
+        return end[1]
+
+    def _within(self, name: str, at: int, to: int) -> bool:
+        opened = self._tag(name, at, "")
+        return opened is not None and opened[0] < to
+
+    def _tag(self, name: str, at: int, mark: str) -> tuple[int, int] | None:
+        """Limits of the first start (or, by the mark, end) tag of ``name`` from ``at`` on."""
+        known = self.next.get((name, mark))
+        if known is None or known and known[0] < at:
+            m = re.compile(rf"<{mark}{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(self.page, at)
+            self.next[name, mark] = known = m.span() if m else ()
+        return known or None
+
+
 def blocks(page: str) -> list[Block]:
     """Blocks of a page in order; markup need be neither closed nor nested properly."""
     out: list[Block] = []
     stack: list[tuple[str, frozenset[str], tuple]] = []  # open containers with all purposes around their contents, and the place
+    opened: Counter[str] = Counter()  # how many of the stack have a name
+    ends = _Ends(page)
     around: frozenset[str] = frozenset()
     place, number = _NOWHERE, 0
     block, links, tags, at = None, 0, 0, 0
@@ -175,9 +222,14 @@ def blocks(page: str) -> list[Block]:
         tags += 1
         closing = bool(m["close"] or m["close2"])
         rest = m["rest"] or m["rest2"] or ""
-        if name in HIDDEN and not closing and name not in ("head",) and not rest.endswith("/"):
-            end = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
-            at = end.end() if end else len(page)
+        if name in RAW and not closing:
+            at = ends.raw(name, at)  # a slash does not close these
+            block = None
+            continue
+        if name in HIDDEN:
+            if not closing and not rest.endswith("/"):
+                end = ends.hidden(name, at, stack[-1][0] if stack else None)
+                at = at if end is None else end  # one left open hides nothing
             if name not in INLINE:
                 block = None
             continue
@@ -188,9 +240,12 @@ def blocks(page: str) -> list[Block]:
             if name == "p" or name in VOID:
                 continue
             if closing:
-                if any(n == name for n, _, _ in stack):
-                    while stack.pop()[0] != name:
-                        pass
+                if opened[name]:
+                    while True:
+                        last = stack.pop()[0]
+                        opened[last] -= 1
+                        if last == name:
+                            break
                 around, place = stack[-1][1:] if stack else (frozenset(), _NOWHERE)
             else:
                 own = purposes(name, rest)
@@ -208,11 +263,13 @@ def blocks(page: str) -> list[Block]:
                     article = (rank, number)
                 place = article, number if name in _DIVISIONS else division
                 stack.append((name, inner, place))
+                opened[name] += 1
                 around = inner
             links = 0 if name in _DIVISIONS else links
     return out
 
 
+_DOUBTFUL = frozenset(_AGAINST) - FIRM
 _COMMENTS = frozenset(("comment", "reply", "discussion", "respons", "disqus"))
 _BODIES = frozenset(("article", "main"))
 _ARTICLES = frozenset(("article", "post", "entry", "story"))
@@ -228,18 +285,37 @@ class Weights:
     def __init__(self, base, purpose, linked, tag):
         self.base, self.purpose, self.linked, self.tag = base, purpose, linked, tag
 
-    def word(self, block: Block, words: int) -> float:
-        """Score of each word of a block, between -0.5 and 1.
+    def word(self, block: Block, words: int, silent: frozenset[str] = frozenset()) -> float:
+        """Score of each word of a block, between -0.5 and 1; purposes in ``silent`` say nothing.
 
         A negative block inside the region is left out; :func:`bridge` keeps a
         long one from cutting an article in two.
         """
-        total = self.base + sum(self.purpose.get(p, 0.0) for p in block.around)
+        total = self.base + sum(self.purpose.get(p, 0.0) for p in block.around if p not in silent)
         if 2 * block.linked > words:
             total += self.linked
         return max(-0.5, min(1.0, total))
 
 
+_SENTENCE = re.compile(r"[.!?…。！？](?:\W|$)")
+
+
+def silent_purposes(found: list[tuple[Block, str, int]]) -> frozenset[str]:
+    """Purposes that say nothing on this page: more than half of its prose stands in them.
+
+    Prose are blocks of ten words or more with a sentence's end and few links.
+    A form around the whole page, or a page builder's widgets, hold the article
+    itself; firm purposes (navigation, notices, comments) hold whatever they are.
+    """
+    prose, inside = 0, Counter()
+    for b, text, words in found:
+        if words >= 10 and 4 * b.linked < words and _SENTENCE.search(text):
+            prose += words
+            for p in b.around - FIRM:
+                inside[p] += words
+    return frozenset(p for p, n in inside.items() if 2 * n > prose)
+
+
 def labelled_pages() -> list[str]:
     against, favour = _LABELLED
     return [t.replace("%", p) for t in against for p in _AGAINST] + [t.replace("%", p) for t in favour for p in _FOR]
@@ -308,19 +384,21 @@ def main_text(page: str | None, weights: Weights | None = None) -> str:
     if not page:
         return ""
     weights = weights or learn_weights()
-    found, kept, scores = blocks(page), [], []
-    for b in found:
+    found = []
+    for b in blocks(page):
         words = "".join(b.parts).split()
-        if words:
-            own = weights.word(b, len(words))
-            kept.append((" ".join(words), own))
-            scores += [weights.tag * b.tags, own * len(words)]
-        else:
-            kept.append(("", 0.0))
-            scores += [weights.tag * b.tags, 0.0]
-    bridge(found, scores)
+        found.append((b, " ".join(words), len(words)))
+    silent = silent_purposes(found) & _DOUBTFUL
+    own, scores = [], []
+    for b, text, words in found:
+        score = weights.word(b, words, silent) if words else 0.0
+        if 0 < words <= 15 and PHRASES.fullmatch(text):
+            score = -0.5
+        own.append(score)
+        scores += [weights.tag * b.tags, score * words]
+    bridge([b for b, _, _ in found], scores)
     lo, hi = best_region(scores)
-    return " ".join(t for i, (t, own) in enumerate(kept) if t and own > 0 and lo <= 2 * i + 1 < hi)
+    return " ".join(text for i, (_, text, _) in enumerate(found) if text and own[i] > 0 and lo <= 2 * i + 1 < hi)
 
 
 def extract(page: Column) -> Column:

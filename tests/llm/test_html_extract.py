@@ -81,6 +81,117 @@ def test_math():
     assert hx.main_text(page) == "So x=2 holds."
 
 
+PROSE = "<h1>A heading here</h1><p>The first paragraph has more than ten words, and it ends with a stop.</p><p>So does the second one: it goes on for a while, then it stops.</p>"
+PROSE_TEXT = ("A heading here The first paragraph has more than ten words, and it ends with a stop. "
+              "So does the second one: it goes on for a while, then it stops.")
+
+
+def test_hidden_elements_left_open_hide_nothing_after_them():
+    for name in ("button", "select", "object", "canvas", "audio", "video", "template", "svg", "noscript"):
+        shut = f"<article>{PROSE}<div><{name}>not this</{name}></div><p>The last words.</p></article><footer>f</footer>"
+        assert hx.main_text(shut) == PROSE_TEXT + " The last words.", name
+        left = f"<article>{PROSE}<div><{name} x=y></div><p>The last words.</p></article><footer>f</footer>"
+        assert hx.main_text(left) == PROSE_TEXT + " The last words.", name
+        both = f"<article><div><{name}></div>{PROSE}<p>The last words.</p><{name}>not this</{name}></article><footer>f</footer>"
+        assert hx.main_text(both) == PROSE_TEXT + " The last words.", name
+    assert hx.main_text(f"<article>{PROSE}<video><source src=x><p>Your browser is old.</p></video><p>The last words.</p></article>") == PROSE_TEXT + " The last words."
+
+
+def test_a_slash_closes_no_script():
+    assert hx.main_text("<script src=x/>code()</script><article><p>Words of it.</p></article>") == "Words of it."
+    assert hx.main_text("<article><p>Words <svg/>of it.</p><style/>p{}</style></article>") == "Words of it."
+
+
+def test_names_around_most_of_the_prose_say_nothing():
+    for outer in ('<body><form id="aspnetForm" method=post><input type=hidden>%s</form></body>', '<article><div class="elementor-widget">%s</div></article>',
+                  '<div class="elementor-widget-container">%s</div>', '<div class="form-guide">%s</div>', '<div class="story legal">%s</div>',
+                  '<div class="sidebar-layout"><div class="widget">%s</div></div>'):
+        assert hx.main_text(outer % PROSE) == PROSE_TEXT, outer
+        page = outer % (PROSE + "<nav><a>Home</a> <a>About</a></nav><div class='advert'><p>Buy it now.</p></div>")
+        assert hx.main_text(page) == PROSE_TEXT, outer
+    parts = "".join(f"<div class='elementor-widget'>{x}</div>" for x in PROSE.replace("><p", ">|<p").split("|"))
+    assert hx.main_text(f"<body>{parts}<div class='elementor-widget'><ul><li><a>Shop</a></li></ul></div></body>") == PROSE_TEXT
+
+
+def test_firm_names_hold_whatever_they_surround():
+    for outer in ("<nav>%s</nav>", "<footer>%s</footer>", "<aside>%s</aside>", "<div class='cookie-consent'>%s</div>", "<section id='comments'>%s</section>"):
+        assert hx.main_text(f"<body><article><p>Short text.</p></article>{outer % PROSE}</body>") == "Short text.", outer
+    assert hx.main_text(f"<body><article>{PROSE}</article><form><p>Only a few words in this form, they ask for your address.</p></form></body>") == PROSE_TEXT
+
+
+def test_lines_that_say_what_they_are():
+    for line in ("All rights reserved 2024", "© 2024 Example", "3 replies", "12 comments on this post", "Advertisement", "Leave a reply", "Share this"):
+        assert hx.main_text(f"<body><div>{PROSE}</div><div>{line}</div></body>") == PROSE_TEXT, line
+    for line in ("Copyright is a right.", "There were 3 replies to the letter, and more came in later.", "They share this with others."):
+        assert hx.main_text(f"<body><div>{PROSE}<p>{line}</p></div></body>") == f"{PROSE_TEXT} {line}", line
+
+
+def test_a_megabyte_is_read_in_linear_time():
+    import time
+
+    def seconds(page):
+        begin = time.perf_counter()
+        hx.main_text(page)
+        return time.perf_counter() - begin
+
+    for piece in ("<div><p>w</section>", "<button><p>w", "<object><div>w", "<script>w", "<select><option>w</div>", "</article><video>w", "<a><b>w<!-- "):
+        small, large = piece * (100_000 // len(piece)), piece * (1_000_000 // len(piece))
+        # quadratic work would take a hundred times as long
+        assert seconds(large) < 30 * max(seconds(small), 0.02), piece
+
+
+def labelled(seed):
+    """A page of blocks (text, whether it is content) in one of several site layouts."""
+    import random
+
+    rng = random.Random(seed)
+    sentence = lambda n: " ".join(rng.choice("the of and city river old new people found water house year they there with".split()) for _ in range(n))
+    label = lambda: sentence(rng.randrange(1, 4)).title()
+    content, parts = [], []
+
+    def add(markup, text, kept):
+        if kept:
+            content.append(text)
+        return markup.format(text)
+
+    def links(n):
+        return "".join(f"<li><a href=/{i}>{label()}</a></li>" for i in range(n))
+
+    body = add("<h1>{}</h1>", label(), True)
+    for i in range(rng.randrange(3, 9)):
+        kind = rng.random()
+        if kind < 0.7:
+            body += add("<p>{}</p>", ". ".join(sentence(rng.randrange(6, 25)).capitalize() for _ in range(rng.randrange(1, 5))) + ".", True)
+        elif kind < 0.8:
+            body += add("<h2>{}</h2>", label(), True)
+        elif kind < 0.9:
+            body += "<ul>" + "".join(add("<li>{}</li>", sentence(rng.randrange(3, 12)), True) for _ in range(3)) + "</ul>"
+        else:
+            body += rng.choice([f"<div class='ad-slot'><p>{sentence(6)}</p></div>", f"<aside><h3>{label()}</h3><ul>{links(3)}</ul></aside>",
+                                f"<button>{label()}", f"<div class='share-bar'><a>{label()}</a></div>", f"<script>x='{sentence(4)}'</script>"])
+    wrap = rng.choice(["<article>%s</article>", "<main><div class='entry-content'>%s</div></main>", "<div id='content'>%s</div>", "<div class='x1'>%s</div>",
+                       "<form id='aspnetForm'><div>%s</div></form>", "<div class='elementor-widget-container'>%s</div>", "<td>%s</td>"])
+    head = rng.choice([f"<nav><ul>{links(6)}</ul></nav>", f"<div class='top-menu'><ul>{links(5)}</ul></div>", f"<header><a>{label()}</a><ul>{links(4)}</ul></header>", ""])
+    tail = rng.choice([f"<footer>&copy; {label()}. {sentence(6)}.</footer>", f"<div class='site-footer'><ul>{links(4)}</ul></div>", "<div>All rights reserved 2024</div>",
+                       f"<section id='comments'><h2>2 replies</h2><article class='comment'><p>{sentence(15)}.</p></article></section>"])
+    parts = [head, wrap % body, tail]
+    return "<html><head><title>t</title></head><body>" + "".join(parts) + "</body></html>", " ".join(" ".join(c.split()) for c in content)
+
+
+def test_held_out_layouts():
+    hit = given = wanted = whole = 0
+    for seed in range(400):
+        page, want = labelled(seed)
+        got = hx.main_text(page)
+        a, b = got.split(), want.split()
+        from collections import Counter
+        hit += sum((Counter(a) & Counter(b)).values())
+        given, wanted, whole = given + len(a), wanted + len(b), whole + (got == want)
+    f1 = 2 * hit / (given + wanted)
+    print(f"word F1 {f1:.4f}, whole pages {whole / 400:.3f}")
+    assert f1 > 0.97 and whole / 400 > 0.8
+
+
 def test_best_region():
     assert hx.best_region([-1, 2, -1, 3, -5, 4]) == (1, 4)
     assert hx.best_region([-1, -2]) == (0, 0) == hx.best_region([])
