@@ -39,10 +39,9 @@ PURPOSES = ("nav menu header footer aside sidebar form article main content post
             "share social related recommend newsletter subscri signup login search breadcrumb pagination pager widget toolbar "
             "masthead copyright legal tag meta toc skip teaser trending popular disqus complementary contentinfo navigation "
             "disclaimer dialog").split()
-#: Purposes that hold however much prose they surround.
-FIRM = frozenset("nav footer aside navigation contentinfo complementary cookie consent popup modal overlay dialog disclaimer "
-                 "comment discussion reply respons disqus".split())
-#: Lines that say what they are, on pages that name nothing.
+#: Purposes that also name layout, page builders or the whole page; all others hold however much prose they surround.
+DOUBTFUL = frozenset("form widget legal header alert sidebar meta tag login signup search toolbar menu skip toc".split())
+#: Lines that say what they are, outside of anything that is named an article.
 PHRASES = re.compile(r"(?:©|\(c\)|copyright ©|copyright \(c\)|copyright \d{4}\b).*|.*\ball rights reserved\b.*|advertisement|sponsored"
                      r"|\d[\d.,]* (?:comments?|repl(?:y|ies)|responses?|shares?|likes?)(?: (?:to|on) .*)?"
                      r"|(?:leave|post|write|add) a (?:comment|reply)|share (?:this|on)(?: \w+)?|read more|sign (?:up|in)|log ?in|subscribe", re.I)
@@ -269,7 +268,6 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
-_DOUBTFUL = frozenset(_AGAINST) - FIRM
 _COMMENTS = frozenset(("comment", "reply", "discussion", "respons", "disqus"))
 _BODIES = frozenset(("article", "main"))
 _ARTICLES = frozenset(("article", "post", "entry", "story"))
@@ -305,13 +303,13 @@ def silent_purposes(found: list[tuple[Block, str, int]]) -> frozenset[str]:
 
     Prose are blocks of ten words or more with a sentence's end and few links.
     A form around the whole page, or a page builder's widgets, hold the article
-    itself; firm purposes (navigation, notices, comments) hold whatever they are.
+    itself; purposes such as navigation, adverts and comments hold whatever they surround.
     """
     prose, inside = 0, Counter()
     for b, text, words in found:
         if words >= 10 and 4 * b.linked < words and _SENTENCE.search(text):
             prose += words
-            for p in b.around - FIRM:
+            for p in b.around & DOUBTFUL:
                 inside[p] += words
     return frozenset(p for p, n in inside.items() if 2 * n > prose)
 
@@ -388,11 +386,11 @@ def main_text(page: str | None, weights: Weights | None = None) -> str:
     for b in blocks(page):
         words = "".join(b.parts).split()
         found.append((b, " ".join(words), len(words)))
-    silent = silent_purposes(found) & _DOUBTFUL
+    silent = silent_purposes(found)
     own, scores = [], []
     for b, text, words in found:
         score = weights.word(b, words, silent) if words else 0.0
-        if 0 < words <= 15 and PHRASES.fullmatch(text):
+        if 0 < words <= 15 and not b.place[0][0] and PHRASES.fullmatch(text):
             score = -0.5
         own.append(score)
         scores += [weights.tag * b.tags, score * words]

@@ -114,7 +114,7 @@ def test_names_around_most_of_the_prose_say_nothing():
 
 
 def test_firm_names_hold_whatever_they_surround():
-    for outer in ("<nav>%s</nav>", "<footer>%s</footer>", "<aside>%s</aside>", "<div class='cookie-consent'>%s</div>", "<section id='comments'>%s</section>"):
+    for outer in ("<nav>%s</nav>", "<div class='ad'>%s</div>", "<div class='promo'>%s</div>", "<footer>%s</footer>", "<aside>%s</aside>", "<div class='cookie-consent'>%s</div>", "<section id='comments'>%s</section>"):
         assert hx.main_text(f"<body><article><p>Short text.</p></article>{outer % PROSE}</body>") == "Short text.", outer
     assert hx.main_text(f"<body><article>{PROSE}</article><form><p>Only a few words in this form, they ask for your address.</p></form></body>") == PROSE_TEXT
 
@@ -122,6 +122,7 @@ def test_firm_names_hold_whatever_they_surround():
 def test_lines_that_say_what_they_are():
     for line in ("All rights reserved 2024", "© 2024 Example", "3 replies", "12 comments on this post", "Advertisement", "Leave a reply", "Share this"):
         assert hx.main_text(f"<body><div>{PROSE}</div><div>{line}</div></body>") == PROSE_TEXT, line
+    assert hx.main_text(f"<article>{PROSE}<p>All rights reserved.</p></article>") == PROSE_TEXT + " All rights reserved."
     for line in ("Copyright is a right.", "There were 3 replies to the letter, and more came in later.", "They share this with others."):
         assert hx.main_text(f"<body><div>{PROSE}<p>{line}</p></div></body>") == f"{PROSE_TEXT} {line}", line
 
