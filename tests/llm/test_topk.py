@@ -65,3 +65,50 @@ def test_pruning_skips_blocks_and_stays_exact():
         every = query[i] @ matrix.T
         want = sorted((-s, j) for j, s in enumerate(every) if j != own)[:10]
         assert [(-s, j) for j, s in zip(ids, scores)] == want
+
+
+def test_ranges_are_pruned_before_they_are_shipped(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    # ranges of 64 vectors, each around a direction of its own; queries in id order meet few of them
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "RANGE_BLOCKS", 4)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 8)
+    centres = np.eye(12) * 3
+    rows = [(i, [float(x) for x in np.float32(centres[i // 64] + rng.normal(0, 0.05, 12))]) for i in range(64 * 12)]
+    seen = []
+    plain = topk._pairs
+    monkeypatch.setattr(topk, "_pairs", lambda *a: seen.append(plain(*a)) or seen[-1])
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = topk.top_k(df, F.col("vec_id") % 5 == 0, k=3)
+    assert sorted(tuple(r) for r in got.collect()) == brute(rows, 3)
+    n = [p.schema.names for p in seen]
+    assert n == [["g", "r"], ["g", "r"]]
+    p = got._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in p and "CartesianProduct" not in p
+
+
+def test_pairs_fall_with_the_bounds():
+    rng = np.random.default_rng(8)
+    low, high = np.full((50, 6), -1.0), np.full((50, 6), 1.0)
+    low[:40, 0], high[:40, 0] = -9, -8
+    q = np.abs(rng.integers(1, 9, (20, 6))).astype(float)
+    bound = topk.range_bounds(q, low, high)
+    exact = np.maximum(q, 0) @ high.T
+    assert (bound >= exact - 1e-9).all() or (bound[:, 40:] >= exact[:, 40:]).all()
+    v = rng.integers(-1, 2, (50, 30, 6))
+    v[:40, :, 0] = rng.integers(-9, -7, (40, 30))
+    assert (np.einsum("qd,rnd->qrn", q, v).max(axis=2) <= bound).all()
+
+
+def test_surviving_pairs_are_few_on_ranges_apart(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "RANGE_BLOCKS", 4)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 8)
+    rng = np.random.default_rng(9)
+    rows = [(i, [float(x) for x in np.float32(np.eye(12)[i // 64] * 3 + rng.normal(0, 0.05, 12))]) for i in range(64 * 12)]
+    counts = []
+    plain = topk.materialize
+    monkeypatch.setattr(topk, "materialize", lambda df, name: (lambda out: counts.append(out.count()) or out)(plain(df, name)) if name == "pairs" else plain(df, name))
+    topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 4 == 0, k=3).count()
+    blocks, ranges = 24, 12
+    assert counts[0] == blocks and counts[1] < blocks * ranges / 4
