@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +30,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch = path
+    if _written.get() is not None:
+        _written.get().append(out)
     return out
 
 
@@ -38,6 +43,38 @@ def release(*tables: DataFrame) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def spare_prefix(*frames: DataFrame) -> str:
+    """Underscores with which no column of ``frames`` begins: helper columns named with it clash with none."""
+    names = [c.lower() for df in frames for c in df.columns]
+    prefix = "_"
+    while any(n.startswith(prefix) for n in names):
+        prefix += "_"
+    return prefix
+
+
+@contextmanager
+def released():
+    """Tables written inside by :func:`materialize` are deleted at the end, but those handed to ``keep``.
+
+    For a job whose last step is written out itself: what it read on the way is spent.
+    """
+    outer, kept = _written.get(), []
+    made = []
+    token = _written.set(made)
+    try:
+        yield kept.append
+    finally:
+        _written.reset(token)
+        for df in made:
+            if not any(df is k for k in kept):
+                release(df)
+        if outer is not None:
+            outer += kept
+
+
+_written: ContextVar[list | None] = ContextVar("written", default=None)
+
+
 def bucket_of(text_id: Column, modulus: int) -> Column:
     """crc32 of the id as text, modulo ``modulus``; a NULL id counts as the empty text."""
     return F.crc32(F.coalesce(text_id.cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)

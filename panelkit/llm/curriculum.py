@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, globally_ordered, materialize
+from .common import WORD, globally_ordered, materialize, spare_prefix
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -128,28 +128,30 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     A document taken twice comes twice, one not taken does not come.  One taken
     in part has the first words of its text, joined by one space, and n_chars
     (if there is such a column) set to match.  Rows of a repeated id are told
-    apart by size and source.  Columns are those of ``docs``.
+    apart by size and source, those of a NULL id among them.  Columns are those
+    of ``docs``, whatever their names; an empty table gives an empty result.
     """
+    p = spare_prefix(docs)
     plan = mix_plan(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
     once = F.struct(F.col("position").alias("at"), F.col("taken_first").alias("words"))
     twice = F.struct(F.col("again").alias("at"), (F.col("taken") - F.col("taken_first")).alias("words"))
     times = F.filter(F.array(once, twice), lambda x: x["at"].isNotNull())
-    plan = materialize(plan.select(F.col(id_col).alias("_id"), F.col("size").alias("_size"),
-                                   F.col(source_col).alias("_src"), times.alias("_times")), "plan")
+    plan = materialize(plan.select(F.col(id_col).alias(f"{p}id"), F.col("size").alias(f"{p}size"),
+                                   F.col(source_col).alias(f"{p}src"), times.alias(f"{p}times")), "plan")
     rows = docs
-    keys = F.col(id_col).eqNullSafe(F.col("_id"))
-    if plan.groupBy("_id").count().filter("count > 1").limit(1).count():
+    keys = F.col(id_col).eqNullSafe(F.col(f"{p}id"))
+    if plan.groupBy(f"{p}id").count().filter("count > 1").limit(1).count():
         size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0))
-        rows = rows.withColumn("_nth", F.row_number().over(Window.partitionBy(id_col).orderBy(size, source_col)))
-        plan = plan.withColumn("_n", F.row_number().over(Window.partitionBy("_id").orderBy("_size", "_src")))
-        keys = keys & (F.col("_nth") == F.col("_n"))
-    rows = rows.join(plan, keys).withColumn("_time", F.explode("_times"))
-    words = F.slice(F.regexp_extract_all(F.col(text_col), F.lit(WORD), 0), F.lit(1), F.col("_time.words").cast("int"))
-    text = F.when(F.col("_time.words") < F.col("_size"), F.array_join(words, " ")).otherwise(F.col(text_col))
-    rows = rows.withColumn("_text", text)
-    names = {text_col: F.col("_text").alias(text_col)}
+        rows = rows.withColumn(f"{p}nth", F.row_number().over(Window.partitionBy(id_col).orderBy(size, source_col)))
+        plan = plan.withColumn(f"{p}n", F.row_number().over(Window.partitionBy(f"{p}id").orderBy(f"{p}size", f"{p}src")))
+        keys = keys & (F.col(f"{p}nth") == F.col(f"{p}n"))
+    rows = rows.join(plan, keys).withColumn(f"{p}time", F.explode(f"{p}times"))
+    words = F.slice(F.regexp_extract_all(F.col(text_col), F.lit(WORD), 0), F.lit(1), F.col(f"{p}time.words").cast("int"))
+    text = F.when(F.col(f"{p}time.words") < F.col(f"{p}size"), F.array_join(words, " ")).otherwise(F.col(text_col))
+    rows = rows.withColumn(f"{p}text", text)
+    names = {text_col: F.col(f"{p}text").alias(text_col)}
     if "n_chars" in docs.columns:
-        shortened = F.col("_time.words") < F.col("_size")
-        names["n_chars"] = F.when(shortened, F.char_length("_text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType).alias("n_chars")
-    rows = rows.repartitionByRange("_time.at", id_col).sortWithinPartitions("_time.at", id_col)
+        shortened = F.col(f"{p}time.words") < F.col(f"{p}size")
+        names["n_chars"] = F.when(shortened, F.char_length(f"{p}text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType).alias("n_chars")
+    rows = rows.repartitionByRange(f"{p}time.at", id_col).sortWithinPartitions(f"{p}time.at", id_col)
     return rows.select(*[names.get(c, F.col(c)) for c in docs.columns])

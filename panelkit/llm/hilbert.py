@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import globally_ordered, materialize, ranked, release
+from .common import globally_ordered, materialize, ranked, release, spare_prefix
 
 
 def curve_tables(dims: int) -> tuple[list[int], list[int]]:
@@ -153,12 +153,16 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", **options)
     """Write every row of ``docs`` once, as one folder per shard, in slot order.
 
     Rows meet their slots by a row number written with them, so NULL and
-    repeated ids are kept like any other.
+    repeated ids are kept like any other.  Columns of ``docs`` that are called
+    shard or slot get an underscore behind their names; an empty table writes
+    no row.
     """
-    rows = materialize(docs.withColumn("_number", F.monotonically_increasing_id()), "rows")
-    placed = hilbert_shards(rows, id_col=id_col, row_col="_number", **options).select(
-        F.col("_number").alias("_placed"), "shard", "slot")
-    out = rows.join(placed, F.col("_number") == F.col("_placed")).drop("_number", "_placed")
+    own = {c: c + "_" for c in docs.columns if c.lower() in ("shard", "slot")}
+    p = spare_prefix(docs)
+    rows = materialize(docs.withColumnsRenamed(own).withColumn(f"{p}number", F.monotonically_increasing_id()), "rows")
+    placed = hilbert_shards(rows, id_col=own.get(id_col, id_col), row_col=f"{p}number", **options).select(
+        F.col(f"{p}number").alias(f"{p}placed"), "shard", "slot")
+    out = rows.join(placed, F.col(f"{p}number") == F.col(f"{p}placed")).drop(f"{p}number", f"{p}placed")
     (out.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
      .write.partitionBy("shard").parquet(path))
     release(rows)

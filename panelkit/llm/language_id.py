@@ -17,12 +17,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_of
+from .common import bucket_of, spare_prefix
 
 #: Orders of the character n-grams, and hash buckets for all of them.
 ORDERS, BUCKETS = (1, 2, 3), 1 << 16
 #: Documents of the fitted sample: expected for each language, and in all at most.
 PER_LANGUAGE, IN_ALL = 400, 8000
+#: Labels learned at most, the most frequent ones: the model travels to all tasks, 256 KB a label.
+LANGUAGES = 256
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 0.5, 1.0, 0.001, 0.01
 #: Weight of all n-grams of a document together.
 SCALE = 40.0
@@ -165,13 +167,15 @@ class Model:
 def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Model from the rows for which ``learn`` holds and the label is not NULL.
 
-    Collected: the label counts, BUCKETS frequencies and the sample (about
-    PER_LANGUAGE documents a language, IN_ALL at most, as distinct buckets).
+    Collected: the counts of the LANGUAGES most frequent labels, which are those
+    learned, BUCKETS frequencies and the sample (about PER_LANGUAGE documents a
+    language and IN_ALL in all, never more than twice that, as distinct buckets).
     """
     rows = docs.filter(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"),
         F.xxhash64(F.col(id_col), F.col(text_col)).alias("rank"))
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    counted = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    sizes = {r["lang"]: r["count"] for r in counted.collect()}
     languages = sorted(sizes)
     if not languages:
         return Model([], np.zeros((0, BUCKETS), np.float32), np.zeros(0), 1.0)
@@ -189,7 +193,7 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str =
     share = F.create_map(*[x for lang in languages for x in (F.lit(lang), F.lit(min(1.0, wanted / sizes[lang])))])
     place = F.pmod("rank", F.lit(1_000_003)) / F.lit(1_000_003.0)
     sample = rows.filter(place < share[F.col("lang")]).dropDuplicates(["rank", "lang"]).select("rank", "lang", "text").mapInPandas(
-        _sparse, "rank long, lang string, buckets binary, counts binary").collect()
+        _sparse, "rank long, lang string, buckets binary, counts binary").orderBy("rank", "lang").limit(2 * IN_ALL).collect()
     sample.sort(key=lambda r: (r["rank"], r["lang"], bytes(r["buckets"])))
     examples = []
     for r in sample:
@@ -268,4 +272,5 @@ def keep_known(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     model = fit(docs, ~held_out(id_col), id_col, text_col, lang_col)
     if not model.languages:
         return docs.filter(has_letter(F.col(text_col)))
-    return docs.withColumn("_p", predict(F.col(text_col), model)).filter(F.col("_p.lang") != UNDETERMINED).drop("_p")
+    name = f"{spare_prefix(docs)}p"
+    return docs.withColumn(name, predict(F.col(text_col), model)).filter(F.col(f"{name}.lang") != UNDETERMINED).drop(name)

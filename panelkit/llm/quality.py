@@ -155,8 +155,9 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
         label_col: str = "quality") -> Machine | float:
     """Machine from the labelled rows of ``docs`` for which ``learn`` (of the id) holds.
 
-    The labels are counted over all rows; the documents of about PER_LABEL ids of
-    each label are collected as features and weighted back to the counted shares.
+    The labels are counted over all rows; one document each of about PER_LABEL
+    ids of each label is collected as features and weighted back to the counted
+    shares.
     Without both labels there is nothing to learn: the share of label 1 (0.5
     without any label) is returned instead.  An id with several labels counts
     once for each; labels other than 0 and 1 are not learned.
@@ -170,8 +171,10 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id
     place = F.pmod(F.xxhash64("_id"), F.lit(1_000_003)) / F.lit(1_000_003.0)
     # About 2 * PER_LABEL ids: a proven bound, so the texts need no shuffle.
     chosen = marked.filter(place < F.when(F.col("label") == 1, share[1]).otherwise(share[0]))
-    wanted = (docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "_id")
-              .withColumn("rank", F.xxhash64("_id", "text")).dropDuplicates(["rank", "label"]))
+    wanted = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "_id")
+    # One text an id, however many rows repeat it: the bound on ids is one on rows.
+    first = F.min(F.struct(F.xxhash64("_id", "text").alias("rank"), "text"))
+    wanted = wanted.groupBy("_id", "label").agg(first.alias("m")).select("m.rank", "label", "m.text")
     sample = wanted.select("rank", "label", "text").mapInPandas(
         _sample_features, "rank long, label int, bucket binary, x binary, stats binary").collect()
     sample.sort(key=lambda r: (r["rank"], r["label"]))

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, release
+from .common import materialize, release, spare_prefix
 from .textnum import Words, mix, random_words, text_batches
 
 WINDOW = 50
@@ -266,10 +266,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         "id", "k", "n_words", "words_sha", "whole", "starts")
 
 
-def _rows_with_key(docs: DataFrame, id_col: str, text_col: str, found: DataFrame) -> DataFrame:
-    """``docs`` with column _k, computed as in :func:`repeats`."""
+def _rows_with_key(docs: DataFrame, text_col: str, found: DataFrame, name: str) -> DataFrame:
+    """``docs`` with column ``name``, the k of :func:`repeats`."""
     keyed = found.filter("k <> 0").limit(1).count() > 0
-    return docs.withColumn("_k", F.xxhash64(F.col(text_col)) if keyed else F.lit(0).cast("long"))
+    return docs.withColumn(name, F.xxhash64(F.col(text_col)) if keyed else F.lit(0).cast("long"))
 
 
 def dedup_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -297,7 +297,7 @@ def dedup_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield pd.DataFrame(out, columns=[id_col, "n_words", "n_removed", "kept_sha256"])
 
     cut = found.filter("starts is not null").select(F.col("id").alias("_i"), F.col("k").alias("_j"), "starts").dropDuplicates(["_i", "_j"])
-    rows = _rows_with_key(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), "id", "text", found)
+    rows = _rows_with_key(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), "text", found, "_k")
     changed = rows.join(cut, (rows["id"] == cut["_i"]) & (rows["_k"] == cut["_j"])).select("id", "text", "starts")
     return plain.unionByName(changed.mapInPandas(digest, f"{id_col} long, n_words long, n_removed long, kept_sha256 string"))
 
@@ -309,24 +309,25 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     (empty if all go) and n_chars, if there is such a column, set to match; all
     other rows are unchanged.  Cases as in :func:`dedup_digests`.
     """
+    p = spare_prefix(docs)
     found = materialize(repeats(docs, id_col, text_col), "found")
     cut = found.filter("whole or starts is not null").select(
-        F.col("id").alias("_i"), F.col("k").alias("_j"), F.col("whole").alias("_whole"), F.col("starts").alias("_starts"))
-    cut = cut.dropDuplicates(["_i", "_j"])
+        F.col("id").alias(f"{p}i"), F.col("k").alias(f"{p}j"), F.col("whole").alias(f"{p}whole"), F.col("starts").alias(f"{p}starts"))
+    cut = cut.dropDuplicates([f"{p}i", f"{p}j"])
 
     @F.pandas_udf("string")
     def shorten(texts: pd.Series, starts: pd.Series) -> pd.Series:
         return pd.Series([b" ".join(kept_words(t, s)[1]).decode() for t, s in zip(texts, starts)], dtype=object)
 
-    rows = _rows_with_key(docs, id_col, text_col, found)
-    rows = rows.join(cut, (rows[id_col] == cut["_i"]) & (rows["_k"] == cut["_j"]), "left")
-    starts = F.coalesce("_starts", F.array().cast("array<int>"))
-    text = (F.when(F.col("_whole"), F.lit("")).when(F.col("_starts").isNotNull(), F.col("_short")).otherwise(F.col(text_col)))
+    rows = _rows_with_key(docs, text_col, found, f"{p}k")
+    rows = rows.join(cut, (rows[id_col] == cut[f"{p}i"]) & (rows[f"{p}k"] == cut[f"{p}j"]), "left")
+    starts = F.coalesce(f"{p}starts", F.array().cast("array<int>"))
+    text = (F.when(F.col(f"{p}whole"), F.lit("")).when(F.col(f"{p}starts").isNotNull(), F.col(f"{p}short")).otherwise(F.col(text_col)))
     # Rows without a cut send an empty text to the Python worker.
-    rows = rows.withColumn("_short", shorten(F.when(F.col("_starts").isNotNull(), F.col(text_col)).otherwise(F.lit("")), starts))
-    rows = rows.withColumn("_new", text)
-    names = {text_col: F.col("_new").alias(text_col)}
+    rows = rows.withColumn(f"{p}short", shorten(F.when(F.col(f"{p}starts").isNotNull(), F.col(text_col)).otherwise(F.lit("")), starts))
+    rows = rows.withColumn(f"{p}new", text)
+    names = {text_col: F.col(f"{p}new").alias(text_col)}
     if "n_chars" in docs.columns and "n_chars" not in (id_col, text_col):
-        touched = F.coalesce(F.col("_whole") | F.col("_starts").isNotNull(), F.lit(False))
-        names["n_chars"] = F.when(touched, F.char_length("_new")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType).alias("n_chars")
+        touched = F.coalesce(F.col(f"{p}whole") | F.col(f"{p}starts").isNotNull(), F.lit(False))
+        names["n_chars"] = F.when(touched, F.char_length(f"{p}new")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType).alias("n_chars")
     return rows.select(*[names.get(c, F.col(c)) for c in docs.columns])

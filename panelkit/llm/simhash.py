@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize
+from .common import materialize, spare_prefix
 from .components import components
 
 BITS = 64
@@ -231,10 +231,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Of rows that repeat that id one stays.  Rows with a NULL id stay: there is
     no id to decide on.  All columns are kept as they are.
     """
+    p = spare_prefix(docs)
     found = near_duplicates(docs, id_col, text_col, shingle, radius)
     kept = found.filter(F.col(id_col) == F.col("component_id"))
-    kept = materialize(kept.groupBy(F.col(id_col).alias("_kept")).agg(F.count(F.lit(1)).alias("_times")), "kept")
-    out = docs.join(kept.select("_kept"), docs[id_col] == F.col("_kept"), "left_semi")
-    if kept.filter("_times > 1").limit(1).count():
+    kept = materialize(kept.groupBy(F.col(id_col).alias(f"{p}kept")).agg(F.count(F.lit(1)).alias(f"{p}times")), "kept")
+    out = docs.join(kept.select(f"{p}kept"), docs[id_col] == F.col(f"{p}kept"), "left_semi")
+    if kept.filter(f"{p}times > 1").limit(1).count():
         out = out.dropDuplicates([id_col])
     return out.unionByName(docs.filter(F.col(id_col).isNull()))

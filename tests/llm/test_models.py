@@ -115,3 +115,29 @@ def test_quality_cases(make_docs, spark):
     none = quality.classify(docs, labels.limit(0)).collect()
     assert {r["score"] for r in none} == {0.5}
     assert quality.classify(docs.limit(0), labels).count() == 0
+
+
+def test_a_repeated_id_cannot_fill_the_sample(spark, make_docs, monkeypatch):
+    from panelkit.llm import quality
+
+    monkeypatch.setattr(quality, "PER_LABEL", 10)
+    seen = []
+    train = quality.train
+    monkeypatch.setattr(quality, "train", lambda examples, weights: seen.append(len(examples)) or train(examples, weights))
+    docs = make_docs([(1, f"one {i}") for i in range(500)] + [(2, f"two {i}") for i in range(3)])
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    from pyspark.sql import functions as F
+
+    quality.fit(docs, labels, F.lit(True))
+    assert seen == [2]
+
+
+def test_many_labels_are_bounded(spark, make_docs, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from panelkit.llm import language_id
+
+    monkeypatch.setattr(language_id, "LANGUAGES", 5)
+    rows = [(i, f"word{i % 20} text{i % 20} of{i % 20}", f"l{i % 20:02d}" if i % 20 < 6 or i < 40 else "l00") for i in range(400)]
+    model = language_id.fit(make_docs(rows), F.lit(True))
+    assert len(model.languages) == 5 and "l00" in model.languages
