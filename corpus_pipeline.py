@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from panelkit.llm import curriculum, language_id, pieces, recompression, simhash
-from panelkit.llm.common import materialize, table
+from panelkit.llm.common import materialize, release, released, table
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +51,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage.  A stage's own tables, and its input, go when its output is written."""
+    docs, written = table(spark, sf_dir, "documents"), False
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        with released() as keep:
+            out = materialize(stage(spark, docs, sf_dir), name)
+            keep(out)
+        if written:
+            release(docs)
+        docs, written = out, True
     return docs
