@@ -8,9 +8,104 @@ after them is written separately here.
 
 from __future__ import annotations
 
-from panelkit import codebook as cb
 from panelkit.sources import panel
 
+# ---------------------------------------------------------------------------
+# Fixed values of the questionnaire and the reports, written out here apart from
+# the engine's codebook: a wrong value there shows as a difference.
+# ---------------------------------------------------------------------------
+
+
+class cb:
+    ARM_LEVELS = ['Program', 'Comparison', 'Non-RCT']
+    ARM_SUFFIX_PATTERN = '(Program|Comparison)$'
+    ARM_SUFFIX_REMOVE_PATTERN = ' - (Program|Comparison)$'
+    ARM_DEFAULT = 'Non-RCT'
+    TOTAL_LABEL = 'Total'
+    ELIGIBLE_ARMS = ['Program', 'Non-RCT']
+    EDUCATION_LEVELS = ['Less than Highschool', 'Highschool', 'Apprenticeship or College', 'Undergraduate Degree', 'Graduate Degree']
+    EDUCATION_PSE_LEVELS = ['Apprenticeship or College', 'Undergraduate Degree', 'Graduate Degree']
+    EDUCATION_DOMESTIC_ANSWER = 'In Canada'
+    GENDER_MAN_PATTERN = 'Male|Man'
+    GENDER_WOMAN_PATTERN = 'Female|Woman'
+    AGE_BREAKS = [0, 20, 30, 40, 60, 100]
+    AGE_LABELS = ['20 or younger', '21 to 30', '31 to 40', '41 to 60', '61 or older']
+    INCOME_NONE = 'None of the Above'
+    INCOME_EI = 'Employment Insurance'
+    HOME_PROVINCE = 'Saskatchewan'
+    NEWCOMER_YEARS = 5
+    MARRIED_PATTERN = 'married|common-law'
+    SCALE_DOMAINS = [('ehs_empowerment', 1, 4), ('ehs_motivation', 5, 6), ('ehs_utilization', 7, 10), ('ehs_goal_orientation', 11, 14)]
+    SCALE_ITEMS = 14
+    BENEFIT_NAMES = ['job_benefits_health',
+                     'job_benefits_dental',
+                     'job_benefits_disability',
+                     'job_benefits_pension',
+                     'job_benefits_vacation',
+                     'job_benefits_none']
+    BENEFIT_COUNTED = ['job_benefits_health', 'job_benefits_dental', 'job_benefits_disability', 'job_benefits_pension', 'job_benefits_vacation']
+    PAY_PERIOD_MULTIPLIER = {'Yearly': 1, 'Monthly': 12, 'Weekly': 52, 'Semimonthly (twice per month)': 24, 'Biweekly (every two weeks)': 26}
+    HOURS_WEEKS_PER_YEAR = 52
+    SATISFACTION_POSITIVE_PATTERN = 'Agree|Strongly agree'
+    SATISFACTION_NAMES = {2: ['satis_inmotion_overall',
+                              'satis_momentum_overall',
+                              'satis_inmotion_utility',
+                              'satis_momentum_utility',
+                              'satis_inmotion_recommend',
+                              'satis_momentum_recommend'],
+                          3: ['satis_m_plus_overall',
+                              'satis_immm_plus_overall',
+                              'satis_m_plus_utility',
+                              'satis_immm_plus_utility',
+                              'satis_immm_plus_recommend']}
+    QUARTERLY_LABELS = [('demo_immigrant_lgl', 'Migration--Immigrant'),
+                        ('demo_newcomer_lgl', 'Migration--Newcomer (< 5 years in Canada)'),
+                        ('demo_born_in_canada_lgl', 'Migration--Born in Canada'),
+                        ('demo_receiving_ei_lgl', 'Financial Assistance--Receiving EI'),
+                        ('demo_receiving_ia_lgl', 'Financial Assistance--Receiving Social Assistance'),
+                        ('demo_receiving_none_lgl', 'Financial Assistance--None of the Above'),
+                        ('demo_young_lgl', 'Age--Youth (< 30)'),
+                        ('demo_middle_age_lgl', 'Age--Middle Age (30-64)'),
+                        ('demo_old_lgl', 'Age--Older (> 64)'),
+                        ('demo_racialized_lgl', 'Marginalization Factors--Racialized'),
+                        ('demo_indigenous_lgl', 'Marginalization Factors--Indigenous'),
+                        ('demo_bipoc_lgl', 'Marginalization Factors--BIPOC'),
+                        ('demo_disability_lgl', 'Marginalization Factors--Disability'),
+                        ('demo_woman_plus_lgl', 'Marginalization Factors--Woman+'),
+                        ('demo_mf_none_lgl', 'Marginalization Factors--None of the Above')]
+    MARGINALIZATION_FLAGS = ['demo_racialized_lgl', 'demo_indigenous_lgl', 'demo_bipoc_lgl', 'demo_disability_lgl', 'demo_woman_plus_lgl']
+    QUARTER_DEMO_LABELS = [('demo_born_in_canada', 'Born in Canada'),
+                           ('demo_immigrant_lgl', 'Immigrant'),
+                           ('demo_newcomer_lgl', 'Newcomer (< 5 years in Canada)'),
+                           ('demo_indigenous_lgl', 'Indigenous'),
+                           ('demo_racialized_lgl', 'Racialized'),
+                           ('demo_bipoc_lgl', 'BIPOC'),
+                           ('demo_disability_lgl', 'Disability'),
+                           ('demo_young_lgl', 'Youth (< 30)'),
+                           ('demo_old_lgl', 'Older (> 64)'),
+                           ('demo_woman_plus_lgl', 'Woman+')]
+    SATISFACTION_LABELS = {'satis_immm_plus_overall': 'Satisfied',
+                           'satis_immm_plus_utility': 'Found IMMM+ useful',
+                           'satis_immm_plus_recommend': 'Would recommend IMMM+'}
+    EHS_DOMAIN_LABELS = {'ehs_empowerment': 'Psychological Empowerment',
+                         'ehs_motivation': 'Forward-looking Self-motivation',
+                         'ehs_utilization': 'Utilization of Skills and Resources',
+                         'ehs_goal_orientation': 'Goal-orientation'}
+    LAST_WAVE_TAG = '12-month-follow-up'
+    REPORT_EXCLUDED_ARM = 'Comparison'
+    REPORT_WINDOW = ('2024-03-01', '2024-06-30')
+    FISCAL_START_QUARTERLY = 3
+    FISCAL_START_DEMOGRAPHICS = 4
+    NUMBER_PATTERN = r'-?[0-9][0-9,]*(\.[0-9]+)?|-?\.[0-9]+'
+
+
+class BOOK:
+    indigenous_options = ("demo_indigenous_1", "demo_indigenous_2", "demo_indigenous_3")
+    indigenous_no_option = "demo_indigenous_2"
+    race_options = ("demo_race_1", "demo_race_2", "demo_race_3", "demo_race_4", "demo_race_5", "demo_race_6", "demo_race_7")
+    race_not_racialized_option = "demo_race_7"
+    home_province = 'Saskatchewan'
+
 
 def q(s: str) -> str:
     """SQL string literal."""
@@ -67,10 +162,6 @@ def education_sql(code: str) -> str:
             f"when {code} = 7 then {q(L[4])} end")
 
 
-# written out: the fixture's identity options
-BOOK = cb.Codebook(race_options=("demo_race_1", "demo_race_2", "demo_race_3", "demo_race_4", "demo_race_5",
-                                 "demo_race_6", "demo_race_7"), race_not_racialized_option="demo_race_7")
-
 _IND_N = count_present(BOOK.indigenous_options)
 _RACE_N = count_present(BOOK.race_options)
 
@@ -235,8 +326,7 @@ def fq_sql(d: str, k: int) -> str:
 
 
 def parse_number_sql(c: str) -> str:
-    from panelkit.functions.text import NUMBER_PATTERN
-    return f"try_cast(replace(nullif(regexp_extract({c}, {q(NUMBER_PATTERN)}, 0), ''), ',', '') as double)"
+    return f"try_cast(replace(nullif(regexp_extract({c}, {q(cb.NUMBER_PATTERN)}, 0), ''), ',', '') as double)"
 
 
 def rnd(x: str, n: int = 6) -> str:
