@@ -13,6 +13,8 @@ a few rows a task before the exchange.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,7 +50,7 @@ def _keyed(roster: DataFrame, repair: DataFrame | None, book: Codebook) -> DataF
     return r.join(fixed, on, "left").drop("q_id", "q_salt")
 
 
-def _answers(responses: DataFrame, book: Codebook) -> DataFrame:
+def _answers(responses: DataFrame, book: Codebook, satisfaction: bool) -> DataFrame:
     """Responses with an id, keyed like the roster rows, as ``p_*``.
 
     All that needs the response alone is harmonised, scored and flagged here,
@@ -56,14 +58,16 @@ def _answers(responses: DataFrame, book: Codebook) -> DataFrame:
     """
     w, v = F.col(book.wave_col), F.col(book.version_col)
     p = harmonise.primary_job(responses.filter(F.col(book.response_col).isNotNull()))
-    raw_all = sorted({r for raw in pipeline.SATIS_RAW.values() for r in raw})
     code = lambda r: F.col(r).try_cast("int")
-    # one row a survey
-    best = p.filter(w.isin(list(pipeline.SATIS_RAW))).groupBy(w.alias("m_wave"), v.alias("m_version")).agg(
-        *[F.when(F.bool_and(code(r).isNotNull()), F.max(code(r))).alias(f"m_{r}") for r in raw_all])
-    p = p.join(F.broadcast(best), (w == F.col("m_wave")) & v.eqNullSafe(F.col("m_version")), "left")
-    flags = [F.when(w == wave, (F.col(f"m_{r}") - code(r)) <= 1).alias(f"s_{name}")
-             for wave, raw in pipeline.SATIS_RAW.items() for r, name in zip(raw, pipeline.cb_satis_names(wave, raw, book))]
+    flags = []
+    if satisfaction:
+        raw_all = sorted({r for raw in pipeline.SATIS_RAW.values() for r in raw})
+        # one row a survey
+        best = p.filter(w.isin(list(pipeline.SATIS_RAW))).groupBy(w.alias("m_wave"), v.alias("m_version")).agg(
+            *[F.when(F.bool_and(code(r).isNotNull()), F.max(code(r))).alias(f"m_{r}") for r in raw_all])
+        p = p.join(F.broadcast(best), (w == F.col("m_wave")) & v.eqNullSafe(F.col("m_version")), "left")
+        flags = [F.when(w == wave, (F.col(f"m_{r}") - code(r)) <= 1).alias(f"s_{name}")
+                 for wave, raw in pipeline.SATIS_RAW.items() for r, name in zip(raw, pipeline.cb_satis_names(wave, raw, book))]
     asked = ((w == 1) | ((w <= 3) & (v == 2))) & ((w == 1) | (F.col("demos") == "FALSE"))
     items = [(code(c) - 1).cast("double") for c in scales.ITEMS]
     rid = F.col(book.response_col)
@@ -81,28 +85,36 @@ def _first(c: str, there: Column, order: str) -> Column:
     return F.min_by(c, F.when(there & F.col(c).isNotNull(), F.col(order))).alias(c)
 
 
+PARTS = ("hope", "outcomes", "satisfaction")
+
+
 def participants(roster: DataFrame, responses: DataFrame, repair: DataFrame | None = None,
-                 book: Codebook = DEFAULT_CODEBOOK) -> DataFrame:
+                 book: Codebook = DEFAULT_CODEBOOK, parts: Sequence[str] = PARTS, counts: bool = False) -> DataFrame:
     """root <- hope <- outcomes <- satisfaction, one row per participant with a baseline.
 
-    Equal to ``pipeline.assemble`` of the four tables.  Roster rows and
+    Equal to ``pipeline.assemble`` of the four tables, or of the baseline with
+    the ``parts`` asked for: a report over participants and their history reads
+    what it needs from here, filters, and unnests.  With ``counts`` an outcome
+    also has ``n_rows``, the responses it stands for.  Roster rows and
     responses are unique in the response id; a row whose two sides name
     different participants or waves counts for each under its own.  Defined
     cases: a NULL participant has a baseline but no history, as NULL keys never
     join; without history the arrays are NULL; an empty roster gives no rows.
     """
     own, wave, version = book.id_col, book.wave_col, book.version_col
-    r, p = _keyed(roster, repair, book), _answers(responses, book)
+    r = _keyed(roster, repair if "hope" in parts else None, book)
+    p = _answers(responses, book, "satisfaction" in parts)
     both = r.join(p, (F.col("k_id") == F.col("p_id")) & (F.col("k_salt") == F.col("p_salt")), "full")
 
     base, outs = harmonise.BASELINE_COLUMNS[1:], _OUTCOMES
-    satis = [n for wv, raw in pipeline.SATIS_RAW.items() for n in pipeline.cb_satis_names(wv, raw, book)]
+    satis = [n for wv, raw in pipeline.SATIS_RAW.items() for n in pipeline.cb_satis_names(wv, raw, book)] if "satisfaction" in parts else []
+    scored = F.col("r_here") & (F.col(f"r_{wave}") <= 3) if "hope" in parts else F.lit(False)
     matched = F.coalesce(F.col("r_here") & F.col("p_here"), F.lit(False))
     late = harmonise.baseline_at_enrolment(F.col("b_demo_date_of_birth"), F.col("b_demo_immigrant_lgl"), F.col("p_arrival"), F.col("date_of_enrollment"))
     given = {c: F.col(c) for c in ("cohort_name", "date_of_enrollment", "assignment_label_fct")}
     rows = both.select(
         (matched & F.col("p_base")).alias("is_base"), matched.alias("is_out"),
-        F.coalesce(F.col("r_here") & (F.col(f"r_{wave}") <= 3), F.lit(False)).alias("is_hope"),
+        F.coalesce(scored, F.lit(False)).alias("is_hope"),
         F.coalesce(F.col("p_here"), F.lit(False)).alias("is_answer"),
         F.col(f"r_{own}").alias("r_own"), F.col(f"r_{wave}").alias("r_w"), F.col(f"r_{version}").alias("r_v"), F.col("k_id").alias("r_rid"),
         "p_own", "p_w", "p_v", F.col("p_id").alias("p_rid"), survey_fields(F.col("r_survey_name"))["survey_tag"].alias("r_tag"),
@@ -111,13 +123,13 @@ def participants(roster: DataFrame, responses: DataFrame, repair: DataFrame | No
         *[f"s_{n}" for n in satis])
 
     # Answers count under the participant and wave of the response, scores under those (and the tag) of the roster row.
-    part = lambda kind, who, wv, tg: F.struct(F.lit(kind).alias("kind"), who.alias("own"), wv.alias("w"), tg.alias("tag"))
-    answers = part(0, F.col("p_own"), F.col("p_w"), F.lit(None).cast("string"))
-    scores = part(1, F.col("r_own"), F.col("r_w"), F.col("r_tag"))
-    parts = (F.when(F.col("is_hope") & F.col("is_answer"), F.array(answers, scores))
-             .when(F.col("is_hope"), F.array(scores)).otherwise(F.array(answers)))
+    place = lambda kind, who, wv, tg: F.struct(F.lit(kind).alias("kind"), who.alias("own"), wv.alias("w"), tg.alias("tag"))
+    answers = place(0, F.col("p_own"), F.col("p_w"), F.lit(None).cast("string"))
+    scores = place(1, F.col("r_own"), F.col("r_w"), F.col("r_tag"))
+    placed = (F.when(F.col("is_hope") & F.col("is_answer"), F.array(answers, scores))
+              .when(F.col("is_hope"), F.array(scores)).otherwise(F.array(answers)))
     order = F.when(F.col("kind") == 0, F.struct(F.col("p_v").alias("v"), F.col("p_rid").alias("id"))).otherwise(F.struct(F.col("r_v").alias("v"), F.col("r_rid").alias("id")))
-    rows = rows.filter("is_hope OR is_answer").select("*", F.inline(parts)).withColumn("ord", order)
+    rows = rows.filter("is_hope OR is_answer").select("*", F.inline(placed)).withColumn("ord", order)
     answer, hope = F.col("kind") == 0, F.col("kind") == 1
     folded = rows.groupBy("own", "w", "kind", "tag").agg(
         F.count_if(answer & F.col("is_base")).alias("n_base"), F.count_if(answer & F.col("is_out")).alias("n_out"),
@@ -128,12 +140,12 @@ def participants(roster: DataFrame, responses: DataFrame, repair: DataFrame | No
 
     # A few rows a participant from here on.  A satisfaction variable belongs to one wave.
     score = F.struct(F.col("w").alias("wave"), F.col("tag").alias("survey_tag"), *scales.DOMAINS)
-    outcome = F.struct(F.col("w").alias("wave"), *[F.col(f"o_{c}").alias(c) for c in outs])
+    outcome = F.struct(F.col("w").alias("wave"), *[F.col(f"o_{c}").alias(c) for c in outs], *([F.col("n_out").alias("n_rows")] if counts else []))
     people = folded.groupBy("own").agg(
         F.sum("n_base").alias("n_base"), *[_first(f"b_{c}", F.lit(True), "w").alias(c) for c in base],
         F.collect_list(F.when(hope, score)).alias("ehs"), F.collect_list(F.when(F.col("n_out") > 0, outcome)).alias("outcomes"),
         *[F.bool_or(f"s_{n}").alias(n) for n in satis])
     known = F.col("own").isNotNull()
     nested = lambda c: F.when(known & (F.size(c) > 0), F.array_sort(c)).alias(c)
-    return people.filter("n_base > 0").select(
-        F.col("own").alias(own), *base, nested("ehs"), nested("outcomes"), *[F.when(known, F.col(n)).alias(n) for n in satis])
+    history = [nested(c) for part, c in (("hope", "ehs"), ("outcomes", "outcomes")) if part in parts]
+    return people.filter("n_base > 0").select(F.col("own").alias(own), *base, *history, *[F.when(known, F.col(n)).alias(n) for n in satis])

@@ -125,7 +125,7 @@ def label_lookup(spark, d):
 
 def scale_by_wave(spark, d):
     """Scale domain x wave tag: N, mean, sd of the non-missing scores (report population)."""
-    h = _in_population(_hope_per_wave(spark, d), spark, d)
+    h = _population_history(spark, d, "hope", "ehs", repair=True)
     g = reports.scale_summary(h, scales.DOMAINS, cb.EHS_DOMAIN_LABELS)
     return g.withColumns({"mean": _r("mean"), "sd": _r("sd")})
 
@@ -147,10 +147,17 @@ def _outcomes(spark, d, dedup=False):
     return pipeline.construct_outcomes(_joined(spark, d), dedup=dedup)
 
 
+def _population_history(spark, d, part: str, column: str, repair: bool = False):
+    """One part of the history of the report population, a row per participant
+    and wave: population and history come from the same pass."""
+    people = fused.participants(panel.survey_roster(spark, d), _responses(spark, d), panel.repair(spark, d) if repair else None,
+                                panel.BOOK, parts=[part], counts=True)
+    return reshape.unnest(reports.report_population(people).select("enrollment_id", column), column)
+
+
 def _population_outcomes(spark, d):
-    """Outcomes per (participant, wave) of the report population, which is
-    filtered first: a group lies within one participant."""
-    return pipeline.outcomes_per_wave(_in_population(_joined(spark, d), spark, d))
+    """Outcomes per (participant, wave) of the report population, with the responses behind each."""
+    return _population_history(spark, d, "outcomes", "outcomes")
 
 
 def employment_status(spark, d):

@@ -51,3 +51,22 @@ def test_one_side_empty(spark):
     roster, responses, repair = panel.survey_roster(spark, SMALL), panel.responses(spark, SMALL), panel.repair(spark, SMALL)
     assert fused.participants(roster.limit(0), responses, repair, panel.BOOK).count() == 0
     assert fused.participants(roster, responses.limit(0), repair, panel.BOOK).count() == 0
+
+
+def test_parts_alone(spark):
+    tables = panel.survey_roster(spark, SMALL), panel.responses(spark, SMALL), panel.repair(spark, SMALL)
+    whole = joined_tables(*tables)
+    for part, columns in (("hope", ["ehs"]), ("outcomes", ["outcomes"]), ("satisfaction", [c for c in whole.columns if c.startswith("satis_")])):
+        own = [c for c in whole.columns if c not in ("ehs", "outcomes") and not c.startswith("satis_")]
+        same(fused.participants(*tables, panel.BOOK, parts=[part]), whole.select(*own, *columns))
+
+
+def test_outcomes_with_their_responses(spark):
+    from panelkit.operators import reshape
+
+    tables = panel.survey_roster(spark, SMALL), panel.responses(spark, SMALL)
+    people = fused.participants(*tables, None, panel.BOOK, parts=["outcomes"], counts=True)
+    got = reshape.unnest(people.select("enrollment_id", "outcomes"), "outcomes")
+    want = pipeline.outcomes_per_wave(pipeline.join_panel(*tables, panel.BOOK), panel.BOOK)
+    want = want.join(people.select("enrollment_id"), "enrollment_id", "left_semi").select(got.columns)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))

@@ -71,10 +71,11 @@ def test_baseline_scans_each_side_once_and_shuffles_three_times(spark):
     assert shuffles(QUERIES["consolidate_baseline"](spark, SMALL)) <= 3
 
 
-def test_outcome_tables_do_not_join_back(spark):
-    for name in ("employment_status", "compensation"):
+def test_outcome_tables_come_from_one_pass(spark):
+    for name, most in (("employment_status", 5), ("compensation", 5), ("scale_by_wave", 6)):
         df = QUERIES[name](spark, SMALL)
-        assert shuffles(df) <= 8
+        assert exchanges(df) <= most, name
+        assert plan(df).count("orders.parquet") <= 2 and plan(df).count("Join") <= 2
 
 
 def test_participants_in_one_pass(spark):
