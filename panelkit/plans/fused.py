@@ -71,13 +71,12 @@ def _answers(responses: DataFrame, book: Codebook, satisfaction: bool) -> DataFr
     asked = ((w == 1) | ((w <= 3) & (v == 2))) & ((w == 1) | (F.col("demos") == "FALSE"))
     items = [(code(c) - 1).cast("double") for c in scales.ITEMS]
     rid = F.col(book.response_col)
-    return p.select(
-        rid.alias("p_id"), F.when(rid.isNull(), 1).otherwise(0).alias("p_salt"), F.lit(True).alias("p_here"),
-        F.col(book.id_col).alias("p_own"), w.alias("p_w"), v.alias("p_v"), F.coalesce(asked, F.lit(False)).alias("p_base"),
-        *[c.alias(f"b_{n}") for n, c in harmonise.baseline_answers(book).items()], F.col("demo_year_of_arrival").alias("p_arrival"),
-        F.struct(*harmonise._outcome_columns(book, (), _BENEFITS), survey_fields(F.col("survey_name"))["survey_tag"].alias("survey_tag")).alias("o"),
-        *[c.alias(f"p_{n}") for n, c in zip(scales.DOMAINS, logic.block_means(items, cb.SCALE_DOMAINS))], *flags,
-    ).select("*", *[F.col(f"o.{c}").alias(f"o_{c}") for c in _OUTCOMES]).drop("o")
+    own = [rid.alias("p_id"), F.when(rid.isNull(), 1).otherwise(0).alias("p_salt"), F.lit(True).alias("p_here"),
+           F.col(book.id_col).alias("p_own"), w.alias("p_w"), v.alias("p_v"), F.coalesce(asked, F.lit(False)).alias("p_base"),
+           *[c.alias(f"b_{n}") for n, c in harmonise.baseline_answers(book).items()], F.col("demo_year_of_arrival").alias("p_arrival"),
+           *[c.alias(f"p_{n}") for n, c in zip(scales.DOMAINS, logic.block_means(items, cb.SCALE_DOMAINS))], *flags]
+    out = p.select(*own, *harmonise._outcome_columns(book, (), _BENEFITS), survey_fields(F.col("survey_name"))["survey_tag"].alias("survey_tag"))
+    return out.drop(book.id_col).withColumnsRenamed({c: f"o_{c}" for c in _OUTCOMES})
 
 
 def _first(c: str, there: Column, order: str) -> Column:
@@ -89,13 +88,15 @@ PARTS = ("hope", "outcomes", "satisfaction")
 
 
 def participants(roster: DataFrame, responses: DataFrame, repair: DataFrame | None = None,
-                 book: Codebook = DEFAULT_CODEBOOK, parts: Sequence[str] = PARTS, counts: bool = False) -> DataFrame:
+                 book: Codebook = DEFAULT_CODEBOOK, parts: Sequence[str] = PARTS, counts: bool = False,
+                 outcome_columns: Sequence[str] | None = None) -> DataFrame:
     """root <- hope <- outcomes <- satisfaction, one row per participant with a baseline.
 
     Equal to ``pipeline.assemble`` of the four tables, or of the baseline with
     the ``parts`` asked for: a report over participants and their history reads
     what it needs from here, filters, and unnests.  With ``counts`` an outcome
-    also has ``n_rows``, the responses it stands for.  Roster rows and
+    also has ``n_rows``, the responses it stands for.  ``outcome_columns`` names
+    the outcomes wanted: nested columns are not pruned from above.  Roster rows and
     responses are unique in the response id; a row whose two sides name
     different participants or waves counts for each under its own.  Defined
     cases: a NULL participant has a baseline but no history, as NULL keys never
@@ -104,9 +105,11 @@ def participants(roster: DataFrame, responses: DataFrame, repair: DataFrame | No
     own, wave, version = book.id_col, book.wave_col, book.version_col
     r = _keyed(roster, repair if "hope" in parts else None, book)
     p = _answers(responses, book, "satisfaction" in parts)
-    both = r.join(p, (F.col("k_id") == F.col("p_id")) & (F.col("k_salt") == F.col("p_salt")), "full")
+    # rows without a partner count for the scores (roster rows) and for satisfaction (responses)
+    how = {(True, True): "full", (True, False): "left", (False, True): "right", (False, False): "inner"}["hope" in parts, "satisfaction" in parts]
+    both = r.join(p, (F.col("k_id") == F.col("p_id")) & (F.col("k_salt") == F.col("p_salt")), how)
 
-    base, outs = harmonise.BASELINE_COLUMNS[1:], _OUTCOMES
+    base, outs = harmonise.BASELINE_COLUMNS[1:], list(outcome_columns or _OUTCOMES)
     satis = [n for wv, raw in pipeline.SATIS_RAW.items() for n in pipeline.cb_satis_names(wv, raw, book)] if "satisfaction" in parts else []
     scored = F.col("r_here") & (F.col(f"r_{wave}") <= 3) if "hope" in parts else F.lit(False)
     matched = F.coalesce(F.col("r_here") & F.col("p_here"), F.lit(False))
@@ -129,7 +132,9 @@ def participants(roster: DataFrame, responses: DataFrame, repair: DataFrame | No
     placed = (F.when(F.col("is_hope") & F.col("is_answer"), F.array(answers, scores))
               .when(F.col("is_hope"), F.array(scores)).otherwise(F.array(answers)))
     order = F.when(F.col("kind") == 0, F.struct(F.col("p_v").alias("v"), F.col("p_rid").alias("id"))).otherwise(F.struct(F.col("r_v").alias("v"), F.col("r_rid").alias("id")))
-    rows = rows.filter("is_hope OR is_answer").select("*", F.inline(placed)).withColumn("ord", order)
+    rows = rows.filter("is_hope OR is_answer")
+    rows = rows.select("*", F.inline(placed)) if "hope" in parts else rows.select("*", *[answers[c].alias(c) for c in ("kind", "own", "w", "tag")])
+    rows = rows.withColumn("ord", order)
     answer, hope = F.col("kind") == 0, F.col("kind") == 1
     folded = rows.groupBy("own", "w", "kind", "tag").agg(
         F.count_if(answer & F.col("is_base")).alias("n_base"), F.count_if(answer & F.col("is_out")).alias("n_out"),

@@ -147,28 +147,28 @@ def _outcomes(spark, d, dedup=False):
     return pipeline.construct_outcomes(_joined(spark, d), dedup=dedup)
 
 
-def _population_history(spark, d, part: str, column: str, repair: bool = False):
+def _population_history(spark, d, part: str, column: str, repair: bool = False, outcomes=None):
     """One part of the history of the report population, a row per participant
     and wave: population and history come from the same pass."""
     people = fused.participants(panel.survey_roster(spark, d), _responses(spark, d), panel.repair(spark, d) if repair else None,
-                                panel.BOOK, parts=[part], counts=True)
+                                panel.BOOK, parts=[part], counts=True, outcome_columns=outcomes)
     return reshape.unnest(reports.report_population(people).select("enrollment_id", column), column)
 
 
-def _population_outcomes(spark, d):
+def _population_outcomes(spark, d, outcomes):
     """Outcomes per (participant, wave) of the report population, with the responses behind each."""
-    return _population_history(spark, d, "outcomes", "outcomes")
+    return _population_history(spark, d, "outcomes", "outcomes", outcomes=[*outcomes, "survey_tag"])
 
 
 def employment_status(spark, d):
     """Per wave tag: N answering employment, Employed, Enrolled (NA skipped), NEET = 1 - E - En."""
-    g = reports.employment_status(_population_outcomes(spark, d))
+    g = reports.employment_status(_population_outcomes(spark, d, ["job_employed", "educ_enrolled"]))
     return g.withColumns({c: _r(c) for c in ("Employed", "Enrolled", "NEET")})
 
 
 def compensation(spark, d):
     """Among the employed, per wave tag: N, mean pay, benefit rates, mean benefit count."""
-    g = reports.compensation(_population_outcomes(spark, d))
+    g = reports.compensation(_population_outcomes(spark, d, ["job_employed", "job_annualized_salary", *cb.BENEFIT_NAMES, "job_benefits_n", "job_benefits_any"]))
     return g.withColumns({c: _r(c) for c in reports.COMPENSATION_COLUMNS if c not in ("survey_tag", "tag_order", "N")})
 
 
