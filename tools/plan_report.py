@@ -51,7 +51,7 @@ def summarise(df):
             kinds["generate"] += 1
         elif cls == "FileSourceScanExec":
             cols = [f["name"] for f in json.loads(n["requiredSchema"])["fields"]] \
-                if isinstance(n["requiredSchema"], str) else [f["name"] for f in n["requiredSchema"]["fields"]]
+                if isinstance(n["requiredSchema"], str) else [f["name"] for f in (n["requiredSchema"]["fields"] if isinstance(n["requiredSchema"], dict) else [])]
             t = table_of(cols)
             scans.setdefault(t, []).append(len(cols))
     return kinds, scans
