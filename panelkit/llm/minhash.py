@@ -34,6 +34,10 @@ SLACK = 0.18
 #: Id ranges at most; each is sorted by one task.
 RANGES = 4096
 THRESHOLD = 0.8
+#: Texts fingerprinted at a time.
+ROWS = 512
+#: 64-bit words of the bitmap that drops texts without a candidate: 1 MB at any size of the table.
+BITMAP = 1 << 17
 #: Shingle hashes that are permuted at once: small enough for a core's cache.
 _TILE = 1 << 14
 
@@ -165,9 +169,11 @@ def signature_table(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            texts = [t.encode() for t in frame["text"]]
-            yield pd.DataFrame({"id": frame["id"].array, "words": [hashlib.sha256(b" ".join(t.split())).digest() for t in texts],
-                                "signature": [s.astype(">u2").tobytes() for s in signatures(texts)]})
+            for lo in range(0, len(frame), ROWS):
+                part = frame.iloc[lo:lo + ROWS]
+                texts = [t.encode() for t in part["text"]]
+                yield pd.DataFrame({"id": part["id"].array, "words": [hashlib.sha256(b" ".join(t.split())).digest() for t in texts],
+                                    "signature": [s.astype(">u2").tobytes() for s in signatures(texts)]})
 
     rows = docs.filter(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -193,24 +199,53 @@ def _alike(left: np.ndarray, right: np.ndarray, band: int, least: float) -> np.n
     return np.array(found, np.int64).reshape(-1, 2)
 
 
-def similar_pairs(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(u, v, jaccard): pairs u < v of class representatives with a Jaccard
-    similarity of their 5-word shingle sets of at least ``threshold``.
+def _compare(frames: Iterator[pd.DataFrame], least: float) -> Iterator[pd.DataFrame]:
+    """Candidate pairs (u, v) of blocks that come one after the other, sorted by (band, h, a, b)."""
+
+    def pairs(frame: pd.DataFrame, start: np.ndarray) -> pd.DataFrame:
+        matrix = np.frombuffer(b"".join(frame["signature"]), ">u2").astype(np.uint16).reshape(len(frame), -1)
+        ids, own, band, a, b = (frame[c].to_numpy() for c in ("id", "own", "band", "a", "b"))
+        end = np.append(start[1:], len(frame))
+        # Most blocks are two members of one small bucket: all of them at once.
+        two = start[(end - start == 2) & (a[start] == b[start])]
+        same = matrix[two] == matrix[two + 1]
+        first = same.reshape(len(two), BANDS, PERMUTATIONS // BANDS).all(axis=2).argmax(axis=1)
+        two = two[(same.mean(axis=1) >= least) & (first == band[two])]
+        u, v = [ids[two]], [ids[two + 1]]
+        for s, e in zip(start, end):
+            if e - s < 2 or (e - s == 2 and a[s] == b[s]):
+                continue
+            left, right = s + np.flatnonzero(own[s:e] == a[s]), s + np.flatnonzero(own[s:e] == b[s])
+            found = _alike(matrix[left], matrix[right], band[s], least)
+            i, j = left[found[:, 0]], right[found[:, 1]]
+            keep = (ids[i] < ids[j]) if a[s] == b[s] else (i != j)
+            u.append(ids[i[keep]])
+            v.append(ids[j[keep]])
+        u, v = np.concatenate(u), np.concatenate(v)
+        return pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v)})
+
+    held = None
+    for frame in frames:
+        if not len(frame):
+            continue
+        frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
+        key = frame[["band", "h", "a", "b"]].to_numpy()
+        start = np.append(0, 1 + np.flatnonzero((key[1:] != key[:-1]).any(axis=1)))
+        held = frame.iloc[start[-1]:]
+        if len(start) > 1:
+            yield pairs(frame.iloc[:start[-1]], start[:-1])
+    if held is not None:
+        yield pairs(held, np.zeros(1, np.int64))
+
+
+def _representatives(table: DataFrame) -> DataFrame:
+    """(words, class_id, signature, id) of a signature table, one row for each word sequence; ``id`` numbers them."""
+    reps = table.groupBy("words").agg(F.min("id").alias("class_id"), F.first("signature").alias("signature"))
+    return materialize(reps.withColumn("id", F.monotonically_increasing_id()), "reps")
 
-    Of several texts under one repeated id each is compared; of a pair of ids
-    the greatest similarity is given.
 
-    Equal texts count once, by their representative (see :func:`classes`).  The
-    signature bands meet in Spark; a bucket's members are compared by their
-    fingerprints in one task, a large bucket's in pairs of blocks, and only
-    pairs that look similar leave it, each from its first common band.  Their
-    exact similarity is then verified.  NULL texts count as empty; rows with a
-    NULL id take no part.
-    """
-    table = signature_table(docs, id_col, text_col)
-    # One row for each word sequence; "id" numbers them up to the verified pairs.
-    reps = table.groupBy("words").agg(F.min("id").alias("class_id"), F.first("signature").alias("signature"))
-    reps = materialize(reps.withColumn("id", F.monotonically_increasing_id()), "reps")
+def _candidates(reps: DataFrame, least: float) -> DataFrame:
+    """(u, v), numbers of representatives that share a band and whose estimate reaches ``least``."""
     width = 2 * PERMUTATIONS // BANDS
     bands = F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.substring("signature", 1 + width * b, width)).alias("h"))
                       for b in range(BANDS)])
@@ -224,20 +259,28 @@ def similar_pairs(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "
     members = members.select("band", "h", "id", "own", F.explode(other).alias("other"))
     members = materialize(members.select("band", "h", "id", "own", F.least("own", "other").alias("a"),
                                          F.greatest("own", "other").alias("b")), "members")
-    named = members.join(reps.select(F.col("id").alias("rep"), "signature"), F.col("id") == F.col("rep"))
-    least = threshold - SLACK
+    block = ["band", "h", "a", "b"]
+    named = members.join(reps.select(F.col("id").alias("rep"), "signature"), F.col("id") == F.col("rep")).drop("rep")
+    named = named.repartition(*block).sortWithinPartitions(*block)
+    return materialize(named.mapInPandas(lambda frames: _compare(frames, least), "u long, v long").distinct(), "candidates")
 
-    def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        band, _, a, b = key
-        matrix = np.stack([np.frombuffer(s, ">u2") for s in frame["signature"]])
-        ids, own = frame["id"].to_numpy(), frame["own"].to_numpy()
-        left, right = np.flatnonzero(own == a), np.flatnonzero(own == b)
-        pairs = _alike(matrix[left], matrix[right], band, least)
-        u, v = ids[left][pairs[:, 0]], ids[right][pairs[:, 1]]
-        keep = (u < v) if a == b else (u != v)
-        return pd.DataFrame({"u": np.minimum(u, v)[keep], "v": np.maximum(u, v)[keep]})
 
-    candidates = materialize(named.groupBy("band", "h", "a", "b").applyInPandas(compare, "u long, v long").distinct(), "candidates")
+def _among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` but most of those whose ``key`` is not in ``wanted`` (one long column of the same name).
+
+    A bitmap of BITMAP words, whatever the table's size, is broadcast; a row
+    whose bit is set by another key stays, so an exact join has to follow.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(64 * BITMAP))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(`{key}`), 64) AS int))")
+    place = F.floor(place / 64).cast("int")
+    bits = wanted.groupBy(place.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+    rows = rows.withColumn("_word", place).join(F.broadcast(bits), "_word")
+    return rows.filter(F.col("_bits").bitwiseAND(bit) != 0).drop("_word", "_bits")
+
+
+def _verified(docs: DataFrame, reps: DataFrame, threshold: float, id_col: str, text_col: str) -> DataFrame:
+    candidates = _candidates(reps, threshold - SLACK)
 
     @F.pandas_udf("array<long>")
     def shingle_set(texts: pd.Series) -> pd.Series:
@@ -245,7 +288,9 @@ def similar_pairs(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "
 
     wanted = candidates.select(F.col("u").alias("w")).union(candidates.select("v")).distinct()
     wanted = wanted.join(reps.select(F.col("id").alias("rep"), "class_id", "words"), F.col("w") == F.col("rep"))
+    wanted = materialize(wanted.select("w", "class_id", "words"), "wanted")
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    texts = _among(texts, "_id", wanted.select(F.col("class_id").alias("_id")))
     digest = F.unhex(F.sha2(F.array_join(F.regexp_extract_all("_text", F.lit(WORD), 0), " ").cast("binary"), 256))
     sets = texts.join(wanted, (F.col("_id") == F.col("class_id")) & (digest == F.col("words"))).dropDuplicates(["w"])
     sets = materialize(sets.select(F.col("w").alias("id"), "class_id", shingle_set(F.col("_text")).alias("s")), "sets")
@@ -255,3 +300,50 @@ def similar_pairs(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "
     both = both.withColumn("jaccard", common / (F.size("su") + F.size("sv") - common))
     found = both.filter((F.col("jaccard") >= threshold) & (F.col("cu") != F.col("cv")))
     return found.groupBy(F.least("cu", "cv").alias("u"), F.greatest("cu", "cv").alias("v")).agg(F.max("jaccard").alias("jaccard"))
+
+
+def similar_pairs(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(u, v, jaccard): pairs u < v of class representatives with a Jaccard
+    similarity of their 5-word shingle sets of at least ``threshold``.
+
+    Of several texts under one repeated id each is compared; of a pair of ids
+    the greatest similarity is given.
+
+    Equal texts count once, by their representative (see :func:`classes`).  The
+    signature bands meet in Spark; a bucket's members are compared by their
+    fingerprints in one task, a large bucket's in pairs of blocks, and only
+    pairs that look similar leave it, each from its first common band.  Their
+    exact similarity is then verified.  NULL texts count as empty; rows with a
+    NULL id take no part.
+    """
+    return _verified(docs, _representatives(signature_table(docs, id_col, text_col)), threshold, id_col, text_col)
+
+
+def near_links(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per document: id, class_id, n_links, near_id, near_jaccard.
+
+    ``class_id`` is the least id with the same words; ``n_links`` counts the
+    other classes whose 5-word shingle sets have a Jaccard similarity of at least
+    ``threshold`` to it (see :func:`similar_pairs`), ``near_id`` and
+    ``near_jaccard`` are the most similar of them, of equals the least id.
+    Defined cases: a document without a link has n_links 0 and no near_id; texts
+    without words are one class without links; a NULL id takes no part (class_id
+    NULL, n_links 0); classes of one least id (a repeated id with several texts)
+    are counted together; repeated rows are each returned; an empty table gives
+    an empty result.
+    """
+    table = signature_table(docs, id_col, text_col)
+    reps = _representatives(table)
+    pairs = materialize(_verified(docs, reps, threshold, id_col, text_col), "pairs")
+    ends = pairs.select(F.col("u").alias("c"), F.col("v").alias("o"), "jaccard").unionByName(
+        pairs.select(F.col("v").alias("c"), F.col("u").alias("o"), "jaccard"))
+    nearest = F.min(F.struct((-F.col("jaccard")).alias("far"), "o"))
+    per_class = ends.groupBy("c").agg(F.count(F.lit(1)).alias("n"), nearest.alias("near"))
+    member = table.select(F.col("id"), F.col("words").alias("w")).join(reps.select("words", "class_id"), F.col("w") == F.col("words"))
+    out = member.join(per_class, F.col("class_id") == F.col("c"), "left").select(
+        F.col("id").alias(id_col), "class_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
+        F.col("near.o").alias("near_id"), (-F.col("near.far")).alias("near_jaccard"))
+    absent = docs.filter(F.col(id_col).isNull()).select(
+        F.lit(None).cast("long").alias(id_col), F.lit(None).cast("long").alias("class_id"), F.lit(0).cast("long").alias("n_links"),
+        F.lit(None).cast("long").alias("near_id"), F.lit(None).cast("double").alias("near_jaccard"))
+    return out.unionByName(absent)

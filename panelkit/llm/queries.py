@@ -17,6 +17,11 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def minhash_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second half of operator 1: bands joined, Jaccard verified."""
+    return minhash.near_links(table(spark, sf_dir, "documents"))
+
+
 def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -70,6 +75,7 @@ def op13_zone_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_minhash": op1_minhash,
+    "minhash_links": minhash_links,
     "op2_html_extract": op2_html_extract,
     "op3_curriculum_mix": op3_curriculum_mix,
     "op4_language_id": op4_language_id,

@@ -103,6 +103,50 @@ def test_similar_pairs_of_all_texts_of_a_repeated_id(make_docs):
     assert all(abs(r["jaccard"] - 96 / 97) < 1e-12 for r in got)
 
 
+def test_near_links_equal_brute_force(make_docs):
+    rows = near_rows() + [(i + 1000, t) for i, t in near_rows()[::7]] + [r for r in ODD if r[1] != "same row"]
+    first, text = {}, dict(rows)
+    for i, t in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
+        first.setdefault(tuple((t or "").encode().split()), i)
+    near = {c: {} for c in first.values()}
+    for u in near:
+        for v in near:
+            if u != v and shingles(text[u]) and jaccard(text[u], text[v]) >= 0.8:
+                near[u][v] = jaccard(text[u], text[v])
+    want = []
+    for i, t in rows:
+        c = None if i is None else first[tuple((t or "").encode().split())]
+        best = min(((-j, o) for o, j in near.get(c, {}).items()), default=None)
+        want.append((i, c, len(near.get(c, {})), best and best[1], best and round(-best[0], 12)))
+    got = [(*r[:4], r[4] and round(r[4], 12)) for r in minhash.near_links(make_docs(rows)).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want)) and sum(w[2] > 0 for w in want) > 50
+
+
+def test_near_links_of_nothing(make_docs):
+    assert minhash.near_links(make_docs([])).count() == 0
+
+
+def test_blocks_cut_by_batches_give_the_same_pairs():
+    import pandas as pd
+
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 9, minhash.PERMUTATIONS, dtype=np.uint16)
+    rows = []
+    for h in range(40):
+        for i in range(1 + h % 5):
+            signature = base.copy()
+            signature[rng.integers(4, 128, 20)] = 99
+            rows.append((0, h, 10 * h + i, 0, 0, 0, signature.astype(">u2").tobytes()))
+    whole = pd.DataFrame(rows, columns=["band", "h", "id", "own", "a", "b", "signature"])
+
+    def found(size):
+        parts = [whole.iloc[i:i + size] for i in range(0, len(whole), size)]
+        return sorted(tuple(map(int, p)) for f in minhash._compare(iter(parts), 0.5) for p in f.to_numpy())
+
+    want = sum(n * (n - 1) // 2 for n in (1 + h % 5 for h in range(40)))
+    assert len(found(1000)) == want and found(1) == found(3) == found(1000)
+
+
 def test_similar_pairs_of_nothing(make_docs):
     assert minhash.similar_pairs(make_docs([])).count() == 0
     assert minhash.similar_pairs(make_docs(ODD[:2])).count() == 0
