@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD, materialize
+from .components import components
 from .textnum import Words, mix, random_words, shingle_hashes, text_batches
 
 SHINGLE = 5
@@ -199,8 +200,44 @@ def _alike(left: np.ndarray, right: np.ndarray, band: int, least: float) -> np.n
     return np.array(found, np.int64).reshape(-1, 2)
 
 
-def _compare(frames: Iterator[pd.DataFrame], least: float) -> Iterator[pd.DataFrame]:
-    """Candidate pairs (u, v) of blocks that come one after the other, sorted by (band, h, a, b)."""
+def _forest(pairs: np.ndarray) -> np.ndarray:
+    """Those of the pairs that connect what the pairs before them leave apart."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while x in above:
+            if above[x] in above:
+                above[x] = above[above[x]]
+            x = above[x]
+        return x
+
+    keep = []
+    for n, (i, j) in enumerate(pairs.tolist()):
+        i, j = top(i), top(j)
+        if i != j:
+            above[j] = i
+            keep.append(n)
+    return pairs[keep]
+
+
+def _blocks(frames: Iterator[pd.DataFrame], key: list[str]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Whole groups of frames sorted by ``key``, as (frame, first row of each group)."""
+    held = None
+    for frame in frames:
+        if not len(frame):
+            continue
+        frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
+        values = frame[key].to_numpy()
+        start = np.append(0, 1 + np.flatnonzero((values[1:] != values[:-1]).any(axis=1)))
+        held = frame.iloc[start[-1]:]
+        if len(start) > 1:
+            yield frame.iloc[:start[-1]], start[:-1]
+    if held is not None:
+        yield held, np.zeros(1, np.int64)
+
+
+def _compare(frames: Iterator[pd.DataFrame], least: float, spanning: bool = False) -> Iterator[pd.DataFrame]:
+    """Candidate pairs (u, v) of blocks sorted by (band, h, a, b); with ``spanning`` only as many as connect a block's."""
 
     def pairs(frame: pd.DataFrame, start: np.ndarray) -> pd.DataFrame:
         matrix = np.frombuffer(b"".join(frame["signature"]), ">u2").astype(np.uint16).reshape(len(frame), -1)
@@ -217,25 +254,16 @@ def _compare(frames: Iterator[pd.DataFrame], least: float) -> Iterator[pd.DataFr
                 continue
             left, right = s + np.flatnonzero(own[s:e] == a[s]), s + np.flatnonzero(own[s:e] == b[s])
             found = _alike(matrix[left], matrix[right], band[s], least)
-            i, j = left[found[:, 0]], right[found[:, 1]]
-            keep = (ids[i] < ids[j]) if a[s] == b[s] else (i != j)
-            u.append(ids[i[keep]])
-            v.append(ids[j[keep]])
+            found = np.stack([left[found[:, 0]], right[found[:, 1]]], axis=1)
+            found = found[(found[:, 0] < found[:, 1]) if a[s] == b[s] else (found[:, 0] != found[:, 1])]
+            found = _forest(found) if spanning else found
+            u.append(ids[found[:, 0]])
+            v.append(ids[found[:, 1]])
         u, v = np.concatenate(u), np.concatenate(v)
         return pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v)})
 
-    held = None
-    for frame in frames:
-        if not len(frame):
-            continue
-        frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
-        key = frame[["band", "h", "a", "b"]].to_numpy()
-        start = np.append(0, 1 + np.flatnonzero((key[1:] != key[:-1]).any(axis=1)))
-        held = frame.iloc[start[-1]:]
-        if len(start) > 1:
-            yield pairs(frame.iloc[:start[-1]], start[:-1])
-    if held is not None:
-        yield pairs(held, np.zeros(1, np.int64))
+    for frame, start in _blocks(frames, ["band", "h", "a", "b"]):
+        yield pairs(frame, start)
 
 
 def _representatives(table: DataFrame) -> DataFrame:
@@ -244,25 +272,27 @@ def _representatives(table: DataFrame) -> DataFrame:
     return materialize(reps.withColumn("id", F.monotonically_increasing_id()), "reps")
 
 
-def _candidates(reps: DataFrame, least: float) -> DataFrame:
+def _dealt(members: DataFrame, size: str) -> DataFrame:
+    """``members`` with (own, a, b): one block up to BUCKET members, else a copy for each pair of blocks that holds it."""
+    blocks = F.when(F.col(size) <= BUCKET, F.lit(1)).otherwise(F.ceil(F.col(size) * 3 / F.lit(BUCKET))).cast("int")
+    members = members.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return (members.withColumn("a", F.least("own", "other")).withColumn("b", F.greatest("own", "other"))
+            .drop(size, "blocks", "other"))
+
+
+def _candidates(reps: DataFrame, least: float, spanning: bool = False) -> DataFrame:
     """(u, v), numbers of representatives that share a band and whose estimate reaches ``least``."""
     width = 2 * PERMUTATIONS // BANDS
     bands = F.array(*[F.struct(F.lit(b).alias("band"), F.xxhash64(F.substring("signature", 1 + width * b, width)).alias("h"))
                       for b in range(BANDS)])
     keyed = reps.select("id", F.explode(bands).alias("key")).select("id", "key.*")
     sizes = materialize(keyed.groupBy("band", "h").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"), "buckets")
-    # Blocks of a bucket: one up to BUCKET members, else as many as keep two within it.
-    blocks = F.when(F.col("size") <= BUCKET, F.lit(1)).otherwise(F.ceil(F.col("size") * 3 / F.lit(BUCKET))).cast("int")
-    members = keyed.join(sizes.withColumn("blocks", blocks), ["band", "h"])
-    members = members.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    other = F.sequence(F.lit(0), F.col("blocks") - 1)
-    members = members.select("band", "h", "id", "own", F.explode(other).alias("other"))
-    members = materialize(members.select("band", "h", "id", "own", F.least("own", "other").alias("a"),
-                                         F.greatest("own", "other").alias("b")), "members")
+    members = materialize(_dealt(keyed.join(sizes, ["band", "h"]), "size"), "members")
     block = ["band", "h", "a", "b"]
     named = members.join(reps.select(F.col("id").alias("rep"), "signature"), F.col("id") == F.col("rep")).drop("rep")
     named = named.repartition(*block).sortWithinPartitions(*block)
-    return materialize(named.mapInPandas(lambda frames: _compare(frames, least), "u long, v long").distinct(), "candidates")
+    return materialize(named.mapInPandas(lambda frames: _compare(frames, least, spanning), "u long, v long").distinct(), "candidates")
 
 
 def _among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
@@ -279,21 +309,26 @@ def _among(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     return rows.filter(F.col("_bits").bitwiseAND(bit) != 0).drop("_word", "_bits")
 
 
-def _verified(docs: DataFrame, reps: DataFrame, threshold: float, id_col: str, text_col: str) -> DataFrame:
-    candidates = _candidates(reps, threshold - SLACK)
+def _sets(docs: DataFrame, reps: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, class_id, s): the shingle sets of the representatives whose numbers are in ``wanted`` (column w)."""
 
     @F.pandas_udf("array<long>")
     def shingle_set(texts: pd.Series) -> pd.Series:
         return pd.Series([np.unique(shingle_sets([(t or "").encode()])[0]).view(np.int64) for t in texts], dtype=object)
 
-    wanted = candidates.select(F.col("u").alias("w")).union(candidates.select("v")).distinct()
     wanted = wanted.join(reps.select(F.col("id").alias("rep"), "class_id", "words"), F.col("w") == F.col("rep"))
     wanted = materialize(wanted.select("w", "class_id", "words"), "wanted")
     texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     texts = _among(texts, "_id", wanted.select(F.col("class_id").alias("_id")))
     digest = F.unhex(F.sha2(F.array_join(F.regexp_extract_all("_text", F.lit(WORD), 0), " ").cast("binary"), 256))
     sets = texts.join(wanted, (F.col("_id") == F.col("class_id")) & (digest == F.col("words"))).dropDuplicates(["w"])
-    sets = materialize(sets.select(F.col("w").alias("id"), "class_id", shingle_set(F.col("_text")).alias("s")), "sets")
+    return materialize(sets.select(F.col("w").alias("id"), "class_id", shingle_set(F.col("_text")).alias("s")), "sets")
+
+
+def _verified(docs: DataFrame, reps: DataFrame, threshold: float, id_col: str, text_col: str) -> DataFrame:
+    candidates = _candidates(reps, threshold - SLACK)
+    wanted = candidates.select(F.col("u").alias("w")).union(candidates.select("v")).distinct()
+    sets = _sets(docs, reps, wanted, id_col, text_col)
     both = (candidates.join(sets.select(F.col("id").alias("u"), F.col("class_id").alias("cu"), F.col("s").alias("su")), "u")
             .join(sets.select(F.col("id").alias("v"), F.col("class_id").alias("cv"), F.col("s").alias("sv")), "v"))
     common = F.size(F.array_intersect("su", "sv"))
@@ -319,28 +354,78 @@ def similar_pairs(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "
     return _verified(docs, _representatives(signature_table(docs, id_col, text_col)), threshold, id_col, text_col)
 
 
+def _links(frames: Iterator[pd.DataFrame], threshold: float) -> Iterator[pd.DataFrame]:
+    """(id, n, jaccard, near): verified links of each member within its block, and the best of them.
+
+    Blocks are sorted by (component, a, b).  Pairs are compared by their
+    fingerprints, then by their sets, and only counted: none leaves the task.
+    """
+    for frame, start in _blocks(frames, ["component", "a", "b"]):
+        matrix = np.frombuffer(b"".join(frame["signature"]), ">u2").astype(np.uint16).reshape(len(frame), -1)
+        ids, classes, own, a, b = (frame[c].to_numpy() for c in ("id", "class_id", "own", "a", "b"))
+        sets = frame["s"].tolist()
+        count, best, near = np.zeros(len(frame), np.int64), np.zeros(len(frame)), np.full(len(frame), -1)
+
+        def note(i: int, j: int, likeness: float) -> None:
+            count[i] += 1
+            if (-likeness, classes[j]) < (-best[i], classes[near[i]]):
+                best[i], near[i] = likeness, j
+
+        for s, e in zip(start, np.append(start[1:], len(frame))):
+            left, right = s + np.flatnonzero(own[s:e] == a[s]), s + np.flatnonzero(own[s:e] == b[s])
+            code = np.unique(np.concatenate(sets[s:e]), return_inverse=True)[1]
+            code = np.split(code, np.cumsum([len(x) for x in sets[s:e]])[:-1])
+            has = np.zeros(1 + max((c.max() for c in code if len(c)), default=0), bool)
+            for i in left:
+                others = right[right > i] if a[s] == b[s] else right
+                others = others[(matrix[others] == matrix[i]).mean(axis=1) >= threshold - SLACK]
+                if not len(others):
+                    continue
+                has[code[i - s]] = True
+                for j in others:
+                    common = np.count_nonzero(has[code[j - s]])
+                    likeness = common / max(1, len(code[i - s]) + len(code[j - s]) - common)
+                    if likeness >= threshold:
+                        note(i, j, likeness)
+                        note(j, i, likeness)
+                has[code[i - s]] = False
+        hit = np.flatnonzero(count)
+        yield pd.DataFrame({"id": ids[hit], "n": count[hit], "jaccard": best[hit], "near": classes[near[hit]]})
+
+
 def near_links(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: id, class_id, n_links, near_id, near_jaccard.
 
     ``class_id`` is the least id with the same words; ``n_links`` counts the
-    other classes whose 5-word shingle sets have a Jaccard similarity of at least
-    ``threshold`` to it (see :func:`similar_pairs`), ``near_id`` and
-    ``near_jaccard`` are the most similar of them, of equals the least id.
+    other word sequences whose 5-word shingle sets have a Jaccard similarity of
+    at least ``threshold`` to it; ``near_id`` is the class_id of the most similar
+    of them, of equals the least, and ``near_jaccard`` that similarity.
+
+    Band buckets only say which texts hang together: as many candidate pairs
+    leave a bucket as connect its members.  The members of a component then meet
+    in blocks with their fingerprints and sets, where pairs are verified and
+    counted, so no table of pairs is ever made.
+
     Defined cases: a document without a link has n_links 0 and no near_id; texts
     without words are one class without links; a NULL id takes no part (class_id
-    NULL, n_links 0); classes of one least id (a repeated id with several texts)
-    are counted together; repeated rows are each returned; an empty table gives
-    an empty result.
+    NULL, n_links 0); several texts of a repeated id are each judged by their own
+    words; repeated rows are each returned; an empty table gives an empty result.
     """
     table = signature_table(docs, id_col, text_col)
     reps = _representatives(table)
-    pairs = materialize(_verified(docs, reps, threshold, id_col, text_col), "pairs")
-    ends = pairs.select(F.col("u").alias("c"), F.col("v").alias("o"), "jaccard").unionByName(
-        pairs.select(F.col("v").alias("c"), F.col("u").alias("o"), "jaccard"))
-    nearest = F.min(F.struct((-F.col("jaccard")).alias("far"), "o"))
-    per_class = ends.groupBy("c").agg(F.count(F.lit(1)).alias("n"), nearest.alias("near"))
+    nodes = materialize(components(_candidates(reps, threshold - SLACK, spanning=True)), "nodes")
+    sets = _sets(docs, reps, nodes.select(F.col("node").alias("w")), id_col, text_col)
+    sizes = nodes.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
+    members = nodes.join(sizes, "component").join(sets, F.col("node") == F.col("id")).drop("node")
+    members = _dealt(members.join(reps.select(F.col("id").alias("rep"), "signature"), F.col("id") == F.col("rep")).drop("rep"), "size")
+    block = ["component", "a", "b"]
+    members = members.repartition(*block).sortWithinPartitions(*block)
+    found = members.mapInPandas(lambda frames: _links(frames, threshold), "id long, n long, jaccard double, near long")
+    nearest = F.min(F.struct((-F.col("jaccard")).alias("far"), F.col("near").alias("o")))
+    per_text = materialize(found.groupBy("id").agg(F.sum("n").alias("n"), nearest.alias("near")), "links")
+    per_class = reps.select("id", "words").join(per_text, "id").select(F.col("words").alias("c"), "n", "near")
     member = table.select(F.col("id"), F.col("words").alias("w")).join(reps.select("words", "class_id"), F.col("w") == F.col("words"))
-    out = member.join(per_class, F.col("class_id") == F.col("c"), "left").select(
+    out = member.join(per_class, F.col("w") == F.col("c"), "left").select(
         F.col("id").alias(id_col), "class_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"),
         F.col("near.o").alias("near_id"), (-F.col("near.far")).alias("near_jaccard"))
     absent = docs.filter(F.col(id_col).isNull()).select(

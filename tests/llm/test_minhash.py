@@ -1,6 +1,7 @@
 import hashlib
 
 import numpy as np
+import pytest
 
 from odd_rows import ODD
 from panelkit.llm import minhash
@@ -103,7 +104,9 @@ def test_similar_pairs_of_all_texts_of_a_repeated_id(make_docs):
     assert all(abs(r["jaccard"] - 96 / 97) < 1e-12 for r in got)
 
 
-def test_near_links_equal_brute_force(make_docs):
+@pytest.mark.parametrize("bucket", [512, 8])  # 8: components and buckets in pairs of blocks
+def test_near_links_equal_brute_force(make_docs, monkeypatch, bucket):
+    monkeypatch.setattr(minhash, "BUCKET", bucket)
     rows = near_rows() + [(i + 1000, t) for i, t in near_rows()[::7]] + [r for r in ODD if r[1] != "same row"]
     first, text = {}, dict(rows)
     for i, t in sorted((r for r in rows if r[0] is not None), key=lambda r: r[0]):
@@ -122,6 +125,27 @@ def test_near_links_equal_brute_force(make_docs):
     assert sorted(map(str, got)) == sorted(map(str, want)) and sum(w[2] > 0 for w in want) > 50
 
 
+def test_forest_connects_what_the_pairs_connect():
+    rng = np.random.default_rng(5)
+    for n in (1, 5, 40):
+        pairs = rng.integers(0, n, (60, 2))
+
+        def groups(edges):
+            label = list(range(n))
+            for i, j in edges:
+                label = [label[i] if x == label[j] else x for x in label]
+            return {frozenset(k for k in range(n) if label[k] == x) for x in label}
+
+        kept = minhash._forest(pairs)
+        assert groups(kept) == groups(pairs) and len(kept) == n - len(groups(pairs))
+
+
+def test_near_links_of_texts_of_a_repeated_id(make_docs):
+    base = " ".join(f"w{i}" for i in range(100))
+    got = minhash.near_links(make_docs([(7, base), (7, base + " more"), (8, base)])).collect()
+    assert sorted((r["doc_id"], r["class_id"], r["n_links"], r["near_id"]) for r in got) == [(7, 7, 1, 7), (7, 7, 1, 7), (8, 7, 1, 7)]
+
+
 def test_near_links_of_nothing(make_docs):
     assert minhash.near_links(make_docs([])).count() == 0
 
