@@ -90,19 +90,18 @@ class Encoder:
         if not self.single.issuperset(chunk):
             return self._best_with_fallback(chunk)
         n = len(chunk)
-        score = [0.0] + [_WORST] * n
-        came: list = [None] * (n + 1)
+        score = [_WORST] * n
+        score.append(0.0)  # the last place is the one before the first
+        came: list = [None] * n
         for end, piece in self.automaton.iter(chunk):
-            size, _, own = piece
-            s = score[end + 1 - size] + own
-            if s > score[end + 1]:
-                score[end + 1] = s
-                came[end + 1] = piece
-        path, at = [], n
-        while at:
-            size, i, _ = came[at]
-            path.append(i)
-            at -= size
+            s = score[end - piece[0]] + piece[2]
+            if s > score[end]:
+                score[end], came[end] = s, piece
+        path, at = [], n - 1
+        while at >= 0:
+            piece = came[at]
+            path.append(piece[1])
+            at -= piece[0]
         path.reverse()
         return path
 
