@@ -11,11 +11,12 @@ exact Jaccard similarity of each candidate pair is verified.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD, materialize
@@ -94,16 +95,32 @@ def _ranges(rows: DataFrame) -> DataFrame:
     """``rows`` (id, text) and, per id range, the first row of the next range; columns part, kind, id, h, text.
 
     Ids are cut into ranges of about equal counts by one aggregate: at most
-    RANGES numbers, however large the table.  The row after a range (kind 1; the
-    first row of all after the last range) is found by its id and hash, from a
-    table of one row a range.
+    RANGES numbers, however large the table.  An id (or NULL, which counts as
+    the least number) on which several cuts fall has as many ranges, over which
+    its rows are dealt by the hash of their texts.  The row after a range (kind
+    1; the first row of all after the last range) is found by its id and hash,
+    from a table of one row a range.
     """
     count = rows.count()
     pieces = int(min(RANGES, max(2, count // 256)))
-    cuts = rows.agg(F.percentile_approx("id", [i / pieces for i in range(1, pieces)], 20_000)).first()[0] or []
-    limits = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<bigint>")
-    part = F.when(F.col("id").isNull(), -1).otherwise(F.size(F.filter(limits, lambda x: x <= F.col("id"))))
-    rows = rows.select(part.alias("part"), F.lit(0).alias("kind"), "id", F.xxhash64("text").alias("h"), "text")
+    key = F.coalesce("id", F.lit(-2**63))
+    cuts = rows.agg(F.percentile_approx(key, [i / pieces for i in range(1, pieces)], 20_000)).first()[0] or []
+    times = sorted(Counter(cuts).items())  # (cut, ranges that it stands for)
+    ahead = np.cumsum([0] + [m - 1 for _, m in times]).tolist()
+
+    def at(values: list) -> Column:
+        """The value for the last cut not above the id."""
+        return F.element_at(F.array(*[F.lit(v) for v in values]).cast("array<bigint>"), F.col("n") + 1)
+
+    limits = F.array(*[F.lit(c) for c, _ in times]).cast("array<bigint>")
+    rows = rows.withColumn("key", key).withColumn("h", F.xxhash64("text"))
+    rows = rows.withColumn("n", F.size(F.filter(limits, lambda x: x <= F.col("key"))))
+    # Rows of the cut itself are dealt over its ranges; the ids behind it are in the last of them.
+    last = at([1] + [m for _, m in times]) - 1
+    place = (F.col("h").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
+    own = F.when(F.col("key") == at([None] + [c for c, _ in times]), F.least(F.floor(place * (last + 1)), last)).otherwise(last)
+    part = F.col("n") + at([0] + ahead[:-1]) + own
+    rows = rows.select(part.cast("int").alias("part"), F.lit(0).alias("kind"), "id", "h", "text")
     heads = [tuple(r) for r in rows.groupBy("part").agg(F.min(F.struct(F.coalesce("id", F.lit(-2**63)).alias("id"), "h")).alias("m"))
              .select("part", "m.id", "m.h").sort("part").collect()]  # one row a range
     before = [(heads[i - 1][0], *h[1:]) for i, h in enumerate(heads)]

@@ -50,6 +50,19 @@ def test_equal_texts_repeated_and_null_ids(make_docs):
     assert [r["fingerprint"] for r in got if r["doc_id"] == 10106][0] == [r["fingerprint"] for r in got if r["doc_id"] == 10106][1]
 
 
+def test_rows_of_one_id_and_of_none_are_dealt_over_ranges(make_docs):
+    from pyspark.sql import functions as F
+
+    rows = [(77 if n % 3 else None, f"text {n} of many words and more {n * n}") for n in range(3000)] + [(n, f"other {n}") for n in range(300)]
+    docs = make_docs(rows)
+    sizes = minhash._ranges(docs.select(F.col("doc_id").alias("id"), "text")).groupBy("part").count().collect()
+    assert max(r["count"] for r in sizes) < 1000
+    order = [(r["doc_id"], r["text"]) for r in docs.sort(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).collect()]
+    want = [(i, hashlib.sha256(minhash.edited(t, order[(n + 1) % len(order)][1]).encode()).hexdigest()) for n, (i, t) in enumerate(order)]
+    got = [(r["doc_id"], r["edited_sha256"]) for r in minhash.fingerprints(docs).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
 def test_single_row_and_empty_table(make_docs):
     (r,) = minhash.fingerprints(make_docs([(5, "one two three four five six")])).collect()
     assert r["near_next"] == 1.0 and r["n_chars"] == 27
