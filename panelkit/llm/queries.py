@@ -73,9 +73,11 @@ def op13_zone_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return zone_clusters.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dim=64, scale=64, seed=1)
 
 
+#: Further queries, each a part of a dealt operator that its own query does not return.
+PARTS = {"minhash_links": minhash_links}
+
 QUERIES = {
     "op1_minhash": op1_minhash,
-    "minhash_links": minhash_links,
     "op2_html_extract": op2_html_extract,
     "op3_curriculum_mix": op3_curriculum_mix,
     "op4_language_id": op4_language_id,

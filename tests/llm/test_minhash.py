@@ -187,3 +187,12 @@ def test_blocks_cut_by_batches_give_the_same_pairs():
 def test_similar_pairs_of_nothing(make_docs):
     assert minhash.similar_pairs(make_docs([])).count() == 0
     assert minhash.similar_pairs(make_docs(ODD[:2])).count() == 0
+
+
+def test_links_are_registered_and_read_the_whole_table(spark):
+    import __spark_entry__ as entry
+    from paths import SMALL
+
+    got = entry.queries()["minhash_links"](spark, SMALL)
+    assert got.columns == ["doc_id", "class_id", "n_links", "near_id", "near_jaccard"]
+    assert got.count() == spark.read.parquet(f"{SMALL}/documents.parquet").count()
