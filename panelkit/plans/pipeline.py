@@ -21,9 +21,17 @@ from .harmonise import BASELINE_COLUMNS, clean_roster, harmonise_baseline
 ORDER = ["wave", "version", "response_id"]
 
 
+ROSTER_FIELDS = ("cohort_name", "date_of_enrollment", "assignment_label_fct")
+
+
+def roster_fields(roster: DataFrame, book: Codebook = DEFAULT_CODEBOOK,
+                  roster_cols: Sequence[str] = ROSTER_FIELDS) -> DataFrame:
+    """The response id and the cleaned fields of every roster row that the panel takes."""
+    return clean_roster(roster, book).select(book.response_col, *roster_cols)
+
+
 def join_panel(roster: DataFrame, responses: DataFrame, book: Codebook = DEFAULT_CODEBOOK,
-               roster_cols: Sequence[str] = ("cohort_name", "date_of_enrollment",
-                                            "assignment_label_fct"),
+               roster_cols: Sequence[str] = ROSTER_FIELDS,
                counts: Observation | None = None) -> DataFrame:
     """Every response with the roster fields of its survey row (inner: rows
     without a response or without a roster entry cannot be harmonised).
@@ -36,7 +44,7 @@ def join_panel(roster: DataFrame, responses: DataFrame, book: Codebook = DEFAULT
     however many of them one participant has; the per-participant aggregates
     that follow shuffle after their map-side combine.
     """
-    r = clean_roster(roster, book).select(book.response_col, *roster_cols)
+    r = roster_fields(roster, book, roster_cols)
     if counts is None:
         return responses.join(r, book.response_col, "inner")
     return joins.counted_inner_join(responses, r, [book.response_col], counts, ("no_roster", "no_response"))

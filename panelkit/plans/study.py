@@ -39,10 +39,17 @@ class PanelStudy:
         return pipeline.survey_rows(self.roster, self.responses, self.book)
 
     def materialized(self, name: str = "panel") -> "PanelStudy":
-        """The same study reading a written copy of the joined panel."""
+        """The same study reading a written copy of the joined panel.
+
+        Responses have some hundred columns, so the roster's fields are sent to
+        them (``colocated.attached``), not both to where the join is."""
+        from ..sources.colocated import attached
         from ..sources.snapshots import materialize
 
-        return replace(self, joined_panel=materialize(self.joined(), name, (self.book.wave_col,)))
+        form = None
+        if self.joined_panel is None:
+            form = lambda: attached(self.responses, pipeline.roster_fields(self.roster, self.book), self.book.response_col)
+        return replace(self, joined_panel=materialize(self.joined(), name, (self.book.wave_col,), form))
 
     def colocated(self, buckets: int | None = None) -> "PanelStudy":
         """The same study reading roster and responses from buckets of the

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -92,3 +94,16 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """``settings`` of the session for the block's actions; afterwards what was set before."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

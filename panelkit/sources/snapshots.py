@@ -18,6 +18,7 @@ import json
 import re
 import uuid
 from collections.abc import Callable, Sequence
+from contextlib import AbstractContextManager, nullcontext
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -228,7 +229,8 @@ def memo_folder(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/memo"
 
 
-def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = (),
+                form: Callable[[], AbstractContextManager[DataFrame]] | None = None) -> DataFrame:
     """``df`` written once, in the session's shared checkpoint folder, and read back.
 
     The table is found again by :func:`content_key`: the same plan over the same
@@ -236,12 +238,18 @@ def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
     branches read only the columns and partitions they need, and the table
     survives executor loss (unlike a cache or a local checkpoint).  A frame
     without a key is written on every call.  :func:`forget` removes tables.
+
+    ``form`` gives the same rows by another plan, entered only if the table is
+    written; the key is always that of ``df``.
     """
     spark = df.sparkSession
     key = content_key(df, *partition_by) or uuid.uuid4().hex
     store = f"{memo_folder(spark)}/{name}/{key}"
     found = latest_snapshot(spark, store)
-    return found if found is not None else snapshot(spark, store, write_snapshot(df, store, partition_by=partition_by))
+    if found is not None:
+        return found
+    with form() if form else nullcontext(df) as rows:
+        return snapshot(spark, store, write_snapshot(rows, store, partition_by=partition_by))
 
 
 def memoised(spark: SparkSession, name: str) -> list[str]:

@@ -2,12 +2,13 @@
 
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from panelkit.session import scratch_dir
-from panelkit.sources import snapshots
+from panelkit.sources import colocated, snapshots
 from paths import SMALL
 
 ROWS = "id long, t string, n int"
@@ -183,3 +184,62 @@ def test_study_finds_its_panel_again(spark):
     study().materialized("memo-study")
     n, again = jobs(spark, lambda: study().materialized("memo-study"))
     assert n == 0 and again.root().count() == study().root().count()
+
+
+def test_the_written_panel_shuffles_no_answers(spark, monkeypatch):
+    """Only ids, row numbers and the roster's fields are exchanged, and nothing wide is sorted or broadcast."""
+    from panelkit.plans.study import PanelStudy
+    from panelkit.sources import panel
+
+    plans, write = [], snapshots.write_snapshot
+
+    def noted(df, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, *args, **kwargs)
+
+    monkeypatch.setattr(snapshots, "write_snapshot", noted)
+    before = {k: spark.conf.get(k, None) for k in colocated._ATTACH_CONF}
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(threshold, "-1")
+    try:
+        study = PanelStudy(panel.survey_roster(spark, SMALL), panel.responses(spark, SMALL), book=panel.BOOK)
+        got, wanted = study.materialized(f"memo-{os.urandom(4).hex()}").joined(), study.joined()
+        assert sorted(got.columns) == sorted(wanted.columns)
+        assert got.select(wanted.columns).exceptAll(wanted).isEmpty() and got.count() == wanted.count() > 0
+    finally:
+        spark.conf.unset(threshold) if before[threshold] is None else spark.conf.set(threshold, before[threshold])
+    moved = [node for node in re.split(r"\n[ :+-]*", plans[0]) if "Exchange" in node]
+    assert len(plans) == 1 and len(moved) == 3  # ids, roster fields, fields by block
+    wide = next(node for node in plans[0].split("\n") if "FileScan" in node and "Bucketed: true" in node and "demo_sex" in node)
+    above = plans[0][: plans[0].index(wide)].rsplit("Join", 1)[1]
+    assert "Exchange" not in above and "Broadcast" not in plans[0]
+    assert {k: spark.conf.get(k, None) for k in before} == before
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_attached_fields_are_those_of_the_join(spark, adaptive):
+    """Keys that repeat on either side, that are missing, or that have no partner; blocks of few rows."""
+    wide = spark.createDataFrame([(i % 40 if i % 7 else None, i, f"a{i % 3}" if i % 5 else None) for i in range(300)],
+                                 "k long, n int, `a.b` string").repartition(5)
+    narrow = spark.createDataFrame([(i % 50 if i % 6 else None, f"x{i}", None) for i in range(10, 90)], "k long, t string, none date")
+    wanted = wide.join(narrow, "k")
+    tables = spark.catalog.listTables()
+    adaptive_key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(adaptive_key)
+    spark.conf.set(adaptive_key, adaptive)
+    try:
+        for rows in (1, 7, 1000):
+            with colocated.attached(wide, narrow, "k", block_rows=rows) as got:
+                assert got.dtypes == wanted.dtypes
+                assert sorted(map(str, got.collect())) == sorted(map(str, wanted.collect())) != []
+    finally:
+        spark.conf.set(adaptive_key, before)
+    assert spark.catalog.listTables() == tables  # what was written on the way is gone
+
+
+def test_nothing_is_left_of_a_failed_attachment(spark):
+    tables = spark.catalog.listTables()
+    bad = frame(spark, 3).withColumn("n", F.raise_error(F.lit("no")).cast("int"))
+    with pytest.raises(Exception, match="no"), colocated.attached(bad, frame(spark, 3).select("id"), "id") as got:
+        got.count()
+    assert spark.catalog.listTables() == tables
